@@ -121,15 +121,19 @@ def holdings_notices(spark, sf):
 LINES = (("Total Assets", "NO", "N"), ("Total Equity and Liabilities", "AO", "A"), ("Reserves", "RF", "R"), ("Per share", "NF", None))
 
 
-def statement_facts(spark, sf):
-    """Monthly, half-yearly and instant facts per supplier."""
+def statement_rows(spark, sf):
+    """Monthly, half-yearly and instant facts per supplier, one document per order."""
     li = table(spark, sf, "lineitem")
     end = F.last_day(F.col("l_shipdate").cast("date"))
     back = F.when(F.col("l_linenumber") % 3 == 0, 1).when(F.col("l_linenumber") % 3 == 1, 9)
     return li.select(F.col("l_suppkey").alias("symbol"), F.concat("l_returnflag", "l_linestatus").alias("concept"), end.alias("period_end"),
                      F.when(back.isNotNull(), F.add_months(F.date_trunc("month", "l_shipdate").cast("date"), -back)).alias("period_start"),
                      (F.col("l_extendedprice") * 141421.35).alias("value"), F.to_date("l_shipdate").alias("filed"), F.col("l_orderkey").alias("doc"),
-                     (F.col("l_linenumber") == 7).alias("has_dimensions"), F.col("l_partkey"))
+                     (F.col("l_linenumber") == 7).alias("has_dimensions"), "l_partkey", F.col("l_linenumber").alias("line"))
+
+
+def statement_facts(spark, sf):
+    return statement_rows(spark, sf).drop("line")
 
 
 SFACTS = """sf AS (SELECT l_suppkey AS symbol, l_returnflag || l_linestatus AS concept, last_day(CAST(l_shipdate AS DATE)) AS period_end,

@@ -18,9 +18,9 @@ def transit_panel(spark, sf):
 
 
 DEVIATION = f"""{TRANSITS}, u AS (UNPIVOT tr ON n_total, n_tanker, n_cargo, capacity INTO NAME metric VALUE v),
-  b AS (SELECT portname, metric, (SELECT max(date) FROM tr) AS as_of, count(*) FILTER (date <= as_of - 14) AS no, count(*) FILTER (date > as_of - 14) AS nn,
+  mx AS (SELECT max(date) AS as_of FROM tr), b AS (SELECT portname, metric, as_of, count(*) FILTER (date <= as_of - 14) AS no, count(*) FILTER (date > as_of - 14) AS nn,
     avg(v) FILTER (date <= as_of - 14) AS bm, stddev_samp(v) FILTER (date <= as_of - 14) AS bs, avg(v) FILTER (date > as_of - 14) AS rm
-    FROM u WHERE date > (SELECT max(date) FROM tr) - 104 GROUP BY portname, metric),
+    FROM u, mx WHERE date > as_of - 104 GROUP BY portname, metric, as_of),
   dev AS (SELECT as_of, portname, metric, round_even(rm, 2) AS recent_mean, round_even(bm, 2) AS baseline_mean, round_even(bs, 2) AS baseline_std,
     round_even(CASE WHEN bs > 0 THEN (rm - bm) / bs END, 2) AS zscore, round_even((rm - bm) / bm * 100, 1) AS pct_change, 14 AS recent_days, 90 AS baseline_days FROM b WHERE no >= 30 AND nn > 0)"""
 
@@ -73,13 +73,13 @@ def dated(spark):
 
 
 REGIME = f"""{SHIFTED}, br(portname, break_date, mean_before) AS (VALUES ('2-HIGH', DATE '1998-05-01', 1.26::DOUBLE), ('2-HIGH', DATE '1999-12-01', 1.1::DOUBLE), ('5-LOW', DATE '1997-01-01', 1.3::DOUBLE)),
-  b AS (SELECT portname, max(break_date) AS l, min(break_date) AS f, arg_max(mean_before, break_date) AS prev FROM br GROUP BY 1),
-  e AS (SELECT sh.portname, max(date) AS latest, coalesce(any_value(l), min(date)) AS rs, any_value(f) AS f, any_value(prev) AS prev FROM sh LEFT JOIN b USING (portname) GROUP BY 1),
-  g AS (SELECT portname, latest, rs, prev, count(*) FILTER (date >= rs) AS n, avg(n_total) FILTER (date >= rs) AS rm, stddev_samp(n_total) FILTER (date >= rs) AS sd,
-    avg(n_total) FILTER (date > latest - 14) AS cm, avg(n_total) FILTER (f IS NULL OR date < f) AS bm FROM sh JOIN e USING (portname) GROUP BY 1, 2, 3, 4),
+  bk AS (SELECT portname, max(break_date) AS l, min(break_date) AS f, arg_max(mean_before, break_date) AS prev FROM br GROUP BY 1),
+  ek AS (SELECT sh.portname, max(date) AS latest, coalesce(any_value(l), min(date)) AS rs, any_value(f) AS f, any_value(prev) AS prev FROM sh LEFT JOIN bk USING (portname) GROUP BY 1),
+  gk AS (SELECT portname, latest, rs, prev, count(*) FILTER (date >= rs) AS n, avg(n_total) FILTER (date >= rs) AS rm, stddev_samp(n_total) FILTER (date >= rs) AS sd,
+    avg(n_total) FILTER (date > latest - 14) AS cm, avg(n_total) FILTER (f IS NULL OR date < f) AS bm FROM sh JOIN ek USING (portname) GROUP BY 1, 2, 3, 4),
   reg AS (SELECT latest AS as_of, portname, 'n_total' AS metric, rs AS regime_start, n AS days_in_regime, round_even(rm, 2) AS regime_mean, round_even(cm, 2) AS recent_mean,
     round_even((cm - rm) / sd, 2) AS z_vs_regime, round_even(prev, 2) AS previous_regime_mean, round_even((rm - prev) / prev * 100, 1) AS regime_vs_previous_pct,
-    round_even(bm, 2) AS baseline_mean, round_even((rm - bm) / bm * 100, 1) AS vs_baseline_pct FROM g)"""
+    round_even(bm, 2) AS baseline_mean, round_even((rm - bm) / bm * 100, 1) AS vs_baseline_pct FROM gk)"""
 
 
 @query("current_regime_from_stored_breaks", f"WITH {REGIME} SELECT * FROM reg")
