@@ -337,7 +337,8 @@ def shape_instance_facts(spark, sf):
            "<f:DateOfStartOfReportingPeriod contextRef=\"D\">2024-04-01</f:DateOfStartOfReportingPeriod><f:DateOfEndOfReportingPeriod contextRef=\"D\">2024-12-31</f:DateOfEndOfReportingPeriod>")
     num = lambda n, c: xml(f"<f:{n} contextRef=\"{c}\" unitRef=\"U\" decimals=\"2\">", S("o_totalprice"), f"</f:{n}>")
     body = xml("<xbrli:xbrl xmlns:xbrli=\"http://i\" xmlns:f=\"http://f\">", ctx, num("Revenue", "D"), num("Assets", "I"), "<f:Name contextRef=\"D\">Co</f:Name>", num("Segment", "X"), "</xbrli:xbrl>")
-    facts = rg.reported_period(rg.instance_facts(o.select(F.concat(F.lit("u"), S("o_orderkey")).alias("path"), body.alias("content"))))
+    docs = o.repartition(spark.sparkContext.defaultParallelism)      # one small input file would parse in one task
+    facts = rg.reported_period(rg.instance_facts(docs.select(F.concat(F.lit("u"), S("o_orderkey")).alias("path"), body.alias("content"))))
     return facts.where("concept NOT LIKE 'DateOf%'").select("source_url", "concept", "context_id", "period_start", "period_end", "instant", "has_dimensions", "unit", "value")
 
 
