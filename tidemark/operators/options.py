@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions import options as bs
 from tidemark.functions.dates import DAY_MONTH_YEAR, parse
@@ -16,7 +17,7 @@ from tidemark.functions.dates import DAY_MONTH_YEAR, parse
 LOW_VOL, HIGH_VOL, STEPS = 1e-4, 5.0, 60
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def implied_vol(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
     """Volatility reproducing a price: (price, spot, strike, years, rate, right).
 

@@ -9,7 +9,8 @@ from tidemark.operators import quality as ql
 from tidemark.plans.bindings import VINTAGES, VKEY, events, table, vintages
 from tidemark.plans.registry import query
 
-NOW = F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")
+def now():
+    return F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")
 
 
 def manifest(spark, sf):
@@ -26,7 +27,7 @@ FRESH = """fr AS (SELECT event_type AS source, 'set-' || (user_id % 7) AS datase
 
 @query("fetch_freshness", f"WITH {FRESH} SELECT source, dataset, last_fetch_utc, raw_files, raw_mb FROM fr")
 def fetch_freshness(spark, sf):
-    return ql.fetch_freshness(manifest(spark, sf), NOW).drop("age_hours")
+    return ql.fetch_freshness(manifest(spark, sf), now()).drop("age_hours")
 
 
 def monthly_vintages(spark, sf):
