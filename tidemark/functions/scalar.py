@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from itertools import chain
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -75,6 +75,32 @@ def zscore_columns(df: DataFrame, value: str, out: str, sign: float = 1.0) -> Da
     return df.withColumn(out, F.when(F.col(value).isNotNull(), z))
 
 
+def exact_quantile(df: DataFrame, value: str, q: float, low: float, high: float, buckets: int = 10_000) -> Column:
+    """Interpolated quantile of all values, usable in any other frame.
+
+    A histogram of ``buckets`` counts finds the buckets that hold the two neighbouring
+    ranks; only the distinct values inside those are then counted one by one. Nothing with
+    the size of the table meets in one task.
+    """
+    v = F.col(value).cast("double")
+    at = F.greatest(F.least(F.floor((v - low) / (high - low) * buckets), F.lit(buckets - 1)), F.lit(0)).cast("int")
+    rows = df.where(v.isNotNull()).select(v.alias("_v"), at.alias("_b"))
+    upto = Window.partitionBy(F.lit(0))
+    hist = rows.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
+    hist = hist.select("_b", F.sum("_n").over(upto.orderBy("_b")).alias("_cum"), "_n", F.sum("_n").over(upto).alias("_all"))
+    pos = (F.col("_all") - 1) * F.lit(float(q))
+    k = F.floor(pos)
+    holds = lambda rank: (F.col("_cum") > rank) & (F.col("_cum") - F.col("_n") <= rank)
+    picked = hist.agg(F.max(F.when(holds(k), F.col("_b"))).alias("b0"), F.max(F.when(holds(F.least(k + 1, F.col("_all") - 1)), F.col("_b"))).alias("b1"),
+                      F.max(F.when(holds(k), F.col("_cum") - F.col("_n"))).alias("before"), F.max(pos).alias("pos"), F.max("_all").alias("n"))
+    part = rows.withColumn("_p", picked.select(F.struct("b0", "b1", "before", "pos", "n")).scalar()).where((F.col("_b") >= F.col("_p.b0")) & (F.col("_b") <= F.col("_p.b1")))
+    vals = part.groupBy("_v", "_p").agg(F.count(F.lit(1)).alias("_n")).withColumn("_cum", F.col("_p.before") + F.sum("_n").over(upto.orderBy("_v")))
+    rank = F.floor("_p.pos")
+    value_at = lambda r: F.max(F.when((F.col("_cum") > r) & (F.col("_cum") - F.col("_n") <= r), F.col("_v")))
+    out = vals.agg(value_at(rank).alias("a"), value_at(F.least(rank + 1, F.col("_p.n") - 1)).alias("c"), F.max(F.col("_p.pos") - rank).alias("f"))
+    return out.select((F.col("a") + (F.col("c") - F.col("a")) * F.col("f")).alias("q")).scalar()
+
+
 def require_rows(df: DataFrame, minimum: int, message: str) -> DataFrame:
     """Raise when ``df`` has fewer than ``minimum`` rows; reads no more than that many."""
     found = df.limit(minimum).count()

@@ -132,11 +132,18 @@ def pay_vs_tsr(pvp: DataFrame, tsr: str = "TotalShareholderRtnAmt", peer: str =
 
 def value_scale(holdings: DataFrame, filing: str = "accn", value: str = "value_reported", shares: str = "shares_or_principal") -> DataFrame:
     """Whether each filing reports dollars or thousands: a portfolio whose median implied
-    price is under 1 is in thousands. The median is exact, from counted values."""
+    price is under 1 is in thousands.
+
+    The median itself is not needed, only its side of 1. That follows from how many prices
+    are under 1 and, when they are exactly half, from the largest under and the smallest
+    not under 1, so a filing of any size is a handful of running numbers.
+    """
     implied = F.when((F.col(shares) > 0) & F.col(value).isNotNull(), F.col(value) / F.nullif(F.col(shares), F.lit(0)))
-    m = holdings.groupBy(filing).agg(F.median(implied).alias("m"))
-    return m.select(filing, F.when(F.col("m").isNull(), "unknown").when(F.col("m") < 1.0, "thousands").otherwise("dollars").alias("value_scale"),
-                    F.when(F.col("m") < 1.0, 1000.0).otherwise(1.0).alias("_factor"))
+    under = F.when(implied < 1.0, implied)
+    g = holdings.groupBy(filing).agg(F.count(implied).alias("n"), F.count(under).alias("u"), F.max(under).alias("lo"), F.min(F.when(implied >= 1.0, implied)).alias("hi"))
+    thousands = (F.col("u") * 2 > F.col("n")) | ((F.col("u") * 2 == F.col("n")) & ((F.col("lo") + F.col("hi")) / 2.0 < 1.0))
+    scale = F.when(F.col("n") == 0, "unknown").when(thousands, "thousands").otherwise("dollars")
+    return g.select(filing, scale.alias("value_scale"), F.when(scale == "thousands", 1000.0).otherwise(1.0).alias("_factor"))
 
 
 def scaled_holdings(holdings: DataFrame, filing: str = "accn", value: str = "value_reported", shares: str = "shares_or_principal") -> DataFrame:

@@ -98,8 +98,11 @@ def trace(edge: DataFrame, root: str, max_depth: int = MAX_DEPTH, approximate: S
     # decided level by level: a node counts only if its parent was a first visit.
     firsts = walked.groupBy("view").agg(F.min("visit").alias("first"))
     df = walked.join(firsts, "view").withColumn("repeated", F.col("visit") > F.col("first"))
-    closed = df.where("repeated").select(F.col("visit").alias("closed"))
-    open_rows = df.alias("d").join(closed.alias("c"), F.startswith(F.col("d.visit"), F.col("c.closed")) & (F.length("d.visit") > F.length("c.closed")), "left_anti")
+    closed = df.where("repeated").select(F.col("visit").alias("prefix"))
+    # Each step of a visit is five characters, so the nodes above it are its shorter prefixes.
+    above = F.transform(F.sequence(F.lit(1), F.col("depth") - 1), lambda i: F.substr(F.col("visit"), F.lit(1), i * 5))
+    hidden = df.where("depth > 1").select("visit", F.explode(above).alias("prefix")).join(closed, "prefix", "left_semi").select("visit").distinct()
+    open_rows = df.join(hidden, "visit", "left_anti")
     computed = F.lit(False)
     for p in COMPUTED_PREFIXES:
         computed = computed | F.startswith(F.col("view"), F.lit(p))

@@ -16,7 +16,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalar import require_rows
+from tidemark.functions.scalar import exact_quantile, require_rows
+from tidemark.session import materialise
 
 # Features and settings of the screen.
 FEATURES = ("beta", "momentum_zscore", "notional_zscore", "change_pct_points")
@@ -111,10 +112,11 @@ def multivariate_outliers(features: DataFrame, columns: Sequence[str] = FEATURES
     """Anomaly score (more negative is stranger) and flag of the strangest fraction.
 
     A missing feature counts as 0, no signal. The flag cuts at the exact quantile of the
-    scores, which Spark computes from partially aggregated value counts.
+    scores.
     """
     if min_rows:
         require_rows(features, min_rows, "multivariate_outliers: too few symbols")
+    features = materialise(features)     # read by the sample, the scoring and the count
     filled = features.select("*", *[F.coalesce(F.col(c), F.lit(0.0)).alias(f"_f_{c}") for c in columns])
     inputs = [f"_f_{c}" for c in columns]
     nodes = grow_forest(filled, inputs, key, trees, sample, seed).toPandas()   # at most trees x (2 sample - 1) rows
@@ -128,6 +130,6 @@ def multivariate_outliers(features: DataFrame, columns: Sequence[str] = FEATURES
         for pdf in batches:
             yield pd.Series(-np.power(2.0, -path_lengths(shipped.value, pdf.to_numpy(dtype=float)) / norm))
 
-    scored = filled.withColumn("anomaly_score_raw", score(F.struct(*inputs))).drop(*inputs)
-    cut = scored.agg(F.percentile("anomaly_score_raw", contamination).alias("c")).scalar()
+    scored = materialise(filled.withColumn("anomaly_score_raw", score(F.struct(*inputs))).drop(*inputs))
+    cut = exact_quantile(scored, "anomaly_score_raw", contamination, -1.0, 0.0)
     return scored.withColumn("is_outlier", F.col("anomaly_score_raw") < cut)

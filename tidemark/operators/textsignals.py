@@ -132,16 +132,15 @@ def keep_items(items: DataFrame, allowed: Sequence[str] | None = None, min_confi
 
 
 def board(videos: DataFrame, summaries: DataFrame, items: DataFrame, limit: int = 40, min_confidence: float = 0.0) -> DataFrame:
-    """Newest analyzed videos with their summary and ranked items, one row per item.
+    """Newest analyzed videos with their summary and items, one row per item.
 
-    Rows stay flat with the item's rank, so a video with very many items is not gathered
-    into one cell. A video without items keeps one row.
+    Rows stay flat and carry what orders them (confidence, then time), so a video with very
+    many items is neither gathered into one cell nor ranked in one task. A video without
+    items keeps one row.
     """
     v = videos.where("status = 'analyzed'").orderBy(F.desc("published"), "video_id").limit(limit).join(summaries, "video_id", "left")
-    w = Window.partitionBy("video_id").orderBy(F.desc_nulls_last("confidence"), F.asc_nulls_first("t_start"), "headline")
-    i = items.where(F.coalesce("confidence", F.lit(1.0)) >= min_confidence).join(v.select("video_id"), "video_id", "left_semi") \
-        .withColumn("item_rank", F.row_number().over(w))
-    return v.join(i.select("video_id", "item_rank", "type", "headline", "confidence", "t_start"), "video_id", "left")
+    i = items.where(F.coalesce("confidence", F.lit(1.0)) >= min_confidence)
+    return v.join(i.select("video_id", "type", "headline", "confidence", "t_start"), "video_id", "left")
 
 
 def search(items: DataFrame, videos: DataFrame, phrase: str, limit: int | None = 50) -> DataFrame:

@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.session import materialise
+
 PROXY = "S1"
 
 
@@ -29,6 +31,12 @@ def prices(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def stored_prices(spark: SparkSession, sf: str) -> DataFrame:
+    """The price panel computed once, for queries that read it in several branches. It has a
+    row per (symbol, month), however many trades feed it."""
+    return materialise(prices(spark, sf))
+
+
 PRICES = """px AS (
   SELECT 'S' || l_suppkey AS symbol, 'I' || l_suppkey AS isin, 'EQ' AS series,
          CAST(date_trunc('month', l_shipdate) AS DATE) AS trade_date,
@@ -191,6 +199,11 @@ def rainfall(spark: SparkSession, sf: str, primary: bool | None = None) -> DataF
         .groupBy("date", F.col("r_name").alias("region")).agg(F.sum("q").alias("rain_mm_per_day"))
 
 
+def stored_rainfall(spark: SparkSession, sf: str, primary: bool | None = None) -> DataFrame:
+    """Daily regional totals computed once: a row per (day, region)."""
+    return materialise(rainfall(spark, sf, primary))
+
+
 def rainfall_sql(name: str, condition: str = "true") -> str:
     return f"""{name} AS (SELECT CAST(l_shipdate AS DATE) AS date, r_name AS region, sum(l_quantity) AS rain_mm_per_day
   FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey

@@ -9,7 +9,7 @@ from tidemark.operators import digest as dg
 from tidemark.operators import prices as px
 from tidemark.operators.outliers import multivariate_outliers
 from tidemark.plans.bindings import (INDUSTRIES, MARKET_CAPS, PRICES, PROXY, RETURNS, UNIVERSE, industries, market_caps,
-                                     prices, table)
+                                     prices, stored_prices, table)
 from tidemark.plans.registry import query
 
 R6 = 6
@@ -79,12 +79,12 @@ def capm_beta(spark, sf):
                                    "n_obs", "market_proxy")
 
 
-def betas(spark, sf):
-    return px.compute_betas(prices(spark, sf), PROXY, window_days=60)
+def betas(spark, sf, panel=None):
+    return px.compute_betas(stored_prices(spark, sf) if panel is None else panel, PROXY, window_days=60)
 
 
-def pairs(spark, sf):
-    return corr.rolling_correlation(prices(spark, sf), 60, 20)
+def pairs(spark, sf, panel=None):
+    return corr.rolling_correlation(stored_prices(spark, sf) if panel is None else panel, 60, 20)
 
 
 PAIRS = """dts AS (SELECT DISTINCT trade_date FROM px ORDER BY trade_date DESC LIMIT 60),
@@ -108,8 +108,9 @@ TOP = """top AS (SELECT symbol FROM uni ORDER BY turnover DESC, symbol LIMIT 15)
   SELECT a.symbol AS symbol_a, b.symbol AS symbol_b, CASE WHEN a.symbol = b.symbol THEN 1.0::DOUBLE ELSE round(p.correlation, 6) END AS correlation
   FROM top a CROSS JOIN top b LEFT JOIN pairs p ON p.symbol_a = least(a.symbol, b.symbol) AND p.symbol_b = greatest(a.symbol, b.symbol)""")
 def correlation_matrix(spark, sf):
-    top = px.top_turnover(px.equity_universe(prices(spark, sf)), 15)
-    return corr.symmetric_matrix(pairs(spark, sf), top).withColumn("correlation", F.round("correlation", R6))
+    panel = stored_prices(spark, sf)
+    top = px.top_turnover(px.equity_universe(panel), 15)
+    return corr.symmetric_matrix(pairs(spark, sf, panel), top).withColumn("correlation", F.round("correlation", R6))
 
 
 SECTORS = """sec AS (SELECT ia.industry AS industry_a, ib.industry AS industry_b, avg(correlation) AS correlation
@@ -133,7 +134,8 @@ def sector_correlation_mirrored(spark, sf):
 
 @query("pairs_screen")
 def pairs_screen(spark, sf):
-    return corr.pairs_screen(prices(spark, sf), pairs(spark, sf), corr_threshold=0.3)
+    panel = stored_prices(spark, sf)
+    return corr.pairs_screen(panel, pairs(spark, sf, panel), corr_threshold=0.3)
 
 
 MOMENTUM = """ends AS (SELECT max(trade_date) AS hi, min(trade_date) AS lo FROM
@@ -147,7 +149,7 @@ MOMENTUM = """ends AS (SELECT max(trade_date) AS hi, min(trade_date) AS lo FROM
 @query("momentum_zscore", f"""WITH {PRICES}, {MOMENTUM} SELECT symbol, round(trailing_return, 6) AS trailing_return,
   round(momentum_zscore, 6) AS momentum_zscore, as_of_date, 20 AS lookback_days FROM mom""")
 def momentum_zscore(spark, sf):
-    return px.momentum_zscore(prices(spark, sf)).select(
+    return px.momentum_zscore(stored_prices(spark, sf)).select(
         "symbol", F.round("trailing_return", R6).alias("trailing_return"),
         F.round("momentum_zscore", R6).alias("momentum_zscore"), "as_of_date", "lookback_days")
 
@@ -169,8 +171,9 @@ SIZE = """sz AS (SELECT symbol, uni.isin, trade_date AS as_of_date, market_cap,
   size AS (SELECT *, -(lnm - avg(lnm) OVER ()) / stddev_samp(lnm) OVER () AS size_score FROM sz)"""
 
 
-def size(spark, sf):
-    return px.size_factor(px.equity_universe(prices(spark, sf)), market_caps(spark, sf))
+def size(spark, sf, panel=None):
+    panel = stored_prices(spark, sf) if panel is None else panel
+    return px.size_factor(px.equity_universe(panel), market_caps(spark, sf))
 
 
 @query("size_factor", f"""WITH {PRICES}, {UNIVERSE}, {MARKET_CAPS}, {SIZE} SELECT symbol, isin, as_of_date,
@@ -189,7 +192,7 @@ LOWVOL = """v AS (SELECT symbol, trade_date, CASE WHEN count(log_return) OVER w
 @query("low_vol_factor", f"""WITH {RETURNS}, {LOWVOL} SELECT symbol, as_of_date, round(realized_vol, 6) AS realized_vol,
   round(low_vol_score, 6) AS low_vol_score FROM lowvol""")
 def low_vol_factor(spark, sf):
-    return px.low_vol_factor(prices(spark, sf)).withColumn("realized_vol", F.round("realized_vol", R6)) \
+    return px.low_vol_factor(stored_prices(spark, sf)).withColumn("realized_vol", F.round("realized_vol", R6)) \
         .withColumn("low_vol_score", F.round("low_vol_score", R6))
 
 
@@ -200,8 +203,8 @@ FACTORS = f"""{RETURNS}, {UNIVERSE}, {MARKET_CAPS}, {MOMENTUM}, {SIZE}, {LOWVOL}
 
 
 def factors(spark, sf):
-    p = prices(spark, sf)
-    return px.factor_model(px.momentum_zscore(p), size(spark, sf), px.low_vol_factor(p))
+    p = stored_prices(spark, sf)
+    return px.factor_model(px.momentum_zscore(p), size(spark, sf, p), px.low_vol_factor(p))
 
 
 @query("factor_model", f"""WITH {FACTORS} SELECT symbol, round(momentum_zscore, 6) AS momentum_zscore, as_of_date,
@@ -217,7 +220,8 @@ WATCHED = ("S1", "S2", "S3", "S4", "S5")
 
 
 def scored(spark, sf):
-    return dg.composite_score(betas(spark, sf), px.momentum_zscore(prices(spark, sf)))
+    p = stored_prices(spark, sf)
+    return dg.composite_score(betas(spark, sf, p), px.momentum_zscore(p))
 
 
 @query("digest_composite", f"""WITH {DIGEST} SELECT symbol, round(beta, 6) AS beta, round(momentum_zscore, 6) AS momentum_zscore,
@@ -268,8 +272,8 @@ def top_signals(spark, sf):
 
 @query("multivariate_outliers")
 def outliers(spark, sf):
-    feats = betas(spark, sf).select("symbol", "beta").join(
-        px.momentum_zscore(prices(spark, sf)).select("symbol", "momentum_zscore", "as_of_date"), "symbol")
-    vr = px.variance_ratio(prices(spark, sf)).select("symbol", F.col("variance_ratio").alias("notional_zscore"))
+    p = stored_prices(spark, sf)
+    feats = betas(spark, sf, p).select("symbol", "beta").join(px.momentum_zscore(p).select("symbol", "momentum_zscore", "as_of_date"), "symbol")
+    vr = px.variance_ratio(p).select("symbol", F.col("variance_ratio").alias("notional_zscore"))
     feats = feats.join(vr, "symbol", "left").withColumn("change_pct_points", F.lit(None).cast("double"))
     return multivariate_outliers(feats)

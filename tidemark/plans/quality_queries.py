@@ -63,7 +63,7 @@ def report(spark, sf):
     mv = monthly_vintages(spark, sf)
     revs = ql.detect_revisions(mv, ["view", "o_custkey"], ["o_orderstatus"], ("knowledge_date", "_vintage_id")).groupBy("view").agg(F.count(F.lit(1)).alias("n_revised"))
     fresh = ql.fetch_freshness(table(spark, sf, "orders").select(
-        F.lit("orders").alias("source"), F.lower(F.substring("o_orderpriority", 3, 20)).alias("dataset"), F.col("o_orderdate").alias("fetched_at_utc"), F.lit(10).alias("bytes"))
+        F.regexp_replace(F.concat(F.lit("orders"), "o_orderstatus"), "[A-Z]$", "").alias("source"), F.lower(F.substring("o_orderpriority", 3, 20)).alias("dataset"), F.col("o_orderdate").alias("fetched_at_utc"), F.lit(10).alias("bytes"))
         .where("dataset <> 'low'"), F.lit("2001-08-02 12:00:00").cast("timestamp_ntz"))
     keys = spark.createDataFrame([("orders_urgent", "o_custkey")], "view string, natural_key string")
     return ql.quality_report(ql.volume_trend(mv, "run", ["view"]), revs, fresh, keys)

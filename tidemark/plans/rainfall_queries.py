@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.operators import monsoon as mo
-from tidemark.plans.bindings import rainfall, rainfall_sql, table
+from tidemark.plans.bindings import rainfall, rainfall_sql, stored_rainfall, table
 from tidemark.plans.registry import query
 
 MAIN, OTHER = rainfall_sql("p", "l_returnflag = 'N'"), rainfall_sql("s", "l_returnflag <> 'N'")
@@ -38,7 +38,7 @@ BIAS = f"""bi AS (SELECT a.region, a.year, a.cumulative_mm AS a, b.cumulative_mm
 
 @query("instrument_bias", f"WITH {MAIN}, {OTHER}, {_sums('ps', 'p')}, {_sums('sss', 's')}, {BIAS} SELECT * FROM bias")
 def instrument_bias(spark, sf):
-    return mo.instrument_bias(mo.season_sums(rainfall(spark, sf, False)), mo.season_sums(rainfall(spark, sf, True)), YEARS)
+    return mo.instrument_bias(mo.season_sums(stored_rainfall(spark, sf, False)), mo.season_sums(stored_rainfall(spark, sf, True)), YEARS)
 
 
 @query("season_departure", f"""WITH {MAIN}, {OTHER}, lt AS (SELECT max(date) AS d FROM (SELECT date FROM p UNION ALL SELECT date FROM s) WHERE month(date) BETWEEN 6 AND 9),
@@ -47,7 +47,7 @@ def instrument_bias(spark, sf):
   round_even((o.cumulative_mm - normal_mm) / normal_mm * 100, 1) AS departure_pct, round_even((o.cumulative_mm - normal_mm) / normal_sd, 2) AS sigma, 'imd' AS basis,
   1.0::DOUBLE AS cpc_imd_ratio, o.days AS days_observed, climatology FROM nm, lt JOIN ps o ON o.year = year(d) WHERE o.region = nm.region""")
 def season_departure(spark, sf):
-    return mo.departure(rainfall(spark, sf, True), rainfall(spark, sf, False), YEARS, climatology=(1995, 1999))
+    return mo.departure(stored_rainfall(spark, sf, True), stored_rainfall(spark, sf, False), YEARS, climatology=(1995, 1999))
 
 
 CORRECTED = f"""WITH {rainfall_sql('p', "l_returnflag = 'N' AND l_shipdate < DATE '2001-01-01'")}, {OTHER},
@@ -61,8 +61,8 @@ CORRECTED = f"""WITH {rainfall_sql('p', "l_returnflag = 'N' AND l_shipdate < DAT
 
 @query("season_departure_corrected", CORRECTED)
 def season_departure_corrected(spark, sf):
-    p = rainfall(spark, sf, True).where("date < DATE '2001-01-01'")
-    return mo.departure(p, rainfall(spark, sf, False), YEARS, climatology=(1995, 1999)).select(
+    p = stored_rainfall(spark, sf, True).where("date < DATE '2001-01-01'")
+    return mo.departure(p, stored_rainfall(spark, sf, False), YEARS, climatology=(1995, 1999)).select(
         "season_year", "region", "observed_mm", "normal_mm", "departure_pct", "basis", "cpc_imd_ratio", "days_observed")
 
 

@@ -12,7 +12,7 @@ from tidemark.operators import supply_chain as sc
 from tidemark.operators.insider import cluster_buys
 from tidemark.operators import prices as px
 from tidemark.operators import monsoon as mo
-from tidemark.plans.bindings import (INDUSTRIES, PRICES, RETURNS, SUBSTITUTES, UNIVERSE, events, industries, insider_buys, prices, rainfall, table, transits)
+from tidemark.plans.bindings import (INDUSTRIES, PRICES, RETURNS, SUBSTITUTES, UNIVERSE, events, industries, insider_buys, prices, stored_prices, stored_rainfall, table, transits)
 from tidemark.plans.cross_asset_queries import CURVE, curve
 from tidemark.plans.events_queries import CLUSTERS, DIVERGENCE, METRICS, two_sources
 from tidemark.plans.facts_queries import LINES, PAYTSR, SFACTS, _canon_sql, _label_sql, ITEM, pay, statement_rows
@@ -45,7 +45,7 @@ def price_history(spark, sf):
   UNION ALL SELECT symbol, 'Low volatility', round(low_vol_score, 6), 'realized_vol', as_of_date FROM lowvol""")
 def signal_stack(spark, sf):
     known = lambda df: df.withColumn("knowledge_date", F.col("as_of_date")).withColumn("_vintage_id", F.lit(1))
-    tables = {"derived_factor_model": known(factors(spark, sf)), "derived_low_vol_factor": known(px.low_vol_factor(prices(spark, sf)))}
+    tables = {"derived_factor_model": known(factors(spark, sf)), "derived_low_vol_factor": known(px.low_vol_factor(stored_prices(spark, sf)))}
     return rm.signal_stack(tables).withColumn("value", F.round("value", 6)).drop("context_value")
 
 
@@ -158,8 +158,8 @@ def transit_series(spark, sf):
   SELECT nm.region, round_even((o.cumulative_mm - normal_mm) / normal_mm * 100, 1) AS departure_pct, 'imd' AS basis, g.cumulative_mm, g.coverage_pct
   FROM nm, lt JOIN ps o ON o.year = year(d) JOIN prog g ON g.region = o.region WHERE o.region = nm.region""")
 def monsoon_board(spark, sf):
-    s = rainfall(spark, sf, False)
-    dep = mo.departure(rainfall(spark, sf, True), s, YEARS, climatology=(1995, 1999)).select("region", "departure_pct", "basis")
+    s = stored_rainfall(spark, sf, False)
+    dep = mo.departure(stored_rainfall(spark, sf, True), s, YEARS, climatology=(1995, 1999)).select("region", "departure_pct", "basis")
     return dep.join(mo.progress(s).select("region", "cumulative_mm", "coverage_pct"), "region", "left")
 
 

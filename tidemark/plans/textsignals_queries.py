@@ -66,7 +66,7 @@ def strip_sponsors(spark, sf):
 SIZE, OVERLAP = 1200, 150
 
 
-@query("text_chunks", rf"""WITH RECURSIVE d AS (SELECT doc_id, text, length(text) AS n FROM documents),
+CHUNKS = rf"""WITH RECURSIVE d AS (SELECT doc_id, text, length(text) AS n FROM documents),
   w AS (SELECT doc_id, text, n, 0 AS i, 0 AS s, CASE WHEN n <= {SIZE} THEN n ELSE NULL END AS e FROM d WHERE n <= {SIZE}
     UNION ALL SELECT doc_id, text, n, 0, 0, NULL FROM d WHERE n > {SIZE}),
   c AS (SELECT doc_id, text, n, i, s, least(s + {SIZE}, n) AS e0 FROM w
@@ -79,8 +79,11 @@ SIZE, OVERLAP = 1200, 150
   f AS (SELECT doc_id, i, s, n, text, CASE WHEN e0 >= n THEN e0 ELSE e0 - 400 + CASE
           WHEN contains(win, chr(10) || '[') THEN 400 - instr(reverse(win), '[' || chr(10)) + 1
           WHEN contains(win, '. ') THEN 400 - instr(reverse(win), ' .') + 1
-          WHEN contains(win, ' ') THEN 400 - instr(reverse(win), ' ') + 1 ELSE 400 END END AS cut FROM (SELECT *, substr(text, e0 - 399, 400) AS win FROM c))
-  SELECT doc_id, count(*) AS chunks, CAST(sum(cut - s) AS BIGINT) AS covered FROM f GROUP BY doc_id""")
+          WHEN contains(win, ' ') THEN 400 - instr(reverse(win), ' ') + 1 ELSE 400 END END AS cut FROM (SELECT *, substr(text, e0 - 399, 400) AS win FROM c)),
+  cu AS (SELECT doc_id, i, s, cut, CASE WHEN n <= {SIZE} THEN text ELSE regexp_replace(substr(text, s + 1, cut - s), '^\s+|\s+$', '', 'g') END AS chunk FROM f)"""
+
+
+@query("text_chunks", f"{CHUNKS} SELECT doc_id, count(*) AS chunks, CAST(sum(cut - s) AS BIGINT) AS covered FROM cu GROUP BY doc_id")
 def text_chunks(spark, sf):
     d = table(spark, sf, "documents")
 
@@ -95,7 +98,7 @@ def text_chunks(spark, sf):
     return b.groupBy("doc_id").agg(F.count(F.lit(1)).alias("chunks"), F.sum(F.col("e") - F.col("s")).alias("covered"))
 
 
-@query("text_chunk_rows")
+@query("text_chunk_rows", f"""{CHUNKS} SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS INTEGER) AS chunk_no, chunk FROM cu WHERE chunk <> ''""")
 def text_chunk_rows(spark, sf):
     return ts.chunks(table(spark, sf, "documents"), "doc_id", "text", SIZE, OVERLAP)
 
@@ -151,12 +154,12 @@ def current_items(spark, sf):
 
 
 @query("video_board", f"""WITH {VIDEOS}, {ITEMS}, v AS (SELECT * FROM vd WHERE status = 'analyzed' ORDER BY published DESC, video_id LIMIT 40)
-  SELECT v.video_id, title, 'sum ' || v.video_id AS summary, i.rk AS item_rank, i.type, i.headline, i.confidence FROM v LEFT JOIN
-    (SELECT *, CAST(row_number() OVER (PARTITION BY video_id ORDER BY confidence DESC, t_start, headline) AS INTEGER) AS rk FROM it WHERE confidence >= 0.2) i ON i.video_id = v.video_id""")
+  SELECT v.video_id, title, 'sum ' || v.video_id AS summary, i.type, i.headline, i.confidence, i.t_start FROM v LEFT JOIN
+    (SELECT * FROM it WHERE confidence >= 0.2) i ON i.video_id = v.video_id""")
 def video_board(spark, sf):
     v = videos(spark, sf)
     s = v.select("video_id", F.concat(F.lit("sum "), F.col("video_id").cast("string")).alias("summary"))
-    return ts.board(v, s, items(spark, sf), 40, 0.2).select("video_id", "title", "summary", "item_rank", "type", "headline", "confidence")
+    return ts.board(v, s, items(spark, sf), 40, 0.2).select("video_id", "title", "summary", "type", "headline", "confidence", "t_start")
 
 
 @query("item_search", f"WITH {VIDEOS}, {ITEMS} SELECT video_id, t_start, channel_name, published FROM it JOIN vd USING (video_id) WHERE contains(lower(body), 'tion') ORDER BY published DESC, video_id, t_start LIMIT 50")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -12,6 +12,7 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -50,3 +51,16 @@ def shared_folder(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", made)
     spark.sparkContext.setCheckpointDir(made)
     return made
+
+
+def materialise(df: DataFrame) -> DataFrame:
+    """``df`` computed once into the shared folder, for a small result read several times.
+
+    A reliable checkpoint: it survives the loss of executors, and later steps read it
+    instead of going back to the raw rows.
+    """
+    spark = df.sparkSession
+    folder = shared_folder(spark)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(folder)
+    return df.checkpoint(eager=True)
