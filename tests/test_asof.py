@@ -97,3 +97,11 @@ def test_declared_schema_fills_missing_columns(spark, tmp_path):
     schema = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.StringType())])
     row = wh.read_table(spark, str(tmp_path), "s", "d", schema).first()
     assert row.a == 1 and row.b is None and row._vintage_id
+
+
+def test_hot_key_is_cut_before_the_shuffle(spark):
+    t = table(spark, [("HOT", "2026-08-20", float(i), "2026-08-22", f"{i:06d}") for i in range(3000)] + [("B", "2026-08-20", 1.0, "2026-08-22", "1")])
+    out = collapse(t, KEY)
+    assert closes(out) == [("B", 1.0), ("HOT", 2999.0)]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "Partial" in plan

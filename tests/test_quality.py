@@ -1,7 +1,6 @@
 from datetime import datetime
 
 import pytest
-from pyspark.sql import functions as F
 
 from tidemark.operators import lineage as ln
 from tidemark.operators import quality as q
@@ -75,4 +74,3 @@ def test_repeated_view_is_not_opened_again(spark):
 def test_raw_links_fall_back_to_the_name(spark):
     r = {(x.view, x.raw_dataset) for x in ln.raw_links(spark, ["noaa_oni", "derived_x"]).collect()}
     assert ("noaa_oni", "noaa/oni") in r and ("sec_13d_filings", "sec/13d") in r and not any(v == "derived_x" for v, _ in r)
-    assert F is not None

@@ -59,6 +59,11 @@ def bannered_csv(source: DataFrame, header: Sequence[str], trade_date: str, sep:
     return csv_rows(source, header, sep).withColumn("trade_date", F.lit(trade_date).cast("date"))
 
 
+def tsv(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Headered tab-separated members of a bulk file, every column as text."""
+    return spark.read.csv(path, sep="\t", header=True, inferSchema=False)
+
+
 def json_records(docs: DataFrame, schema: str, at: str | None = None) -> DataFrame:
     """Rows of JSON documents that are an array, or hold one under the key ``at``."""
     ddl = f"array<struct<{schema}>>"

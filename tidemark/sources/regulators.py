@@ -10,10 +10,17 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalar import blank_to_null, no_commas, to_double
+from tidemark.functions.scalar import blank_to_null, lookup, no_commas, to_double
 
 XML = {"ignoreNamespace": "true", "mode": "PERMISSIVE"}
 
+# Rules a passive schedule is filed under.
+FILING_RULES = {
+    "Rule 13d-1(b)": "qualified institutional investor",
+    "Rule 13d-1(c)": "passive investor",
+    "Rule 13d-1(d)": "exempt",
+}
+
 
 def filing_index(lines: DataFrame) -> DataFrame:
     """Pipe-delimited index lines with a numeric company id; everything else is preamble."""
@@ -72,7 +79,7 @@ PASSIVE = f"""struct<headerData: struct<submissionType: string>, formData: struc
     reportingPersonBeneficiallyOwnedNumberOfShares: struct<{SHARES}>,
     reportingPersonBeneficiallyOwnedAggregateNumberOfShares: string, classPercent: string,
     aggregateAmountExcludesCertainSharesFlag: string, typeOfReportingPerson: array<string>>>,
-  items: struct<item4: string, item10: string>>>"""
+  items: struct<item1: string, item2: string, item4: string, item10: string>>>"""
 ACTIVE = f"""struct<headerData: struct<submissionType: string, previousAccessionNumber: string>, formData: struct<
   coverPageHeader: struct<amendmentNo: string, dateOfEvent: string, securitiesClassTitle: string,
     issuerInfo: struct<issuerCik: string, issuerName: string, issuerCusip: string>>,
@@ -95,11 +102,13 @@ def _squeeze(c):
 def passive_filings(docs: DataFrame) -> DataFrame:
     """One row per passive schedule. ``docs``: path, accn, content."""
     x = _ownership(docs, PASSIVE)
+    rule = F.get(F.col("_x.formData.coverPageHeader.designateRulesPursuantThisScheduleFiled.designateRulePursuantThisScheduleFiled"), F.lit(0))
     cover, issuer = "_x.formData.coverPageHeader", "_x.formData.coverPageHeader.issuerInfo"
     return x.select("path", "accn", F.col("_x.headerData.submissionType").alias("form"), F.col(f"{cover}.eventDateRequiresFilingThisStatement").alias("event_date"),
                     F.col(f"{cover}.securitiesClassTitle").alias("security_class"), F.col(f"{issuer}.issuerCik").alias("issuer_cik"),
                     _squeeze(F.col(f"{issuer}.issuerName")).alias("issuer_name"), F.col(f"{issuer}.issuerCusip").alias("issuer_cusip"),
-                    F.get(F.col(f"{cover}.designateRulesPursuantThisScheduleFiled.designateRulePursuantThisScheduleFiled"), F.lit(0)).alias("filing_rule"),
+                    rule.alias("filing_rule"), lookup(FILING_RULES, rule).alias("filing_rule_desc"),
+                    _squeeze(F.col("_x.formData.items.item1")).alias("item1_issuer"), _squeeze(F.col("_x.formData.items.item2")).alias("item2_identity"),
                     _squeeze(F.col("_x.formData.items.item4")).alias("item4_ownership"), _squeeze(F.col("_x.formData.items.item10")).alias("item10_certification"))
 
 
