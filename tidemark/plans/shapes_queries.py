@@ -20,6 +20,11 @@ from tidemark.sources import world as wo
 S = lambda c: F.col(c).cast("string")
 
 
+def spread(df):
+    """The driver's tables are one small file each; documents are parsed by all cores."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def with_extra(lines, *extra):
     """Lines with header or banner lines added, as each file carries them."""
     spark = lines.sparkSession
@@ -140,7 +145,7 @@ def shape_company_facts(spark, sf):
     assets = F.struct(F.lit("Assets").alias("label"), F.create_map(F.lit("USD"), F.array(point("a", F.col("o_totalprice"), 30), point("b", F.col("o_totalprice") / 2, 60, F.date_sub(end, 90)))).alias("units"))
     pay = F.struct(F.lit("Pay").alias("label"), F.create_map(F.lit("shares"), F.array(point("c", F.col("o_custkey"), 30))).alias("units"))
     facts = F.create_map(F.lit("us-gaap"), F.create_map(F.lit("Assets"), assets), F.lit("ecd"), F.create_map(F.lit("Pay"), pay))
-    d = doc(o, F.to_json(F.struct(F.lpad(S("o_custkey"), 10, "0").alias("cik"), F.concat(F.lit("E"), S("o_custkey")).alias("entityName"), facts.alias("facts"))))
+    d = doc(spread(o), F.to_json(F.struct(F.lpad(S("o_custkey"), 10, "0").alias("cik"), F.concat(F.lit("E"), S("o_custkey")).alias("entityName"), facts.alias("facts"))))
     return rg.company_facts(d).select("cik", "entity", "taxonomy", "concept", "unit", "start", "end", "value", "filed", "accn")
 
 
@@ -305,7 +310,7 @@ def shape_information_table(spark, sf):
     row = lambda ns, cusip, val, sh: xml(f"<{ns}infoTable><{ns}cusip>{cusip}</{ns}cusip><{ns}value>", val, f"</{ns}value><{ns}shrsOrPrnAmt><{ns}sshPrnamt>{sh}</{ns}sshPrnamt></{ns}shrsOrPrnAmt></{ns}infoTable>")
     plain = xml("<informationTable>", row("", "x", S("o_totalprice"), 1000), row("", "y", F.lit("5"), 10), "</informationTable>")
     spaced = xml("<n:informationTable xmlns:n=\"http://t\">", row("n:", "x", S("o_totalprice"), 1000), row("n:", "y", F.lit("5"), 10), "</n:informationTable>")
-    d = o.select(F.lit("f").alias("path"), F.col("o_custkey").alias("cik"), F.col("o_orderkey").alias("accn"), F.when(F.col("o_orderkey") % 2 == 0, plain).otherwise(spaced).alias("content"))
+    d = spread(o).select(F.lit("f").alias("path"), F.col("o_custkey").alias("cik"), F.col("o_orderkey").alias("accn"), F.when(F.col("o_orderkey") % 2 == 0, plain).otherwise(spaced).alias("content"))
     return scaled_holdings(rg.information_table(d)).select("cik", "accn", "cusip", "value_reported", "shares_or_principal", "value_scale")
 
 
@@ -337,8 +342,7 @@ def shape_instance_facts(spark, sf):
            "<f:DateOfStartOfReportingPeriod contextRef=\"D\">2024-04-01</f:DateOfStartOfReportingPeriod><f:DateOfEndOfReportingPeriod contextRef=\"D\">2024-12-31</f:DateOfEndOfReportingPeriod>")
     num = lambda n, c: xml(f"<f:{n} contextRef=\"{c}\" unitRef=\"U\" decimals=\"2\">", S("o_totalprice"), f"</f:{n}>")
     body = xml("<xbrli:xbrl xmlns:xbrli=\"http://i\" xmlns:f=\"http://f\">", ctx, num("Revenue", "D"), num("Assets", "I"), "<f:Name contextRef=\"D\">Co</f:Name>", num("Segment", "X"), "</xbrli:xbrl>")
-    docs = o.repartition(spark.sparkContext.defaultParallelism)      # one small input file would parse in one task
-    facts = rg.reported_period(rg.instance_facts(docs.select(F.concat(F.lit("u"), S("o_orderkey")).alias("path"), body.alias("content"))))
+    facts = rg.reported_period(rg.instance_facts(spread(o).select(F.concat(F.lit("u"), S("o_orderkey")).alias("path"), body.alias("content"))))
     return facts.where("concept NOT LIKE 'DateOf%'").select("source_url", "concept", "context_id", "period_start", "period_end", "instant", "has_dimensions", "unit", "value")
 
 
