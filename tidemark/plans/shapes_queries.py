@@ -396,7 +396,7 @@ def table_cells(spark, sf):
     row = lambda r, *v: [F.struct(F.lit(r).alias("r"), F.lit(i).alias("c"), (x if not isinstance(x, str) else F.lit(x)).alias("text")) for i, x in enumerate(v)]
     cells = F.array(*row(0, "Item", "2025", "2025"), *row(1, "", "Jul. 25", "Aug. 25"), *row(2, "1", "1", "2"), *row(3, "(Per cent)", "(Per cent)", "(Per cent)"),
                     *row(4, "Amount  due", F.format_number("o_totalprice", 2), "-"), *row(5, "Cash ratio", F.concat(F.lit("("), S("o_custkey"), F.lit(")")), S("o_custkey")), *row(6, "Note", "Note", "Note"))
-    return o.select(F.col("o_orderkey").cast("string").alias("doc"), F.lit(0).alias("table_no"), F.inline(cells))
+    return spread(o).select(F.col("o_orderkey").cast("string").alias("doc"), F.lit(0).alias("table_no"), F.inline(cells))
 
 
 TIDY = """td AS (SELECT CAST(o_orderkey AS VARCHAR) AS doc, 0 AS table_no, 'Amount due' AS row_label, '2025 / Jul. 25' AS series, o_totalprice AS value_num, o_custkey FROM orders
