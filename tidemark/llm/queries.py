@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
 
-from tidemark.llm import sentence_pieces
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from tidemark.llm import language_id, sentence_pieces, simhash, token_files
 from tidemark.llm.common import read
 from tidemark.plans.registry import Query
+from tidemark.session import shared_folder
 
 QUERIES: dict[str, Query] = {}
 CHECKS: dict[str, str] = {}
@@ -32,3 +35,24 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = tokenizer("piece_bpe_32k.model")
     ids = sentence_pieces.encode(read(spark, sf_dir, "documents").select("doc_id", "text"), model).select("doc_id", "ids")
     return sentence_pieces.digests(sentence_pieces.decode(ids, model))
+
+
+@query("op6_token_files")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_folder(spark)}/llm/tokens-{uuid.uuid4().hex}"
+    token_files.write(read(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), path, end=1)
+    return token_files.read_documents(spark, path)
+
+
+@query("op8_language_id")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = language_id.trained(docs.where(~language_id.held_out()))
+    return (language_id.identify(docs.select("doc_id", "text"), model)
+            .select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", F.col("lang_score").alias("score")))
+
+
+@query("op3_simhash_groups")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = simhash.components(read(spark, sf_dir, "documents"))
+    return groups.select("doc_id", F.lower(F.lpad(F.hex("simhash"), 16, "0")).alias("fingerprint"), "component_id")
