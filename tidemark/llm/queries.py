@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import language_id, sentence_pieces, simhash, token_files
+from tidemark.llm import chunk_dedup, cuts, decontamination, language_id, sentence_pieces, simhash, token_files
 from tidemark.llm.common import read
 from tidemark.plans.registry import Query
 from tidemark.session import shared_folder
@@ -56,3 +56,15 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.components(read(spark, sf_dir, "documents"))
     return groups.select("doc_id", F.lower(F.lpad(F.hex("simhash"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query("op1_decontamination")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    leaks = decontamination.with_leaks(docs, read(spark, sf_dir, "benchmark"))
+    return leaks.select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
+
+
+@query("op10_chunk_dedup")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cuts.digests(chunk_dedup.without_repeats(read(spark, sf_dir, "documents").select("doc_id", "text")))
