@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import chunk_dedup, cuts, decontamination, language_id, sentence_pieces, simhash, token_files
+from tidemark.llm import chunk_dedup, cuts, decontamination, language_id, licenses, sentence_pieces, simhash, token_files
 from tidemark.llm.common import read
 from tidemark.plans.registry import Query
 from tidemark.session import shared_folder
@@ -68,3 +68,8 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_chunk_dedup")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cuts.digests(chunk_dedup.without_repeats(read(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+@query("op2_license_scan", licenses.check_sql())
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "sentence_ids", "licenses")
