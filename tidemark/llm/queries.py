@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import chunk_dedup, cuts, decontamination, language_id, licenses, sentence_pieces, simhash, token_files
+from tidemark.llm import chunk_dedup, cuts, decontamination, embedding_dedup, katz, language_id, licenses, sentence_pieces, simhash, token_files
 from tidemark.llm.common import read
 from tidemark.plans.registry import Query
 from tidemark.session import shared_folder
@@ -73,3 +73,14 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_license_scan", licenses.check_sql())
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(read(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "sentence_ids", "licenses")
+
+
+@query("op7_embedding_groups")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.groups(read(spark, sf_dir, "embeddings"))
+
+
+@query("op5_katz_scores")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return katz.scores(docs, F.crc32(F.col("doc_id").cast("string")) % 7 == 2)
