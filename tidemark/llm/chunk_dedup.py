@@ -145,7 +145,4 @@ def spans(df: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
 
 def without_repeats(df: DataFrame, doc: str = "doc_id", text: str = "text", shortest: int = SHORTEST) -> DataFrame:
     """``df`` with kept (binary), n_bytes, n_removed and n_spans: runs of repeated chunks are cut out."""
-    found = spans(df, doc, text).withColumnRenamed("doc", "_doc").withColumnRenamed("text_key", "_key")
-    keyed = df.withColumns({"_id": F.coalesce(F.col(doc).cast("long"), F.lit(NO_ID)), "_text": F.xxhash64(text)})
-    joined = keyed.join(found, (keyed["_id"] == found["_doc"]) & (keyed["_text"] == found["_key"]), "left")
-    return cuts.cut(joined.select(*[keyed[f"`{x}`"] for x in df.columns], "spans"), "spans", text, shortest)
+    return cuts.cut_found(df, spans(df, doc, text), doc, text, shortest)

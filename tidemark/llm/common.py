@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import itertools
 from collections.abc import Iterator
 import uuid
@@ -33,11 +34,20 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once as Parquet to the folder named in ``spark.checkpoint.dir``, and read again.
 
-    A written table outlives lost executors and cuts the lineage of what follows.
+    A written table outlives lost executors and cuts the lineage of what follows. The shuffle files behind it are
+    then needed no more; Spark removes them once the driver has dropped their plans, which a collection brings about.
     """
     path = f"{shared_folder(df.sparkSession)}/llm/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    schema, spark = df.schema, df.sparkSession
+    release(spark)
+    return spark.read.schema(schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Lets Spark's cleaner remove shuffle files and broadcasts that nothing refers to."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def text_array(column: pa.Array) -> pa.Array:

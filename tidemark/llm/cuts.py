@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -64,9 +62,13 @@ def cut(df: DataFrame, spans: str = "spans", text: str = "text", shortest: int =
     return rows.mapInArrow(run, schema)
 
 
-def digests(df: DataFrame) -> DataFrame:
-    return df.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+def cut_found(df: DataFrame, found: DataFrame, doc: str, text: str, shortest: int = 1) -> DataFrame:
+    """``df`` cut by the spans of (doc, text_key, spans): rows are told apart by id and the hash of their text."""
+    found = found.select(F.col("doc").alias("_doc"), F.col("text_key").alias("_key"), "spans")
+    keyed = df.withColumns({"_id": F.coalesce(F.col(doc).cast("long"), F.lit((1 << 63) - 1)), "_text": F.xxhash64(text)})
+    joined = keyed.join(found, (keyed["_id"] == found["_doc"]) & (keyed["_text"] == found["_key"]), "left")
+    return cut(joined.select(*[keyed[f"`{x}`"] for x in df.columns], found["spans"].alias("_spans")), "_spans", text, shortest)
 
 
-def sha256(data: bytes) -> str:
-    return hashlib.sha256(data).hexdigest()
+def digests(df: DataFrame) -> DataFrame:
+    return df.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))

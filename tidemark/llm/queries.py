@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import chunk_dedup, cuts, decontamination, embedding_dedup, katz, language_id, licenses, sentence_pieces, simhash, token_files
+from tidemark.llm import chunk_dedup, cuts, decontamination, embedding_dedup, katz, language_id, licenses, sentence_pieces, simhash, suffix_dedup, token_files
 from tidemark.llm.common import read
 from tidemark.plans.registry import Query
 from tidemark.session import shared_folder
@@ -84,3 +84,8 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return katz.scores(docs, F.crc32(F.col("doc_id").cast("string")) % 7 == 2)
+
+
+@query("op9_suffix_dedup")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cuts.digests(suffix_dedup.without_repeats(read(spark, sf_dir, "documents").select("doc_id", "text")))

@@ -13,6 +13,9 @@ Null texts have no ids but the end id. Rows without a document id sort first and
 
 from __future__ import annotations
 
+import itertools
+import os
+import re
 import zlib
 
 import numpy as np
@@ -24,7 +27,7 @@ from tidemark.llm import common as c
 
 STEP = 256
 SEGMENT_IDS = 1 << 21
-KNOWN = 400_000
+KNOWN = 800_000
 
 
 class EliasFano:
@@ -78,46 +81,105 @@ class EliasFano:
         return ((ones - np.arange(self.n)) << self.low_bits) + low
 
 
+class Numbered(dict):
+    """Numbers keys as they are first asked for; ``taken`` gives the new ones since the last call."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.new: list[bytes] = []
+
+    def __missing__(self, key: bytes) -> int:
+        self[key] = number = len(self)
+        self.new.append(key)
+        return number
+
+    def taken(self) -> list[bytes]:
+        new, self.new = self.new, []
+        return new
+
+
 class WordEncoder:
     """Ids by the tokenizers library, each distinct run between ASCII white space encoded once.
 
-    The tokenizer drops white space and merges nothing across it, so a text's ids are those of its runs in a row.
+    The tokenizer drops white space, merges nothing across it, and parts letters from marks. So a text's ids are those of its
+    runs in a row, and a run of Latin letters with ASCII marks behind (no apostrophe) is its letters, in either case, and its marks.
+    Such words go to the library many at a time: the last id of each is one that ends a word.
     """
 
+    PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]*)")
+
     def __init__(self, path: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallelism
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.joint = all(self.ends[self.ids(w)].sum() == 1 and self.ends[self.ids(w)[-1]] for w in ("a", "zqéxk", "ÿj"))
         self.clear()
 
     def clear(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.flat, self.at, self.count = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.known = Numbered()
+        self.parts: dict[str, int] = {"": 0}
+        self.flat, self.at, self.count = np.zeros(0, np.uint32), np.zeros(1, np.int64), np.zeros(1, np.int64)
+        self.pairs = np.zeros((0, 2), np.int64)  # the parts of each known run
+
+    def ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
+    def add(self, words: list[str], ids: list[list[int]] | list[int], counts: list[int]) -> None:
+        count = np.array(counts, np.int64)
+        self.at = np.concatenate([self.at, len(self.flat) + np.cumsum(count) - count])
+        self.flat = np.concatenate([self.flat, np.array(ids, np.uint32)])
+        self.count = np.concatenate([self.count, count])
+        self.parts.update(zip(words, range(len(self.parts), len(self.parts) + len(words))))
+
+    def learn(self, cores: list[str], others: list[str]) -> None:
+        """Ids of new words of letters, many at a time, and of other texts one by one."""
+        ids: list[int] = []
+        counts: list[int] = []
+        good: list[str] = []
+        others = list(others)
+        for k in range(0, len(cores), 2000):
+            some = cores[k:k + 2000]
+            joint = self.ids(" ".join(some))
+            cuts = np.flatnonzero(self.ends[joint]) + 1
+            if self.joint and len(cuts) == len(some):
+                ids += joint
+                counts += np.diff(cuts, prepend=0).tolist()
+                good += some
+            else:
+                others += some
+        for text in others:
+            own = self.ids(text)
+            ids += own
+            counts.append(len(own))
+        self.add(good + others, ids, counts)
 
     def __call__(self, texts: list[str | None], end: int | None) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.known) > KNOWN:
+            self.clear()
         runs: list[bytes] = []
         sizes = []
         for text in texts:
             found = (text or "").encode().split()
             sizes.append(len(found))
             runs += found
-        index = [self.known.get(r, -1) for r in runs]
-        new = list(dict.fromkeys(r for r, i in zip(runs, index) if i < 0))
-        if new:
-            if len(self.known) + len(new) > KNOWN:
-                self.clear()
-                new = list(dict.fromkeys(runs))
-            ids = [e.ids for e in self.tokenizer.encode_batch_fast([r.decode() for r in new], add_special_tokens=False)]
-            count = np.array([len(x) for x in ids], np.int64)
-            self.at = np.concatenate([self.at, len(self.flat) + np.cumsum(count) - count])
-            self.count = np.concatenate([self.count, count])
-            self.flat = np.concatenate([self.flat, np.array([x for i in ids for x in i], np.uint32)])
-            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
-            index = [self.known[r] for r in runs]
-        index = np.array(index, np.int64)
-        width = self.count[index]
-        values = self.flat[c.ranges(self.at[index], width)]
-        ends = np.concatenate([[0], np.cumsum(width)])[np.cumsum(sizes)] if sizes else np.zeros(0, np.int64)
+        index = np.fromiter(map(self.known.__getitem__, runs), np.int64, len(runs))
+        if new := self.known.taken():
+            plain = [self.PLAIN.fullmatch(r.decode()) for r in new]
+            split = [(m[1].lower(), m[2]) if m else (r.decode(), "") for m, r in zip(plain, new)]
+            parts = self.parts
+            cores = dict.fromkeys(a for (a, _), m in zip(split, plain) if m and a not in parts)
+            others = dict.fromkeys([a for (a, _), m in zip(split, plain) if not m and a not in parts] + [b for _, b in split if b not in parts])
+            if cores or others:
+                self.learn(list(cores), list(others))
+            self.pairs = np.concatenate([self.pairs, np.array([(parts[a], parts[b]) for a, b in split], np.int64)])
+        pieces = self.pairs[index].ravel()
+        width = self.count[pieces]
+        values = self.flat[c.ranges(self.at[pieces], width)]
+        ends = np.concatenate([[0], np.cumsum(width)])[2 * np.cumsum(sizes)] if sizes else np.zeros(0, np.int64)
         if end is not None:
             values = np.insert(values, ends, end)
             ends = ends + np.arange(1, len(ends) + 1)
