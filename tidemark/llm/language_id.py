@@ -30,7 +30,7 @@ FAMILIES = {
 FAMILY = {lang: family for family, langs in FAMILIES.items() for lang in langs}
 
 SIZE = 4096
-PER_LANGUAGE = 1500
+PER_LANGUAGE = 1000
 SEPARATOR = np.uint8(32)
 FOLD = np.where(c.ALNUM & ~((np.arange(256) >= 48) & (np.arange(256) < 58)), c.LOWER, SEPARATOR).astype(np.uint8)
 
@@ -121,9 +121,12 @@ def trained(labelled: DataFrame, text: str = "text", lang: str = "lang", key: st
             per_language: int = PER_LANGUAGE) -> Model:
     """Model fitted on at most ``per_language`` texts of each language; rows without text or language don't count."""
     rank = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    sample = (labelled.select(F.col(key).alias("doc_id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
-              .where("lang is not null and text is not null").withColumn("_rank", F.row_number().over(rank))
-              .where(F.col("_rank") <= per_language).select("lang", "text"))
+    rows = (labelled.select(F.col(key).alias("doc_id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
+            .where("lang is not null and text is not null and doc_id is not null"))
+    # only ids are ranked, and each task sends its first ones of a language; their texts are read by a second scan
+    chosen = (rows.select("doc_id", "lang").withColumn("_rank", F.row_number().over(rank))
+              .where(F.col("_rank") <= per_language).select("doc_id", "lang"))
+    sample = rows.join(chosen, ["doc_id", "lang"], "left_semi").select("lang", "text")
 
     def vectors(batches):
         for batch in batches:
@@ -134,8 +137,8 @@ def trained(labelled: DataFrame, text: str = "text", lang: str = "lang", key: st
                     [part.column(0), c.lists(where[1].astype(np.int32), (x > 0).sum(1), pa.int32()),
                      c.lists(x[where], (x > 0).sum(1), pa.float32())], ["lang", "at", "value"])
 
-    rows = sample.mapInArrow(vectors, "lang string, at array<int>, value array<float>").toArrow()
-    rows = rows.combine_chunks()
+    table = sample.mapInArrow(vectors, "lang string, at array<int>, value array<float>").toArrow()
+    rows = table.combine_chunks()
     counts = np.asarray(pc.list_value_length(rows["at"]).combine_chunks(), np.int64) if len(rows) else np.zeros(0, np.int64)
     x = np.zeros((len(rows), SIZE), np.float32)
     if len(rows):
