@@ -39,7 +39,7 @@ def test_chunks_cover_whole_texts(spark):
     for i in (1, 2, 3):
         assert all(len(c) <= 900 for c in got[i]) and texts[i].lstrip().startswith(got[i][0]) and texts[i].rstrip().endswith(got[i][-1])
         assert all(c in texts[i] for c in got[i])
-        spans = list(ts.split_points(texts[i], 900, 100))
+        spans = ts.spans(texts[i], 900, 100)
         assert spans[0][0] == 0 and spans[-1][1] == len(texts[i]) and all(b[0] <= a[1] for a, b in zip(spans, spans[1:]))
     with pytest.raises(ValueError):
         ts.chunks(df, "id", "text", 300, 10)

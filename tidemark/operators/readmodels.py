@@ -32,14 +32,18 @@ SIGNALS = (
 )
 
 
-def price_history(prices: DataFrame, delivery: DataFrame | None, symbol: str, as_of: str | date | None = None, limit: int = 2000,
+def price_history(prices: DataFrame, delivery: DataFrame | None, symbol: str, as_of: str | date | None = None, limit: int | None = None,
                   known: str = "knowledge_date", order: Sequence[str] = ("_vintage_id",)) -> DataFrame:
-    """Daily bars of one symbol with the delivered share where it is known, oldest first."""
+    """Daily bars of one symbol with the delivered share where it is known, oldest first; of the newest ``limit`` days if wanted."""
     px = collapse(prices.where(F.col("symbol") == symbol), ["symbol", "trade_date"], as_of, known=known, order=order).drop(known, *order)
     if delivery is not None:
         d = collapse(delivery.where(F.col("symbol") == symbol), ["symbol", "trade_date"], as_of, known=known, order=order)
         px = px.join(d.select("trade_date", "delivered_qty", "delivered_pct"), "trade_date", "left")
-    return px.orderBy("trade_date").limit(limit)
+    return newest(px, "trade_date", limit).orderBy("trade_date")
+
+
+def newest(df: DataFrame, date_col: str, limit: int | None) -> DataFrame:
+    return df if limit is None else df.orderBy(F.desc(date_col)).limit(limit)
 
 
 def signal_stack(tables: Mapping[str, DataFrame], symbol: str | None = None, as_of: str | date | None = None,
@@ -59,21 +63,22 @@ def signal_stack(tables: Mapping[str, DataFrame], symbol: str | None = None, as_
     return out
 
 
-def event_tape(parts: Sequence[DataFrame], limit: int = 200, ties: Sequence[str] = ("kind", "headline", "detail")) -> DataFrame:
+def event_tape(parts: Sequence[DataFrame], limit: int | None = None, ties: Sequence[str] = ("kind", "headline", "detail")) -> DataFrame:
     """One reverse-chronological stream of (ts, kind, headline, detail). ``ts`` is parsed by
     each source before the union, since the feeds write dates differently."""
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.orderBy(F.desc("ts"), *ties).limit(limit)
+    out = out.orderBy(F.desc("ts"), *ties)
+    return out if limit is None else out.limit(limit)
 
 
 def statement_for(facts: DataFrame, symbol, kind: str, as_of: str | date | None = None, document: str = "source_url", **kwargs) -> DataFrame:
     """Statement of one company from the newest scrape of each of its filings."""
     from tidemark.operators.statements import statement
 
-    newest = latest_vintage(facts.where(F.col("symbol") == symbol), [document], as_of, order=kwargs.pop("order", ("_vintage_id",)))
-    return statement(kind, newest, **kwargs)
+    scrape = latest_vintage(facts.where(F.col("symbol") == symbol), [document], as_of, order=kwargs.pop("order", ("_vintage_id",)))
+    return statement(kind, scrape, **kwargs)
 
 
 def universe_members(prices: DataFrame, constituents: DataFrame | None) -> DataFrame:
@@ -82,10 +87,11 @@ def universe_members(prices: DataFrame, constituents: DataFrame | None) -> DataF
     return u if constituents is None else u.join(constituents.select("symbol", "industry", "index_membership"), "symbol", "left")
 
 
-def watchlist_rank(factors: DataFrame, digest: DataFrame | None, limit: int = 200) -> DataFrame:
+def watchlist_rank(factors: DataFrame, digest: DataFrame | None, limit: int | None = None) -> DataFrame:
     """Strongest composite scores first, with the digest's text where there is one."""
     df = factors if digest is None else factors.join(digest, "symbol", "left")
-    return df.orderBy(F.abs("composite_score").desc(), "symbol").limit(limit)
+    df = df.orderBy(F.abs("composite_score").desc(), "symbol")
+    return df if limit is None else df.limit(limit)
 
 
 def macro_snapshot(policy: DataFrame | None, gold: DataFrame | None, chokepoints: DataFrame | None, stress: float = 2.0) -> DataFrame:
@@ -111,7 +117,7 @@ def macro_snapshot(policy: DataFrame | None, gold: DataFrame | None, chokepoints
     return out
 
 
-def participants(wide: DataFrame, client: str = "Client Type", limit: int | None = 200, books: Mapping[str, str] = BOOKS) -> DataFrame:
+def participants(wide: DataFrame, client: str = "Client Type", limit: int | None = None, books: Mapping[str, str] = BOOKS) -> DataFrame:
     """Books of each client type in long form, newest first."""
     cols = list(books)
     src = wide.select("trade_date", F.col(f"`{client}`").alias("client_type"), *[F.col(f"`{c}`").cast("double").alias(c) for c in cols])
@@ -121,7 +127,7 @@ def participants(wide: DataFrame, client: str = "Client Type", limit: int | None
     return long if limit is None else long.orderBy(F.desc("trade_date"), "client_type", "book", "side").limit(limit)
 
 
-def cash_flows(rows: DataFrame, limit: int | None = 120) -> DataFrame:
+def cash_flows(rows: DataFrame, limit: int | None = None) -> DataFrame:
     """Buy, sell and net by category and date, text cells read tolerantly, newest first."""
     out = rows.select("category", parse("date", DAY_MON_YEAR).alias("date"), to_double("buyValue").alias("buy_value"),
                       to_double("sellValue").alias("sell_value"), to_double("netValue").alias("net_value"))
@@ -146,16 +152,17 @@ def regimes(current: DataFrame, balance: DataFrame | None) -> DataFrame:
     return current.join(balance.select(F.col("corridor").alias("portname"), "substitute", "absorbed_pct", "interpretation"), "portname", "left")
 
 
-def top_breaks(breaks: DataFrame, limit: int = 40) -> DataFrame:
-    return breaks.orderBy(F.abs("change_per_day").desc(), "portname", "break_date").limit(limit)
+def top_breaks(breaks: DataFrame, limit: int | None = None) -> DataFrame:
+    out = breaks.orderBy(F.abs("change_per_day").desc(), "portname", "break_date")
+    return out if limit is None else out.limit(limit)
 
 
-def transit_series(panel: DataFrame, portname: str | None = None, limit: int = 4000) -> DataFrame:
+def transit_series(panel: DataFrame, portname: str | None = None, limit: int | None = None) -> DataFrame:
     df = panel if portname is None else panel.where(F.col("portname") == portname)
-    return df.orderBy("date", "portname").limit(limit)
+    return newest(df, "date", limit).orderBy("date", "portname")
 
 
-def rating_board(feeds: Mapping[str, DataFrame], q: str | None = None, limit: int | None = 300) -> DataFrame:
+def rating_board(feeds: Mapping[str, DataFrame], q: str | None = None, limit: int | None = None) -> DataFrame:
     """Rating actions of every agency under common column names, newest first.
 
     ``q`` is a literal, case-insensitive company substring.
@@ -180,11 +187,12 @@ def company_names(prices: DataFrame, master: DataFrame) -> DataFrame:
 
 def curve_of_day(settlements: DataFrame, day: str = "trade_date_requested", order: Column | str = "contract_order", limit: int | None = None) -> DataFrame:
     """Contracts of the newest date in curve order, aggregate rows left out."""
-    newest = settlements.agg(F.max(day).alias("m")).scalar()
-    out = settlements.where((F.col(day) == newest) & ~F.col("is_total"))
+    last = settlements.agg(F.max(day).alias("m")).scalar()
+    out = settlements.where((F.col(day) == last) & ~F.col("is_total"))
     return out if limit is None else out.orderBy(order).limit(limit)
 
 
-def board(df: DataFrame, order_by: Sequence[str | Column], limit: int, where: str | Column | None = None) -> DataFrame:
+def board(df: DataFrame, order_by: Sequence[str | Column], limit: int | None = None, where: str | Column | None = None) -> DataFrame:
     """Filtered top rows, the shape of the filing boards."""
-    return (df if where is None else df.where(where)).orderBy(*order_by).limit(limit)
+    out = (df if where is None else df.where(where)).orderBy(*order_by)
+    return out if limit is None else out.limit(limit)

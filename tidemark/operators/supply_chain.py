@@ -7,10 +7,11 @@ calendar and is the natural unit for the two steps that need a whole series at o
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalar import ratio
@@ -25,7 +26,7 @@ SUBSTITUTE_ROUTE = {
     "Strait of Hormuz": None,
     "Panama Canal": "Magellan Strait",
 }
-MIN_SEGMENT_DAYS, BREAK_T, MAX_BREAKS = 45, 8.0, 6
+MIN_SEGMENT_DAYS, BREAK_T = 45, 8.0
 HARMONICS, MIN_SEASONAL_YEARS, YEAR_DAYS = 2, 2.0, 365.25
 
 
@@ -111,49 +112,63 @@ def shift_t(total: np.ndarray, square: np.ndarray, lo: int, hi: int, split) -> n
     return np.abs(m1 - m2) / np.sqrt(v1 / n1 + v2 / n2)
 
 
-def find_breaks(resid: np.ndarray, min_segment: int, threshold: float, max_breaks: int) -> tuple[list[int], np.ndarray, np.ndarray]:
-    """Split points by binary segmentation, the earlier half searched first."""
+def find_breaks(resid: np.ndarray, min_segment: int, threshold: float) -> tuple[list[int], np.ndarray, np.ndarray]:
+    """Split points by binary segmentation: every segment is searched until none has a shift."""
     total = np.concatenate([[0.0], np.cumsum(resid)])
     square = np.concatenate([[0.0], np.cumsum(resid * resid)])
-    found: list[int] = []
-    todo = [(0, len(resid))]
-    while todo and len(found) < max_breaks:
-        lo, hi = todo.pop()
+
+    def search(lo: int, hi: int) -> int | None:
         if hi - lo < 2 * min_segment:
-            continue
+            return None
         at = np.arange(lo + min_segment, hi - min_segment + 1)
         t = shift_t(total, square, lo, hi, at)
-        best = int(np.argmax(t))
-        if t[best] < threshold:
-            continue
-        found.append(int(at[best]))
-        todo += [(int(at[best]), hi), (lo, int(at[best]))]
-    return sorted(found), total, square
+        return int(at[t.argmax()]) if t.max() >= threshold else None
 
+    bounds, settled = {0, len(resid)}, set()
+    while todo := [p for p in pairwise(sorted(bounds)) if p not in settled]:
+        for lo, hi in todo:
+            at = search(lo, hi)
+            settled.add((lo, hi)) if at is None else bounds.add(at)
+    return sorted(bounds - {0, len(resid)}), total, square
 
-BREAK_SCHEMA = ("portname string, break_date date, metric string, mean_before double, mean_after double, change_per_day double, "
-                "pct_change double, t_stat double, days_before int, days_after int")
 
+SPLIT_SCHEMA = "portname string, break_date date, t_stat double"
 
-def regime_breaks(panel: DataFrame, metric: str = "n_total", min_segment_days: int = MIN_SEGMENT_DAYS,
-                  threshold: float = BREAK_T, max_breaks: int = MAX_BREAKS) -> DataFrame:
-    """Dated level shifts of each corridor, with raw means of the segments either side."""
+
+def split_dates(panel: DataFrame, metric: str, min_segment_days: int, threshold: float) -> DataFrame:
+    """(portname, break_date, t_stat) of every shift; only this needs a whole series at once."""
     def one(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = []
-        if len(pdf) >= 2 * min_segment_days:
-            pdf = pdf.sort_values("date")
-            raw = pdf["v"].to_numpy(dtype=float)
-            resid = np.nan_to_num(remove_season(pd.DatetimeIndex(pd.to_datetime(pdf["date"])), raw))
-            splits, total, square = find_breaks(resid, min_segment_days, threshold, max_breaks)
-            edges = [0, *splits, len(raw)]
-            for lo, at, hi in zip(edges, edges[1:-1], edges[2:]):
-                before, after = float(raw[lo:at].mean()), float(raw[at:hi].mean())
-                t = float(shift_t(total, square, lo, hi, at)[0])
-                rows.append((key[0], pdf["date"].iloc[at], metric, round(before, 2), round(after, 2), round(after - before, 2),
-                             round((after - before) / before * 100, 1) if before else None, round(t, 1), at - lo, hi - at))
-        return pd.DataFrame(rows, columns=[c.split()[0] for c in BREAK_SCHEMA.split(", ")])
-
-    return panel.select("portname", "date", F.col(metric).cast("double").alias("v")).groupBy("portname").applyInPandas(one, BREAK_SCHEMA)
+        pdf = pdf.sort_values("date")
+        resid = np.nan_to_num(remove_season(pd.DatetimeIndex(pd.to_datetime(pdf["date"])), pdf["v"].to_numpy(dtype=float)))
+        splits, total, square = find_breaks(resid, min_segment_days, threshold)
+        t = [shift_t(total, square, lo, hi, at)[0] for lo, at, hi in zip([0, *splits], splits, [*splits[1:], len(resid)])]
+        rows = [(key[0], pdf["date"].iloc[at], float(x)) for at, x in zip(splits, t)]
+        return pd.DataFrame(rows, columns=["portname", "break_date", "t_stat"])
+
+    return panel.select("portname", "date", F.col(metric).cast("double").alias("v")).groupBy("portname").applyInPandas(one, SPLIT_SCHEMA)
+
+
+def regime_breaks(panel: DataFrame, metric: str = "n_total", min_segment_days: int = MIN_SEGMENT_DAYS,
+                  threshold: float = BREAK_T) -> DataFrame:
+    """Dated level shifts of each corridor, with raw means of the segments either side.
+
+    A day belongs to the segment that its newest break on or before it opens, so the means are one
+    running count of breaks and one aggregation.
+    """
+    splits = split_dates(panel, metric, min_segment_days, threshold)
+    days = panel.select("portname", "date", F.col(metric).cast("double").alias("v"))
+    in_order = Window.partitionBy("portname").orderBy("date")
+    marked = days.join(splits.withColumnRenamed("break_date", "date"), ["portname", "date"], "left")
+    marked = marked.withColumn("segment", F.count("t_stat").over(in_order))
+    segments = marked.groupBy("portname", "segment").agg(
+        F.min("date").alias("break_date"), F.max("t_stat").alias("t_stat"), F.avg("v").alias("mean"), F.count(F.lit(1)).cast("int").alias("days"))
+    by_segment = Window.partitionBy("portname").orderBy("segment")
+    both = segments.withColumns({"before": F.lag("mean").over(by_segment), "days_before": F.lag("days").over(by_segment)})
+    change = F.col("mean") - F.col("before")
+    return both.where("segment > 0").select(
+        "portname", "break_date", F.lit(metric).alias("metric"), F.bround("before", 2).alias("mean_before"), F.bround("mean", 2).alias("mean_after"),
+        F.bround(change, 2).alias("change_per_day"), F.bround(F.when(F.col("before") != 0, change / F.col("before") * 100), 1).alias("pct_change"),
+        F.bround("t_stat", 1).alias("t_stat"), "days_before", F.col("days").alias("days_after"))
 
 
 def current_regime(panel: DataFrame, breaks: DataFrame, metric: str = "n_total", recent_days: int = RECENT_DAYS) -> DataFrame:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -52,22 +54,35 @@ def transcripts(segments: DataFrame, doc: str = "video_id", order: Sequence[str]
     return g.select(doc, segments_text(pieces).alias("transcript"), (last["_s"] + last["_d"]).cast("int").alias("duration_sec"))
 
 
-def split_points(text: str, size: int, overlap: int) -> Iterator[tuple[int, int]]:
-    """(start, end) of each chunk: cut after the best boundary of the last characters."""
-    start, n = 0, len(text)
+def stops(text: str) -> np.ndarray:
+    """For every limit 0 .. len(text), where a chunk cut at that limit ends: after the last mark that lies within
+    the look-back, of the strongest kind of mark that has one there, else at the limit itself."""
+    limits = np.arange(len(text) + 1)
+    out = limits.copy()
+    for mark in reversed(BOUNDARIES):
+        ends = np.zeros(len(text) + 1, np.int64)
+        found = np.array([m.end() for m in re.finditer(re.escape(mark), text)], np.int64)
+        ends[found] = found
+        last = np.maximum.accumulate(ends)
+        near = (last > 0) & (last - len(mark) >= limits - LOOK_BACK)
+        out[near] = last[near]
+    return out
+
+
+def spans(text: str, size: int, overlap: int) -> list[tuple[int, int]]:
+    """(start, end) of overlapping chunks of a text: the table of stops is followed from start to start."""
+    n = len(text)
+    at = stops(text)
+    starts = np.arange(n)
+    ends = at[np.minimum(starts + size, n)]
+    ends[starts + size >= n] = n
+    follow = np.maximum(ends - overlap, starts + 1)
+    out = []
+    start = 0
     while start < n:
-        end = min(start + size, n)
-        if end < n and n > size:
-            low = end - LOOK_BACK
-            for mark in BOUNDARIES:
-                at = text.rfind(mark, max(low, 0), end)
-                if at >= 0:
-                    end = at + len(mark)
-                    break
-        yield start, end
-        if end >= n:
-            return
-        start = max(end - overlap, start + 1)
+        out.append((start, int(ends[start])))
+        start = n if ends[start] == n else int(follow[start])
+    return out
 
 
 def chunks(docs: DataFrame, doc: str, text: str, size: int, overlap: int) -> DataFrame:
@@ -82,7 +97,7 @@ def chunks(docs: DataFrame, doc: str, text: str, size: int, overlap: int) -> Dat
             for d, t in zip(pdf[doc], pdf[text]):
                 if t is None:
                     continue
-                parts = [t] if len(t) <= size else [p for p in (t[a:b].strip() for a, b in split_points(t, size, overlap)) if p]
+                parts = [t] if len(t) <= size else [p for p in (t[a:b].strip() for a, b in spans(t, size, overlap)) if p]
                 rows += [(d, i, p) for i, p in enumerate(parts)]
             yield pd.DataFrame(rows, columns=[doc, "chunk_no", "chunk"])
 

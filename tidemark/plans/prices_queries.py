@@ -83,8 +83,8 @@ def betas(spark, sf, panel=None):
     return px.compute_betas(stored_prices(spark, sf) if panel is None else panel, PROXY, window_days=60)
 
 
-def pairs(spark, sf, panel=None):
-    return corr.rolling_correlation(stored_prices(spark, sf) if panel is None else panel, 60, 20)
+def pairs(spark, sf, panel=None, only=None):
+    return corr.rolling_correlation(stored_prices(spark, sf) if panel is None else panel, 60, 20, only=only)
 
 
 PAIRS = """dts AS (SELECT DISTINCT trade_date FROM px ORDER BY trade_date DESC LIMIT 60),
@@ -110,7 +110,7 @@ TOP = """top AS (SELECT symbol FROM uni ORDER BY turnover DESC, symbol LIMIT 15)
 def correlation_matrix(spark, sf):
     panel = stored_prices(spark, sf)
     top = px.top_turnover(px.equity_universe(panel), 15)
-    return corr.symmetric_matrix(pairs(spark, sf, panel), top).withColumn("correlation", F.round("correlation", R6))
+    return corr.symmetric_matrix(pairs(spark, sf, panel, top), top).withColumn("correlation", F.round("correlation", R6))
 
 
 SECTORS = """sec AS (SELECT ia.industry AS industry_a, ib.industry AS industry_b, avg(correlation) AS correlation

@@ -34,7 +34,7 @@ def bars(spark, sf):
 @query("price_history", """WITH b AS (SELECT CAST(l_shipdate AS DATE) AS trade_date, l_extendedprice AS close, l_quantity AS volume, l_orderkey, l_linenumber, l_partkey, l_returnflag FROM lineitem WHERE l_suppkey = 7),
   p AS (SELECT * FROM b QUALIFY row_number() OVER (PARTITION BY trade_date ORDER BY l_orderkey DESC, l_linenumber DESC, l_partkey DESC) = 1),
   d AS (SELECT * FROM b WHERE l_returnflag = 'N' QUALIFY row_number() OVER (PARTITION BY trade_date ORDER BY l_orderkey DESC, l_linenumber DESC, l_partkey DESC) = 1)
-  SELECT 'S7' AS symbol, trade_date, p.close, p.volume, d.volume AS delivered_qty, round(d.volume / 50 * 100, 4) AS delivered_pct FROM p LEFT JOIN d USING (trade_date) ORDER BY trade_date LIMIT 2000""")
+  SELECT 'S7' AS symbol, trade_date, p.close, p.volume, d.volume AS delivered_qty, round(d.volume / 50 * 100, 4) AS delivered_pct FROM p LEFT JOIN d USING (trade_date)""")
 def price_history(spark, sf):
     b = bars(spark, sf)
     d = b.where("l_returnflag = 'N'").withColumn("delivered_qty", F.col("volume")).withColumn("delivered_pct", F.round(F.col("volume") / 50 * 100, 4))
@@ -87,8 +87,10 @@ def watchlist_rank(spark, sf):
 @query("correlation_subset", f"""WITH {RETURNS}, {PAIRS} SELECT symbol_a, symbol_b, round(correlation, 6) AS correlation, n_obs FROM pairs
   WHERE symbol_a IN ('S1', 'S2', 'S3', 'S10', 'S44') AND symbol_b IN ('S1', 'S2', 'S3', 'S10', 'S44')""")
 def correlation_subset(spark, sf):
-    stored = pairs(spark, sf).withColumn("knowledge_date", F.col("as_of_date")).withColumn("_vintage_id", F.lit(1))
-    return corr.correlation_subset(stored, ["s1", "S2", "S3", "S10", "S44"]).drop("as_of_date").withColumn("correlation", F.round("correlation", 6))
+    symbols = ["s1", "S2", "S3", "S10", "S44"]
+    wanted = spark.createDataFrame([(s.upper(),) for s in symbols], "symbol string")
+    stored = pairs(spark, sf, only=wanted).withColumn("knowledge_date", F.col("as_of_date")).withColumn("_vintage_id", F.lit(1))
+    return corr.correlation_subset(stored, symbols).drop("as_of_date").withColumn("correlation", F.round("correlation", 6))
 
 
 @query("macro_snapshot", f"""WITH {DEVIATION}, ki AS (SELECT o_orderpriority AS indicator, CAST(o_orderdate AS DATE) AS as_of, o_orderkey, o_totalprice AS value FROM orders
@@ -123,7 +125,7 @@ CASHFLOW = """cf AS (SELECT o_orderpriority AS category, CAST(o_orderdate AS DAT
 
 @query("cash_flows", f"WITH {CASHFLOW} SELECT * FROM cf ORDER BY date DESC, category LIMIT 120")
 def cash_flows(spark, sf):
-    return rm.cash_flows(cash(spark, sf))
+    return rm.cash_flows(cash(spark, sf), 120)
 
 
 @query("latest_cash_flows", f"WITH {CASHFLOW} SELECT * FROM cf QUALIFY row_number() OVER (PARTITION BY category ORDER BY date DESC, net_value DESC) = 1")
@@ -145,7 +147,7 @@ def regimes_board(spark, sf):
 
 @query("top_breaks")
 def top_breaks(spark, sf):
-    return rm.top_breaks(sc.regime_breaks(shifted(spark, sf)))
+    return rm.top_breaks(sc.regime_breaks(shifted(spark, sf)), 40)
 
 
 @query("transit_series", """SELECT CAST(o_orderdate AS DATE) AS date, CAST(count(*) AS DOUBLE) AS n_total FROM orders WHERE o_orderpriority = '2-HIGH' GROUP BY 1 ORDER BY 1 LIMIT 4000""")
@@ -176,7 +178,7 @@ BOARD = f"""{RATINGS}, ac AS (SELECT 'ONE' AS agency, CAST(action_id AS VARCHAR)
 
 @query("rating_board", f"WITH {BOARD} SELECT * FROM ac WHERE contains(lower(company_name), 'r#0000000') ORDER BY rating_date DESC, agency, action_id LIMIT 300")
 def rating_board(spark, sf):
-    return rm.rating_board(feeds(spark, sf), "R#0000000")
+    return rm.rating_board(feeds(spark, sf), "R#0000000", 300)
 
 
 @query("listing_split", f"""WITH {BOARD}, l AS (SELECT upper(c_name) AS k FROM customer WHERE c_custkey % 3 = 0)

@@ -22,7 +22,7 @@ S = lambda c: F.col(c).cast("string")
 
 def spread(df):
     """The driver's tables are one small file each; documents are parsed by all cores."""
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+    return df
 
 
 def with_extra(lines, *extra):
@@ -346,6 +346,13 @@ def shape_instance_facts(spark, sf):
     return facts.where("concept NOT LIKE 'DateOf%'").select("source_url", "concept", "context_id", "period_start", "period_end", "instant", "has_dimensions", "unit", "value")
 
 
+@query("shape_instance_rejects", """SELECT 'u' || o_orderkey AS source_url, CASE o_orderkey % 3 WHEN 0 THEN 'document type declared' ELSE 'not well formed' END AS reason FROM orders WHERE o_orderkey % 3 < 2""")
+def shape_instance_rejects(spark, sf):
+    k = F.col("o_orderkey")
+    body = F.when(k % 3 == 0, "<!DOCTYPE a [<!ENTITY b 'c'>]><a/>").when(k % 3 == 1, F.concat(F.lit("<a><b>"), S("o_custkey"), F.lit("</a>"))).otherwise("<x xmlns='http://i'/>")
+    return rg.instance_rejects(table(spark, sf, "orders").select(F.concat(F.lit("u"), S("o_orderkey")).alias("path"), body.alias("content")))
+
+
 @query("shape_facts_with_filing", "SELECT 'u' || o_orderkey AS source_url, o_custkey AS value, c_name AS symbol FROM orders LEFT JOIN customer ON c_custkey = o_custkey AND c_custkey % 2 = 0")
 def shape_facts_with_filing(spark, sf):
     facts = table(spark, sf, "orders").select(F.concat(F.lit("u"), S("o_orderkey")).alias("fact_url"), F.concat(F.lit("c"), S("o_custkey")).alias("source_url"), F.col("o_custkey").alias("value"))
@@ -405,7 +412,7 @@ TIDY = """td AS (SELECT CAST(o_orderkey AS VARCHAR) AS doc, 0 AS table_no, 'Amou
 
 @query("shape_tidy_tables", f"WITH {TIDY} SELECT doc, table_no, row_label, series, value_num FROM td")
 def shape_tidy_tables(spark, sf):
-    return ce.tidy_tables(table_cells(spark, sf)).drop("value").withColumn("value_num", F.col("value_num") + 0.0)
+    return ce.tidy_tables(table_cells(spark, sf)).drop("value", "table_title").withColumn("value_num", F.col("value_num") + 0.0)
 
 
 @query("shape_ratio_rows", f"WITH {TIDY} SELECT doc, series, value_num FROM td WHERE row_label = 'Cash ratio'")
@@ -416,7 +423,7 @@ def shape_ratio_rows(spark, sf):
 @query("shape_release_tables", f"WITH {TIDY} SELECT td.doc, row_label, value_num, 'Money Market Operations ' || o_orderpriority AS release_title FROM td JOIN orders ON doc = CAST(o_orderkey AS VARCHAR) WHERE o_orderkey % 2 = 0")
 def shape_release_tables(spark, sf):
     rel = table(spark, sf, "orders").select(S("o_orderkey").alias("prid"), F.when(F.col("o_orderkey") % 2 == 0, F.concat(F.lit("Money Market Operations "), "o_orderpriority")).otherwise("Other").alias("title"))
-    return ce.release_tables(ce.tidy_tables(table_cells(spark, sf)), rel, "money market").select("doc", "row_label", (F.col("value_num") + 0.0).alias("value_num"), "release_title")
+    return ce.release_tables(table_cells(spark, sf), rel, "money market").select("doc", "row_label", (F.col("value_num") + 0.0).alias("value_num"), "release_title")
 
 
 def listing(spark, sf):

@@ -91,7 +91,7 @@ def text_chunks(spark, sf):
         import pandas as pd
 
         for pdf in batches:
-            rows = [(i, *p) for i, t in zip(pdf["doc_id"], pdf["text"]) for p in ([(0, len(t))] if len(t) <= SIZE else ts.split_points(t, SIZE, OVERLAP))]
+            rows = [(i, *p) for i, t in zip(pdf["doc_id"], pdf["text"]) for p in ([(0, len(t))] if len(t) <= SIZE else ts.spans(t, SIZE, OVERLAP))]
             yield pd.DataFrame(rows, columns=["doc_id", "s", "e"])
 
     b = d.select("doc_id", "text").mapInPandas(bounds, "doc_id bigint, s int, e int")

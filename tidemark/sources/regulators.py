@@ -2,12 +2,7 @@
 
 from __future__ import annotations
 
-import re
-import xml.etree.ElementTree as ET
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalar import blank_to_null, lookup, no_commas, to_double
@@ -184,71 +179,74 @@ def fund_holdings(docs: DataFrame) -> DataFrame:
 
 # -- instance documents ---------------------------------------------------------------
 
-INSTANCE_SCHEMA = ("source_url string, concept string, taxonomy string, context_id string, entity string, period_start string, period_end string, "
-                   "instant boolean, has_dimensions boolean, dimensions string, unit string, decimals string, value_text string, value double")
-_COLUMNS = [c.split()[0] for c in INSTANCE_SCHEMA.split(", ")]
-
-
-def _split(tag: str) -> tuple[str, str]:
-    ns, _, local = tag[1:].partition("}") if tag.startswith("{") else ("", "", tag)
-    return ns, local
-
-
-def _text(node) -> str:
-    return (node.text or "").strip()
-
-
-def _number(text: str) -> float | None:
-    try:
-        value = float(text)
-    except ValueError:
-        return None
-    return value if value == value else None
-
-
-def _instance_rows(url: str, content: str) -> list[tuple]:
-    """Facts of one document with their context and unit. Element names are open-ended, so
-    no fixed schema can read them."""
-    if "<!DOCTYPE" in content:
-        return []
-    try:
-        root = ET.fromstring(content)
-    except ET.ParseError:
-        return []
-    prefixes = {uri: p for p, uri in re.findall(r'xmlns:([\w.-]+)="([^"]+)"', content)}
-    contexts, units, facts = {}, {}, []
-    for node in root:
-        ns, local = _split(node.tag)
-        parts = [(*_split(c.tag), c) for c in node.iter()]
-        if local == "context":
-            found = {name: _text(c) for _, name, c in parts if name in ("identifier", "startDate", "endDate", "instant")}
-            dims = ";".join(f"{c.get('dimension')}={_text(c)}" for _, name, c in parts if name == "explicitMember" and c.get("dimension"))
-            contexts[node.get("id")] = (found.get("identifier"), found.get("startDate"), found.get("endDate"), found.get("instant"), dims)
-        elif local == "unit":
-            measures = [_text(c).split(":")[-1] for _, name, c in parts if name == "measure"]
-            units[node.get("id")] = "/".join(measures) or node.get("id")
-        elif node.get("contextRef") is not None:
-            facts.append((ns, local, node))
-    rows = []
-    for ns, local, node in facts:
-        ref, unit, text = node.get("contextRef"), node.get("unitRef"), _text(node)
-        entity, start, end, instant, dims = contexts.get(ref, (None, None, None, None, ""))
-        value = _number(text) if unit is not None else None
-        rows.append((url, local, prefixes.get(ns), ref, entity, start, end or instant, instant is not None, bool(dims), dims,
-                     units.get(unit, unit), node.get("decimals"), text, value))
-    return rows
+PREFIX = r"(?:[\w.-]+:)?"
+ATTRIBUTE = r"""\s+[\w:.-]+\s*=\s*(?:"[^"]*"|'[^']*')"""
+FACT = rf"""<([\w.-]+:)?([\w.-]+)((?:{ATTRIBUTE})*?\s+contextRef\s*=\s*(?:"[^"]*"|'[^']*')(?:{ATTRIBUTE})*)\s*(?:/>|>([^<]*)<)"""
 
 
-def instance_facts(docs: DataFrame) -> DataFrame:
-    """Facts of instance documents, one row each; an unreadable document yields none.
-    ``docs``: path, content."""
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = [r for url, content in zip(pdf["path"], pdf["content"]) for r in _instance_rows(url, content)]
-            if rows:
-                yield pd.DataFrame(rows, columns=_COLUMNS)
+def _blocks(name: str) -> Column:
+    """Every element of that name with all it holds."""
+    return F.regexp_extract_all("content", F.lit(rf"(?s)<{PREFIX}{name}\b[^>]*>.*?</{PREFIX}{name}\s*>"), F.lit(0))
+
+
+def _attribute(text: Column, name: str) -> Column:
+    return F.regexp_extract(text, rf"""\b{name}\s*=\s*(["'])(.*?)\1""", 2)
+
+
+def _unescaped(text: Column) -> Column:
+    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")):
+        text = F.replace(text, F.lit(entity), F.lit(char))
+    return F.trim(F.regexp_replace(text, r"^\s+|\s+$", ""))
+
 
-    return docs.select("path", "content").mapInPandas(parse, INSTANCE_SCHEMA)
+def _child(block: Column, name: str) -> Column:
+    return blank_to_null(_unescaped(F.regexp_extract(block, rf"(?s)<{PREFIX}{name}\b[^>]*>(.*?)</", 1)))
+
+
+def _checked(docs: DataFrame) -> DataFrame:
+    """(source_url, content, reason): why a document can't be read, NULL where it can. Comments are taken out."""
+    broken = F.from_xml("content", "_bad string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})["_bad"].isNotNull()
+    reason = F.when(F.col("content").isNull(), "empty").when(F.contains("content", F.lit("<!DOCTYPE")), "document type declared").when(broken, "not well formed")
+    return docs.select(F.col("path").alias("source_url"), F.regexp_replace("content", r"(?s)<!--.*?-->", "").alias("content"), reason.alias("reason"))
+
+
+def instance_rejects(docs: DataFrame) -> DataFrame:
+    """Documents that ``instance_facts`` leaves out, and why."""
+    return _checked(docs).where("reason IS NOT NULL").select("source_url", "reason")
+
+
+def instance_facts(docs: DataFrame) -> DataFrame:
+    """Facts of instance documents, one row each; documents that can't be read are in ``instance_rejects``.
+
+    Contexts, units and facts are three frames of elements found by pattern, joined by document and id: the element names of
+    facts are open-ended, so no schema can name them. ``docs``: path, content.
+    """
+    readable = _checked(docs).where("reason IS NULL").select("source_url", "content")
+    c = F.col("block")
+    members = F.regexp_extract_all(c, F.lit(rf"(?s)<{PREFIX}explicitMember\b[^>]*>.*?</"), F.lit(0))
+    dims = F.filter(F.transform(members, lambda m: F.when(_attribute(m, "dimension") != "", F.concat(
+        _attribute(m, "dimension"), F.lit("="), F.coalesce(_child(m, "explicitMember"), F.lit(""))))), lambda d: d.isNotNull())
+    contexts = readable.select("source_url", F.explode(_blocks("context")).alias("block")).select(
+        "source_url", _attribute(c, "id").alias("context_id"), _child(c, "identifier").alias("entity"), _child(c, "startDate").alias("period_start"),
+        _child(c, "endDate").alias("_end"), _child(c, "instant").alias("_instant"), F.concat_ws(";", dims).alias("dimensions"))
+    measures = F.transform(F.regexp_extract_all(c, F.lit(rf"(?s)<{PREFIX}measure\b[^>]*>(.*?)</"), F.lit(1)),
+                           lambda m: F.trim(F.element_at(F.split(m, ":"), -1)))
+    units = readable.select("source_url", F.explode(_blocks("unit")).alias("block")).select(
+        "source_url", _attribute(c, "id").alias("_unit"), blank_to_null(F.concat_ws("/", measures)).alias("_measure"))
+    # ids are unique in a valid document; where one is not, the largest definition stands
+    contexts = contexts.groupBy("source_url", "context_id").agg(F.max(F.struct("entity", "period_start", "_end", "_instant", "dimensions")).alias("x")) \
+        .select("source_url", "context_id", "x.*")
+    units = units.groupBy("source_url", "_unit").agg(F.max("_measure").alias("_measure"))
+    part = lambda k: F.regexp_extract_all("content", F.lit(FACT), F.lit(k))
+    facts = readable.select("source_url", F.explode(F.arrays_zip(*[part(k).alias(n) for k, n in enumerate(("prefix", "concept", "attributes", "text"), 1)])).alias("f"))
+    facts = facts.select("source_url", "f.concept", blank_to_null(F.rtrim(F.regexp_replace("f.prefix", ":$", ""))).alias("taxonomy"),
+                         _attribute(F.col("f.attributes"), "contextRef").alias("context_id"), blank_to_null(_attribute(F.col("f.attributes"), "unitRef")).alias("_unit"),
+                         blank_to_null(_attribute(F.col("f.attributes"), "decimals")).alias("decimals"), _unescaped(F.coalesce("f.text", F.lit(""))).alias("value_text"))
+    number = F.nanvl(F.when(F.col("_unit").isNotNull(), F.col("value_text").try_cast("double")), F.lit(None).cast("double"))
+    return facts.join(contexts, ["source_url", "context_id"], "left").join(units, ["source_url", "_unit"], "left").select(
+        "source_url", "concept", "taxonomy", "context_id", "entity", "period_start", F.coalesce("_end", "_instant").alias("period_end"),
+        F.col("_instant").isNotNull().alias("instant"), (F.coalesce("dimensions", F.lit("")) != "").alias("has_dimensions"),
+        F.coalesce("dimensions", F.lit("")).alias("dimensions"), F.coalesce("_measure", "_unit").alias("unit"), "decimals", "value_text", number.alias("value"))
 
 
 def reported_period(facts: DataFrame) -> DataFrame:
@@ -262,5 +260,8 @@ def reported_period(facts: DataFrame) -> DataFrame:
 
 def with_filing(facts: DataFrame, index: DataFrame, url: str = "xbrl") -> DataFrame:
     """Filing columns on every fact; the index is reduced to one row per document first."""
-    one = index.where(F.col(url).isNotNull()).dropDuplicates([url]).withColumnRenamed(url, "source_url")
+    order = [F.col(c).desc_nulls_last() for c in index.columns if c != url]
+    first = Window.partitionBy(url).orderBy(*(order or [F.lit(0)]))
+    one = (index.where(F.col(url).isNotNull()).withColumn("_rn", F.row_number().over(first)).where("_rn = 1").drop("_rn")
+           .withColumnRenamed(url, "source_url"))
     return facts.join(one, "source_url", "left")

@@ -109,9 +109,10 @@ _FORBIDDEN = ("insert ", "update ", "delete ", "drop ", "create ", "alter ",
               "attach ", "copy ", "export ", "install ", "load ")
 
 
-def read_only_sql(spark: SparkSession, query: str, limit: int = 1000) -> DataFrame:
-    """Ad-hoc SELECT over the registered views, at most ``limit`` rows."""
+def read_only_sql(spark: SparkSession, query: str, limit: int | None = None) -> DataFrame:
+    """Ad-hoc SELECT over the registered views; a caller may ask for at most ``limit`` rows."""
     flat = f" {' '.join(query.lower().split())} "
     if any(f" {word}" in flat for word in _FORBIDDEN):
         raise ValueError("this is read-only; use SELECT")
-    return spark.sql(query).limit(limit)
+    out = spark.sql(query)
+    return out if limit is None else out.limit(limit)
