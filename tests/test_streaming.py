@@ -48,7 +48,23 @@ def test_cold_sink_resumes_without_duplicates(spark, tmp_path):
     tk.drain(start)
     tk.drain(start)
     rows = spark.read.parquet(out).collect()
-    assert sorted(r.ltp for r in rows) == [1.0, 2.0] and str(rows[0].knowledge_date) == "2026-08-20"
+    # a tick is known from the day it was stored, and its vintage is its batch
+    assert sorted(r.ltp for r in rows) == [1.0, 2.0] and all(r.knowledge_date >= r.ts.date() for r in rows)
+    assert max(r._vintage_id for r in rows) > min(r._vintage_id for r in rows) == 0
+
+
+def test_nested_feeds_epoch_times_and_rejects(spark):
+    depth = {"ltpc": {"ltp": 5.0, "ltt": 1, "ltq": 2, "cp": 4.0}, "vtt": 7, "oi": 8.0, "atp": 4.5, "iv": 0.2, "tbq": 10, "tsq": 11}
+    frame = lambda ts, feeds: json.dumps({"type": "live_feed", "ts": ts, "feeds": feeds})
+    raw = spark.createDataFrame([(x,) for x in (
+        frame("1704067200", {"A": {"fullFeed": {"marketFF": depth}}}), frame("1704067200000", {"B": {"fullFeed": {"indexFF": {"ltpc": {"ltp": 6.0}}}}}),
+        frame("2024-01-01 00:00:00", {"C": {"ltpc": {"ltp": 7.0}}}), frame("soon", {"D": {"ltpc": {"ltp": 8.0}}}), frame("1704067200", {"E": {"x": 1}}), "no json")], "value string")
+    got = {r.instrument_key: r for r in tk.decode(raw).collect()}
+    assert set(got) == {"A", "B", "C"} and len({r.ts for r in got.values()}) == 1
+    assert (got["A"].iv, got["A"].total_buy_qty, got["A"].total_sell_qty, got["A"].volume) == (0.2, 10.0, 11.0, 7) and got["B"].ltp == 6.0
+    assert sorted(r.reason for r in tk.rejects(raw).collect()) == ["no known feed", "no readable time", "not a frame"]
+    flat = spark.createDataFrame([('{"token": "1", "ltp": "2", "ts": "1704067200.5"}',), ('{"token": "1", "ltp": "2", "ts": "bad"}',)], "value string")
+    assert [str(r.ts) for r in tk.flat_ticks(flat).collect()] == ["2024-01-01 00:00:00.500000"]
 
 
 def test_coalescing_keeps_the_last_of_each_window(spark, tmp_path):

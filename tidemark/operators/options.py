@@ -81,19 +81,19 @@ CONTRACT = ("symbol", "expiry_date", "strike_price", "option_type")
 
 
 def ladder(chain: DataFrame, greeks: DataFrame | None = None) -> DataFrame:
-    """One row per (expiry, strike), calls left and puts right."""
+    """One row per (symbol, expiry, strike), calls left and puts right."""
     df = chain if greeks is None else chain.join(greeks.select(*CONTRACT, "nse_delta"), list(CONTRACT), "left")
     fields = [("open_interest", "oi"), ("change_in_oi", "oi_chg"), ("last_price", "ltp"), ("implied_volatility_nse", "iv")]
     if greeks is not None:
         fields.append(("nse_delta", "delta"))
     sides = [F.max(F.when(F.col("option_type") == leg, F.col(c))).alias(f"{side}_{short}")
              for leg, side in (("CE", "call"), ("PE", "put")) for c, short in fields]
-    return df.groupBy("expiry_date", "strike_price").agg(F.max("underlying_value").alias("underlying"), *sides)
+    return df.groupBy("symbol", "expiry_date", "strike_price").agg(F.max("underlying_value").alias("underlying"), *sides)
 
 
 def nearest_strikes(rungs: DataFrame, n: int = 20) -> DataFrame:
-    """The ``n`` strikes of each expiry nearest to spot."""
+    """The ``n`` strikes of each symbol and expiry nearest to spot."""
     from pyspark.sql import Window
 
-    w = Window.partitionBy("expiry_date").orderBy(F.abs(F.col("strike_price") - F.col("underlying")), "strike_price")
+    w = Window.partitionBy("symbol", "expiry_date").orderBy(F.abs(F.col("strike_price") - F.col("underlying")), "strike_price")
     return rungs.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")

@@ -43,10 +43,10 @@ def volume_trend(vintages: DataFrame, vintage: str = "_vintage_id", per: Sequenc
 
 
 def detect_revisions(vintages: DataFrame, key: Sequence[str], values: Sequence[str] | None = None, vintage: Sequence[str] = ("_vintage_id",)) -> DataFrame:
-    """Keys whose recorded values changed between vintages.
+    """Keys whose recorded values changed between vintages, also where the last one is the first one again.
 
-    One group by over the key with per-column first and last values by vintage, so there is
-    no row cap. NULL is a value of its own: going missing is a revision, and NULL is not the
+    One group by over the key with the per-column range and the first and last values by vintage, so there is
+    no row cap. A field that went back shows the same value before and after. NULL is a value of its own: going missing is a revision, and NULL is not the
     empty string. Columns describing the fetch are left out.
     """
     values = list(values) if values is not None else [c for c in vintages.columns if c not in {*key, *METADATA_COLUMNS, *vintage}]
@@ -56,11 +56,12 @@ def detect_revisions(vintages: DataFrame, key: Sequence[str], values: Sequence[s
     text = lambda c: F.when(F.col(c).isNull(), F.lit("\x00NULL")).otherwise(F.concat(F.lit("="), F.col(c).cast("string")))
     at = F.struct(*vintage)
     rows = vintages.select(*key, at.alias("_at"), F.struct(*[text(c).alias(c) for c in values]).alias("_v"))
-    g = rows.groupBy(*key).agg(F.min(F.struct("_at", "_v")).alias("lo"), F.max(F.struct("_at", "_v")).alias("hi"))
+    g = rows.groupBy(*key).agg(F.min(F.struct("_at", "_v")).alias("lo"), F.max(F.struct("_at", "_v")).alias("hi"),
+                             *[(F.min(f"_v.{c}") != F.max(f"_v.{c}")).alias(f"_d{i}") for i, c in enumerate(sorted(values))])
     show = lambda side, c: F.when(F.col(f"{side}._v.{c}") == "\x00NULL", "(missing)").otherwise(F.substring(F.col(f"{side}._v.{c}"), 2, 1 << 30))
     moved = F.array_compact(F.array(*[
-        F.when(F.col(f"lo._v.{c}") != F.col(f"hi._v.{c}"), F.struct(F.lit(c).alias("field"), show("lo", c).alias("before"), show("hi", c).alias("after")))
-        for c in sorted(values)]))
+        F.when(F.col(f"_d{i}"), F.struct(F.lit(c).alias("field"), show("lo", c).alias("before"), show("hi", c).alias("after")))
+        for i, c in enumerate(sorted(values))]))
     g = g.withColumn("_m", moved).where(F.size("_m") > 0)
     stamp = lambda side: F.array_join(F.array(*[F.col(f"{side}._at.{v}").cast("string") for v in vintage]), "/")
     return g.select(*key, F.array_join(F.transform("_m", lambda m: m["field"]), ", ").alias("fields_changed"), F.size("_m").alias("n_fields"),

@@ -115,14 +115,14 @@ def events(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def insider_buys(spark: SparkSession, sf: str) -> DataFrame:
-    """Events as insider transactions: 20 issuers, one owner per user."""
+    """Events as insider transactions: twenty owners to an issuer, one owner per user."""
     e = events(spark, sf)
     role = F.when(F.col("user_id") % 3 == 0, "officer").when(F.col("user_id") % 3 == 1, "director").otherwise("other")
     shares = F.floor(F.col("value")).cast("double")
     return e.select(
-        (F.col("user_id") % 20).alias("issuer_cik"),
-        F.concat(F.lit("Issuer "), (F.col("user_id") % 20).cast("string")).alias("issuer_name"),
-        F.concat(F.lit("T"), (F.col("user_id") % 20).cast("string")).alias("ticker"),
+        F.expr("user_id div 20").alias("issuer_cik"),
+        F.concat(F.lit("Issuer "), F.expr("user_id div 20").cast("string")).alias("issuer_name"),
+        F.concat(F.lit("T"), F.expr("user_id div 20").cast("string")).alias("ticker"),
         F.col("user_id").alias("owner_cik"), role.alias("role"),
         F.to_date("ts").alias("trans_date"), F.date_add(F.to_date("ts"), 2).alias("filed"),
         F.col("event_id").cast("string").alias("accn"), shares.alias("shares"),
@@ -131,8 +131,8 @@ def insider_buys(spark: SparkSession, sf: str) -> DataFrame:
         (F.col("user_id") % 7 != 0).alias("is_common_stock"))
 
 
-INSIDERS = """ins AS (SELECT user_id % 20 AS issuer_cik, 'Issuer ' || (user_id % 20) AS issuer_name,
-  'T' || (user_id % 20) AS ticker, user_id AS owner_cik,
+INSIDERS = """ins AS (SELECT user_id // 20 AS issuer_cik, 'Issuer ' || (user_id // 20) AS issuer_name,
+  'T' || (user_id // 20) AS ticker, user_id AS owner_cik,
   CASE user_id % 3 WHEN 0 THEN 'officer' WHEN 1 THEN 'director' ELSE 'other' END AS role,
   CAST(ts AS DATE) AS trans_date, CAST(ts AS DATE) + 2 AS filed, CAST(event_id AS VARCHAR) AS accn,
   floor(value) AS shares, 100.0::DOUBLE AS price_per_share, floor(value) * 100.0::DOUBLE AS value_usd,

@@ -92,18 +92,18 @@ def source_divergence(spark, sf):
     return ev.source_divergence(*two_sources(spark, sf), METRICS).withColumn("pct_diff", F.round("pct_diff", 6))
 
 
-@query("material_events", """WITH ann AS (SELECT event_id % 3000 AS NEWSID, user_id AS SCRIP_CD, event_type AS subcatname, props AS headline, ts AS news_dt
-    FROM events QUALIFY row_number() OVER (PARTITION BY event_id % 3000 ORDER BY CAST(ts AS DATE) DESC, event_id DESC) = 1),
-  sec AS (SELECT CAST(c_custkey AS VARCHAR) AS SCRIP_CD, 'IN' || c_custkey AS ISIN_NUMBER, c_name AS Scrip_Name FROM customer WHERE c_custkey < 140)
+@query("material_events", """WITH ann AS (SELECT event_id // 2 AS NEWSID, user_id AS SCRIP_CD, event_type AS subcatname, props AS headline, ts AS news_dt
+    FROM events QUALIFY row_number() OVER (PARTITION BY event_id // 2 ORDER BY CAST(ts AS DATE) DESC, event_id DESC) = 1),
+  sec AS (SELECT CAST(c_custkey AS VARCHAR) AS SCRIP_CD, 'IN' || c_custkey AS ISIN_NUMBER, c_name AS Scrip_Name FROM customer)
   SELECT NEWSID, CAST(ann.SCRIP_CD AS VARCHAR) AS SCRIP_CD, 'Company ' || ann.SCRIP_CD AS company_name, subcatname, headline, news_dt, ISIN_NUMBER, Scrip_Name,
   CAST((SELECT max(news_dt) FROM ann) AS DATE) AS as_of_date FROM ann LEFT JOIN sec ON CAST(ann.SCRIP_CD AS VARCHAR) = sec.SCRIP_CD
   WHERE news_dt >= (SELECT max(news_dt) FROM ann) - INTERVAL 7 DAY AND subcatname IN ('error', 'signup')""")
 def material_events(spark, sf):
     ann = events(spark, sf).select(
-        (F.col("event_id") % 3000).alias("NEWSID"), F.col("user_id").alias("SCRIP_CD"), F.concat(F.lit("Company "), F.col("user_id").cast("string")).alias("company_name"),
+        F.expr("event_id div 2").alias("NEWSID"), F.col("user_id").alias("SCRIP_CD"), F.concat(F.lit("Company "), F.col("user_id").cast("string")).alias("company_name"),
         F.col("event_type").alias("subcatname"), F.col("props").alias("headline"), F.col("ts").alias("news_dt"),
         F.to_date("ts").alias("knowledge_date"), F.col("event_id").alias("_vintage_id"))
-    master = table(spark, sf, "customer").where("c_custkey < 140").select(
+    master = table(spark, sf, "customer").select(
         F.col("c_custkey").cast("string").alias("SCRIP_CD"), F.concat(F.lit("IN"), F.col("c_custkey").cast("string")).alias("ISIN_NUMBER"),
         F.col("c_name").alias("Scrip_Name"), F.lit("2024-01-01").cast("date").alias("knowledge_date"), F.lit(0).alias("_vintage_id"))
     return ev.material_events(ann, master, subcategories=("error", "signup"))

@@ -128,11 +128,11 @@ def headings(spark, sf):
     head = F.element_at(F.array(*[F.lit(h) for h in HEADS]), (F.col("c_custkey") % len(HEADS) + 1).cast("int"))
     c = table(spark, sf, "customer").withColumn("heading", head)
     return table(spark, sf, "orders").join(c, F.col("o_custkey") == F.col("c_custkey")).select(
-        (F.col("o_orderkey") % 5000).alias("action_id"), F.col("c_name").alias("company_name"), F.to_date("o_orderdate").alias("rating_date"),
+        F.expr("o_orderkey div 4").alias("action_id"), F.col("c_name").alias("company_name"), F.to_date("o_orderdate").alias("rating_date"),
         F.concat("heading", F.lit(" "), "o_orderpriority").alias("heading"), F.lit("u").alias("document_url"))
 
 
-RATINGS = f"""ra AS (SELECT o_orderkey % 5000 AS action_id, c_name AS company_name, CAST(o_orderdate AS DATE) AS rating_date,
+RATINGS = f"""ra AS (SELECT o_orderkey // 4 AS action_id, c_name AS company_name, CAST(o_orderdate AS DATE) AS rating_date,
     {[h for h in HEADS]!r}[CAST(c_custkey % {len(HEADS)} + 1 AS INTEGER)] || ' ' || o_orderpriority AS h FROM orders JOIN customer ON o_custkey = c_custkey),
   rd AS (SELECT * FROM ra QUALIFY row_number() OVER (PARTITION BY action_id ORDER BY rating_date DESC, h) = 1)""".replace('"Downgraded and placed on \'Watch Developing\'"', "'Downgraded and placed on ''Watch Developing'''")
 
@@ -154,21 +154,21 @@ def rating_company_search(spark, sf):
 
 
 def person(side: str):
-    n = F.col("o_custkey") % 400
+    n = F.expr("o_custkey div 2")
     return F.concat(F.lit("Elm Street Partners "), n.cast("string"), F.lit(" L.P." if side == "d" else " LP"))
 
 
-@query("ownership_transitions", """WITH g AS (SELECT o_custkey % 37 AS issuer_cik, 'Elm Street Partners ' || (o_custkey % 400) || ' LP' AS p, o_custkey % 400 AS k,
+@query("ownership_transitions", """WITH g AS (SELECT o_custkey // 20 AS issuer_cik, 'Elm Street Partners ' || (o_custkey // 2) || ' LP' AS p, o_custkey // 2 AS k,
     min(CAST(o_orderdate AS DATE)) AS first_13g, max(CAST(o_orderdate AS DATE)) AS last_13g, count(*) AS n_13g FROM orders WHERE o_orderstatus = 'F' GROUP BY ALL),
-  d AS (SELECT o_custkey % 37 AS issuer_cik, 'Elm Street Partners ' || (o_custkey % 400) || ' L.P.' AS p, o_custkey % 400 AS k, min(CAST(o_orderdate AS DATE)) AS first_13d,
+  d AS (SELECT o_custkey // 20 AS issuer_cik, 'Elm Street Partners ' || (o_custkey // 2) || ' L.P.' AS p, o_custkey // 2 AS k, min(CAST(o_orderdate AS DATE)) AS first_13d,
     count(*) AS n_13d FROM orders WHERE o_orderstatus = 'P' GROUP BY ALL)
   SELECT g.issuer_cik, 'Issuer ' || g.issuer_cik AS issuer_name, g.p AS person_name_13g, d.p AS person_name_13d, first_13g, last_13g, n_13g, first_13d, n_13d,
   CAST(first_13d - first_13g AS INTEGER) AS days_passive_first FROM g JOIN d ON g.issuer_cik = d.issuer_cik AND g.k = d.k WHERE first_13d > first_13g""")
 def ownership_transitions(spark, sf):
     o = table(spark, sf, "orders")
-    issuer = (F.col("o_custkey") % 37).alias("issuer_cik")
+    issuer = F.expr("o_custkey div 20").alias("issuer_cik")
     filed = F.to_date("o_orderdate").alias("filed")
-    g = o.where("o_orderstatus = 'F'").select(issuer, F.concat(F.lit("Issuer "), (F.col("o_custkey") % 37).cast("string")).alias("issuer_name"), person("g").alias("person_name"), filed)
+    g = o.where("o_orderstatus = 'F'").select(issuer, F.concat(F.lit("Issuer "), F.expr("o_custkey div 20").cast("string")).alias("issuer_name"), person("g").alias("person_name"), filed)
     d = o.where("o_orderstatus = 'P'").select(issuer, person("d").alias("person_name"), filed)
     return fl.transitions(g, d)
 

@@ -21,8 +21,11 @@ def feed(spark, sf):
     e = spark.readStream.schema(schema).parquet(f"{sf}/events*.parquet")
     key = F.concat(F.lit("NSE_EQ|I"), F.col("user_id").cast("string"))
     ltpc = F.struct(F.col("value").alias("ltp"), F.col("event_id").alias("ltq"))
-    union = F.when(F.col("event_type") == "view", F.struct(F.struct(ltpc.alias("ltpc"), F.col("event_id").alias("vtt")).alias("marketFF"), F.lit(None).cast("struct<ltp:double,ltq:bigint>").alias("ltpc"))) \
-        .otherwise(F.struct(F.lit(None).cast("struct<ltpc:struct<ltp:double,ltq:bigint>,vtt:bigint>").alias("marketFF"), ltpc.alias("ltpc")))
+    price, full = "struct<ltp:double,ltq:bigint>", "struct<marketFF:struct<ltpc:struct<ltp:double,ltq:bigint>,vtt:bigint,iv:double,tbq:bigint>,indexFF:struct<ltpc:struct<ltp:double,ltq:bigint>>>"
+    depth = F.struct(ltpc.alias("ltpc"), F.col("event_id").alias("vtt"), (F.col("value") / 2).alias("iv"), F.col("user_id").alias("tbq"))
+    nested = F.when(F.col("event_type") == "view", F.struct(depth.alias("marketFF"), F.lit(None).alias("indexFF")).cast(full)) \
+        .when(F.col("event_type") == "click", F.struct(F.lit(None).alias("marketFF"), F.struct(ltpc.alias("ltpc")).alias("indexFF")).cast(full))
+    union = F.struct(nested.alias("fullFeed"), F.when(nested.isNull(), ltpc).cast(price).alias("ltpc"))
     tick = F.to_json(F.struct(F.lit("live_feed").alias("type"), F.col("ts").cast("string").alias("ts"), F.create_map(key, union).alias("feeds")))
     info = F.to_json(F.struct(F.lit("market_info").alias("type"), F.col("ts").cast("string").alias("ts"), F.create_map(
         F.concat(F.lit("SEG"), (F.col("user_id") % 10).cast("string")), F.element_at(F.array(F.lit("NORMAL_OPEN"), F.lit("CLOSING_END"), F.lit("PRE_OPEN_START")), (F.col("event_id") % 3 + 1).cast("int"))).alias("segmentStatus")))
@@ -37,11 +40,23 @@ def folder(spark):
 TICKS = "tk AS (SELECT 'NSE_EQ|I' || user_id AS instrument_key, value AS ltp, event_id AS ltq, CASE event_type WHEN 'view' THEN event_id END AS volume, ts FROM events WHERE event_type <> 'error')"
 
 
-@query("live_cold_ticks", f"WITH {TICKS} SELECT instrument_key, ltp, ltq, volume, ts, CAST(ts AS DATE) AS knowledge_date FROM tk")
+@query("live_cold_ticks", f"WITH {TICKS} SELECT instrument_key, ltp, ltq, volume, CASE WHEN volume IS NOT NULL THEN ltp / 2 END AS iv, CASE WHEN volume IS NOT NULL THEN CAST(substr(instrument_key, 9) AS DOUBLE) END AS total_buy_qty, ts, true AS stamped FROM tk")
 def live_cold_ticks(spark, sf):
     out, state = folder(spark)
     tk.drain(lambda: tk.cold_sink(tk.decode(feed(spark, sf)), out, state, None))
-    return spark.read.parquet(out).select("instrument_key", "ltp", "ltq", "volume", F.col("ts").cast("timestamp_ntz").alias("ts"), "knowledge_date")
+    stamped = F.col("_vintage_id").isNotNull() & (F.col("_vintage_id") == F.col("batch")) & F.col("knowledge_date").isNotNull()
+    return spark.read.parquet(out).select("instrument_key", "ltp", "ltq", "volume", "iv", "total_buy_qty", F.col("ts").cast("timestamp_ntz").alias("ts"), stamped.alias("stamped"))
+
+
+@query("live_rejects", "SELECT event_id, CASE event_id % 4 WHEN 0 THEN 'not a frame' WHEN 1 THEN 'no known feed' ELSE 'no readable time' END AS reason FROM events WHERE event_id % 4 < 3")
+def live_rejects(spark, sf):
+    k, text = F.col("event_id") % 4, F.col("event_id").cast("string")
+    frame = lambda ts, inner: F.concat(F.lit('{"type": "live_feed", "n": '), text, F.lit(f', "ts": "{ts}", "feeds": {{"K": {inner}}}}}'))
+    price = '{"ltpc": {"ltp": 1.5}}'
+    raw = table(spark, sf, "events").select(F.when(k == 0, F.concat(F.lit("junk "), text)).when(k == 1, frame("2024-01-01 00:00:00", '{"other": 1}'))
+                                            .when(k == 2, frame("yesterday", price)).otherwise(frame("1704067200", price)).alias("value"))
+    out = tk.rejects(raw)
+    return out.select(F.regexp_extract("frame", r"(?:junk |\"n\": )(\d+)", 1).cast("long").alias("event_id"), "reason")
 
 
 @query("live_last_value", f"WITH {TICKS} SELECT instrument_key, max(ts) AS ts, arg_max(ltp, ts) AS ltp, count(*) AS ticks_seen FROM tk GROUP BY 1")

@@ -95,19 +95,26 @@ def chain_greeks(spark, sf):
         "nse_delta", "nse_vega", "theoretical_price_at_nse_iv")])
 
 
-LADDER = f"""{PRICED}, lad AS (SELECT strftime(DATE '2024-01-01' + CAST(round(t * 365) AS INTEGER), '%d-%m-%Y') AS expiry_date,
+LADDER = f"""{PRICED}, lad AS (SELECT 'P' || p_partkey AS symbol, strftime(DATE '2024-01-01' + CAST(round(t * 365) AS INTEGER), '%d-%m-%Y') AS expiry_date,
   strike AS strike_price, max(spot) AS underlying, max(p_partkey % 977) AS call_oi, max(p_partkey % 53 - 26) AS call_oi_chg,
   max(CASE "right" WHEN 'C' THEN round(price, 2) END) AS call_ltp, max(round(sigma * 100, 4)) AS call_iv,
   max(p_partkey % 977) AS put_oi, max(p_partkey % 53 - 26) AS put_oi_chg, max(CASE "right" WHEN 'P' THEN round(price, 2) END) AS put_ltp,
-  max(round(sigma * 100, 4)) AS put_iv FROM bsm GROUP BY 1, 2)"""
+  max(round(sigma * 100, 4)) AS put_iv,
+  max(CASE "right" WHEN 'C' THEN round(n1, 4) + 0 END) AS call_delta, max(CASE "right" WHEN 'P' THEN round(-m1, 4) + 0 END) AS put_delta FROM bsm GROUP BY 1, 2, 3)"""
 
 
 @query("option_ladder", f"WITH {LADDER} SELECT * FROM lad")
 def option_ladder(spark, sf):
-    return op.ladder(op.latest_snapshot(chain(spark, sf)))
+    return rungs(spark, sf)
+
+
+def rungs(spark, sf):
+    newest = op.latest_snapshot(chain(spark, sf))
+    greeks = op.chain_greeks(newest, F.lit(0.0525)).withColumn("nse_delta", F.round("nse_delta", 4) + 0)
+    return op.ladder(newest, greeks)
 
 
 @query("nearest_strikes", f"""WITH {LADDER} SELECT * FROM lad
-  QUALIFY row_number() OVER (PARTITION BY expiry_date ORDER BY abs(strike_price - underlying), strike_price) <= 20""")
+  QUALIFY row_number() OVER (PARTITION BY symbol, expiry_date ORDER BY abs(strike_price - underlying), strike_price) <= 20""")
 def nearest_strikes(spark, sf):
-    return op.nearest_strikes(op.ladder(op.latest_snapshot(chain(spark, sf))), 20)
+    return op.nearest_strikes(rungs(spark, sf), 20)

@@ -524,9 +524,9 @@ def archive_not_archived(spark, sf):
     return ar.not_archived(found, table(spark, sf, "orders").where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("accn")), ["accn"])
 
 
-@query("archive_missing_years", "SELECT DISTINCT CAST(year(l_shipdate) AS INTEGER) AS year FROM lineitem WHERE year(l_shipdate) NOT IN (SELECT year(o_orderdate) FROM orders WHERE o_orderstatus = 'P' AND month(o_orderdate) = 2 AND o_custkey < 50)")
+@query("archive_missing_years", "SELECT DISTINCT CAST(year(l_shipdate) AS INTEGER) AS year FROM lineitem WHERE year(l_shipdate) NOT IN (SELECT year(o_orderdate) + 1 FROM orders)")
 def archive_missing_years(spark, sf):
-    have = table(spark, sf, "orders").where("o_orderstatus = 'P' AND month(o_orderdate) = 2 AND o_custkey < 50").select(F.year("o_orderdate").alias("year"))
+    have = table(spark, sf, "orders").select((F.year("o_orderdate") + 1).alias("year"))
     return ar.missing_periods(table(spark, sf, "lineitem").select(F.year("l_shipdate").alias("year")), have, "year")
 
 

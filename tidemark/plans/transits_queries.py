@@ -45,14 +45,14 @@ def reroute_balance(spark, sf):
 
 
 def shifted(spark, sf):
-    """Traffic with a level shift: one corridor halves and another stops in 1998."""
+    """Traffic with a level shift: one corridor falls to a quarter and another to nothing in 1998. Every order counts; its weight shifts."""
     late = F.to_date("o_orderdate") >= "1998-05-01"
-    o = table(spark, sf, "orders").where(~late | ((F.col("o_orderpriority") != "3-MEDIUM") & ((F.col("o_orderpriority") != "2-HIGH") | (F.col("o_orderkey") % 4 == 0))))
-    return o.groupBy(F.to_date("o_orderdate").alias("date"), F.col("o_orderpriority").alias("portname")).agg(F.count(F.lit(1)).cast("double").alias("n_total"))
+    weight = F.when(late & (F.col("o_orderpriority") == "3-MEDIUM"), 0.0).when(late & (F.col("o_orderpriority") == "2-HIGH"), 0.25).otherwise(1.0)
+    return table(spark, sf, "orders").groupBy(F.to_date("o_orderdate").alias("date"), F.col("o_orderpriority").alias("portname")).agg(F.sum(weight).alias("n_total"))
 
 
-SHIFTED = """sh AS (SELECT CAST(o_orderdate AS DATE) AS date, o_orderpriority AS portname, CAST(count(*) AS DOUBLE) AS n_total FROM orders
-  WHERE o_orderdate < DATE '1998-05-01' OR (o_orderpriority <> '3-MEDIUM' AND (o_orderpriority <> '2-HIGH' OR o_orderkey % 4 = 0)) GROUP BY 1, 2)"""
+SHIFTED = """sh AS (SELECT CAST(o_orderdate AS DATE) AS date, o_orderpriority AS portname, sum(CASE WHEN o_orderdate >= DATE '1998-05-01' AND o_orderpriority = '3-MEDIUM' THEN 0
+  WHEN o_orderdate >= DATE '1998-05-01' AND o_orderpriority = '2-HIGH' THEN 0.25 ELSE 1 END)::DOUBLE AS n_total FROM orders GROUP BY 1, 2)"""
 
 
 @query("regime_breaks")

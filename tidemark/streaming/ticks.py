@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalar import to_double
@@ -21,33 +21,60 @@ LATENESS = "10 seconds"
 
 LTPC = "struct<ltp: double, ltt: bigint, ltq: bigint, cp: double>"
 FULL = f"struct<ltpc: {LTPC}, atp: double, vtt: bigint, oi: double, iv: double, tbq: double, tsq: double>"
-FRAME = (f"struct<type: string, ts: string, feeds: map<string, struct<ltpc: {LTPC}, marketFF: {FULL}, indexFF: struct<ltpc: {LTPC}>>>, "
+BOTH = f"marketFF: {FULL}, indexFF: struct<ltpc: {LTPC}>"
+FRAME = (f"struct<type: string, ts: string, feeds: map<string, struct<ltpc: {LTPC}, fullFeed: struct<{BOTH}>, {BOTH}>>, "
          "segmentStatus: map<string, string>>")
 
 
+def tick_time(text: Column) -> Column:
+    """A time written as a timestamp, or as seconds, milliseconds or microseconds since 1970; NULL where it is neither."""
+    n = text.try_cast("double")
+    unit = F.when(F.abs(n) < 1e11, 1e6).when(F.abs(n) < 1e14, 1e3).otherwise(1.0)
+    return F.coalesce(F.timestamp_micros((n * unit).try_cast("bigint")), F.try_to_timestamp(text))
+
+
 def frames(raw: DataFrame, column: str = "value") -> DataFrame:
-    """Parsed frames of a text or byte column; a frame that is not JSON is dropped."""
+    """Parsed frames of a text or byte column; what is not a frame is in ``rejects``."""
     return raw.select(F.from_json(F.col(column).cast("string"), FRAME).alias("f")).where("f.type IS NOT NULL").select("f.*")
 
 
+def _feeds(raw: DataFrame, column: str) -> DataFrame:
+    f = frames(raw, column).where("type <> 'market_info'").select("ts", F.explode("feeds").alias("instrument_key", "u"))
+    full = F.coalesce("u.fullFeed.marketFF", "u.marketFF")
+    price = F.coalesce("u.ltpc", "u.fullFeed.marketFF.ltpc", "u.fullFeed.indexFF.ltpc", "u.marketFF.ltpc", "u.indexFF.ltpc")
+    return f.select("instrument_key", price.alias("p"), full.alias("m"), tick_time(F.col("ts")).alias("ts"))
+
+
 def decode(raw: DataFrame, column: str = "value") -> DataFrame:
-    """Flat tick records of every feed kind: last price only, full market depth, or index."""
-    f = frames(raw, column).where("type <> 'market_info'").select(F.to_timestamp("ts").alias("ts"), F.explode("feeds").alias("instrument_key", "u"))
-    p = F.coalesce(F.col("u.ltpc"), F.col("u.marketFF.ltpc"), F.col("u.indexFF.ltpc"))
-    return f.where(p.isNotNull()).select("instrument_key", p["ltp"].alias("ltp"), p["ltt"].alias("ltt"), p["ltq"].alias("ltq"), p["cp"].alias("close_price"),
-                                         F.col("u.marketFF.vtt").alias("volume"), F.col("u.marketFF.oi").alias("oi"), F.col("u.marketFF.atp").alias("atp"), "ts")
+    """Flat tick records of every feed kind: last price only, full market depth, or index, nested in ``fullFeed`` or not."""
+    return _feeds(raw, column).where("p IS NOT NULL AND ts IS NOT NULL").select(
+        "instrument_key", "p.ltp", "p.ltt", "p.ltq", F.col("p.cp").alias("close_price"), F.col("m.vtt").alias("volume"), "m.oi", "m.atp",
+        "m.iv", F.col("m.tbq").alias("total_buy_qty"), F.col("m.tsq").alias("total_sell_qty"), "ts")
+
+
+def rejects(raw: DataFrame, column: str = "value") -> DataFrame:
+    """Rows that give no tick and no status, with the reason: not a frame, no known feed, or no readable time."""
+    text = F.col(column).cast("string")
+    f = F.from_json(text, FRAME)
+    known = F.exists(F.map_values(f["feeds"]), lambda u: F.coalesce(
+        u["ltpc"], u["fullFeed"]["marketFF"]["ltpc"], u["fullFeed"]["indexFF"]["ltpc"], u["marketFF"]["ltpc"], u["indexFF"]["ltpc"]).isNotNull())
+    has = F.when(f["type"] == "market_info", f["segmentStatus"].isNotNull()).otherwise(F.coalesce(known, F.lit(False)))
+    reason = F.when(f["type"].isNull(), "not a frame").when(~has, "no known feed").when(tick_time(f["ts"]).isNull(), "no readable time")
+    return raw.select(text.alias("frame"), reason.alias("reason")).where("reason IS NOT NULL")
 
 
 def market_info(raw: DataFrame, column: str = "value") -> DataFrame:
     """Segment status rows, apart from the ticks."""
-    return frames(raw, column).where("type = 'market_info'").select(F.to_timestamp("ts").alias("ts"), F.explode("segmentStatus").alias("segment", "status"))
+    f = frames(raw, column).where("type = 'market_info'").select(tick_time(F.col("ts")).alias("ts"), F.explode("segmentStatus").alias("segment", "status"))
+    return f.where("ts IS NOT NULL")
 
 
 def flat_ticks(raw: DataFrame, column: str = "value") -> DataFrame:
     """Already flat tick records: {token, ltp, volume, oi, ts}."""
     d = F.from_json(F.col(column).cast("string"), "token string, ltp string, volume string, oi string, ts string")
-    return raw.select(d.alias("d")).where("d.token IS NOT NULL").select(F.col("d.token").alias("instrument_key"), to_double("d.ltp").alias("ltp"),
-                                                                       F.col("d.volume").try_cast("bigint").alias("volume"), to_double("d.oi").alias("oi"), F.to_timestamp("d.ts").alias("ts"))
+    flat = raw.select(d.alias("d")).where("d.token IS NOT NULL").select(F.col("d.token").alias("instrument_key"), to_double("d.ltp").alias("ltp"),
+                                                                       F.col("d.volume").try_cast("bigint").alias("volume"), to_double("d.oi").alias("oi"), tick_time(F.col("d.ts")).alias("ts"))
+    return flat.where("ts IS NOT NULL")
 
 
 def deduplicate(ticks: DataFrame, lateness: str = LATENESS) -> DataFrame:
@@ -100,9 +127,16 @@ def feed_status(ticks: DataFrame, now) -> DataFrame:
 
 def cold_sink(ticks: DataFrame, path: str, checkpoint: str, interval: str | None = FLUSH_INTERVAL):
     """Start the append of every tick, one vintage per micro-batch. ``interval=None`` takes
-    what is available and stops."""
-    stamped = ticks.withColumn("knowledge_date", F.to_date("ts"))
-    w = stamped.writeStream.format("parquet").partitionBy("knowledge_date").option("path", path).option("checkpointLocation", checkpoint).outputMode("append")
+    what is available and stops.
+
+    A tick is known from the day it arrives, and its vintage is the batch that brought it. A batch that runs again
+    overwrites its own folder.
+    """
+    def store(batch: DataFrame, batch_id: int) -> None:
+        (batch.withColumns({"_vintage_id": F.lit(batch_id).cast("long"), "knowledge_date": F.current_date()})
+         .write.mode("overwrite").parquet(f"{path}/batch={batch_id}"))
+
+    w = ticks.writeStream.option("checkpointLocation", checkpoint).outputMode("append").foreachBatch(store)
     return (w.trigger(availableNow=True) if interval is None else w.trigger(processingTime=interval)).start()
 
 
