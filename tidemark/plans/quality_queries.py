@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tidemark.operators import lineage as ln
 from tidemark.operators import quality as ql
 from tidemark.plans.bindings import VINTAGES, VKEY, events, table, vintages
 from tidemark.plans.registry import query
+from tidemark.session import shared_folder
 
 def now():
     return F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")
@@ -93,10 +96,14 @@ def quality_status_counts(spark, sf):
     return ql.status_counts(report(spark, sf))
 
 
-@query("quality_report_stored", f"""WITH {REPORT} SELECT "view", status, 900.0::DOUBLE AS age_seconds, true AS stale FROM rep""")
+@query("quality_report_stored", f"""WITH {REPORT} SELECT "view", status, 900.0::DOUBLE AS age_seconds, true AS stale, CAST(NULL AS VARCHAR) AS error FROM rep""")
 def quality_report_stored(spark, sf):
-    stored = report(spark, sf).withColumn("computed_at", F.lit("2001-08-02 12:00:00").cast("timestamp_ntz"))
-    return ql.read_report(stored, 600.0, F.lit("2001-08-02 12:15:00").cast("timestamp_ntz")).select("view", "status", "age_seconds", "stale")
+    """The report stored twice in the shared folder and read back: the newest one, and its age."""
+    path = f"{shared_folder(spark)}/quality-{uuid.uuid4().hex}"
+    at = lambda text: F.lit(text).cast("timestamp_ntz")
+    ql.materialise_report(report(spark, sf).where(F.col("view") != "orders_urgent"), path, at("2001-08-01 12:00:00"))
+    ql.materialise_report(report(spark, sf), path, at("2001-08-02 12:00:00"))
+    return ql.read_report(spark.read.parquet(path), 600.0, at("2001-08-02 12:15:00")).select("view", "status", "age_seconds", "stale", "error")
 
 
 @query("flagged_of_total", f"WITH {MONTHLY} SELECT count(*) FILTER (collapsed) AS flagged, count(*) AS total FROM vl")

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+import uuid
+
 from pyspark.sql import functions as F
 
 from tidemark.operators.asof import collapse, known_by, latest_per, latest_vintage
 from tidemark.plans.bindings import VINTAGES, VKEY, table, vintages
 from tidemark.plans.registry import query
-from tidemark.sources.warehouse import read_only_sql, stamp, union_vintages, VINTAGE
+from tidemark.session import shared_folder
+from tidemark.sources.files import tsv
+from tidemark.sources.registry import natural_key, register
+from tidemark.sources.warehouse import list_datasets, read_only_sql, read_table, register_views, registered, stamp, union_vintages, VINTAGE, write_table
 
 AS_OF = "1998-06-30"
 COLLAPSED = f"""WITH {VINTAGES}, pit AS (SELECT * FROM vin WHERE knowledge_date <= DATE '{AS_OF}'
@@ -71,3 +77,49 @@ def ad_hoc_sql(spark, sf):
     table(spark, sf, "orders").createOrReplaceTempView("tidemark_orders")
     return read_only_sql(spark, "SELECT o_orderpriority, count(*) AS n, round(sum(o_totalprice), 2) AS total "
                                 "FROM tidemark_orders GROUP BY o_orderpriority")
+
+
+# -- written and read again -----------------------------------------------------------
+
+def two_vintages(spark, sf):
+    """Customers written twice to a new warehouse in the shared folder: all of them, then the richer ones with a raised balance."""
+    root = f"{shared_folder(spark)}/warehouse-{uuid.uuid4().hex}"
+    c = table(spark, sf, "customer").select("c_custkey", F.col("c_mktsegment").alias("segment"), F.col("c_acctbal").alias("balance"))
+    at = lambda day: datetime(2024, 1, day, tzinfo=timezone.utc)
+    write_table(c, root, "bank", "accounts", at(1))
+    write_table(c.where("balance > 5000").withColumn("balance", F.col("balance") + 1), root, "bank", "accounts", at(8))
+    return root
+
+
+WRITTEN = """w AS (SELECT c_custkey, c_mktsegment AS segment, c_acctbal AS balance, DATE '2024-01-01' AS k FROM customer
+  UNION ALL SELECT c_custkey, c_mktsegment, c_acctbal + 1, DATE '2024-01-08' FROM customer WHERE c_acctbal > 5000)"""
+
+
+@query("written_vintages_as_of", f"""WITH {WRITTEN} SELECT 'before' AS read, c_custkey, round(balance, 2) AS balance FROM w WHERE k = DATE '2024-01-01'
+  UNION ALL SELECT 'after', c_custkey, round(balance, 2) FROM w QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY k DESC) = 1""")
+def written_vintages_as_of(spark, sf):
+    register("bank_accounts", ["c_custkey"])
+    t = read_table(spark, two_vintages(spark, sf), "bank", "accounts")
+    read = lambda name, day: collapse(t, natural_key("bank_accounts"), day, columns=["c_custkey", "balance"]).select(
+        F.lit(name).alias("read"), "c_custkey", F.round("balance", 2).alias("balance"))
+    return read("before", "2024-01-05").unionByName(read("after", None))
+
+
+@query("registered_views", f"""WITH {WRITTEN} SELECT 'bank_accounts' AS "view", 'bank/accounts' AS dataset, true AS point_in_time, 'c_custkey' AS natural_key,
+  count(*) AS rows, count(DISTINCT k) AS vintages FROM w""")
+def registered_views(spark, sf):
+    register("bank_accounts", ["c_custkey"])
+    root = two_vintages(spark, sf)
+    found = spark.createDataFrame([(f"{s}_{d}", f"{s}/{d}") for s, d in list_datasets(spark, root)], "view string, dataset string")
+    counts = None
+    for name in register_views(spark, root):
+        one = spark.table(name).agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(VINTAGE).alias("vintages")).withColumn("view", F.lit(name))
+        counts = one if counts is None else counts.unionByName(one)
+    return found.join(registered(spark), "view").join(counts, "view")
+
+
+@query("bulk_tsv_members", "SELECT CAST(s_suppkey AS VARCHAR) AS s_suppkey, s_name, lpad(CAST(s_nationkey AS VARCHAR), 4, '0') AS nation FROM supplier")
+def bulk_tsv_members(spark, sf):
+    path = f"{shared_folder(spark)}/bulk-{uuid.uuid4().hex}"
+    table(spark, sf, "supplier").select("s_suppkey", "s_name", F.lpad(F.col("s_nationkey").cast("string"), 4, "0").alias("nation")).write.csv(path, sep="\t", header=True)
+    return tsv(spark, path)
