@@ -42,15 +42,16 @@ def insider_transactions(trans: DataFrame, submissions: DataFrame, owners: DataF
 
     A filing can list several owners. They are reduced to the lowest CIK and a count before
     the join, so no trade is multiplied; both right sides have one row per accession. The
-    count and the choice of owner are partial aggregates, so a filing agent with very many
-    rows does not gather in one task.
+    count is a partial aggregate and the choice is cut to one row per filing in each task before the shuffle, so a filing agent
+    with very many rows does not gather in one task.
     """
     key = "ACCESSION_NUMBER"
     facts = ("RPTOWNERCIK", "RPTOWNERNAME", "RPTOWNER_RELATIONSHIP", "RPTOWNER_TITLE")
-    primary = owners.groupBy(key).agg(F.min(F.struct(*facts)).alias("o"), F.count(F.lit(1)).alias("n_owners_on_filing")) \
-        .select(key, "o.*", "n_owners_on_filing")
-    subs = submissions.groupBy(key).agg(F.min(F.struct("DOCUMENT_TYPE", "ISSUERCIK", "ISSUERNAME", "ISSUERTRADINGSYMBOL",
-                                                      "FILING_DATE", "AFF10B5ONE")).alias("s")).select(key, "s.*")
+    first = lambda df, by: (df.withColumn("_rn", F.row_number().over(Window.partitionBy(key).orderBy(*by)))
+                            .where("_rn = 1").select(key, *by))
+    counts = owners.groupBy(key).agg(F.count(F.lit(1)).alias("n_owners_on_filing"))
+    primary = first(owners, facts).join(counts, key)
+    subs = first(submissions, ("DOCUMENT_TYPE", "ISSUERCIK", "ISSUERNAME", "ISSUERTRADINGSYMBOL", "FILING_DATE", "AFF10B5ONE"))
     df = trans.where(F.col(key).isNotNull()).join(subs, key, "left").join(primary, key, "left")
     shares, price = to_double("TRANS_SHARES"), to_double("TRANS_PRICEPERSHARE")
     traded, filed = parse("TRANS_DATE", DAY_MON_YEAR), parse("FILING_DATE", DAY_MON_YEAR)
