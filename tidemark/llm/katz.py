@@ -11,8 +11,8 @@ so every distribution sums to 1 over all known words and the unknown one. A hist
 its pairs count c(h, w) / (c(h) + 1). Where counts of counts give no discount between 0 and 1, absolute
 discounting with n1 / (n1 + 2 n2) takes its place. Histories begin with a start mark; each text ends with an end token.
 
-Tables, all in the shared folder: word counts; and, partitioned by kind, pair counts, history sums, partial sums of texts
-and backed-off tokens. Pairs are dealt by history; a history with more than a fraction of all tokens is dealt by pair. A task
+Tables, all in the shared folder: word counts; and, partitioned by share and marked by kind, pair counts, history sums, partial sums
+of texts and backed-off tokens. Pairs are dealt by history; a history with more than a fraction of all tokens is dealt by pair. A task
 counts the training pairs of its share and at once evaluates all tokens of the share, as sums that don't depend
 on the discounts. Histories then get their weights, and backed-off tokens join them by history.
 
@@ -33,8 +33,11 @@ from tidemark.llm import common as c
 CUT = 5
 #: Words whose counts are broadcast at most (12 bytes each).
 VOCABULARY = 16_000_000
-#: Tokens of a map task's chunk, and of a share.
-CHUNK = 3_000_000
+#: Tokens of a chunk that a map task codes at once, and of a share.
+CHUNK = 500_000
+SHARE = 1_500_000
+#: Pairs in one row of the table of pair counts.
+PIECE = 1 << 16
 END = np.uint64(0x5EED0E4D5EED0E4D)
 
 
@@ -63,7 +66,7 @@ def word_counts(training: DataFrame) -> DataFrame:
         words, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         out = lambda: pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(counts)], ["word", "c"])
         for batch in batches:
-            for part in c.slices(batch, "text", c.SLICE_BYTES, 1 << 14):
+            for part in c.slices(batch, "text", 1 << 20, 1 << 14):
                 new, n = np.unique(tokens(c.text_array(part.column(0)))[0], return_counts=True)
                 words, back = np.unique(np.concatenate([words, new]), return_inverse=True)
                 counts = np.bincount(back, weights=np.concatenate([counts, n]), minlength=len(words)).astype(np.int64)
@@ -80,7 +83,14 @@ class Words:
 
     def __init__(self, words: np.ndarray, counts: np.ndarray) -> None:
         order = np.argsort(words)
-        self.words, self.counts = words[order], counts[order].astype(np.int64)
+        self.words, self.counts = words[order], counts[order]
+
+    def count_of(self, ids: np.ndarray, start: int) -> np.ndarray:
+        """Counts of ids; unknown words are one id above the last and count 0, the start mark is the largest id."""
+        known = ids < len(self.words)
+        out = np.where(ids == np.iinfo(ids.dtype).max, start, 0)
+        out[known] = self.counts[ids[known]]
+        return out
 
     def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(place, count) of each hash; count 0: unknown."""
@@ -154,7 +164,7 @@ def events(rows: DataFrame, totals: Totals, words) -> DataFrame:
                 yield pa.RecordBatch.from_pylist([row], schema=ARROW)
 
         for batch in batches:
-            for part in c.slices(batch, "text", c.SLICE_BYTES, 1 << 14):
+            for part in c.slices(batch, "text", 1 << 20, 1 << 14):
                 hashes, counts = tokens(c.text_array(part.column(3)))
                 if table is not None:
                     place, count = table.find(hashes)
@@ -194,7 +204,7 @@ def kind_batch(kind: str, n: int, **columns) -> pa.RecordBatch:
 def share_of(rows: list[dict], totals: Totals, table: Words | None) -> Iterator[pa.RecordBatch]:
     """Counts and evaluates the pairs of one share."""
     wide = table is None
-    kind, size = (np.uint64, 8) if wide else (np.uint32, 4)
+    kind = np.uint64 if wide else np.uint32
     parts = []
     docs: list[np.ndarray] = []
     trains: list[np.ndarray] = []
@@ -202,26 +212,34 @@ def share_of(rows: list[dict], totals: Totals, table: Words | None) -> Iterator[
     for r in rows:
         row = np.frombuffer(r["row"], np.int64)
         run = np.frombuffer(r["run"], np.uint32)
-        word = np.frombuffer(r["word"], kind)
-        of = np.frombuffer(r["of"], np.uint16 if len(row) <= 1 << 16 else np.uint32).astype(np.int64) + before
-        parts.append((np.repeat(np.frombuffer(r["history"], kind), run), np.repeat(np.frombuffer(r["history_count"], np.int64), run), word,
-                      np.frombuffer(r["word_count"], np.int64) if wide else None, of))
+        of = np.frombuffer(r["of"], np.uint16 if len(row) <= 1 << 16 else np.uint32).astype(np.int32) + np.int32(before)
+        parts.append((np.repeat(np.frombuffer(r["history"], kind), run), np.frombuffer(r["word"], kind), of,
+                      np.repeat(np.frombuffer(r["history_count"], np.int64), run) if wide else None,
+                      np.frombuffer(r["word_count"], np.int64) if wide else None))
         docs.append(row)
         trains.append(np.frombuffer(r["held"], np.int8) == 0)
         before += len(row)
     row, train = np.concatenate(docs), np.concatenate(trains)
-    history, c_history, word, of = (np.concatenate([p[k] for p in parts]) for k in (0, 1, 2, 4))
-    order = np.lexsort((word, history)) if wide else np.argsort((history.astype(np.uint64) << np.uint64(32)) | word, kind="stable")
-    history, c_history, word, of = history[order], c_history[order], word[order], of[order]
+    history, word, of = (np.concatenate([p[k] for p in parts]) for k in (0, 1, 2))
+    if wide:
+        order = np.lexsort((word, history))
+        history, word, of = history[order], word[order], of[order]
+    else:
+        key = (history.astype(np.uint64) << np.uint64(32)) | word
+        order = np.argsort(key, kind="stable")
+        key, of = key[order], of[order]
+        history, word = (key >> np.uint64(32)).astype(np.uint32), key.astype(np.uint32)
+        del key
     new = np.r_[True, (history[1:] != history[:-1]) | (word[1:] != word[:-1])]
     first = np.flatnonzero(new)
-    count = np.add.reduceat(train[of].astype(np.int64), first)
-    pair = np.cumsum(new) - 1
-    h, w, ch = history[first], word[first], c_history[first]
+    count = np.add.reduceat(train[of], first, dtype=np.int64)
+    pair = np.cumsum(new, dtype=np.int32) - np.int32(1)
+    h, w = history[first], word[first]
     if wide:
-        c_word = np.concatenate([p[3] for p in parts])[order][first]
+        ch, c_word = (np.concatenate([p[k] for p in parts])[order][first] for k in (3, 4))
     else:
-        c_word = np.where(w < len(table.counts), table.counts[np.minimum(w, max(len(table.counts) - 1, 0))] if len(table.counts) else 0, 0)
+        ch, c_word = table.count_of(h, totals.texts), table.count_of(w, 0)
+    del parts, history, word, order, new
     p_word = totals.probability(c_word)
     # sums per history over its pairs seen
     h_new = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
@@ -231,17 +249,19 @@ def share_of(rows: list[dict], totals: Totals, table: Words | None) -> Iterator[
     yield kind_batch("history", len(h_new), history=h[h_new].astype(np.int64), c=ch[h_new], x=mass, **{f"n{r}": n for r, n in enumerate(low, 1)})
     yield kind_batch("counts", 1, **{f"n{r}": [int((count == r).sum())] for r in range(1, CUT + 2)})
     seen_pairs = count > 0
-    yield kind_batch("pairs", 1, history=[int(h[0])], words=[np.stack([h[seen_pairs], w[seen_pairs]]).tobytes()],
-                     counts=[count[seen_pairs].astype(np.uint32).tobytes()])
+    for k in range(0, len(h), PIECE):
+        own = seen_pairs[k:k + PIECE]
+        yield kind_batch("pairs", 1, history=[int(h[k])], words=[np.stack([h[k:k + PIECE][own], w[k:k + PIECE][own]]).tobytes()],
+                         counts=[count[k:k + PIECE][own].astype(np.uint32).tobytes()])
     whole = ch <= totals.n // (4 * totals.shares)  # all pairs of the history are in this share
     bare = (sum(low) == 0)[of_h]
     r = count[pair]
-    seen = r > 0
     log_seen = np.where(count > CUT, np.log10(np.maximum(count, 1)), 0.0) - np.log10(ch + (whole & bare))
-    x = np.bincount(of, weights=np.where(seen, log_seen[pair], np.log10(p_word)[pair]), minlength=len(row))
+    x = np.bincount(of, weights=np.where(count > 0, log_seen, np.log10(p_word))[pair], minlength=len(row))
     ks = [np.bincount(of[r == k], minlength=len(row)) for k in range(1, CUT + 1)]
     touched = np.flatnonzero(np.bincount(of, minlength=len(row)))
     yield kind_batch("texts", len(touched), row=row[touched], x=x[touched], **{f"n{k}": n[touched] for k, n in enumerate(ks, 1)})
+    seen = r > 0
     wait = ~seen | (~whole & bare)[pair]
     if wait.any():
         key = of_h[pair[wait]].astype(np.int64) * len(row) + of[wait]
@@ -280,7 +300,7 @@ def log_factor(factor: list[float]) -> Column:
     return sum((F.coalesce(F.sum(f"n{r}"), F.lit(0)) * F.lit(float(np.log10(d * r))) for r, d in enumerate(factor, 1)), F.lit(0.0))
 
 
-def scores(df: DataFrame, held: Column, doc: str = "doc_id", text: str = "text", vocabulary: int = VOCABULARY, chunk: int = CHUNK) -> DataFrame:
+def scores(df: DataFrame, held: Column, doc: str = "doc_id", text: str = "text", vocabulary: int = VOCABULARY, share: int = SHARE) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row; rows that are not ``held`` are learnt from."""
     spark = df.sparkSession
     rows = df.select(F.monotonically_increasing_id().alias("row"), F.col(doc).cast("long").alias("doc_id"),
@@ -288,16 +308,16 @@ def scores(df: DataFrame, held: Column, doc: str = "doc_id", text: str = "text",
     counts = c.stored(word_counts(rows.where("not held")), "words")
     sums = [F.sum((F.col("c") == r).cast("long")).alias(f"n{r}") for r in range(1, CUT + 2)]
     t = counts.agg(F.sum("c").alias("n"), F.count("c").alias("v"), F.sum(F.when(F.col("word") == int(END.view(np.int64)), F.col("c"))).alias("texts"), *sums).first()
-    totals = Totals(t["n"] or 0, t["v"], t["texts"] or 0, [t[f"n{r}"] or 0 for r in range(1, CUT + 2)], max(1, -(-(t["n"] or 0) // chunk)))
+    totals = Totals(t["n"] or 0, t["v"], t["texts"] or 0, [t[f"n{r}"] or 0 for r in range(1, CUT + 2)], max(1, -(-(t["n"] or 0) // share)))
     if totals.v <= vocabulary:
         table = counts.toArrow().combine_chunks()
         words = spark.sparkContext.broadcast(Words(np.asarray(table["word"], np.int64).view(np.uint64), np.asarray(table["c"], np.int64)))
     else:
         words, rows = None, with_own_counts(rows, counts)
     folder = f"{c.shared_folder(spark)}/llm/katz-{c.uuid.uuid4().hex}"
-    tables(events(rows, totals, words), totals, words).write.partitionBy("kind").parquet(folder)
-    schema = ", ".join(f for f in KINDS.split(", ") if not f.startswith("kind")) + ", kind string"
-    kind = lambda name: spark.read.schema(schema).parquet(folder).where(F.col("kind") == name)
+    tables(events(rows, totals, words), totals, words).write.parquet(folder)
+    c.release(spark)
+    kind = lambda name: spark.read.schema(KINDS).parquet(folder).where(F.col("kind") == name)
     n = kind("counts").agg(*[F.sum(f"n{r}").alias(f"n{r}") for r in range(1, CUT + 2)]).first()
     factor = discounts([n[f"n{r}"] or 0 for r in range(1, CUT + 2)])
     left = sum((F.sum(f"n{r}") * F.lit((1 - d) * r) for r, d in enumerate(factor, 1)), F.lit(0.0))
