@@ -31,6 +31,8 @@ FAMILY = {lang: family for family, langs in FAMILIES.items() for lang in langs}
 
 SIZE = 4096
 PER_LANGUAGE = 1000
+#: Most languages that labels may name.
+LANGUAGES = 1000
 SEPARATOR = np.uint8(32)
 FOLD = np.where(c.ALNUM & ~((np.arange(256) >= 48) & (np.arange(256) < 58)), c.LOWER, SEPARATOR).astype(np.uint8)
 
@@ -120,13 +122,19 @@ class Model:
 def trained(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id",
             per_language: int = PER_LANGUAGE) -> Model:
     """Model fitted on at most ``per_language`` texts of each language; rows without text or language don't count."""
-    rank = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     rows = (labelled.select(F.col(key).alias("doc_id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
             .where("lang is not null and text is not null and doc_id is not null"))
-    # only ids are ranked, and each task sends its first ones of a language; their texts are read by a second scan
-    chosen = (rows.select("doc_id", "lang").withColumn("_rank", F.row_number().over(rank))
-              .where(F.col("_rank") <= per_language).select("doc_id", "lang"))
-    sample = rows.join(chosen, ["doc_id", "lang"], "left_semi").select("lang", "text")
+    # of each language the ids of smallest hash: a bound that lets about four times as many through, then their rank
+    ids = rows.select("doc_id", "lang", (F.shiftrightunsigned(F.xxhash64("doc_id"), 11) / F.lit(float(1 << 53))).alias("_place"))
+    sizes = ids.groupBy("lang").agg(F.count(F.lit(1)).alias("_n")).collect()
+    if len(sizes) > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} languages; a machine per pair of them can't be fitted")
+    sizes = labelled.sparkSession.createDataFrame(sizes, "lang string, _n long")
+    near = ids.join(F.broadcast(sizes), "lang").where(F.col("_place") * F.col("_n") < 4 * per_language)
+    rank = Window.partitionBy("lang").orderBy("_place", "doc_id")
+    chosen = near.withColumn("_rank", F.row_number().over(rank)).where(F.col("_rank") <= per_language).select("doc_id", "lang")
+    # at most per_language ids for each of at most LANGUAGES languages
+    sample = rows.join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi").select("lang", "text")
 
     def vectors(batches):
         for batch in batches:
