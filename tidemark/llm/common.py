@@ -46,8 +46,9 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
 def release(spark: SparkSession) -> None:
     """Lets Spark's cleaner remove shuffle files and broadcasts that nothing refers to."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):  # what the first one frees lets go of more
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
 
 
 def text_array(column: pa.Array) -> pa.Array:
