@@ -14,7 +14,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-#: Normalised sentences of common license texts and notices, and their identifiers.
+#: Normalised sentences of common license texts and notices as ``sentences`` leaves them, and their identifiers. Where
+#: a text on one line makes one sentence of several, it has the identifiers of all of them.
 SENTENCES = {
     "released under the mit license": "mit-note",
     "licensed under the mit license": "mit-note",
@@ -28,8 +29,23 @@ SENTENCES = {
     "merchantability fitness for a particular purpose and noninfringement": "mit-warranty",
     "licensed under the apache license version 2 0": "apache-2-note",
     "licensed under the apache license version 2 0 the license": "apache-2-note",
+    "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license": "apache-2-note,apache-2-use",
     "you may not use this file except in compliance with the license": "apache-2-use",
     "you may obtain a copy of the license at": "apache-2-copy",
+    "you may obtain a copy of the license at http www apache org licenses license 2 0": "apache-2-copy",
+    "you may obtain a copy of the license at http www apache org licenses license 2 0 unless required by applicable law or agreed to in writing "
+    "software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or "
+    "implied": "apache-2-copy,apache-2-warranty",
+    "http www apache org licenses license 2 0 unless required by applicable law or agreed to in writing "
+    "software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or "
+    "implied": "apache-2-warranty",
+    "you may obtain a copy of the license at https www apache org licenses license 2 0": "apache-2-copy",
+    "you may obtain a copy of the license at https www apache org licenses license 2 0 unless required by applicable law or agreed to in writing "
+    "software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or "
+    "implied": "apache-2-copy,apache-2-warranty",
+    "https www apache org licenses license 2 0 unless required by applicable law or agreed to in writing "
+    "software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or "
+    "implied": "apache-2-warranty",
     "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis "
     "without warranties or conditions of any kind either express or implied": "apache-2-warranty",
     "see the license for the specific language governing permissions and limitations under the license": "apache-2-see",
@@ -37,8 +53,12 @@ SENTENCES = {
     "licensed under the gnu general public license version 3": "gpl-3-note",
     "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as "
     "published by the free software foundation either version 3 of the license or at your option any later version": "gpl-3-grant",
+    "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software "
+    "foundation either version 3 of the license or at your option any later version": "gpl-3-grant",
     "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as "
     "published by the free software foundation either version 2 of the license or at your option any later version": "gpl-2-grant",
+    "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software "
+    "foundation either version 2 of the license or at your option any later version": "gpl-2-grant",
     "this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of "
     "merchantability or fitness for a particular purpose": "gpl-warranty",
     "see the gnu general public license for more details": "gpl-see",
@@ -47,6 +67,14 @@ SENTENCES = {
     "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer": "bsd-source",
     "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the "
     "documentation and or other materials provided with the distribution": "bsd-binary",
+    "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this "
+    "software without specific prior written permission": "bsd-names",
+    "neither the name of the university nor the names of its contributors may be used to endorse or promote products derived from this "
+    "software without specific prior written permission": "bsd-names",
+    "neither the name of the organization nor the names of its contributors may be used to endorse or promote products derived from this "
+    "software without specific prior written permission": "bsd-names",
+    "neither the name of the author nor the names of its contributors may be used to endorse or promote products derived from this "
+    "software without specific prior written permission": "bsd-names",
     "licensed under cc by nc 4 0": "cc-by-nc-4-note",
     "licensed under cc by 4 0": "cc-by-4-note",
     "licensed under cc by sa 4 0": "cc-by-sa-4-note",
@@ -56,13 +84,17 @@ SENTENCES = {
     "all rights reserved": "reserved",
 }
 
-#: Ordered rules, longer ones first.
+#: Ordered rules, longer ones first. First sentences may be lost to a copyright line before them on the same line.
 RULES = [
     ("Apache-2.0", ["apache-2-note", "apache-2-use", "apache-2-copy", "apache-2-warranty", "apache-2-see"]),
     ("GPL-3.0-or-later", ["gpl-3-grant", "gpl-warranty", "gpl-see"]),
     ("GPL-2.0-or-later", ["gpl-2-grant", "gpl-warranty", "gpl-see"]),
     ("MIT", ["mit-grant", "mit-notice", "mit-warranty"]),
+    ("BSD-3-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-names"]),
     ("BSD-2-Clause", ["bsd-grant", "bsd-source", "bsd-binary"]),
+    ("BSD-3-Clause", ["bsd-source", "bsd-binary", "bsd-names"]),
+    ("MIT", ["mit-notice", "mit-warranty"]),
+    ("BSD-2-Clause", ["bsd-source", "bsd-binary"]),
     ("GPL-3.0-or-later", ["gpl-3-grant"]),
     ("GPL-2.0-or-later", ["gpl-2-grant"]),
     ("MIT", ["mit-note"]),
@@ -75,7 +107,7 @@ RULES = [
 ]
 
 #: Every known sentence has one of these words.
-TRIGGER = "licens|permi|warrant|rights reserved|redistribut|copyright"
+TRIGGER = r"licens|permi|warrant|rights\s+reserved|redistribut|copyright"
 
 
 def patterns() -> list[tuple[str, str, list[str]]]:
