@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import chunk_dedup, cuts, decontamination, embedding_dedup, katz, language_id, licenses, sentence_pieces, simhash, suffix_dedup, token_files
+from tidemark.llm import byte_bpe, chunk_dedup, cuts, decontamination, embedding_dedup, heap_clusters, katz, language_id, licenses, sentence_pieces, simhash, suffix_dedup, token_files
 from tidemark.llm.common import read
 from tidemark.plans.registry import Query
 from tidemark.session import shared_folder
@@ -89,3 +89,17 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_suffix_dedup")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cuts.digests(suffix_dedup.without_repeats(read(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+@query("op11_heap_clusters")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return heap_clusters.clusters(read(spark, sf_dir, "embeddings"), clusters=40, rounds=5)
+
+
+@query("op13_byte_bpe")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = tokenizer("byte_bpe_50k.tiktoken")
+    ids = byte_bpe.encode(read(spark, sf_dir, "documents").select("doc_id", "text"), ranks, public_tokenizers.PATTERN).select("doc_id", "ids")
+    return byte_bpe.digests(byte_bpe.decode(ids, ranks))
