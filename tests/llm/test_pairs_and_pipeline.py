@@ -128,7 +128,7 @@ def test_queries_and_pipeline(spark):
     import corpus_pipeline
     from tidemark.llm import queries
 
-    assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in queries.QUERIES) == [*range(1, 12), 13]
+    assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in queries.QUERIES) == list(range(1, 14))
     for name, columns in COLUMNS.items():
         assert columns <= set(queries.QUERIES[name](spark, SF).columns)
     docs = spark.read.parquet(f"{SF}/documents.parquet")

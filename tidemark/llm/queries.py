@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import byte_bpe, chunk_dedup, cuts, decontamination, embedding_dedup, heap_clusters, katz, language_id, licenses, sentence_pieces, simhash, suffix_dedup, token_files
+from tidemark.llm import byte_bpe, chunk_dedup, cuts, decontamination, embedding_dedup, heap_clusters, katz, language_id, licenses, sentence_pieces, simhash, spelling, suffix_dedup, token_files
 from tidemark.llm.common import read
 from tidemark.plans.registry import Query
 from tidemark.session import shared_folder
@@ -96,6 +96,11 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return heap_clusters.clusters(read(spark, sf_dir, "embeddings"), clusters=40, rounds=5)
 
 
+@query("op12_spelling_variants")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(read(spark, sf_dir, "documents"))
+
+
 @query("op13_byte_bpe")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
