@@ -102,7 +102,7 @@ def owners(rows: DataFrame) -> DataFrame:
                 doc = np.asarray(part.column(0), np.int64)[owner[own]]
                 yield pa.RecordBatch.from_arrays([pa.array(d[own, 0]), pa.array(d[own, 1]), pa.array(doc)], ["d1", "d2", "doc"])
 
-    found = rows.mapInArrow(run, "d1 long, d2 long, doc long")
+    found = rows.mapInArrow(c.frugal(run), "d1 long, d2 long, doc long")
     return (found.groupBy("d1", "d2").agg(F.min("doc").alias("owner"), F.max("doc").alias("last"))
             .where("owner < last").select("d1", "d2", "owner"))
 
@@ -137,7 +137,7 @@ def spans(df: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
                      pa.array(start[keep]), pa.array(size[keep]), pa.array(inside[keep])],
                     ["d1", "d2", "doc", "text_key", "start", "size", "inside"])
 
-    found = rows.mapInArrow(run, "d1 long, d2 long, doc long, text_key long, start long, size long, inside boolean")
+    found = rows.mapInArrow(c.frugal(run), "d1 long, d2 long, doc long, text_key long, start long, size long, inside boolean")
     found = found.join(repeated, ["d1", "d2"], "left").where("inside or owner < doc")
     # a list per document, of no more chunks than its own text has
     return found.groupBy("doc", "text_key").agg(F.collect_set(F.struct("start", "size")).alias("spans"))

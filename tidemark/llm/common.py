@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import itertools
 from collections.abc import Iterator
@@ -243,7 +244,28 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def with_columns(df: DataFrame, text: str, fields: list[tuple[str, str, pa.DataType]], make) -> DataFrame:
+def tidy() -> None:
+    """Gives memory that nothing uses back to the machine."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # another C library
+        pass
+
+
+def frugal(run):
+    """``run`` for ``mapInArrow``; a worker that Spark keeps for later tasks holds no memory of this one."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            del batches
+            tidy()
+    return work
+
+
+def with_columns(df: DataFrame, text: str, fields: list[tuple[str, str, pa.DataType]], make, max_bytes: int = SLICE_BYTES,
+                 max_rows: int = SLICE_ROWS) -> DataFrame:
     """``df`` with the columns that ``make(texts)`` returns for each slice, as (name, Spark type, Arrow type).
 
     Columns of those names are replaced. ``make`` is called inside the tasks and gets a large string array.
@@ -254,8 +276,8 @@ def with_columns(df: DataFrame, text: str, fields: list[tuple[str, str, pa.DataT
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for batch in batches:
-            for part in slices(batch, text):
+            for part in slices(batch, text, max_bytes, max_rows):
                 new = work(part.column(part.schema.get_field_index(text)))
                 yield pa.RecordBatch.from_arrays([*part.columns, *new], [*part.schema.names, *[f[0] for f in fields]])
 
-    return kept.mapInArrow(run, schema)
+    return kept.mapInArrow(frugal(run), schema)

@@ -59,7 +59,7 @@ def cut(df: DataFrame, spans: str = "spans", text: str = "text", shortest: int =
                     [part.column(part.schema.get_field_index(x)) for x in names] + [pa.array(v, f[2]) for v, f in zip(out, fields)],
                     names + [f[0] for f in fields])
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(c.frugal(run), schema)
 
 
 def cut_found(df: DataFrame, found: DataFrame, doc: str, text: str, shortest: int = 1) -> DataFrame:

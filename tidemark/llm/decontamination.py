@@ -132,7 +132,7 @@ def item_blocks(benchmark: DataFrame, item: str, text: str, block_words: int) ->
             yield pa.RecordBatch.from_arrays([batch.column(0), c.lists(words.view(np.int64), np.diff(first), pa.int64())], ["item_id", "words"])
 
     rows = c.stored(benchmark.select(F.col(item).cast("long").alias("item_id"), F.col(text).alias("text"))
-                    .mapInArrow(hashed, "item_id long, words array<long>").where(F.size("words") >= SHORTEST), "items")
+                    .mapInArrow(c.frugal(hashed), "item_id long, words array<long>").where(F.size("words") >= SHORTEST), "items")
     total = rows.agg(F.sum(F.size("words"))).first()[0] or 0
     blocks = max(1, math.ceil(total / block_words))
     for k in range(blocks):

@@ -30,6 +30,8 @@ FAMILIES = {
 FAMILY = {lang: family for family, langs in FAMILIES.items() for lang in langs}
 
 SIZE = 4096
+#: Text and rows whose counts a task holds at once.
+PART_BYTES, PART_ROWS = 1 << 19, 64
 PER_LANGUAGE = 1000
 #: Most languages that labels may name.
 LANGUAGES = 1000
@@ -138,14 +140,14 @@ def trained(labelled: DataFrame, text: str = "text", lang: str = "lang", key: st
 
     def vectors(batches):
         for batch in batches:
-            for part in c.slices(batch, "text"):
+            for part in c.slices(batch, "text", PART_BYTES, PART_ROWS):
                 x = features(c.text_array(part.column(1))).astype(np.float32)
                 where = np.nonzero(x)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), c.lists(where[1].astype(np.int32), (x > 0).sum(1), pa.int32()),
                      c.lists(x[where], (x > 0).sum(1), pa.float32())], ["lang", "at", "value"])
 
-    table = sample.mapInArrow(vectors, "lang string, at array<int>, value array<float>").toArrow()
+    table = sample.mapInArrow(c.frugal(vectors), "lang string, at array<int>, value array<float>").toArrow()
     rows = table.combine_chunks()
     counts = np.asarray(pc.list_value_length(rows["at"]).combine_chunks(), np.int64) if len(rows) else np.zeros(0, np.int64)
     x = np.zeros((len(rows), SIZE), np.float32)
@@ -166,7 +168,7 @@ def identify(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
             return [pa.array(lang, pa.string()), pa.array(score, pa.float64())]
         return work
 
-    return c.with_columns(df, text, [("lang_pred", "string", pa.string()), ("lang_score", "double", pa.float64())], make)
+    return c.with_columns(df, text, [("lang_pred", "string", pa.string()), ("lang_score", "double", pa.float64())], make, PART_BYTES, PART_ROWS)
 
 
 def held_out(key: str = "doc_id"):

@@ -268,7 +268,7 @@ def decode(df: DataFrame, model: str, ids: str = "ids", text: str = "decoded") -
                 new = decoder.text(np.asarray(part.flatten(), np.int64), sizes[a:b])
                 yield pa.RecordBatch.from_arrays([*batch.slice(a, b - a).columns, new], [*batch.schema.names, text])
 
-    return kept.mapInArrow(run, schema)
+    return kept.mapInArrow(c.frugal(run), schema)
 
 
 def digests(df: DataFrame) -> DataFrame:
