@@ -34,9 +34,9 @@ FIRST = 1 << 16
 RANKS = 1 << 20
 #: White space of the Unicode property, which ``\s`` stands for in the tokenizers' patterns.
 SPACE = "".join(map(regex.escape, map(chr, [*range(9, 14), 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288])))
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 4 << 20
 #: Words whose merges a task remembers from slice to slice.
-REMEMBERED = 1 << 17
+REMEMBERED = 1 << 16
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -152,7 +152,7 @@ def packed(df: DataFrame, table: Table, pattern: str, text: str, names: list[str
                 words = pa.StructArray.from_arrays([pa.array(symbols, pa.string()), pa.array(merges, pa.list_(pa.int32()))], ["symbols", "merges"])
                 yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in (docs, words)], ["docs", "words"])
 
-    return rows.mapInArrow(run, f"docs array<struct<{inner}>>, words array<struct<symbols: string, merges: array<int>>>")
+    return rows.mapInArrow(c.frugal(run), f"docs array<struct<{inner}>>, words array<struct<symbols: string, merges: array<int>>>")
 
 
 def encode(df: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
