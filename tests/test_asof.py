@@ -88,6 +88,15 @@ def test_write_read_and_views(spark, tmp_path):
     assert row.point_in_time is False and row.natural_key is None
     with pytest.raises(ValueError):
         wh.read_only_sql(spark, "DROP TABLE zzz_px_daily")
+    for action in ("TRUNCATE TABLE zzz_px_daily", "SET spark.sql.ansi.enabled = false", "REFRESH TABLE zzz_px_daily", "CACHE TABLE zzz_px_daily", "CLEAR CACHE",
+                   "MERGE INTO t USING s ON t.a = s.a WHEN MATCHED THEN DELETE", "INSERT INTO t VALUES (1)", "WITH s AS (SELECT 1) INSERT INTO t SELECT * FROM s",
+                   "FROM zzz_px_daily INSERT INTO t SELECT *", "CREATE VIEW v AS SELECT 1", "ADD JAR 'x.jar'", "USE other", "UPDATE t SET a = 1", "DELETE FROM t",
+                   "SELECT TRANSFORM (a) USING 'cat' FROM t", "WITH x AS (SELECT TRANSFORM (a) USING 'cat' FROM t) SELECT * FROM x"):
+        with pytest.raises(ValueError, match="read-only"):
+            wh.read_only_sql(spark, action)
+    assert wh.read_only_sql(spark, "SELECT ' drop table; insert ' AS x, 1 AS update_count").first().x == " drop table; insert "
+    assert wh.read_only_sql(spark, "WITH x AS (SELECT symbol FROM zzz_px_daily) SELECT * FROM x", 1).count() == 1
+    assert wh.read_only_sql(spark, "SHOW VIEWS").count() >= 1
 
 
 def test_declared_schema_fills_missing_columns(spark, tmp_path):

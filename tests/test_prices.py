@@ -124,6 +124,17 @@ def test_monthly_change_spans_a_missing_month(spark):
     assert [(x.month_end, x.change) for x in m] == [(date(2026, 3, 31), 25.0)]
 
 
+def test_exact_quantile_of_values_in_a_narrow_range(spark):
+    """All values in one bucket of the first histogram, with ties, and far fewer buckets than values."""
+    rng = np.random.default_rng(4)
+    values = np.r_[0.25 + rng.random(3000) * 1e-12, np.full(500, 0.25), [-1e300, 1e300, 5.0]]
+    df = spark.createDataFrame([(float(x),) for x in values], "v double").repartition(3)
+    for q in (0.0, 0.0003, 0.1, 0.5, 0.77, 0.9999, 1.0):
+        got = df.limit(1).select(exact_quantile(df, "v", q, -1.0, 1.0, 8).alias("q")).first().q
+        assert got == pytest.approx(np.quantile(values, q), rel=1e-14)
+    assert df.limit(1).select(exact_quantile(df.where("false"), "v", 0.5, 0.0, 1.0).alias("q")).first().q is None
+
+
 def test_exact_quantile_equals_numpy(spark):
     rng = np.random.default_rng(5)
     v = np.concatenate([rng.normal(0, 1, 2000), np.zeros(500)])

@@ -61,10 +61,27 @@ def test_lineage_stops_in_a_cycle_and_at_depth(spark):
     loop = ln.edges(spark, {"a": ("b",), "b": ("a",)})
     assert [(x.view, x.repeated) for x in ln.trace(loop, "a").orderBy("visit").collect()] == [("a", False), ("b", False), ("a", True)]
     deep = ln.edges(spark, {f"n{i}": (f"n{i + 1}",) for i in range(12)})
-    r = ln.trace(deep, "n0").collect()
+    r = ln.trace(deep, "n0", 6).collect()
     assert max(x.depth for x in r) == 7 and [x.view for x in r if x.truncated] == ["n7"]
 
 
+def test_many_paths_are_one_visit_each(spark):
+    """Thirty diamonds in a row: 2 ** 30 paths, 91 views."""
+    up = {}
+    for i in range(30):
+        up[f"n{i}"] = (f"l{i}", f"r{i}")
+        up[f"l{i}"] = up[f"r{i}"] = (f"n{i + 1}",)
+    r = ln.trace(ln.edges(spark, up), "n0").collect()
+    assert len(r) == 1 + 120 and sum(x.repeated for x in r) == 30 and max(x.depth for x in r) == 60
+    assert {x.view for x in r if x.repeated} == {f"n{i}" for i in range(1, 31)}
+
+
+def test_a_deep_first_visit_closes_a_later_short_one(spark):
+    up = {"r": ("a", "x"), "a": ("b",), "b": ("x",), "x": ("y",)}
+    r = [(x.view, x.depth, x.repeated, x.truncated) for x in ln.trace(ln.edges(spark, up), "r", 2).orderBy("visit").collect()]
+    assert r == [("r", 0, False, False), ("a", 1, False, False), ("b", 2, False, False), ("x", 3, False, True), ("x", 1, True, False)]
+
+
 def test_repeated_view_is_not_opened_again(spark):
     e = ln.edges(spark, {"r": ("a", "b"), "a": ("c",), "b": ("a",), "c": ("d",)})
     r = [(x.view, x.depth, x.repeated) for x in ln.trace(e, "r").orderBy("visit").collect()]

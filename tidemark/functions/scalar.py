@@ -75,30 +75,42 @@ def zscore_columns(df: DataFrame, value: str, out: str, sign: float = 1.0) -> Da
     return df.withColumn(out, F.when(F.col(value).isNotNull(), z))
 
 
+def nth_value(rows: DataFrame, rank: int, low: float, high: float, buckets: int) -> tuple[float, int]:
+    """The value of a rank (from 0) among the doubles ``v``, and how many are not larger; the rank must be less than the count.
+
+    Counts per bucket of a range, with the smallest and largest value of each, find the bucket that holds the rank. Its values are the next range,
+    until they are all equal. Only the counts, ``buckets`` at most, come to the driver; values are never ranked.
+    """
+    before, inside = 0, rows
+    while True:
+        at = F.floor((F.col("v") - low) / (high - low) * buckets) if high > low else F.lit(0)
+        counts = inside.groupBy(F.greatest(F.least(at, F.lit(buckets - 1)), F.lit(0)).cast("int").alias("b")).agg(
+            F.count(F.lit(1)).alias("n"), F.min("v").alias("low"), F.max("v").alias("high")).orderBy("b").collect()
+        for r in counts:
+            if before + r.n > rank:
+                break
+            before += r.n
+        low, high = r.low, r.high
+        if low == high:
+            return low, before + r.n
+        inside = rows.where(F.col("v").between(low, high))
+
+
 def exact_quantile(df: DataFrame, value: str, q: float, low: float, high: float, buckets: int = 10_000) -> Column:
-    """Interpolated quantile of all values, usable in any other frame.
+    """Interpolated quantile of all values, usable in any other frame; null without values.
 
-    A histogram of ``buckets`` counts finds the buckets that hold the two neighbouring
-    ranks; only the distinct values inside those are then counted one by one. Nothing with
-    the size of the table meets in one task.
+    ``low`` and ``high`` are the range that most values are expected in. Found by refining a histogram, so nothing with the size of the table meets
+    in one task, however narrow the range is that holds the values.
     """
-    v = F.col(value).cast("double")
-    at = F.greatest(F.least(F.floor((v - low) / (high - low) * buckets), F.lit(buckets - 1)), F.lit(0)).cast("int")
-    rows = df.where(v.isNotNull()).select(v.alias("_v"), at.alias("_b"))
-    upto = Window.partitionBy(F.lit(0))
-    hist = rows.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
-    hist = hist.select("_b", F.sum("_n").over(upto.orderBy("_b")).alias("_cum"), "_n", F.sum("_n").over(upto).alias("_all"))
-    pos = (F.col("_all") - 1) * F.lit(float(q))
-    k = F.floor(pos)
-    holds = lambda rank: (F.col("_cum") > rank) & (F.col("_cum") - F.col("_n") <= rank)
-    picked = hist.agg(F.max(F.when(holds(k), F.col("_b"))).alias("b0"), F.max(F.when(holds(F.least(k + 1, F.col("_all") - 1)), F.col("_b"))).alias("b1"),
-                      F.max(F.when(holds(k), F.col("_cum") - F.col("_n"))).alias("before"), F.max(pos).alias("pos"), F.max("_all").alias("n"))
-    part = rows.withColumn("_p", picked.select(F.struct("b0", "b1", "before", "pos", "n")).scalar()).where((F.col("_b") >= F.col("_p.b0")) & (F.col("_b") <= F.col("_p.b1")))
-    vals = part.groupBy("_v", "_p").agg(F.count(F.lit(1)).alias("_n")).withColumn("_cum", F.col("_p.before") + F.sum("_n").over(upto.orderBy("_v")))
-    rank = F.floor("_p.pos")
-    value_at = lambda r: F.max(F.when((F.col("_cum") > r) & (F.col("_cum") - F.col("_n") <= r), F.col("_v")))
-    out = vals.agg(value_at(rank).alias("a"), value_at(F.least(rank + 1, F.col("_p.n") - 1)).alias("c"), F.max(F.col("_p.pos") - rank).alias("f"))
-    return out.select((F.col("a") + (F.col("c") - F.col("a")) * F.col("f")).alias("q")).scalar()
+    rows = df.select(F.col(value).cast("double").alias("v")).where("v IS NOT NULL")
+    n = rows.count()
+    if not n:
+        return F.lit(None).cast("double")
+    position = (n - 1) * q
+    k = int(position)
+    a, upto = nth_value(rows, k, low, high, buckets)
+    following = a if upto > k + 1 or k + 1 >= n else rows.where(F.col("v") > a).agg(F.min("v")).first()[0]
+    return F.lit(a + (following - a) * (position - k))
 
 
 def require_rows(df: DataFrame, minimum: int, message: str) -> DataFrame:

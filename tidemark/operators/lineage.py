@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.session import materialise
+
 # Inputs of each computed view, in order.
 EVENT_INPUTS = ("nse_bulk_deals", "nse_block_deals", "nse_insider_trading", "nse_participant_oi", "nse_shareholding_pattern")
 UPSTREAM = {
@@ -57,7 +59,6 @@ RAW_DATASETS = {
     "sec_companyfacts_restatements": ("sec/companyfacts", "sec/companyfacts_bulk"),
     "sec_sp500_constituents": ("sec/ticker_map",),
 }
-MAX_DEPTH = 6
 COMPUTED_PREFIXES = ("derived_", "analytics_")
 
 
@@ -76,38 +77,59 @@ def raw_links(spark: SparkSession, views: Sequence[str] = ()) -> DataFrame:
     return spark.createDataFrame(rows, "view string, raw_dataset string")
 
 
-def trace(edge: DataFrame, root: str, max_depth: int = MAX_DEPTH, approximate: Sequence[str] = APPROXIMATE) -> DataFrame:
+STEP = 5  # characters of one step of a visit: the edge's number in four digits and a dot
+
+
+def first_visits(edge: DataFrame, root: str, max_depth: int | None = None) -> DataFrame:
+    """(view, visit, path) of every view reached from ``root``: its first visit in depth-first order.
+
+    That visit is the smallest path in the order of edge numbers, and a smallest path is made of smallest paths. So a frontier of views
+    whose visit is new or became smaller goes on from round to round, and everything that is not is left out by a join with the visits
+    known; a view holds one visit however many paths lead to it.
+    """
+    edge = materialise(edge.select("view", "ordinal", "upstream"))
+    known = frontier = edge.sparkSession.createDataFrame([(root, "", root)], "view string, visit string, path string")
+    while True:
+        onward = frontier if max_depth is None else frontier.where(F.length("visit") <= STEP * max_depth)
+        step = onward.join(edge, "view").select(
+            F.col("upstream").alias("view"), F.struct(below().alias("visit"), F.concat_ws(" > ", "path", "upstream").alias("path")).alias("way"))
+        found = step.groupBy("view").agg(F.min("way").alias("way")).select("view", "way.*")
+        before = known.select(F.col("view").alias("seen"), F.col("visit").alias("before"))
+        frontier = materialise(found.join(before, found["view"] == before["seen"], "left")
+                               .where(F.col("before").isNull() | (F.col("visit") < F.col("before"))).select("view", "visit", "path"))
+        if frontier.isEmpty():
+            return known
+        known = materialise(known.join(frontier.select("view"), "view", "left_anti").unionByName(frontier))
+
+
+def below() -> Column:
+    """The visit of an edge's far end."""
+    return F.concat("visit", F.lpad(F.col("ordinal").cast("string"), STEP - 1, "0"), F.lit("."))
+
+
+def trace(edge: DataFrame, root: str, max_depth: int | None = None, approximate: Sequence[str] = APPROXIMATE) -> DataFrame:
     """Every node reached from ``root`` in depth-first order, one row per visit.
 
-    A view met again is marked repeated and not opened again; a node deeper than
-    ``max_depth`` is marked truncated. The recursive query lists paths; ranking the paths by
-    edge order gives the visit order, and a path survives only while everything above it
-    was a first visit.
+    A view met again is marked repeated and not opened again. With a ``max_depth`` a node deeper than it is marked truncated and not opened.
     """
-    edge.createOrReplaceTempView("tidemark_edges")
-    safe = root.replace("'", "''")
-    walked = edge.sparkSession.sql(f"""
-        WITH RECURSIVE walk(view, depth, visit, path) AS (
-          SELECT '{safe}', 0, CAST('' AS STRING), array('{safe}')
-          UNION ALL
-          SELECT e.upstream, w.depth + 1, concat(w.visit, lpad(CAST(e.ordinal AS STRING), 4, '0'), '.'), array_append(w.path, e.upstream)
-          FROM walk w JOIN tidemark_edges e ON e.view = w.view
-          WHERE w.depth <= {max_depth} AND NOT array_contains(slice(w.path, 1, size(w.path) - 1), w.view))
-        SELECT * FROM walk""")
-    # A visit is a repeat when the same view was expanded at an earlier position. Positions are
-    # decided level by level: a node counts only if its parent was a first visit.
-    firsts = walked.groupBy("view").agg(F.min("visit").alias("first"))
-    df = walked.join(firsts, "view").withColumn("repeated", F.col("visit") > F.col("first"))
-    closed = df.where("repeated").select(F.col("visit").alias("prefix"))
-    # Each step of a visit is five characters, so the nodes above it are its shorter prefixes.
-    above = F.transform(F.sequence(F.lit(1), F.col("depth") - 1), lambda i: F.substr(F.col("visit"), F.lit(1), i * 5))
-    hidden = df.where("depth > 1").select("visit", F.explode(above).alias("prefix")).join(closed, "prefix", "left_semi").select("visit").distinct()
-    open_rows = df.join(hidden, "visit", "left_anti")
+    firsts = first_visits(edge, root, max_depth)
+    if max_depth is not None:
+        # a view may have been reached through a visit that was given up later for an earlier one too deep to go on
+        above = F.transform(F.sequence(F.lit(1), (F.length("visit") / STEP).cast("int")), lambda i: F.substr(F.col("visit"), F.lit(1), i * STEP))
+        lost = firsts.where("visit <> ''").select("view", F.explode(above).alias("above")).join(firsts.select(F.col("visit").alias("above")), "above", "left_anti")
+        firsts = materialise(firsts.join(lost.select("view").distinct(), "view", "left_anti"))
+    opened = firsts if max_depth is None else firsts.where(F.length("visit") <= STEP * max_depth)
+    visits = opened.join(edge, "view").select(F.col("upstream").alias("view"), below().alias("visit"), F.concat_ws(" > ", "path", "upstream").alias("path"))
+    visits = firsts.where("visit = ''").unionByName(visits)
+    first = firsts.select(F.col("view").alias("v"), F.col("visit").alias("first"))
+    depth = (F.length("visit") / STEP).cast("int")
     computed = F.lit(False)
     for p in COMPUTED_PREFIXES:
         computed = computed | F.startswith(F.col("view"), F.lit(p))
-    return open_rows.select("view", "depth", "visit", F.array_join("path", " > ").alias("path"), computed.alias("computed"),
-                            F.col("view").isin(*approximate).alias("approximate"), "repeated", (F.col("depth") > max_depth).alias("truncated"))
+    truncated = F.lit(False) if max_depth is None else depth > max_depth
+    return visits.join(first, visits["view"] == first["v"]).select(
+        "view", depth.alias("depth"), "visit", "path", computed.alias("computed"), F.col("view").isin(*approximate).alias("approximate"),
+        (F.col("visit") > F.col("first")).alias("repeated"), truncated.alias("truncated"))
 
 
 def raw_files_behind(traced: DataFrame, links: DataFrame, manifest: DataFrame) -> DataFrame:

@@ -111,33 +111,41 @@ def flagged_of_total(spark, sf):
     return ql.flagged_of_total(ql.volume_trend(monthly_vintages(spark, sf), "run", ["view"]), "collapsed")
 
 
+def part_name(key):
+    return F.concat(F.when(key % 2 == 0, "derived_").otherwise("raw_"), key.cast("string"))
+
+
+def newest_part(spark, sf):
+    """The customer of the largest key, which the others are below."""
+    return table(spark, sf, "customer").agg(F.max("c_custkey").alias("k")).select(part_name(F.col("k"))).first()[0]
+
+
 def part_edges(spark, sf):
     """Each customer is computed from two smaller ones, so the graph has diamonds."""
     c = table(spark, sf, "customer").select(F.col("c_custkey").alias("k")).where("k > 0")
-    name = lambda e: F.concat(F.when(e % 2 == 0, "derived_").otherwise("raw_"), e.cast("string"))
     up = c.select("k", F.posexplode(F.array(F.floor(F.col("k") / 5), F.floor(F.col("k") / 7))).alias("ordinal", "u")).where("u < k")
-    return up.select(name(F.col("k")).alias("view"), "ordinal", name(F.col("u")).alias("upstream"))
+    return up.select(part_name(F.col("k")).alias("view"), "ordinal", part_name(F.col("u")).alias("upstream"))
 
 
 EDGES = """nm AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 2 = 0 THEN 'derived_' ELSE 'raw_' END || c_custkey AS name FROM customer),
   ed AS (SELECT a.name AS "view", o.i AS ordinal, b.name AS upstream FROM nm a, (VALUES (0, 5), (1, 7)) o(i, d) JOIN nm b ON b.k = a.k // o.d WHERE a.k > 0 AND b.k < a.k),
-  walk AS (SELECT 'raw_149' AS "view", 0 AS depth, '' AS visit UNION ALL
-    SELECT upstream, depth + 1, visit || lpad(CAST(ordinal AS VARCHAR), 4, '0') || '.' FROM walk JOIN ed ON ed."view" = walk."view" WHERE depth <= 6),
+  walk AS (SELECT arg_max(name, k) AS "view", 0 AS depth, '' AS visit FROM nm UNION ALL
+    SELECT upstream, depth + 1, visit || lpad(CAST(ordinal AS VARCHAR), 4, '0') || '.' FROM walk JOIN ed ON ed."view" = walk."view"),
   rp AS (SELECT *, visit > min(visit) OVER (PARTITION BY "view") AS repeated FROM walk),
   tr AS (SELECT * FROM rp r WHERE NOT EXISTS (SELECT 1 FROM rp c WHERE c.repeated AND starts_with(r.visit, c.visit) AND length(r.visit) > length(c.visit)))"""
 
 
-@query("lineage_trace", f"""WITH RECURSIVE {EDGES} SELECT "view", CAST(depth AS INTEGER) AS depth, visit, "view" LIKE 'derived%' AS computed, repeated, depth > 6 AS truncated FROM tr""")
+@query("lineage_trace", f"""WITH RECURSIVE {EDGES} SELECT "view", CAST(depth AS INTEGER) AS depth, visit, "view" LIKE 'derived%' AS computed, repeated, false AS truncated FROM tr""")
 def lineage_trace(spark, sf):
-    return ln.trace(part_edges(spark, sf), "raw_149").drop("path", "approximate")
+    return ln.trace(part_edges(spark, sf), newest_part(spark, sf)).drop("path", "approximate")
 
 
 @query("lineage_raw_files", f"""WITH RECURSIVE {EDGES} SELECT "view", 'orders/' || "view" AS raw_dataset, 'o' || o_orderkey AS path, CAST(o_totalprice AS BIGINT) AS bytes
-  FROM tr JOIN orders ON "view" = 'raw_' || o_custkey WHERE NOT repeated""")
+  FROM tr JOIN orders ON "view" = CASE WHEN o_custkey % 2 = 0 THEN 'derived_' ELSE 'raw_' END || o_custkey WHERE NOT repeated""")
 def lineage_raw_files(spark, sf):
-    traced = ln.trace(part_edges(spark, sf), "raw_149")
+    traced = ln.trace(part_edges(spark, sf), newest_part(spark, sf))
     o = table(spark, sf, "orders")
-    view = F.concat(F.lit("raw_"), F.col("o_custkey").cast("string"))
+    view = part_name(F.col("o_custkey"))
     m = o.select(F.lit("orders").alias("source"), view.alias("dataset"), F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("path"),
                  F.round("o_totalprice").cast("bigint").alias("bytes"), F.col("o_orderdate").alias("fetched_at_utc"), F.lit("").alias("sha256"))
     links = o.select(view.alias("view"), F.concat(F.lit("orders/"), view).alias("raw_dataset")).distinct()

@@ -105,14 +105,35 @@ def registered(spark: SparkSession) -> DataFrame:
     )
 
 
-_FORBIDDEN = ("insert ", "update ", "delete ", "drop ", "create ", "alter ",
-              "attach ", "copy ", "export ", "install ", "load ")
+#: Parsed nodes that do something else than answer a query, and commands among them that only report.
+_ACTIONS = ("org.apache.spark.sql.catalyst.plans.logical.Command", "org.apache.spark.sql.catalyst.plans.logical.ParsedStatement")
+_REPORTS = ("Show", "Describe", "Explain")
+_SCRIPTS = ("ScriptTransformation", "UnresolvedScriptTransformation")
+
+
+def actions_of(spark: SparkSession, query: str) -> list[str]:
+    """Kinds of the parsed plan's nodes that change something or run a program; nothing is executed."""
+    loader = spark._jvm.org.apache.spark.util.Utils.getContextOrSparkClassLoader()
+    kinds = [spark._jvm.java.lang.Class.forName(name, False, loader) for name in _ACTIONS]
+    todo, found = [spark._jsparkSession.sessionState().sqlParser().parsePlan(query)], []
+    while todo:
+        node = todo.pop()
+        name = node.getClass().getSimpleName()
+        action = any(kind.isInstance(node) for kind in kinds) and not name.startswith(_REPORTS)
+        if action or name in _SCRIPTS:
+            found.append(name)
+        below = node.children()
+        todo += [below.apply(k) for k in range(below.size())]
+        if name == "UnresolvedWith":
+            named = node.cteRelations()
+            todo += [named.apply(k)._2() for k in range(named.size())]
+    return found
 
 
 def read_only_sql(spark: SparkSession, query: str, limit: int | None = None) -> DataFrame:
-    """Ad-hoc SELECT over the registered views; a caller may ask for at most ``limit`` rows."""
-    flat = f" {' '.join(query.lower().split())} "
-    if any(f" {word}" in flat for word in _FORBIDDEN):
-        raise ValueError("this is read-only; use SELECT")
+    """Ad-hoc query over the registered views; a caller may ask for at most ``limit`` rows. What is refused is decided by the parsed plan."""
+    found = actions_of(spark, query)
+    if found:
+        raise ValueError(f"this is read-only; use SELECT, not {', '.join(found)}")
     out = spark.sql(query)
     return out if limit is None else out.limit(limit)
