@@ -85,3 +85,53 @@ def test_enrich_subscribe_and_flat_records(spark, tmp_path):
     flat = spark.createDataFrame([('{"token": 5, "ltp": 1.5, "volume": 7, "oi": null, "ts": "2026-08-20 10:00:00"}',), ("x",)], "value string")
     r = tk.flat_ticks(flat).collect()
     assert [(x.instrument_key, x.ltp, x.volume, x.oi) for x in r] == [("5", 1.5, 7, None)]
+
+
+def test_last_values_are_one_row_per_key_however_many_batches(spark, tmp_path):
+    src, out, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
+    start = lambda: tk.keyed_sink(tk.last_value(tk.decode(stream(spark, src))), out, state, ["instrument_key"], None, 2)
+    for k in range(6):  # each run is a restart from the checkpoint
+        land(src, f"{k}.json", tick("A", float(k), f"2026-08-20 10:00:0{k}.000"), tick(f"K{k}", 1.0, T0), tick("B", 50.0 - k, f"2026-08-20 09:00:0{5 - k}.000"))
+        tk.drain(start)
+        hot = {r.instrument_key: r for r in tk.read_keyed(spark, out).collect()}
+        assert len(hot) == k + 3 == tk.read_keyed(spark, out).count()
+        assert (hot["A"].ltp, hot["A"].ticks_seen, hot["B"].ltp) == (float(k), k + 1, 50.0)  # later batches bring B's earlier ticks
+    versions = sorted(p.name for p in (tmp_path / "out").iterdir())
+    assert len(versions) == tk.VERSIONS_KEPT and all(len(list((tmp_path / "out" / v).glob("part-*"))) <= 2 for v in versions)
+
+
+def test_a_batch_that_runs_again_gives_the_same_version(spark, tmp_path):
+    """A version that was left incomplete, or written but not committed, is written again from the version before it."""
+    src, out, state = tmp_path / "in", str(tmp_path / "out"), tmp_path / "state"
+    start = lambda: tk.keyed_sink(tk.last_value(tk.decode(stream(spark, src))), out, str(state), ["instrument_key"], None)
+    land(src, "a.json", tick("A", 1.0, T0))
+    tk.drain(start)
+    land(src, "b.json", tick("A", 2.0, T1), tick("B", 3.0, T1))
+    tk.drain(start)
+    want = sorted(map(tuple, tk.read_keyed(spark, out).collect()))
+    newest = sorted(p.name for p in (tmp_path / "out").iterdir())[-1]
+    (tmp_path / "out" / newest / "_SUCCESS").unlink()
+    assert [r.ltp for r in tk.read_keyed(spark, out).collect()] == [1.0]  # readers pass over it
+    last = max(int(p.name) for p in (state / "commits").iterdir() if p.name.isdigit())
+    for p in (state / "commits").iterdir():
+        if p.name.strip(".").removesuffix(".crc") == str(last):
+            p.unlink()
+    tk.drain(start)
+    assert sorted(map(tuple, tk.read_keyed(spark, out).collect())) == want and sorted(p.name for p in (tmp_path / "out").iterdir())[-1] == newest
+
+
+def test_symbols_added_between_batches_are_seen(spark, tmp_path):
+    src, out, state, keys = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state"), str(tmp_path / "prices")
+    prices = lambda rows: spark.createDataFrame(rows, "symbol string, isin string").write.mode("append").parquet(keys)
+    prices([("ONE", "I1")])
+    land(src, "a.json", tick("NSE_EQ|I1", 1.0, T0), tick("NSE_EQ|I2", 1.0, T0))
+    q = tk.enriched_sink(tk.decode(stream(spark, src)), lambda s: tk.symbol_keys(s.read.parquet(keys)), out, state, "100 milliseconds")
+    try:
+        q.processAllAvailable()
+        prices([("TWO", "I2")])  # while the stream runs
+        land(src, "b.json", tick("NSE_EQ|I2", 2.0, T1), tick("NSE_EQ|I3", 2.0, T1))
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    got = sorted((r.instrument_key, r.ltp, r.symbol) for r in spark.read.parquet(out).collect())
+    assert got == [("NSE_EQ|I1", 1.0, "ONE"), ("NSE_EQ|I2", 1.0, None), ("NSE_EQ|I2", 2.0, "TWO"), ("NSE_EQ|I3", 2.0, None)]

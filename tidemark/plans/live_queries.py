@@ -62,8 +62,8 @@ def live_rejects(spark, sf):
 @query("live_last_value", f"WITH {TICKS} SELECT instrument_key, max(ts) AS ts, arg_max(ltp, ts) AS ltp, count(*) AS ticks_seen FROM tk GROUP BY 1")
 def live_last_value(spark, sf):
     out, state = folder(spark)
-    tk.drain(lambda: tk.vintage_sink(tk.last_value(tk.decode(feed(spark, sf))), out, state, None))
-    return tk.read_vintages(spark, out, ["instrument_key"]).select("instrument_key", F.col("ts").cast("timestamp_ntz").alias("ts"), "ltp", "ticks_seen")
+    tk.drain(lambda: tk.keyed_sink(tk.last_value(tk.decode(feed(spark, sf))), out, state, ["instrument_key"], None))
+    return tk.read_keyed(spark, out).select("instrument_key", F.col("ts").cast("timestamp_ntz").alias("ts"), "ltp", "ticks_seen")
 
 
 @query("live_coalesced", f"WITH {TICKS} SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, instrument_key, arg_max(ltp, ts) AS ltp, count(*) AS n FROM tk GROUP BY 1, 2")
@@ -76,7 +76,7 @@ def live_coalesced(spark, sf):
 @query("live_enriched", f"WITH {TICKS} SELECT tk.instrument_key, ltq, s.symbol FROM tk LEFT JOIN (SELECT DISTINCT l_suppkey, 'S' || l_suppkey AS symbol FROM lineitem) s ON tk.instrument_key = 'NSE_EQ|I' || l_suppkey")
 def live_enriched(spark, sf):
     out, state = folder(spark)
-    tk.drain(lambda: tk.cold_sink(tk.enrich(tk.decode(feed(spark, sf)), tk.symbol_keys(prices(spark, sf))), out, state, None))
+    tk.drain(lambda: tk.enriched_sink(tk.decode(feed(spark, sf)), lambda s: tk.symbol_keys(prices(s, sf)), out, state, None))
     return spark.read.parquet(out).select("instrument_key", "ltq", "symbol")
 
 

@@ -92,8 +92,7 @@ def symbol_keys(prices: DataFrame) -> DataFrame:
 
 
 def enrich(ticks: DataFrame, keys: DataFrame) -> DataFrame:
-    """Ticks with their symbol. The static side is planned again for every micro-batch, so
-    new files of its table are seen without a restart."""
+    """Ticks with their symbol. A stream keeps the files of ``keys`` that were there when it started; ``enriched_sink`` looks again."""
     return ticks.join(keys, "instrument_key", "left")
 
 
@@ -140,6 +139,73 @@ def cold_sink(ticks: DataFrame, path: str, checkpoint: str, interval: str | None
     return (w.trigger(availableNow=True) if interval is None else w.trigger(processingTime=interval)).start()
 
 
+def enriched_sink(ticks: DataFrame, keys_now: Callable[[SparkSession], DataFrame], path: str, checkpoint: str, interval: str | None = FLUSH_INTERVAL):
+    """Start the append of every tick with its symbol, looked up anew for each micro-batch.
+
+    ``keys_now`` reads the table of keys when a batch comes in, so files that were added to it since the last batch are listed, without a restart.
+    A batch that runs again overwrites its own folder.
+    """
+    def store(batch: DataFrame, batch_id: int) -> None:
+        stamps = {"_vintage_id": F.lit(batch_id).cast("long"), "knowledge_date": F.current_date()}
+        enrich(batch, keys_now(batch.sparkSession)).withColumns(stamps).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    w = ticks.writeStream.option("checkpointLocation", checkpoint).outputMode("append").foreachBatch(store)
+    return (w.trigger(availableNow=True) if interval is None else w.trigger(processingTime=interval)).start()
+
+
+#: Versions of a keyed table that stay: the newest, and the one that readers may be in.
+VERSIONS_KEPT = 2
+
+
+def _versions(spark: SparkSession, path: str) -> list[tuple[int, str]]:
+    """Complete versions of a keyed table, oldest first."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return []
+    found = []
+    for status in fs.listStatus(folder):
+        name = status.getPath().getName()
+        done = spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
+        if name.startswith("version=") and fs.exists(done):
+            found.append((int(name.removeprefix("version=")), status.getPath().toString()))
+    return sorted(found)
+
+
+def keyed_sink(updates: DataFrame, path: str, checkpoint: str, key: Sequence[str], interval: str | None = FLUSH_INTERVAL, files: int | None = None):
+    """Start an aggregation whose changed rows replace those of their key in a table with one row per key.
+
+    Batch k writes version k: the rows of the newest older version whose key did not change, and the changed ones. Versions before the
+    previous one are removed, so neither reads nor the number of files grow with the batches. A batch that runs again after a failure starts
+    from the same older version and overwrites its own. ``files`` is the most files of a version, by default what the
+    join leaves.
+    """
+    key = list(key)
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        older = [v for v in _versions(spark, path) if v[0] < batch_id]
+        merged = batch
+        if older:
+            before = spark.read.schema(batch.schema).parquet(older[-1][1])
+            merged = before.join(batch.select(*key), key, "left_anti").select(*batch.columns).unionByName(batch)
+        (merged if files is None else merged.coalesce(files)).write.mode("overwrite").parquet(f"{path}/version={batch_id:012d}")
+        for _, gone in _versions(spark, path)[:-VERSIONS_KEPT]:
+            old = spark._jvm.org.apache.hadoop.fs.Path(gone)
+            old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
+
+    w = updates.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(store)
+    return (w.trigger(availableNow=True) if interval is None else w.trigger(processingTime=interval)).start()
+
+
+def read_keyed(spark: SparkSession, path: str) -> DataFrame:
+    """The newest version of a ``keyed_sink``, one row per key."""
+    versions = _versions(spark, path)
+    if not versions:
+        raise FileNotFoundError(f"no version of a keyed table in {path}")
+    return spark.read.parquet(versions[-1][1])
+
+
 def vintage_sink(updates: DataFrame, path: str, checkpoint: str, interval: str | None = FLUSH_INTERVAL, mode: str = "update"):
     """Start an aggregation whose changed rows are appended as vintages numbered by batch.
 
