@@ -162,3 +162,37 @@ def test_filing_rule_is_described(spark):
          "</designateRulePursuantThisScheduleFiled></designateRulesPursuantThisScheduleFiled></coverPageHeader><items><item2>Who  ever</item2></items></formData></e>")
     r = rg.passive_filings(docs(spark, x, accn="a")).first()
     assert (r.filing_rule, r.filing_rule_desc, r.item2_identity) == ("Rule 13d-1(b)", "qualified institutional investor", "Who ever")
+
+
+def test_sidecars_that_cannot_be_used_are_named_with_a_reason(spark):
+    good = {"source": "noaa", "dataset": "oni", "fetched_at_utc": "2026-08-01T00:00:00+00:00", "sha256": hashlib.sha256(b"one").hexdigest(), "bytes": 3}
+    rows = [("a", json.dumps(good)), ("b", "{oops"), ("c", json.dumps({**good, "source": None})), ("d", json.dumps({**good, "fetched_at_utc": "soon"})), ("e", ""), ("f", None),
+            ("g", json.dumps({k: v for k, v in good.items() if k != "sha256"}))]
+    side = spark.createDataFrame([(f"{p}.meta.json", x) for p, x in rows], "path string, content string")
+    assert {r.path: r.reason for r in ar.sidecar_rejects(side).collect()} == {
+        "b": "not JSON", "c": "no source", "d": "no readable time", "e": "not JSON", "f": "not JSON", "g": "no sha256"}
+    assert {r.path for r in ar.manifest(side).collect()} == {"a", "d", "g"}
+    files = spark.createDataFrame([(p, bytearray(b"one")) for p in "abz"], "path string, content binary")
+    state = lambda *more: {r.path: r.state for r in ar.integrity(files, ar.manifest(side), *more).collect()}
+    assert state() == {"a": "ok", "b": "no_sidecar", "z": "no_sidecar"}
+    assert state(ar.sidecar_rejects(side)) == {"a": "ok", "b": "unreadable_sidecar", "z": "no_sidecar"}
+
+
+def test_failed_answers_are_listed_or_raised(spark):
+    bar = {"Date": "08/20/2026", "Symbol": " GOLD ", "Close": 5.0}
+    bodies = [json.dumps({"IsSuccess": True, "Data": [bar]}), json.dumps({"IsSuccess": False, "Message": "closed", "Data": []}), "<html>", json.dumps({"Data": [bar]}), "null"]
+    df = spark.createDataFrame([(f"p{k}", x) for k, x in enumerate(bodies)], "path string, content string")
+    assert [r.Symbol for r in mk.commodity_bars(df).collect()] == ["GOLD"]
+    assert {r.path: (r.reason, r.message) for r in mk.failed_answers(df).collect()} == {
+        "p1": ("refused", "closed"), "p2": ("not JSON", None), "p3": ("no flag", None), "p4": ("no flag", None)}
+    with pytest.raises(Exception, match="failed answer in p"):
+        mk.commodity_bars(df, strict=True).collect()
+    assert mk.commodity_bars(df.where("path = 'p0'"), strict=True).count() == 1
+
+
+def test_every_day_of_a_range_has_a_state(spark):
+    rows = [("2026-08-01", True), ("2026-08-01", False), ("2026-08-03", False), ("2026-08-04", None), ("2026-09-01", True)]
+    landed = spark.createDataFrame(rows, "date string, ok boolean").withColumn("date", F.to_date("date"))
+    got = [(r.date.day, r.state, r.rows) for r in ar.day_range("2026-08-01", "2026-08-05", landed, status=F.col("ok")).orderBy("date").collect()]
+    assert got == [(1, "landed", 2), (2, "missing", 0), (3, "failed", 1), (4, "failed", 1), (5, "missing", 0)]
+    assert [r.date.day for r in ar.missing_days("2026-08-01", "2026-08-05", landed).orderBy("date").collect()] == [2, 5]

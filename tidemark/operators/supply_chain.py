@@ -1,21 +1,20 @@
 """Transit counts per corridor: deviations, rerouting, structural breaks, current regime.
 
-The panel has one row per (date, corridor), so a corridor's series is bounded by the
-calendar and is the natural unit for the two steps that need a whole series at once.
+The panel has one row per (date, corridor). Every step is an aggregation, a join or a window; no series is gathered.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
-from itertools import pairwise
+from functools import reduce
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalar import ratio
 from tidemark.operators.asof import collapse, known_by
+from tidemark.session import materialise
 
 # Windows, thresholds and known substitute routes.
 BASELINE_DAYS, RECENT_DAYS, MIN_BASELINE_OBS = 90, 14, 30
@@ -82,70 +81,120 @@ def reroute_balance(scores: DataFrame, substitutes: Mapping[str, str | None] | N
                      F.bround(sc, 2).alias("substitute_change_per_day"), absorbed.alias("absorbed_pct"), kind.alias("interpretation"))
 
 
-# -- structural breaks: numeric helpers that run on one corridor inside a task --------
+# -- structural breaks ----------------------------------------------------------------
 
-def remove_season(days: pd.DatetimeIndex, values: np.ndarray, harmonics: int = HARMONICS) -> np.ndarray:
-    """Residual of an annual harmonic fit; only centred when the span cannot identify one.
+#: Days of a corridor whose running sums are one window; sums of whole blocks are added before them.
+BLOCK_DAYS = 512
 
-    A low-order fit cannot represent a level shift, so breaks survive it.
+
+def season_terms(day: Column, harmonics: int = HARMONICS) -> list[Column]:
+    """A constant, and the sines and cosines of an annual cycle."""
+    phase = F.dayofyear(day) * F.lit(2 * math.pi / YEAR_DAYS)
+    return [F.lit(1.0), *[F.sin(phase * k) for k in range(1, harmonics + 1)], *[F.cos(phase * k) for k in range(1, harmonics + 1)]]
+
+
+def solved(sums: DataFrame, width: int) -> DataFrame:
+    """Columns c0, c1, ... of the normal equations in a{i}_{j} (i <= j) and b{i}, by elimination, one step per projection.
+
+    A term that the others determine gets no weight.
     """
-    ok = np.isfinite(values)
-    if not ok.any():
-        return values
-    width = 1 + 2 * harmonics
-    years = (days.max() - days.min()).days / YEAR_DAYS
-    if years < MIN_SEASONAL_YEARS or ok.sum() <= width:
-        return values - values[ok].mean()
-    phase = 2 * np.pi * days.dayofyear.to_numpy(dtype=float)[:, None] / YEAR_DAYS * np.arange(1, harmonics + 1)
-    design = np.hstack([np.ones((len(values), 1)), np.sin(phase), np.cos(phase)])
-    coef, *_ = np.linalg.lstsq(design[ok], values[ok], rcond=None)
-    return values - design @ coef
-
-
-def shift_t(total: np.ndarray, square: np.ndarray, lo: int, hi: int, split) -> np.ndarray:
-    """Welch t of a mean shift at each ``split`` of [lo, hi), from running sums."""
-    split = np.atleast_1d(split)
-    n1, n2 = split - lo, hi - split
-    m1, m2 = (total[split] - total[lo]) / n1, (total[hi] - total[split]) / n2
-    v1 = np.maximum((square[split] - square[lo] - n1 * m1 * m1) / (n1 - 1), 1e-12)
-    v2 = np.maximum((square[hi] - square[split] - n2 * m2 * m2) / (n2 - 1), 1e-12)
-    return np.abs(m1 - m2) / np.sqrt(v1 / n1 + v2 / n2)
-
-
-def find_breaks(resid: np.ndarray, min_segment: int, threshold: float) -> tuple[list[int], np.ndarray, np.ndarray]:
-    """Split points by binary segmentation: every segment is searched until none has a shift."""
-    total = np.concatenate([[0.0], np.cumsum(resid)])
-    square = np.concatenate([[0.0], np.cumsum(resid * resid)])
-
-    def search(lo: int, hi: int) -> int | None:
-        if hi - lo < 2 * min_segment:
-            return None
-        at = np.arange(lo + min_segment, hi - min_segment + 1)
-        t = shift_t(total, square, lo, hi, at)
-        return int(at[t.argmax()]) if t.max() >= threshold else None
-
-    bounds, settled = {0, len(resid)}, set()
-    while todo := [p for p in pairwise(sorted(bounds)) if p not in settled]:
-        for lo, hi in todo:
-            at = search(lo, hi)
-            settled.add((lo, hi)) if at is None else bounds.add(at)
-    return sorted(bounds - {0, len(resid)}), total, square
-
-
-SPLIT_SCHEMA = "portname string, break_date date, t_stat double"
+    usable = lambda k: F.abs(F.col(f"a{k}_{k}")) > F.lit(1e-9) * F.col("n_ok")
+    for k in range(width):
+        factor = {i: F.when(usable(k), F.col(f"a{k}_{i}") / F.col(f"a{k}_{k}")).otherwise(0.0) for i in range(k + 1, width)}
+        sums = sums.withColumns({**{f"a{i}_{j}": F.col(f"a{i}_{j}") - factor[i] * F.col(f"a{k}_{j}") for i in factor for j in range(i, width)},
+                                 **{f"b{i}": F.col(f"b{i}") - factor[i] * F.col(f"b{k}") for i in factor}})
+    for k in reversed(range(width)):
+        rest = F.col(f"b{k}")
+        for j in range(k + 1, width):
+            rest = rest - F.col(f"a{k}_{j}") * F.col(f"c{j}")
+        sums = sums.withColumn(f"c{k}", F.when(usable(k), rest / F.col(f"a{k}_{k}")).otherwise(0.0))
+    return sums
+
+
+def remove_season(panel: DataFrame, metric: str, harmonics: int = HARMONICS) -> DataFrame:
+    """(portname, date, v, r): residuals of an annual harmonic fit; only centred when the span cannot identify one. Missing values have residual 0.
+
+    A low-order fit cannot represent a level shift, so breaks survive it. The fit needs sums only: one aggregation per corridor, and a join of its
+    few coefficients back to the days.
+    """
+    v = F.col(metric).cast("double")
+    days = panel.select("portname", "date", F.when(~F.isnan(v) & (F.abs(v) != float("inf")), v).alias("v"))
+    terms = season_terms(F.col("date"), harmonics)
+    width = len(terms)
+    here = lambda x: F.sum(F.when(F.col("v").isNotNull(), x))
+    sums = days.groupBy("portname").agg(
+        F.count("v").alias("n_ok"), F.avg("v").alias("mean"), F.datediff(F.max("date"), F.min("date")).alias("span"),
+        *[here(terms[i] * terms[j]).alias(f"a{i}_{j}") for i in range(width) for j in range(i, width)], *[here(terms[i] * F.col("v")).alias(f"b{i}") for i in range(width)])
+    long = (F.col("span") / YEAR_DAYS >= MIN_SEASONAL_YEARS) & (F.col("n_ok") > width)
+    fits = solved(sums, width).select(F.col("portname").alias("p"), "mean", long.alias("long"), *[f"c{k}" for k in range(width)])
+    fit = F.col("c0") * terms[0]
+    for k in range(1, width):
+        fit = fit + F.col(f"c{k}") * terms[k]
+    level = F.when(F.col("long"), fit).otherwise(F.col("mean"))
+    return days.join(fits, days["portname"] == fits["p"]).select("portname", "date", "v", F.coalesce(F.col("v") - level, F.lit(0.0)).alias("r"))
+
+
+def running(residuals: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(portname, date, pos, total, square) of every day, with the sums before it, and (portname, hi, total, square) of whole series.
+
+    In two levels: inside a block of days, and over the sums of blocks. So a long series is many tasks.
+    """
+    blocks = residuals.withColumn("block", F.floor(F.unix_date("date") / BLOCK_DAYS))
+    sums = [F.count(F.lit(1)).alias("n"), F.sum("r").alias("s"), F.sum(F.col("r") * F.col("r")).alias("q")]
+    per = blocks.groupBy("portname", "block").agg(*sums)
+    earlier = Window.partitionBy("portname").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    zero = lambda x: F.coalesce(F.sum(x).over(earlier), F.lit(0))
+    offsets = per.select(F.col("portname").alias("p"), F.col("block").alias("k"), zero("n").alias("n0"), zero("s").alias("s0"), zero("q").alias("q0"))
+    inside = Window.partitionBy("portname", "block").orderBy("date")
+    before = inside.rowsBetween(Window.unboundedPreceding, -1)
+    own = blocks.select("portname", "date", "block", F.row_number().over(inside).alias("i"), F.coalesce(F.sum("r").over(before), F.lit(0.0)).alias("s"),
+                        F.coalesce(F.sum(F.col("r") * F.col("r")).over(before), F.lit(0.0)).alias("q"))
+    days = own.join(offsets, (own["portname"] == offsets["p"]) & (own["block"] == offsets["k"])).select(
+        "portname", "date", (F.col("n0") + F.col("i") - 1).alias("pos"), (F.col("s0") + F.col("s")).alias("total"), (F.col("q0") + F.col("q")).alias("square"))
+    return days, per.groupBy("portname").agg(F.sum("n").alias("hi"), F.sum("s").alias("total"), F.sum("q").alias("square"))
+
+
+def shift_t() -> Column:
+    """Welch t of a mean shift at ``pos`` of [lo, hi), from the running sums at the three."""
+    def part(n: Column, s: Column, q: Column) -> tuple[Column, Column]:
+        mean = s / n
+        return mean, F.greatest((q - n * mean * mean) / (n - 1), F.lit(1e-12)) / n
+    c = F.col
+    m1, v1 = part(c("pos") - c("lo"), c("total") - c("total_lo"), c("square") - c("square_lo"))
+    m2, v2 = part(c("hi") - c("pos"), c("total_hi") - c("total"), c("square_hi") - c("square"))
+    return F.abs(m1 - m2) / F.sqrt(v1 + v2)
 
 
 def split_dates(panel: DataFrame, metric: str, min_segment_days: int, threshold: float) -> DataFrame:
-    """(portname, break_date, t_stat) of every shift; only this needs a whole series at once."""
-    def one(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("date")
-        resid = np.nan_to_num(remove_season(pd.DatetimeIndex(pd.to_datetime(pdf["date"])), pdf["v"].to_numpy(dtype=float)))
-        splits, total, square = find_breaks(resid, min_segment_days, threshold)
-        t = [shift_t(total, square, lo, hi, at)[0] for lo, at, hi in zip([0, *splits], splits, [*splits[1:], len(resid)])]
-        rows = [(key[0], pdf["date"].iloc[at], float(x)) for at, x in zip(splits, t)]
-        return pd.DataFrame(rows, columns=["portname", "break_date", "t_stat"])
-
-    return panel.select("portname", "date", F.col(metric).cast("double").alias("v")).groupBy("portname").applyInPandas(one, SPLIT_SCHEMA)
+    """(portname, break_date, t_stat) of every shift, by binary segmentation.
+
+    Every round scores all places of all open segments at once, keeps the best of each, and opens the halves of those with a shift, until none has
+    one. A round is a join with the few open segments and one aggregation; nothing is gathered.
+    """
+    days, ends = running(remove_season(panel, metric))
+    days = materialise(days)
+    low = {"lo": F.lit(0).cast("long"), "total_lo": F.lit(0.0), "square_lo": F.lit(0.0)}
+    whole = materialise(ends.select("portname", "hi", F.col("total").alias("total_hi"), F.col("square").alias("square_hi")).withColumns(low))
+    bounds = ["lo", "total_lo", "square_lo", "hi", "total_hi", "square_hi"]
+    open_segments, rounds = whole, []
+    while True:
+        places = days.join(open_segments, "portname").where((F.col("pos") >= F.col("lo") + min_segment_days) & (F.col("pos") <= F.col("hi") - min_segment_days))
+        scored = places.withColumn("t", shift_t())
+        best = scored.groupBy("portname", *bounds).agg(F.max(F.struct("t", (-F.col("pos")).alias("back"), "pos", "total", "square", "date")).alias("at"))
+        found = materialise(best.where(F.col("at.t") >= threshold))
+        if found.isEmpty():
+            break
+        rounds.append(found.select("portname", "at.pos", "at.total", "at.square", "at.date"))
+        at = [F.col("at.pos"), F.col("at.total"), F.col("at.square")]
+        open_segments = found.select("portname", *bounds[:3], *[x.alias(n) for x, n in zip(at, bounds[3:])]).unionByName(
+            found.select("portname", *[x.alias(n) for x, n in zip(at, bounds[:3])], *bounds[3:]))
+    if not rounds:
+        return days.where("false").select("portname", F.col("date").alias("break_date"), F.lit(0.0).alias("t_stat"))
+    splits = reduce(DataFrame.unionByName, rounds).join(whole, "portname")
+    order = Window.partitionBy("portname").orderBy("pos")
+    near = {f"{n}_{side}": F.coalesce(move(n).over(order), F.col(f"{n}_{side}")) for side, move in (("lo", F.lag), ("hi", F.lead)) for n in ("total", "square")}
+    sides = splits.withColumns({**near, "lo": F.coalesce(F.lag("pos").over(order), F.col("lo")), "hi": F.coalesce(F.lead("pos").over(order), F.col("hi"))})
+    return sides.select("portname", F.col("date").alias("break_date"), shift_t().alias("t_stat"))
 
 
 def regime_breaks(panel: DataFrame, metric: str = "n_total", min_segment_days: int = MIN_SEGMENT_DAYS,

@@ -20,7 +20,7 @@ from tidemark.plans.filings_queries import HEADING, ITEMS, RATINGS, filings, hea
 from tidemark.plans.prices_queries import FACTORS, PAIRS, factors, pairs, WATCHED
 from tidemark.plans.rainfall_queries import MAIN, NORMALS, OTHER, PROGRESS, YEARS, _sums
 from tidemark.plans.registry import query
-from tidemark.plans.transits_queries import DEVIATION, REGIME, REROUTE, dated, shifted
+from tidemark.plans.transits_queries import BREAKS, DEVIATION, REGIME, REROUTE, dated, shifted
 from tidemark.operators.events import source_divergence
 from tidemark.operators.asof import latest_per
 
@@ -145,7 +145,7 @@ def regimes_board(spark, sf):
         "portname", "regime_start", "regime_mean", "z_vs_regime", "vs_baseline_pct", "substitute", "absorbed_pct", "interpretation")
 
 
-@query("top_breaks")
+@query("top_breaks", f"WITH RECURSIVE {BREAKS} SELECT * FROM breaks ORDER BY abs(change_per_day) DESC, portname, break_date LIMIT 40")
 def top_breaks(spark, sf):
     return rm.top_breaks(sc.regime_breaks(shifted(spark, sf)), 40)
 

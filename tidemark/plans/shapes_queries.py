@@ -533,3 +533,31 @@ def archive_missing_years(spark, sf):
 @query("archive_missing_days", "SELECT CAST(d AS DATE) AS date FROM generate_series(DATE '1995-01-01', DATE '2001-12-31', INTERVAL 1 DAY) t(d) WHERE CAST(d AS DATE) NOT IN (SELECT CAST(o_orderdate AS DATE) FROM orders WHERE o_orderstatus = 'F')")
 def archive_missing_days(spark, sf):
     return ar.missing_days("1995-01-01", "2001-12-31", table(spark, sf, "orders").where("o_orderstatus = 'F'").select(F.to_date("o_orderdate").alias("date")))
+
+
+@query("archive_sidecar_rejects", "SELECT 'raw/f' || doc_id AS path, 'not JSON' AS reason FROM documents WHERE doc_id % 97 = 3")
+def archive_sidecar_rejects(spark, sf):
+    return ar.sidecar_rejects(sidecars(spark, sf))
+
+
+@query("archive_integrity_with_rejects", f"""WITH {MAN} SELECT 'raw/f' || doc_id AS path, CASE WHEN doc_id % 97 = 3 THEN 'unreadable_sidecar' WHEN man.sha256 <> sha256(text) THEN 'hash_mismatch' ELSE 'ok' END AS state
+  FROM documents LEFT JOIN man ON path = 'raw/f' || doc_id""")
+def archive_integrity_with_rejects(spark, sf):
+    f = table(spark, sf, "documents").select(F.concat(F.lit("raw/f"), S("doc_id")).alias("path"), F.encode("text", "UTF-8").alias("content"))
+    s = sidecars(spark, sf)
+    return ar.integrity(f, ar.manifest(s), ar.sidecar_rejects(s)).select("path", "state")
+
+
+@query("archive_day_range", """SELECT CAST(d AS DATE) AS date, CASE WHEN f > 0 THEN 'landed' WHEN n > 0 THEN 'failed' ELSE 'missing' END AS state, coalesce(n, 0) AS rows
+  FROM generate_series(DATE '1995-01-01', DATE '2001-12-31', INTERVAL 1 DAY) t(d)
+  LEFT JOIN (SELECT CAST(o_orderdate AS DATE) AS od, count(*) AS n, count(*) FILTER (o_orderstatus = 'F') AS f FROM orders GROUP BY 1) ON od = CAST(d AS DATE)""")
+def archive_day_range(spark, sf):
+    landed = table(spark, sf, "orders").select(F.to_date("o_orderdate").alias("date"), "o_orderstatus")
+    return ar.day_range("1995-01-01", "2001-12-31", landed, status=F.col("o_orderstatus") == "F")
+
+
+@query("shape_failed_answers", "SELECT 'o' || o_orderkey AS path, 'refused' AS reason, 'm' AS message FROM orders WHERE o_orderkey % 4 = 0")
+def shape_failed_answers(spark, sf):
+    flag = F.struct((F.col("o_orderkey") % 4 != 0).alias("IsSuccess"), F.lit("m").alias("Message"), F.array().cast("array<string>").alias("Data"))
+    docs = table(spark, sf, "orders").select(F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("path"), F.to_json(flag).alias("content"))
+    return mk.failed_answers(docs)

@@ -11,15 +11,30 @@ SIDECAR = "source string, dataset string, fetched_at_utc string, sha256 string,
 SUFFIX = ".meta.json"
 
 
+def _sidecars(docs: DataFrame, extra: str) -> DataFrame:
+    """(path, m, reason): the file each sidecar is of, what it says, and why it can't be used, if so."""
+    ddl = SIDECAR + (f", {extra}" if extra else "") + ", _bad string"
+    m = docs.select(F.regexp_replace("path", r"\.meta\.json$", "").alias("path"),
+                    F.from_json("content", ddl, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}).alias("m"))
+    reason = (F.when(F.col("m").isNull() | F.col("m._bad").isNotNull(), "not JSON").when(F.col("m.source").isNull(), "no source")
+              .when(F.col("m.dataset").isNull(), "no dataset").when(F.col("m.sha256").isNull(), "no sha256")
+              .when(F.try_to_timestamp("m.fetched_at_utc").isNull(), "no readable time"))
+    return m.withColumn("reason", reason)
+
+
 def manifest(docs: DataFrame, extra: str = "") -> DataFrame:
     """One row per archived file from the sidecar documents (path, content).
 
-    ``extra`` is a schema fragment of further sidecar keys. A sidecar that is not JSON is
-    left out.
+    ``extra`` is a schema fragment of further sidecar keys. A sidecar that is not JSON or names no source is left out; ``sidecar_rejects``
+    has it, with the reason.
     """
-    ddl = SIDECAR + (f", {extra}" if extra else "")
-    m = docs.select(F.regexp_replace("path", r"\.meta\.json$", "").alias("path"), F.from_json("content", ddl).alias("m")).where("m.source IS NOT NULL")
-    return m.select("path", "m.*").withColumn("fetched_at_utc", F.try_to_timestamp("fetched_at_utc"))
+    m = _sidecars(docs, extra).where("reason IS NULL OR reason NOT IN ('not JSON', 'no source')")
+    return m.select("path", "m.*").drop("_bad").withColumn("fetched_at_utc", F.try_to_timestamp("fetched_at_utc"))
+
+
+def sidecar_rejects(docs: DataFrame) -> DataFrame:
+    """(path, reason) of every sidecar that can't be read, or lacks what identifies and checks its file."""
+    return _sidecars(docs, "").where("reason IS NOT NULL").select("path", "reason")
 
 
 def read_manifest(spark: SparkSession, root: str, extra: str = "") -> DataFrame:
@@ -41,12 +56,20 @@ def find_raw(m: DataFrame, source: str, dataset: str, **match: object) -> DataFr
     return m.where(cond).orderBy(F.desc("fetched_at_utc"), F.desc("path")).limit(1)
 
 
-def integrity(files: DataFrame, m: DataFrame) -> DataFrame:
-    """Whether the bytes on disk are the bytes that arrived. ``files``: path, content (binary)."""
+def integrity(files: DataFrame, m: DataFrame, rejects: DataFrame | None = None) -> DataFrame:
+    """Whether the bytes on disk are the bytes that arrived. ``files``: path, content (binary).
+
+    With the ``sidecar_rejects``, a file whose sidecar is there but can't be used is told from one that has none.
+    """
     actual = files.select("path", F.sha2("content", 256).alias("actual_sha256"), F.length("content").cast("bigint").alias("actual_bytes"))
-    return actual.join(m.select("path", "sha256", "bytes"), "path", "left").select(
+    both = actual.join(m.select("path", "sha256", "bytes"), "path", "left")
+    none = F.lit("no_sidecar")
+    if rejects is not None:
+        both = both.join(rejects.select("path", F.lit(True).alias("_rejected")).distinct(), "path", "left")
+        none = F.when(F.col("_rejected"), "unreadable_sidecar").otherwise(none)
+    return both.select(
         "path", "sha256", "actual_sha256", "bytes", "actual_bytes",
-        F.when(F.col("sha256").isNull(), "no_sidecar").when(F.col("sha256") != F.col("actual_sha256"), "hash_mismatch")
+        F.when(F.col("sha256").isNull(), none).when(F.col("sha256") != F.col("actual_sha256"), "hash_mismatch")
         .when(F.col("bytes") != F.col("actual_bytes"), "length_mismatch").otherwise("ok").alias("state"))
 
 
@@ -59,10 +82,19 @@ def missing_periods(available: DataFrame, have: DataFrame, on: str) -> DataFrame
     return available.select(on).distinct().join(have.select(on).distinct(), on, "left_anti")
 
 
+def day_range(first: str, last: str, landed: DataFrame, day: str = "date", status: Column | None = None) -> DataFrame:
+    """Every calendar day between two dates with its state: ``landed`` if some row covers it, ``failed`` if only rows do that
+    ``status`` is not true for, ``missing`` if none does; and how many rows there are."""
+    ok = F.lit(True) if status is None else F.coalesce(status, F.lit(False))
+    days = landed.sparkSession.range(1).select(F.explode(F.sequence(F.lit(first).cast("date"), F.lit(last).cast("date"))).alias(day))
+    seen = landed.groupBy(day).agg(F.count(F.lit(1)).alias("rows"), F.bool_or(ok).alias("_ok"))
+    state = F.when(F.col("_ok"), "landed").when(F.col("rows") > 0, "failed").otherwise("missing")
+    return days.join(seen, day, "left").select(day, state.alias("state"), F.coalesce("rows", F.lit(0).cast("long")).alias("rows"))
+
+
 def missing_days(first: str, last: str, landed: DataFrame, day: str = "date") -> DataFrame:
     """Calendar days between two dates that no landed row covers."""
-    days = landed.sparkSession.range(1).select(F.explode(F.sequence(F.lit(first).cast("date"), F.lit(last).cast("date"))).alias(day))
-    return days.join(landed.select(day).distinct(), day, "left_anti")
+    return day_range(first, last, landed, day).where("state = 'missing'").select(day)
 
 
 def reparse(docs: DataFrame, parse: Callable[[DataFrame], DataFrame], index: DataFrame, accepted: Column | str,

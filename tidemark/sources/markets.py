@@ -50,14 +50,35 @@ def settlements(docs: DataFrame) -> DataFrame:
                        *[digits_only(f"s.{c}").alias(f"{c}_num") for c in SETTLEMENT_NUMBERS])
 
 
-def checked_records(docs: DataFrame, record: str, flag: str = "IsSuccess", at: str = "Data") -> DataFrame:
-    """Rows of documents whose own success flag is set. The host answers 200 for anything."""
-    d = docs.withColumn("_d", F.from_json("content", f"struct<`{flag}`: boolean, Message: string, `{at}`: array<struct<{record}>>>"))
-    return d.where(F.col(f"_d.{flag}")).select("path", F.explode(F.col(f"_d.{at}")).alias("_r")).select("path", "_r.*")
+def answers(docs: DataFrame, record: str, flag: str, at: str) -> DataFrame:
+    return docs.withColumn("_d", F.from_json("content", f"struct<`{flag}`: boolean, Message: string, `{at}`: array<struct<{record}>>>"))
 
 
-def commodity_bars(docs: DataFrame) -> DataFrame:
-    rows = checked_records(docs, "Date: string, Symbol: string, ExpiryDate: string, InstrumentName: string, StrikePrice: double, OptionType: string, Close: double, Volume: double")
+def checked_records(docs: DataFrame, record: str, flag: str = "IsSuccess", at: str = "Data", strict: bool = False) -> DataFrame:
+    """Rows of documents whose own success flag is set. The host answers 200 for anything.
+
+    A failed answer is in ``failed_answers``; with ``strict`` it raises when it is read.
+    """
+    d = answers(docs, record, flag, at)
+    good = F.coalesce(F.col(f"_d.{flag}"), F.lit(False))
+    if strict:
+        told = F.concat(F.lit("failed answer in "), "path", F.lit(": "), F.coalesce("_d.Message", F.lit("no message")))
+        good = F.when(good, True).otherwise(F.raise_error(told).cast("boolean"))
+    return d.where(good).select("path", F.explode(F.col(f"_d.{at}")).alias("_r")).select("path", "_r.*")
+
+
+def failed_answers(docs: DataFrame, flag: str = "IsSuccess", at: str = "Data") -> DataFrame:
+    """(path, reason, message) of documents that hold no successful answer: not JSON, no flag, or a flag that says no."""
+    d = answers(docs, "_none: string", flag, at)
+    is_json = F.try_parse_json("content").isNotNull()
+    reason = F.when(~F.coalesce(is_json, F.lit(False)), "not JSON").when(F.col(f"_d.{flag}").isNull(), "no flag").when(~F.col(f"_d.{flag}"), "refused")
+    return d.select("path", reason.alias("reason"), F.col("_d.Message").alias("message")).where("reason IS NOT NULL")
+
+
+def commodity_bars(docs: DataFrame, strict: bool = False) -> DataFrame:
+    """Bars of successful answers; others are in ``failed_answers``, or raise with ``strict``."""
+    rows = checked_records(docs, "Date: string, Symbol: string, ExpiryDate: string, InstrumentName: string, StrikePrice: double, OptionType: string, Close: double, Volume: double",
+                           strict=strict)
     return rows.withColumn("trade_date", parse("Date", US_SLASHED)).withColumn("Symbol", F.trim("Symbol"))
 
 
