@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator, Mapping, Sequence
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -54,34 +54,34 @@ def transcripts(segments: DataFrame, doc: str = "video_id", order: Sequence[str]
     return g.select(doc, segments_text(pieces).alias("transcript"), (last["_s"] + last["_d"]).cast("int").alias("duration_sec"))
 
 
-def stops(text: str) -> np.ndarray:
-    """For every limit 0 .. len(text), where a chunk cut at that limit ends: after the last mark that lies within
-    the look-back, of the strongest kind of mark that has one there, else at the limit itself."""
-    limits = np.arange(len(text) + 1)
-    out = limits.copy()
-    for mark in reversed(BOUNDARIES):
-        ends = np.zeros(len(text) + 1, np.int64)
-        found = np.array([m.end() for m in re.finditer(re.escape(mark), text)], np.int64)
-        ends[found] = found
-        last = np.maximum.accumulate(ends)
-        near = (last > 0) & (last - len(mark) >= limits - LOOK_BACK)
-        out[near] = last[near]
-    return out
+class Stops:
+    """Where chunks of one text may end: the sorted ends of every kind of mark, listed when a kind is first asked for."""
+
+    def __init__(self, text: str) -> None:
+        self.text = text
+        self.ends: dict[str, list[int]] = {}
+
+    def before(self, limit: int) -> int:
+        """The end of a chunk cut at ``limit``: after the last mark that lies within the look-back, of the strongest kind of mark that has
+        one there, else the limit itself."""
+        for mark in BOUNDARIES:
+            if mark not in self.ends:
+                self.ends[mark] = [m.end() for m in re.finditer(re.escape(mark), self.text)]
+            ends = self.ends[mark]
+            k = bisect_right(ends, limit)
+            if k and ends[k - 1] - len(mark) >= limit - LOOK_BACK:
+                return ends[k - 1]
+        return limit
 
 
 def spans(text: str, size: int, overlap: int) -> list[tuple[int, int]]:
-    """(start, end) of overlapping chunks of a text: the table of stops is followed from start to start."""
-    n = len(text)
-    at = stops(text)
-    starts = np.arange(n)
-    ends = at[np.minimum(starts + size, n)]
-    ends[starts + size >= n] = n
-    follow = np.maximum(ends - overlap, starts + 1)
-    out = []
-    start = 0
-    while start < n:
-        out.append((start, int(ends[start])))
-        start = n if ends[start] == n else int(follow[start])
+    """(start, end) of overlapping chunks of a text; the next one starts ``overlap`` before the end of the last."""
+    n, stops, out = len(text), Stops(text), []
+    start = end = 0
+    while end < n:
+        end = n if start + size >= n else stops.before(start + size)
+        out.append((start, end))
+        start = max(end - overlap, start + 1)
     return out
 
 
