@@ -171,7 +171,7 @@ def split_dates(panel: DataFrame, metric: str, min_segment_days: int, threshold:
     Every round scores all places of all open segments at once, keeps the best of each, and opens the halves of those with a shift, until none has
     one. A round is a join with the few open segments and one aggregation; nothing is gathered.
     """
-    days, ends = running(remove_season(panel, metric))
+    days, ends = running(materialise(remove_season(panel, metric)))
     days = materialise(days)
     low = {"lo": F.lit(0).cast("long"), "total_lo": F.lit(0.0), "square_lo": F.lit(0.0)}
     whole = materialise(ends.select("portname", "hi", F.col("total").alias("total_hi"), F.col("square").alias("square_hi")).withColumns(low))
