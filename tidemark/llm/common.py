@@ -244,6 +244,14 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def fresh(name: str, *tables: DataFrame) -> str:
+    """A column name like ``name`` that none of the tables has, whatever its case."""
+    taken = {x.lower() for df in tables for x in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def tidy() -> None:
     """Gives memory that nothing uses back to the machine."""
     pa.default_memory_pool().release_unused()

@@ -64,10 +64,11 @@ def cut(df: DataFrame, spans: str = "spans", text: str = "text", shortest: int =
 
 def cut_found(df: DataFrame, found: DataFrame, doc: str, text: str, shortest: int = 1) -> DataFrame:
     """``df`` cut by the spans of (doc, text_key, spans): rows are told apart by id and the hash of their text."""
+    key, hashed, spans = (c.fresh(x, df) for x in ("_id", "_text", "_spans"))
     found = found.select(F.col("doc").alias("_doc"), F.col("text_key").alias("_key"), "spans")
-    keyed = df.withColumns({"_id": F.coalesce(F.col(doc).cast("long"), F.lit((1 << 63) - 1)), "_text": F.xxhash64(text)})
-    joined = keyed.join(found, (keyed["_id"] == found["_doc"]) & (keyed["_text"] == found["_key"]), "left")
-    return cut(joined.select(*[keyed[f"`{x}`"] for x in df.columns], found["spans"].alias("_spans")), "_spans", text, shortest)
+    keyed = df.withColumns({key: F.coalesce(F.col(doc).cast("long"), F.lit((1 << 63) - 1)), hashed: F.xxhash64(text)})
+    joined = keyed.join(found, (keyed[key] == found["_doc"]) & (keyed[hashed] == found["_key"]), "left")
+    return cut(joined.select(*[keyed[f"`{x}`"] for x in df.columns], found["spans"].alias(spans)), spans, text, shortest)
 
 
 def digests(df: DataFrame) -> DataFrame:

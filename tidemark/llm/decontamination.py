@@ -165,7 +165,7 @@ def with_leaks(df: DataFrame, benchmark: DataFrame, text: str = "text", item: st
                 return [pa.ListArray.from_arrays(pa.array(at), rows)]
             return work
 
-        columns.append(f"_leaks{k}")
+        columns.append(c.fresh(f"_leaks{k}", df))
         df = c.with_columns(df, text, [(columns[-1], LEAK, LEAK_ARROW)], make)
     kept = [F.col(f"`{x}`") for x in df.columns if x not in (*columns, out)]
     return df.select(*kept, F.concat(*columns).alias(out))
@@ -173,5 +173,5 @@ def with_leaks(df: DataFrame, benchmark: DataFrame, text: str = "text", item: st
 
 def clean(df: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """Rows of ``df`` that leak no item, with their own columns."""
-    out = with_leaks(df, benchmark, text, out="_leaks")
-    return out.where(F.size("_leaks") == 0).select(*[F.col(f"`{x}`") for x in df.columns])
+    leaks = c.fresh("_leaks", df)
+    return with_leaks(df, benchmark, text, out=leaks).where(F.size(leaks) == 0).select(*[F.col(f"`{x}`") for x in df.columns])
