@@ -28,6 +28,35 @@ def test_transcript_anchors(spark):
     assert r.transcript == "[0:00] a b b \n[0:31] c d \n[1:01:40] e" and r.duration_sec == 3704
 
 
+def folded(rows):
+    """Transcript by one pass over the sorted segments."""
+    due, out = 0.0, ""
+    for start, _, text in sorted(rows):
+        if start >= due:
+            m, s = divmod(int(start), 60)
+            out += f"\n[{m // 60}:{m % 60:02d}:{s:02d}] " if m >= 60 else f"\n[{m}:{s:02d}] "
+            due = start + 30
+        out += text.replace("\n", " ") + " "
+    return out.strip()
+
+
+def test_transcripts_equal_one_pass_over_the_segments(spark):
+    rng = random.Random(8)
+    talks = {"dense": [rng.uniform(0, 900) for _ in range(700)], "sparse": [rng.uniform(0, 90000) for _ in range(300)], "even": [30.0 * i for i in range(200)],
+             "ties": [float(rng.randrange(0, 200, 5)) for _ in range(150)], "early": [-40.0, -3.0, 2.5, 31.0, 33.0], "one": [7.0], "gaps": [29.999999999999996, 60.0, 59.99999999999999, 1e5, 1e5 + 30]}
+    rows = [(v, s, float(rng.randint(1, 9)), f"w{rng.randint(0, 99)}\nx") for v, starts in talks.items() for s in starts]
+    df = spark.createDataFrame(rows, "video_id string, start double, duration double, text string").repartition(5)
+    got = {r.video_id: r.transcript for r in ts.transcripts(df).collect()}
+    assert got == {v: folded([r[1:] for r in rows if r[0] == v]) for v in talks}
+
+
+def test_transcripts_of_nothing_and_without_times(spark):
+    schema = "video_id string, start double, duration double, text string"
+    assert ts.transcripts(spark.createDataFrame([], schema)).collect() == []
+    r = ts.transcripts(spark.createDataFrame([("v", None, None, "a"), ("v", 5.0, 2.0, "b"), ("v", 5.0, 2.0, "b"), ("v", 50.0, 1.0, None)], schema)).first()
+    assert r.transcript == "a \n[0:05] b b" and r.duration_sec == 51
+
+
 def test_chunks_cover_whole_texts(spark):
     rng = random.Random(4)
     texts = ["".join(rng.choice(["word ", "end. ", "\n[1:00] ", "x"]) for _ in range(n)) for n in (10, 400, 3000)] + ["y" * 5000, None]

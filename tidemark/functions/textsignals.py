@@ -56,21 +56,10 @@ def clock(seconds: Column) -> Column:
     return F.when(h > 0, F.concat(h.cast("string"), F.lit(":"), two(m), F.lit(":"), two(r))).otherwise(F.concat(m.cast("string"), F.lit(":"), two(r)))
 
 
-def segments_text(segments: Column) -> Column:
-    """Prose of an ordered array of struct(start, text) with a stamp at least every 30 s.
-
-    The next stamp is due 30 s after the last one given, so the fold carries that time; the
-    pieces are joined once at the end.
-    """
-    begin = F.struct(F.lit(0.0).alias("due"), F.array().cast("array<string>").alias("out"))
-
-    def step(acc, x):
-        hit = x["start"] >= acc["due"]
-        body = F.concat(F.replace(x["text"], F.lit("\n"), F.lit(" ")), F.lit(" "))
-        piece = F.when(hit, F.concat(F.lit("\n["), clock(x["start"]), F.lit("] "), body)).otherwise(body)
-        return F.struct(F.when(hit, x["start"] + ANCHOR_SECONDS).otherwise(acc["due"]).cast("double").alias("due"), F.array_append(acc["out"], piece).alias("out"))
-
-    return F.regexp_replace(F.aggregate(segments, begin, step, lambda acc: F.array_join(acc["out"], "")), r"^\s+|\s+$", "")
+def transcript_piece(start: Column, text: Column, stamped: Column) -> Column:
+    """What one segment adds to a transcript: its text on one line, behind a stamp on a new line where it gets one."""
+    body = F.concat(F.replace(text, F.lit("\n"), F.lit(" ")), F.lit(" "))
+    return F.when(stamped, F.concat(F.lit("\n["), clock(start), F.lit("] "), body)).otherwise(body)
 
 
 def clean_ticker(ticker: str | Column, company: str | Column) -> Column:

@@ -11,8 +11,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalar import lookup
-from tidemark.functions.textsignals import clean_ticker, segments_text
+from tidemark.functions.textsignals import ANCHOR_SECONDS, clean_ticker, transcript_piece
 from tidemark.operators.asof import latest_vintage
+from tidemark.session import materialise
 
 # Fixed values.
 LOOK_BACK = 400
@@ -41,17 +42,49 @@ def recent(df: DataFrame, published: str, lookback_days: int, now: Column | None
     return df.where(F.coalesce(ts >= cutoff, F.lit(True)))
 
 
-def transcripts(segments: DataFrame, doc: str = "video_id", order: Sequence[str] = ("start",)) -> DataFrame:
+def stamp_times(segments: DataFrame, doc: str = "video_id") -> DataFrame:
+    """(doc, start) of the times that get a stamp: the first from 0 on, then always the first at least 30 s after the last stamp.
+
+    The time after a stamp depends on that stamp alone, so each time is linked to its successor, and the chain from the first one is
+    followed by pointer doubling: a round doubles both the length of the links and the stamps known. Rounds are the logarithm of the stamps of
+    the longest recording, and no recording is gathered. Successors are found within slots of 30 s and, where the slot has none, in the next slot that
+    has a time; only the slots of a recording, not its segments, meet in one window.
+    """
+    slot = lambda c: F.floor(F.col(c) / ANCHOR_SECONDS).alias("slot")
+    start = F.col("start").cast("double")
+    times = materialise(segments.where(F.col(doc).isNotNull() & (start >= 0) & ~F.isnan(start)).select(doc, start.alias("start")).distinct())
+    due = times.select(doc, "start", (F.col("start") + ANCHOR_SECONDS).alias("at"))
+    marks = times.select(doc, slot("start"), F.col("start").alias("at"), F.col("start").alias("time"), F.lit(None).cast("double").alias("start")).unionByName(
+        due.select(doc, slot("at"), "at", F.lit(None).cast("double").alias("time"), "start"))
+    # going down in time, a successor may be as late as what is due, so times come before what is due at the same moment
+    within = Window.partitionBy(doc, "slot").orderBy(F.desc("at"), F.col("time").isNull()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    later = Window.partitionBy(doc).orderBy(F.desc("slot")).rowsBetween(Window.unboundedPreceding, -1)
+    slots = marks.groupBy(doc, "slot").agg(F.min("time").alias("first")).select(doc, "slot", F.min("first").over(later).alias("beyond"))
+    near = marks.select(doc, "slot", "start", F.min("time").over(within).alias("near")).where("start IS NOT NULL")
+    links = materialise(near.join(slots, [doc, "slot"]).select(doc, "start", F.coalesce("near", "beyond").alias("next")).where("next IS NOT NULL"))
+    reached = times.groupBy(doc).agg(F.min("start").alias("start"))
+    while not links.isEmpty():
+        reached = materialise(reached.unionByName(reached.join(links, [doc, "start"]).select(doc, F.col("next").alias("start"))))
+        links = materialise(links.join(links.select(doc, F.col("start").alias("next"), F.col("next").alias("after")), [doc, "next"]).select(doc, "start", F.col("after").alias("next")))
+    return reached
+
+
+def transcripts(segments: DataFrame, doc: str = "video_id") -> DataFrame:
     """One text per video with stamps, and its length in seconds.
 
-    ``segments``: doc, start, duration, text. A group is one recording; the output cell is
-    the whole transcript, so the rows of one recording have to meet.
+    ``segments``: doc, start, duration, text, in the order of their starts; of several with the same start the shortest comes first, then the
+    smaller text, and the first takes the stamp. Segments without a start, before 0 or without a document get no stamp. Only the finished pieces of a recording meet, as its text is one cell.
     """
-    seg = F.struct(*order, F.col("start").cast("double").alias("_s"), F.col("duration").cast("double").alias("_d"), "text")
-    g = segments.groupBy(doc).agg(F.array_sort(F.collect_list(seg)).alias("x"))
+    s = segments.select(doc, F.col("start").cast("double").alias("start"), F.col("duration").cast("double").alias("duration"), "text")
+    first = F.row_number().over(Window.partitionBy(doc, "start").orderBy("duration", "text")) == 1
+    s = s.withColumn("_first", first).join(stamp_times(segments, doc).withColumn("_stamp", F.lit(True)), [doc, "start"], "left")
+    piece = transcript_piece(F.col("start"), F.col("text"), F.coalesce(F.col("_stamp") & F.col("_first"), F.lit(False)))
+    # a stamped piece is the first of its time, whatever its text is
+    pieces = F.struct("start", "duration", (~F.col("_first")).alias("later"), "text", piece.alias("piece"))
+    g = s.groupBy(doc).agg(F.array_sort(F.collect_list(pieces)).alias("x"))
     last = F.element_at("x", -1)
-    pieces = F.transform("x", lambda s: F.struct(s["_s"].alias("start"), s["text"].alias("text")))
-    return g.select(doc, segments_text(pieces).alias("transcript"), (last["_s"] + last["_d"]).cast("int").alias("duration_sec"))
+    text = F.array_join(F.transform("x", lambda p: p["piece"]), "")
+    return g.select(doc, F.regexp_replace(text, r"^\s+|\s+$", "").alias("transcript"), (last["start"] + last["duration"]).cast("int").alias("duration_sec"))
 
 
 class Stops:
