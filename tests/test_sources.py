@@ -82,6 +82,31 @@ def test_instance_document_and_self_reported_period(spark):
     assert r["Name"].value is None and r["Name"].value_text == "7" and len(r) == 5
 
 
+def test_instance_sections_nesting_and_entities(spark):
+    root = '<?xml version="1.0"?>\n<!-- a <b> --><!DOCTYPE xbrl SYSTEM "x>y.dtd" [ <!ELEMENT a ANY> ]>\n<xbrl xmlns="http://i" xmlns:f="http://f" xmlns:d="http://d">'
+    context = ('<context id="C&amp;1"><entity><identifier scheme="s"><![CDATA[<A&B>]]></identifier></entity><period><startDate> 2024-01-01\n</startDate><endDate>2024-03-31</endDate></period>'
+               '<scenario><d:explicitMember dimension="f:X">M1</d:explicitMember><d:explicitMember dimension="f:Y"><!-- none -->M2</d:explicitMember></scenario></context>')
+    facts = ('<f:Note contextRef="C&amp;1"><![CDATA[ 1 < 2 &amp; </f:Note><f:Fake contextRef="C"> ]]></f:Note><f:Both contextRef="C&amp;1">a&lt;b &#8377;&#x1F600; <![CDATA[<c>]]> d &amp;lt;</f:Both>'
+             '<f:Tuple contextRef="C&amp;1">head<f:Inner contextRef="C&amp;1">in</f:Inner>tail</f:Tuple><f:Empty contextRef="none" unitRef="pure"/><f:Amount decimals="-3" contextRef = \'C&amp;1\' unitRef="U">&#49;2.5<!-- <x> --></f:Amount>'
+             '<unit id="U"><divide><unitNumerator><measure>iso4217:INR</measure></unitNumerator><unitDenominator><measure>shares</measure></unitDenominator></divide></unit>'
+             '<f:Said note="a > b" contextRef="C&amp;1">x</f:Said></xbrl>')
+    d = docs(spark, root + context + facts).unionByName(docs(spark, None)).unionByName(docs(spark, '<!DOCTYPE a [<!ENTITY b "c">]><a/>')).unionByName(docs(spark, "<a><b></a>"))
+    r = {x.concept: x for x in rg.instance_facts(d).collect()}
+    assert set(r) == {"Note", "Both", "Tuple", "Empty", "Amount", "Said"}
+    assert r["Note"].value_text == '1 < 2 &amp; </f:Note><f:Fake contextRef="C">' and r["Both"].value_text == "a<b \u20b9\U0001f600 <c> d &lt;"
+    assert r["Tuple"].value_text == "head" and (r["Empty"].value_text, r["Empty"].unit, r["Empty"].period_end, r["Empty"].instant) == ("", "pure", None, False)
+    assert (r["Amount"].value, r["Amount"].unit, r["Amount"].decimals, r["Amount"].entity, r["Amount"].period_start) == (12.5, "INR/shares", "-3", "<A&B>", "2024-01-01")
+    assert r["Said"].dimensions == "f:X=M1;f:Y=M2" and r["Said"].has_dimensions
+    assert sorted(x.reason for x in rg.instance_rejects(d).collect()) == ["empty", "entities declared", "not well formed"]
+
+
+def test_instance_of_many_elements(spark):
+    n = 20000
+    x = "<r>" + "".join(f'<context id="c{i}"><period><instant>2024-01-{i % 28 + 1:02d}</instant></period></context><v contextRef="c{i}" unitRef="u">{i}</v>' for i in range(n)) + "</r>"
+    got = rg.instance_facts(docs(spark, x)).where("instant").agg(F.count("*").alias("n"), F.sum("value").alias("s")).first()
+    assert (got.n, got.s) == (n, n * (n - 1) / 2)
+
+
 def test_ownership_xml_tolerates_case_and_namespace(spark):
     body = "<{p}edgarSubmission{ns}><{p}formData><{p}coverPageHeader><{p}issuerInfo><{p}{tag}>77</{p}{tag}></{p}issuerInfo></{p}coverPageHeader><{p}coverPageHeaderReportingPersonDetails><{p}reportingPersonName>A\n  B</{p}reportingPersonName><{p}classPercent>1,005.5</{p}classPercent><{p}typeOfReportingPerson>IA</{p}typeOfReportingPerson><{p}typeOfReportingPerson>HC</{p}typeOfReportingPerson></{p}coverPageHeaderReportingPersonDetails></{p}formData></{p}edgarSubmission>"
     for p, ns, tag in (("", "", "issuerCik"), ("n:", ' xmlns:n="http://x"', "issuerCIK"), ("", ' xmlns="http://x"', "issuerCIK")):

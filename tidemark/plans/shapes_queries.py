@@ -330,9 +330,9 @@ def shape_disaster_alerts(spark, sf):
     return wo.disaster_alerts(doc(e, body)).select("title", "event_type", "alert_level", "lat", "lon")
 
 
-@query("shape_instance_facts", """SELECT 'u' || o_orderkey AS source_url, concept, context_id, period_start, period_end, instant, has_dimensions, unit, value FROM orders, (VALUES ('Revenue', 'D', true), ('Assets', 'I', true), ('Name', 'D', false), ('Segment', 'X', true)) f(concept, context_id, num),
+@query("shape_instance_facts", """SELECT 'u' || o_orderkey AS source_url, concept, context_id, period_start, period_end, instant, has_dimensions, unit, value, said FROM orders, (VALUES ('Revenue', 'D', true), ('Assets', 'I', true), ('Name', 'D', false), ('Segment', 'X', true)) f(concept, context_id, num),
   LATERAL (SELECT CASE context_id WHEN 'D' THEN '2024-04-01' WHEN 'X' THEN '2024-10-01' END AS period_start, CASE context_id WHEN 'I' THEN '2024-12-31' ELSE '2024-12-31' END AS period_end, context_id = 'I' AS instant, context_id = 'X' AS has_dimensions,
-    CASE WHEN num THEN 'INR/shares' END AS unit, CASE WHEN num THEN o_totalprice END AS value)""")
+    CASE WHEN num THEN 'INR/shares' END AS unit, CASE WHEN num THEN o_totalprice END AS value, CASE WHEN NOT num THEN 'Co <' || o_custkey || '> & Sons &amp;' END AS said)""")
 def shape_instance_facts(spark, sf):
     o = table(spark, sf, "orders")
     ctx = ("<xbrli:context id=\"D\"><xbrli:entity><xbrli:identifier>T</xbrli:identifier></xbrli:entity><xbrli:period><xbrli:startDate>2024-10-01</xbrli:startDate><xbrli:endDate>2024-12-30</xbrli:endDate></xbrli:period></xbrli:context>"
@@ -341,12 +341,14 @@ def shape_instance_facts(spark, sf):
            "<xbrli:unit id=\"U\"><xbrli:measure>iso4217:INR</xbrli:measure><xbrli:measure>xbrli:shares</xbrli:measure></xbrli:unit>"
            "<f:DateOfStartOfReportingPeriod contextRef=\"D\">2024-04-01</f:DateOfStartOfReportingPeriod><f:DateOfEndOfReportingPeriod contextRef=\"D\">2024-12-31</f:DateOfEndOfReportingPeriod>")
     num = lambda n, c: xml(f"<f:{n} contextRef=\"{c}\" unitRef=\"U\" decimals=\"2\">", S("o_totalprice"), f"</f:{n}>")
-    body = xml("<xbrli:xbrl xmlns:xbrli=\"http://i\" xmlns:f=\"http://f\">", ctx, num("Revenue", "D"), num("Assets", "I"), "<f:Name contextRef=\"D\">Co</f:Name>", num("Segment", "X"), "</xbrli:xbrl>")
-    facts = rg.reported_period(rg.instance_facts(spread(o).select(F.concat(F.lit("u"), S("o_orderkey")).alias("path"), body.alias("content"))))
-    return facts.where("concept NOT LIKE 'DateOf%'").select("source_url", "concept", "context_id", "period_start", "period_end", "instant", "has_dimensions", "unit", "value")
+    body = xml("<xbrli:xbrl xmlns:xbrli=\"http://i\" xmlns:f=\"http://f\">", ctx, num("Revenue", "D"), num("Assets", "I"), "<f:Name contextRef=\"D\"><!-- <f:Fake contextRef=\"D\"> --><![CDATA[Co <]]>", S("o_custkey"), "&gt; <![CDATA[& Sons &amp;]]></f:Name>", num("Segment", "X"), "</xbrli:xbrl>")
+    typed = F.when(F.col("o_orderkey") % 2 == 0, "<!DOCTYPE xbrl SYSTEM 'a.dtd' [ <!ELEMENT x ANY> ]>").otherwise("")
+    facts = rg.reported_period(rg.instance_facts(spread(o).select(F.concat(F.lit("u"), S("o_orderkey")).alias("path"), F.concat(typed, body).alias("content"))))
+    return facts.where("concept NOT LIKE 'DateOf%'").select("source_url", "concept", "context_id", "period_start", "period_end", "instant", "has_dimensions", "unit", "value",
+                                                            F.when(F.col("unit").isNull(), F.col("value_text")).alias("said"))
 
 
-@query("shape_instance_rejects", """SELECT 'u' || o_orderkey AS source_url, CASE o_orderkey % 3 WHEN 0 THEN 'document type declared' ELSE 'not well formed' END AS reason FROM orders WHERE o_orderkey % 3 < 2""")
+@query("shape_instance_rejects", """SELECT 'u' || o_orderkey AS source_url, CASE o_orderkey % 3 WHEN 0 THEN 'entities declared' ELSE 'not well formed' END AS reason FROM orders WHERE o_orderkey % 3 < 2""")
 def shape_instance_rejects(spark, sf):
     k = F.col("o_orderkey")
     body = F.when(k % 3 == 0, "<!DOCTYPE a [<!ENTITY b 'c'>]><a/>").when(k % 3 == 1, F.concat(F.lit("<a><b>"), S("o_custkey"), F.lit("</a>"))).otherwise("<x xmlns='http://i'/>")

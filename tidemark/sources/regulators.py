@@ -179,35 +179,47 @@ def fund_holdings(docs: DataFrame) -> DataFrame:
 
 # -- instance documents ---------------------------------------------------------------
 
-PREFIX = r"(?:[\w.-]+:)?"
-ATTRIBUTE = r"""\s+[\w:.-]+\s*=\s*(?:"[^"]*"|'[^']*')"""
-FACT = rf"""<([\w.-]+:)?([\w.-]+)((?:{ATTRIBUTE})*?\s+contextRef\s*=\s*(?:"[^"]*"|'[^']*')(?:{ATTRIBUTE})*)\s*(?:/>|>([^<]*)<)"""
+TAG = r"""<(?:/\s*)?[\w.:-]+(?:[^<>"']++|"[^"]*+"|'[^']*+')*+>"""
+ASIDE = r"<!\[CDATA\[.*?\]\]>|<!--.*?-->|<\?.*?\?>"
+MARK = rf"(?s)(?:{ASIDE})|{TAG}(?:[^<]++|{ASIDE})*+"
+DOCTYPE = r"""(?s)^((?:\s++|<\?.*?\?>|<!--.*?-->)*+)(<!DOCTYPE(?:[^\[>"']++|"[^"]*+"|'[^']*+')*+(?:\[[^\]]*+\]\s*+)?>)"""
 
-
-def _blocks(name: str) -> Column:
-    """Every element of that name with all it holds."""
-    return F.regexp_extract_all("content", F.lit(rf"(?s)<{PREFIX}{name}\b[^>]*>.*?</{PREFIX}{name}\s*>"), F.lit(0))
+# Entities every document may use.
+ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&amp;": "&"}
 
 
 def _attribute(text: Column, name: str) -> Column:
-    return F.regexp_extract(text, rf"""\b{name}\s*=\s*(["'])(.*?)\1""", 2)
+    return _unescaped(F.regexp_extract(text, rf"""(?s)[\s]{name}\s*=\s*(["'])(.*?)\1""", 2))
 
 
 def _unescaped(text: Column) -> Column:
-    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")):
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return F.trim(F.regexp_replace(text, r"^\s+|\s+$", ""))
+    """Text with the entities every document may use and character numbers replaced, once; others stay as they are written."""
+    def said(part: Column) -> Column:
+        number = F.coalesce(F.when(F.regexp_like(part, F.lit(r"^&#x[0-9A-Fa-f]{1,6};$")), F.conv(F.regexp_extract(part, r"^&#x([0-9A-Fa-f]{1,6});$", 1), 16, 10)),
+                            F.regexp_extract(part, r"^&#([0-9]{1,7});$", 1)).try_cast("int")
+        valid = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
+        return F.coalesce(lookup(ENTITIES, part), F.when(valid, F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")), part)
+
+    parts = F.regexp_extract_all(text, F.lit(r"&[^;&\s]{1,10};|[^&]+|&"), F.lit(0))
+    return F.when(F.contains(text, F.lit("&")), F.array_join(F.transform(parts, said), "")).otherwise(text)
 
 
-def _child(block: Column, name: str) -> Column:
-    return blank_to_null(_unescaped(F.regexp_extract(block, rf"(?s)<{PREFIX}{name}\b[^>]*>(.*?)</", 1)))
+def _content(tail: Column) -> Column:
+    """The text of what stands between two tags: sections of character data as they are, other text unescaped, comments and instructions left out."""
+    parts = F.regexp_extract_all(tail, F.lit(rf"(?s){ASIDE}|[^<]+"), F.lit(0))
+    plain = lambda p: F.when(F.startswith(p, F.lit("<![CDATA[")), F.substr(p, F.lit(10), F.length(p) - 12)).when(F.startswith(p, F.lit("<")), "").otherwise(_unescaped(p))
+    text = F.when(F.contains(tail, F.lit("<")), F.array_join(F.transform(parts, plain), "")).otherwise(_unescaped(tail))
+    return F.regexp_replace(text, r"^\s+|\s+$", "")
 
 
 def _checked(docs: DataFrame) -> DataFrame:
-    """(source_url, content, reason): why a document can't be read, NULL where it can. Comments are taken out."""
+    """(source_url, content, reason): why a document can't be read, NULL where it can. A document type that declares no entities is taken out."""
+    declared = F.regexp_extract("content", DOCTYPE, 2)
+    content = F.when(declared != "", F.regexp_replace("content", DOCTYPE, "$1")).otherwise(F.col("content"))
+    d = docs.select(F.col("path").alias("source_url"), content.alias("content"), declared.alias("declared"))
     broken = F.from_xml("content", "_bad string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})["_bad"].isNotNull()
-    reason = F.when(F.col("content").isNull(), "empty").when(F.contains("content", F.lit("<!DOCTYPE")), "document type declared").when(broken, "not well formed")
-    return docs.select(F.col("path").alias("source_url"), F.regexp_replace("content", r"(?s)<!--.*?-->", "").alias("content"), reason.alias("reason"))
+    reason = F.when(F.col("content").isNull(), "empty").when(F.contains("declared", F.lit("<!ENTITY")), "entities declared").when(broken, "not well formed")
+    return d.select("source_url", "content", reason.alias("reason"))
 
 
 def instance_rejects(docs: DataFrame) -> DataFrame:
@@ -215,33 +227,54 @@ def instance_rejects(docs: DataFrame) -> DataFrame:
     return _checked(docs).where("reason IS NOT NULL").select("source_url", "reason")
 
 
+def elements(docs: DataFrame) -> DataFrame:
+    """Every element of well-formed documents, at any depth: source_url, pos, depth (the root is 1), child (number of the root's child it lies in, 0 for the root),
+    prefix, name, attributes, text up to its first child.
+
+    ``docs``: source_url, content. Tags are listed with all up to the next tag, so character data and comments never look like tags. Depth
+    is a running sum of +1 for a start and -1 for an end, ordered within a document.
+    """
+    m = F.col("mark")
+    tag = F.regexp_extract(m, rf"(?s)^{TAG}", 0)
+    marks = docs.select("source_url", F.posexplode(F.regexp_extract_all("content", F.lit(MARK), F.lit(0))).alias("pos", "mark"))
+    marks = marks.where(~F.startswith(m, F.lit("<!")) & ~F.startswith(m, F.lit("<?"))).select("source_url", "pos", tag.alias("tag"), F.substr(m, F.length(tag) + 1).alias("tail"))
+    end, alone = F.startswith("tag", F.lit("</")), F.endswith("tag", F.lit("/>"))
+    w = Window.partitionBy("source_url").orderBy("pos")
+    up_to = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    change = F.when(end, -1).when(alone, 0).otherwise(1)
+    marks = marks.withColumn("depth", F.sum(change).over(up_to) + alone.cast("int"))
+    marks = marks.withColumn("child", F.sum(F.when(~end & (F.col("depth") == 2), 1).otherwise(0)).over(up_to)).where(~end)
+    full = F.regexp_extract("tag", r"^<([\w.:-]+)", 1)
+    text = F.when(alone, "").otherwise(_content(F.col("tail")))
+    return marks.select("source_url", "pos", "depth", "child", F.when(F.contains(full, F.lit(":")), F.substring_index(full, ":", 1)).alias("prefix"),
+                        F.substring_index(full, ":", -1).alias("name"), F.col("tag").alias("attributes"), text.alias("text"))
+
+
 def instance_facts(docs: DataFrame) -> DataFrame:
     """Facts of instance documents, one row each; documents that can't be read are in ``instance_rejects``.
 
-    Contexts, units and facts are three frames of elements found by pattern, joined by document and id: the element names of
+    Contexts, units and facts are children of the root, three frames joined by document and id: the element names of
     facts are open-ended, so no schema can name them. ``docs``: path, content.
     """
-    readable = _checked(docs).where("reason IS NULL").select("source_url", "content")
-    c = F.col("block")
-    members = F.regexp_extract_all(c, F.lit(rf"(?s)<{PREFIX}explicitMember\b[^>]*>.*?</"), F.lit(0))
-    dims = F.filter(F.transform(members, lambda m: F.when(_attribute(m, "dimension") != "", F.concat(
-        _attribute(m, "dimension"), F.lit("="), F.coalesce(_child(m, "explicitMember"), F.lit(""))))), lambda d: d.isNotNull())
-    contexts = readable.select("source_url", F.explode(_blocks("context")).alias("block")).select(
-        "source_url", _attribute(c, "id").alias("context_id"), _child(c, "identifier").alias("entity"), _child(c, "startDate").alias("period_start"),
-        _child(c, "endDate").alias("_end"), _child(c, "instant").alias("_instant"), F.concat_ws(";", dims).alias("dimensions"))
-    measures = F.transform(F.regexp_extract_all(c, F.lit(rf"(?s)<{PREFIX}measure\b[^>]*>(.*?)</"), F.lit(1)),
-                           lambda m: F.trim(F.element_at(F.split(m, ":"), -1)))
-    units = readable.select("source_url", F.explode(_blocks("unit")).alias("block")).select(
-        "source_url", _attribute(c, "id").alias("_unit"), blank_to_null(F.concat_ws("/", measures)).alias("_measure"))
-    # ids are unique in a valid document; where one is not, the largest definition stands
-    contexts = contexts.groupBy("source_url", "context_id").agg(F.max(F.struct("entity", "period_start", "_end", "_instant", "dimensions")).alias("x")) \
-        .select("source_url", "context_id", "x.*")
-    units = units.groupBy("source_url", "_unit").agg(F.max("_measure").alias("_measure"))
-    part = lambda k: F.regexp_extract_all("content", F.lit(FACT), F.lit(k))
-    facts = readable.select("source_url", F.explode(F.arrays_zip(*[part(k).alias(n) for k, n in enumerate(("prefix", "concept", "attributes", "text"), 1)])).alias("f"))
-    facts = facts.select("source_url", "f.concept", blank_to_null(F.rtrim(F.regexp_replace("f.prefix", ":$", ""))).alias("taxonomy"),
-                         _attribute(F.col("f.attributes"), "contextRef").alias("context_id"), blank_to_null(_attribute(F.col("f.attributes"), "unitRef")).alias("_unit"),
-                         blank_to_null(_attribute(F.col("f.attributes"), "decimals")).alias("decimals"), _unescaped(F.coalesce("f.text", F.lit(""))).alias("value_text"))
+    e = elements(_checked(docs).where("reason IS NULL").select("source_url", "content"))
+    own = lambda c: F.max(F.when(F.col("depth") == 2, F.col(c)))
+    last = lambda n: F.max_by("text", F.when(F.col("name") == n, F.col("pos")))
+    listed = lambda n, c: F.transform(F.array_sort(F.collect_list(F.when((F.col("name") == n) & (c != ""), F.struct("pos", c.alias("v"))))), lambda x: x["v"])
+    axis = _attribute(F.col("attributes"), "dimension")
+    # what lies in one child of the root is one definition
+    parts = e.where(F.col("name").isin("context", "unit", "identifier", "startDate", "endDate", "instant", "explicitMember", "measure") & (F.col("depth") >= 2)).groupBy("source_url", "child").agg(
+        own("name").alias("kind"), F.max(F.when(F.col("depth") == 2, _attribute(F.col("attributes"), "id"))).alias("id"),
+        *[blank_to_null(last(n)).alias(a) for n, a in (("identifier", "entity"), ("startDate", "period_start"), ("endDate", "_end"), ("instant", "_instant"))],
+        listed("explicitMember", F.when(axis != "", F.concat(axis, F.lit("="), F.col("text"))).otherwise("")).alias("dims"),
+        listed("measure", F.trim(F.substring_index("text", ":", -1))).alias("measures"))
+    # ids are unique in a valid document; where one is not, the last definition stands
+    contexts = parts.where("kind = 'context'").groupBy("source_url", F.col("id").alias("context_id")).agg(
+        F.max_by(F.struct("entity", "period_start", "_end", "_instant", F.concat_ws(";", "dims").alias("dimensions")), "child").alias("x")).select("source_url", "context_id", "x.*")
+    units = parts.where("kind = 'unit'").groupBy("source_url", F.col("id").alias("_unit")).agg(F.max_by(blank_to_null(F.concat_ws("/", "measures")), "child").alias("_measure"))
+    a = F.col("attributes")
+    facts = e.where((F.col("depth") == 2) & ~F.col("name").isin("schemaRef", "context", "unit") & F.regexp_like(a, F.lit(r"\scontextRef\s*="))).select(
+        "source_url", F.col("name").alias("concept"), F.col("prefix").alias("taxonomy"), _attribute(a, "contextRef").alias("context_id"),
+        blank_to_null(_attribute(a, "unitRef")).alias("_unit"), blank_to_null(_attribute(a, "decimals")).alias("decimals"), F.col("text").alias("value_text"))
     number = F.nanvl(F.when(F.col("_unit").isNotNull(), F.col("value_text").try_cast("double")), F.lit(None).cast("double"))
     return facts.join(contexts, ["source_url", "context_id"], "left").join(units, ["source_url", "_unit"], "left").select(
         "source_url", "concept", "taxonomy", "context_id", "entity", "period_start", F.coalesce("_end", "_instant").alias("period_end"),
