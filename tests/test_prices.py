@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.functions.mackinnon import engle_granger_pvalue
+from tidemark.functions.mackinnon import engle_granger, engle_granger_pvalue
 from tidemark.functions.scalar import exact_quantile
 from tidemark.operators import correlation as corr
 from tidemark.operators import cross_asset as ca
@@ -73,6 +73,68 @@ def test_cointegration_accepts_and_rejects():
     assert engle_granger_pvalue(walk * 3 + 1, walk) == 0.0
 
 
+def least_squares(y, x):
+    coef = np.linalg.lstsq(x, y, rcond=None)[0]
+    return coef, y - x @ coef
+
+
+def plain_statistic(y, x, lags=None):
+    """One pair, one regression for each number of lags."""
+    _, e = least_squares(y, np.column_stack([x, np.ones(len(x))]))
+    d = np.diff(e)
+
+    def design(k, start):
+        rows = np.arange(start, len(d))
+        return d[rows], np.column_stack([e[rows]] + [d[rows - j] for j in range(1, k + 1)])
+
+    if lags is None:
+        most = min(int(np.ceil(12 * (len(e) / 100) ** 0.25)), len(e) // 2 - 1)
+        scores = []
+        for k in range(most + 1):
+            t, z = design(k, most)
+            scores.append(len(t) * (np.log(2 * np.pi) + np.log(np.sum(least_squares(t, z)[1] ** 2) / len(t)) + 1) + 2 * (k + 1))
+        lags = int(np.argmin(scores))
+    t, z = design(lags, lags)
+    coef, u = least_squares(t, z)
+    return coef[0] / np.sqrt(u @ u / (len(t) - z.shape[1]) * np.linalg.inv(z.T @ z)[0, 0]), lags
+
+
+@pytest.mark.parametrize("n", [20, 33, 60, 250])
+@pytest.mark.parametrize("lags", [None, 0, 1, 4])
+def test_many_pairs_at_once_equal_one_by_one(n, lags):
+    rng = np.random.default_rng(n)
+    x = np.cumsum(rng.normal(0, 1, (40, n)), axis=1) + 100
+    y = np.where(np.arange(40)[:, None] % 2 == 0, np.cumsum(rng.normal(0, 1, (40, n)), axis=1), 2 * x + rng.normal(0, 1, (40, n)))
+    t, used, p = engle_granger(y, x, lags)
+    for i in range(40):
+        want, k = plain_statistic(y[i], x[i], lags)
+        assert used[i] == k and t[i] == pytest.approx(want, rel=1e-8) and 0 <= p[i] <= 1
+
+
+def test_constant_and_collinear_pairs():
+    x = np.arange(30.0) ** 1.5
+    t, used, p = engle_granger(np.stack([np.full(30, 4.0), 3 * x + 1, np.sin(x)]), np.stack([x, x, np.full(30, 2.0)]))
+    assert np.isnan(t[0]) and np.isnan(p[0]) and t[1] == -np.inf and p[1] == 0 and np.isfinite(t[2]) and list(used[:2]) == [-1, -1]
+
+
+def test_pairs_screen_takes_joint_dates_only(spark):
+    rng = np.random.default_rng(5)
+    m = rng.normal(0, 0.01, 100)
+    p = panel(spark, {"A": m, "B": m + rng.normal(0, 1e-3, 100), "C": m + rng.normal(0, 1e-3, 100)})
+    gone = p.where(~((F.col("symbol") == "C") & F.col("trade_date").isin(DAYS[80], DAYS[91])))
+    got = {(x.symbol_a, x.symbol_b): x for x in corr.pairs_screen(gone, corr.rolling_correlation(gone), 0.8).collect()}
+    level = {}
+    for r in gone.where(F.col("trade_date") >= sorted({r.trade_date for r in p.collect()})[-60]).collect():
+        level.setdefault(r.symbol, {})[r.trade_date] = r.close
+    assert len(got) == 3
+    for (a, b), x in got.items():
+        days = sorted(level[a].keys() & level[b].keys())
+        want, k = plain_statistic(np.array([level[a][d] for d in days]), np.array([level[b][d] for d in days]))
+        assert (x.n_obs, x.lags) == (len(days), k) and x.statistic == pytest.approx(want, rel=1e-7)
+    with pytest.raises(ValueError):
+        corr.pairs_screen(p, corr.rolling_correlation(p), min_obs=5, lags=3)
+
+
 def test_pairs_screen_runs_only_on_the_shortlist(spark):
     rng = np.random.default_rng(3)
     m = rng.normal(0, 0.01, 100)

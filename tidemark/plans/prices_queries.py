@@ -138,6 +138,25 @@ def pairs_screen(spark, sf):
     return corr.pairs_screen(panel, pairs(spark, sf, panel), corr_threshold=0.3)
 
 
+COINT = """lv AS (SELECT symbol, trade_date, close FROM px JOIN dts USING (trade_date) WHERE close IS NOT NULL),
+  jt AS (SELECT p.symbol_a, p.symbol_b, p.correlation, a.trade_date, a.close AS y, b.close AS x FROM pairs p JOIN lv a ON a.symbol = p.symbol_a
+    JOIN lv b ON b.symbol = p.symbol_b AND b.trade_date = a.trade_date WHERE abs(p.correlation) >= 0.3),
+  ft AS (SELECT *, y - avg(y) OVER w - covar_pop(y, x) OVER w / var_pop(x) OVER w * (x - avg(x) OVER w) AS e, count(*) OVER w AS n_obs FROM jt WINDOW w AS (PARTITION BY symbol_a, symbol_b)),
+  df AS (SELECT *, lag(e) OVER w AS l, e - lag(e) OVER w AS d FROM ft WINDOW w AS (PARTITION BY symbol_a, symbol_b ORDER BY trade_date)),
+  dl AS (SELECT *, lag(d) OVER (PARTITION BY symbol_a, symbol_b ORDER BY trade_date) AS g FROM df),
+  sm AS (SELECT symbol_a, symbol_b, correlation, n_obs, count(*) AS n, sum(l * l) AS ll, sum(g * g) AS gg, sum(l * g) AS lg, sum(l * d) AS ld, sum(g * d) AS gd, sum(d * d) AS dd
+    FROM dl WHERE g IS NOT NULL AND n_obs >= 20 GROUP BY ALL),
+  so AS (SELECT *, ll * gg - lg * lg AS det, (ld * gg - gd * lg) / (ll * gg - lg * lg) AS b, (gd * ll - ld * lg) / (ll * gg - lg * lg) AS c FROM sm)"""
+
+
+@query("pairs_statistic", f"""WITH {RETURNS}, {PAIRS}, {COINT} SELECT symbol_a, symbol_b, round(correlation, 6) AS correlation,
+  round(b / sqrt((dd - b * ld - c * gd) / (n - 2) * gg / det), 5) AS statistic, n_obs, (SELECT max(trade_date) FROM dts) AS as_of_date FROM so""")
+def pairs_statistic(spark, sf):
+    panel = stored_prices(spark, sf)
+    return corr.pairs_screen(panel, pairs(spark, sf, panel), corr_threshold=0.3, lags=1).select(
+        "symbol_a", "symbol_b", F.round("correlation", R6).alias("correlation"), F.round("statistic", 5).alias("statistic"), "n_obs", "as_of_date")
+
+
 MOMENTUM = """ends AS (SELECT max(trade_date) AS hi, min(trade_date) AS lo FROM
     (SELECT DISTINCT trade_date FROM px ORDER BY trade_date DESC LIMIT 21)),
   tr AS (SELECT l.symbol, l.close / f.close - 1 AS trailing_return, l.trade_date AS as_of_date
