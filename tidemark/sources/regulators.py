@@ -253,30 +253,34 @@ def elements(docs: DataFrame) -> DataFrame:
 def instance_facts(docs: DataFrame) -> DataFrame:
     """Facts of instance documents, one row each; documents that can't be read are in ``instance_rejects``.
 
-    Contexts, units and facts are children of the root, three frames joined by document and id: the element names of
-    facts are open-ended, so no schema can name them. ``docs``: path, content.
+    Contexts, units and facts are children of the root, and each child is one row: what lies in it is summed up by name, since the
+    element names of facts are open-ended and no schema can name them. Facts meet their context, then their unit, in windows over document and
+    id, so a document is parsed once. Of definitions with the same id the last stands. ``docs``: path, content.
     """
-    e = elements(_checked(docs).where("reason IS NULL").select("source_url", "content"))
-    own = lambda c: F.max(F.when(F.col("depth") == 2, F.col(c)))
+    e = elements(_checked(docs).where("reason IS NULL").select("source_url", "content")).where("depth >= 2")
+    attribute = lambda n: _attribute(F.col("attributes"), n)
+    root = F.col("depth") == 2
+    own = lambda c: F.max(F.when(root, c))
     last = lambda n: F.max_by("text", F.when(F.col("name") == n, F.col("pos")))
     listed = lambda n, c: F.transform(F.array_sort(F.collect_list(F.when((F.col("name") == n) & (c != ""), F.struct("pos", c.alias("v"))))), lambda x: x["v"])
-    axis = _attribute(F.col("attributes"), "dimension")
-    # what lies in one child of the root is one definition
-    parts = e.where(F.col("name").isin("context", "unit", "identifier", "startDate", "endDate", "instant", "explicitMember", "measure") & (F.col("depth") >= 2)).groupBy("source_url", "child").agg(
-        own("name").alias("kind"), F.max(F.when(F.col("depth") == 2, _attribute(F.col("attributes"), "id"))).alias("id"),
+    axis = attribute("dimension")
+    children = e.where(root | F.col("name").isin("identifier", "startDate", "endDate", "instant", "explicitMember", "measure")).groupBy("source_url", "child").agg(
+        own(F.col("name")).alias("concept"), own(F.col("prefix")).alias("taxonomy"), own(F.col("attributes")).alias("attributes"), own(F.col("text")).alias("value_text"),
         *[blank_to_null(last(n)).alias(a) for n, a in (("identifier", "entity"), ("startDate", "period_start"), ("endDate", "_end"), ("instant", "_instant"))],
         listed("explicitMember", F.when(axis != "", F.concat(axis, F.lit("="), F.col("text"))).otherwise("")).alias("dims"),
         listed("measure", F.trim(F.substring_index("text", ":", -1))).alias("measures"))
-    # ids are unique in a valid document; where one is not, the last definition stands
-    contexts = parts.where("kind = 'context'").groupBy("source_url", F.col("id").alias("context_id")).agg(
-        F.max_by(F.struct("entity", "period_start", "_end", "_instant", F.concat_ws(";", "dims").alias("dimensions")), "child").alias("x")).select("source_url", "context_id", "x.*")
-    units = parts.where("kind = 'unit'").groupBy("source_url", F.col("id").alias("_unit")).agg(F.max_by(blank_to_null(F.concat_ws("/", "measures")), "child").alias("_measure"))
-    a = F.col("attributes")
-    facts = e.where((F.col("depth") == 2) & ~F.col("name").isin("schemaRef", "context", "unit") & F.regexp_like(a, F.lit(r"\scontextRef\s*="))).select(
-        "source_url", F.col("name").alias("concept"), F.col("prefix").alias("taxonomy"), _attribute(a, "contextRef").alias("context_id"),
-        blank_to_null(_attribute(a, "unitRef")).alias("_unit"), blank_to_null(_attribute(a, "decimals")).alias("decimals"), F.col("text").alias("value_text"))
+    kind = F.when(F.col("concept").isin("context", "unit"), F.col("concept")).when(
+        (F.col("concept") != "schemaRef") & F.regexp_like("attributes", F.lit(r"\scontextRef\s*=")), "fact")
+    c = children.withColumn("kind", kind).where("kind IS NOT NULL").withColumn("context_id", F.when(F.col("kind") == "fact", attribute("contextRef")).when(F.col("kind") == "context", attribute("id"))) \
+        .withColumn("_unit", F.when(F.col("kind") == "fact", blank_to_null(attribute("unitRef"))).when(F.col("kind") == "unit", attribute("id")))
+    found = lambda k, x, key: F.max_by(x, F.when(F.col("kind") == k, F.col("child"))).over(Window.partitionBy("source_url", key))
+    context = F.struct("entity", "period_start", "_end", "_instant", F.concat_ws(";", "dims").alias("dimensions"))
+    c = c.withColumn("x", found("context", context, "context_id")).where("kind <> 'context'").select(
+        "source_url", "child", "kind", "concept", "taxonomy", "context_id", "_unit", "value_text", blank_to_null(attribute("decimals")).alias("decimals"), "x",
+        blank_to_null(F.concat_ws("/", "measures")).alias("measures"))
+    c = c.withColumn("_measure", F.when(F.col("_unit").isNotNull(), found("unit", F.col("measures"), "_unit"))).where("kind = 'fact'").select("*", "x.*")
     number = F.nanvl(F.when(F.col("_unit").isNotNull(), F.col("value_text").try_cast("double")), F.lit(None).cast("double"))
-    return facts.join(contexts, ["source_url", "context_id"], "left").join(units, ["source_url", "_unit"], "left").select(
+    return c.select(
         "source_url", "concept", "taxonomy", "context_id", "entity", "period_start", F.coalesce("_end", "_instant").alias("period_end"),
         F.col("_instant").isNotNull().alias("instant"), (F.coalesce("dimensions", F.lit("")) != "").alias("has_dimensions"),
         F.coalesce("dimensions", F.lit("")).alias("dimensions"), F.coalesce("_measure", "_unit").alias("unit"), "decimals", "value_text", number.alias("value"))
