@@ -210,15 +210,18 @@ def entity_evidence(spark, sf):
     return ts.evidence(full, ts.entity_totals(full)).select("name", "batch_no", "signal_no", "body")
 
 
-@query("merge_aliases", f"""WITH {MENTIONS}, cl AS (SELECT name, mentions, CASE WHEN substr(name, 1, 1) IN ('A', 'E', 'I') THEN 'Vowel Group' ELSE left(name, 2) END AS company FROM tt WHERE length(name) % 2 = 0),
-  j AS (SELECT company, mn.* FROM mn JOIN cl USING (name))
-  SELECT company, count(*) AS mentions, array_to_string(list_sort(list_distinct(list(channel_name))), ',') AS channels, count(DISTINCT video_id) AS episodes, count(*) FILTER (stance = 'bullish') AS bullish, count(*) FILTER (stance = 'bearish') AS bearish,
-  CASE company WHEN 'Vowel Group' THEN 'VWL.N' ELSE '' END AS ticker FROM j GROUP BY company""")
+@query("merge_aliases", f"""WITH {MENTIONS}, cl AS (SELECT name, mentions, CASE WHEN substr(name, 1, 1) IN ('A', 'E', 'I') THEN 'Vowel Group' ELSE left(name, 2) END AS company FROM tt),
+  ds AS (SELECT company, first(name ORDER BY mentions DESC, name DESC) AS top, first(name ORDER BY mentions DESC, name DESC) FILTER (length(name) % 2 = 0) AS even, array_to_string(list(name ORDER BY name), ',') AS aliases FROM cl GROUP BY company),
+  j AS (SELECT company, mn.* FROM mn JOIN cl USING (name)),
+  g AS (SELECT company, count(*) AS mentions, array_to_string(list_sort(list_distinct(list(channel_name))), ',') AS channels, count(DISTINCT video_id) AS episodes, count(*) FILTER (stance = 'bullish') AS bullish, count(*) FILTER (stance = 'bearish') AS bearish,
+    CASE company WHEN 'Vowel Group' THEN 'VWL.N' ELSE '' END AS ticker FROM j GROUP BY company)
+  SELECT g.*, coalesce('listed ' || even, 'unknown') AS listing, 'theme ' || top AS theme, 'about ' || top AS context, aliases FROM g JOIN ds USING (company)""")
 def merge_aliases(spark, sf):
     m = mentioned(spark, sf)
     totals = ts.entity_totals(m)
     vowel = F.substring("name", 1, 1).isin("A", "E", "I")
     canon = F.when(vowel, "Vowel Group").otherwise(F.substring("name", 1, 2))
-    c = totals.select("name", F.xxhash64("name").alias("seq"), (F.length("name") % 2 == 0).alias("is_company"), canon.alias("canonical_name"), F.when(vowel, "vwl.n").otherwise(F.upper(canon)).alias("ticker"),
-                      F.lit("listed").alias("listing"), F.lit("t").alias("theme"), F.lit("c").alias("context"))
-    return flat(ts.merge_aliases(c, totals, m), "company", "ticker")
+    c = totals.select("name", F.col("name").alias("seq"), F.lit(True).alias("is_company"), canon.alias("canonical_name"), F.when(vowel, "vwl.n").otherwise(F.upper(canon)).alias("ticker"),
+                      F.when(F.length("name") % 2 == 0, F.concat(F.lit("listed "), "name")).alias("listing"), F.concat(F.lit("theme "), "name").alias("theme"), F.concat(F.lit("about "), "name").alias("context"))
+    merged = ts.merge_aliases(c, totals, m).withColumn("aliases", F.array_join("aliases", ","))
+    return flat(merged, "company", "ticker", "listing", "theme", "context", "aliases")
