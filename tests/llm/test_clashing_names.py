@@ -16,3 +16,18 @@ def test_clean_texts_keep_the_columns_of_the_caller(spark):
     df = spark.createDataFrame([(1, item, "a", 5), (2, "nothing of that", "b", 6)], "doc_id long, text string, _leaks string, _leaks0 int")
     out = decontamination.clean(df, spark.createDataFrame([(1, item)], "item_id long, text string"))
     assert out.columns == df.columns and [tuple(r) for r in out.collect()] == [(2, "nothing of that", "b", 6)]
+
+
+def test_each_block_of_a_benchmark_is_a_pass_of_its_own(spark, monkeypatch):
+    words = [f"w{i}" for i in range(400)]
+    bench = spark.createDataFrame([(i, " ".join(words[i * 20:i * 20 + 20])) for i in range(20)], "item_id long, text string")
+    rows = [(i, " ".join(words[i * 20:i * 20 + 60]), i, f"x{i}") for i in range(17)] + [(98, "clean text", 0, "y"), (98, None, 1, "z")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _row long, _leaks string")
+    plans, stored = [], decontamination.c.stored
+    monkeypatch.setattr(decontamination.c, "stored", lambda d, label: plans.append((label, d._jdf.queryExecution().executedPlan().toString())) or stored(d, label))
+    out = decontamination.with_leaks(df, bench, block_words=50)
+    assert sum(label == "leaks" for label, _ in plans) >= 8 and all(p.count("MapInArrow") == (label != "documents") for label, p in plans)
+    assert "MapInArrow" not in out._jdf.queryExecution().executedPlan().toString()
+    order = lambda d: sorted((str(r.doc_id), r["_row"], r["_leaks"], sorted(map(tuple, r.leaks))) for r in d.collect())
+    assert out.columns == [*df.columns, "leaks"] and order(out) == order(decontamination.with_leaks(df, bench))
+    assert {len(r.leaks) for r in out.where("doc_id < 17").collect()} == {3}

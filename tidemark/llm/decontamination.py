@@ -7,8 +7,9 @@ leaks an item when a window of ``WINDOW`` words agrees in all but ``SUBSTITUTION
 hit every such window, wherever the substitutions fall. Items of ``SHORTEST`` to ``WINDOW`` - 1 words
 must occur whole and unchanged; shorter ones say nothing and match nothing.
 
-The item side travels to the tasks in blocks of about ``BLOCK_WORDS`` words, checked by count: one pass over the
-documents per block, so a larger benchmark takes more passes, never more memory. Documents are not shuffled.
+The item side travels to the tasks in blocks of about ``BLOCK_WORDS`` words, checked by count. One block is one pass over the documents, which
+are not shuffled. With several, the documents are written once with a row number, each block makes a pass of its own that writes the
+leaks it finds and is then given up, and the leaks are joined to the documents at the end: a larger benchmark takes more passes, no more memory.
 
 Null and empty texts leak nothing. Equal items are all reported.
 """
@@ -16,10 +17,13 @@ Null and empty texts leak nothing. Equal items are all reported.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm import common as c
@@ -124,8 +128,8 @@ class Items:
         return np.stack([text, item, np.maximum(begin - start, 0), np.minimum(end, first[text + 1]) - 1 - start, best])[:, keep].astype(np.int64)
 
 
-def item_blocks(benchmark: DataFrame, item: str, text: str, block_words: int) -> list[Items]:
-    """Blocks of items, each of about ``block_words`` words, brought to the driver one by one."""
+def item_blocks(benchmark: DataFrame, item: str, text: str, block_words: int) -> tuple[int, Iterator[Items]]:
+    """How many blocks of about ``block_words`` words the items make, and the blocks, brought to the driver one by one."""
     def hashed(batches):
         for batch in batches:
             words, first = word_arrays(c.text_array(batch.column(1)))
@@ -135,12 +139,32 @@ def item_blocks(benchmark: DataFrame, item: str, text: str, block_words: int) ->
                     .mapInArrow(c.frugal(hashed), "item_id long, words array<long>").where(F.size("words") >= SHORTEST), "items")
     total = rows.agg(F.sum(F.size("words"))).first()[0] or 0
     blocks = max(1, math.ceil(total / block_words))
-    for k in range(blocks):
+
+    def block(k: int) -> Items:
         part = rows.where(F.pmod(F.xxhash64("item_id", "words"), F.lit(blocks)) == k).toArrow().combine_chunks()
         lists = part["words"].combine_chunks()
         ids = part["item_id"].combine_chunks()
-        yield Items(np.asarray(ids.fill_null(-1), np.int64), np.asarray(pc.list_flatten(lists), np.int64).view(np.uint64),
-                    np.asarray(pc.list_value_length(lists), np.int64))
+        return Items(np.asarray(ids.fill_null(-1), np.int64), np.asarray(pc.list_flatten(lists), np.int64).view(np.uint64),
+                     np.asarray(pc.list_value_length(lists), np.int64))
+
+    return blocks, (block(k) for k in range(blocks))
+
+
+def block_leaks(df: DataFrame, shared: Broadcast, text: str, out: str) -> DataFrame:
+    """``df`` with the leaks of one block of items."""
+    def make():
+        block = shared.value
+
+        def work(column: pa.Array) -> list[pa.Array]:
+            words, first = word_arrays(c.text_array(column))
+            owner, which, start, stop, score = block.leaks(words, first)
+            rows = pa.StructArray.from_arrays([pa.array(block.ids[which]), pa.array(start, pa.int32()), pa.array(stop, pa.int32()),
+                                               pa.array(score, pa.int32())], fields=list(LEAK_ARROW.value_type))
+            at = np.searchsorted(owner, np.arange(len(column) + 1)).astype(np.int32)
+            return [pa.ListArray.from_arrays(pa.array(at), rows)]
+        return work
+
+    return c.with_columns(df, text, [(out, LEAK, LEAK_ARROW)], make)
 
 
 def with_leaks(df: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text",
@@ -149,26 +173,23 @@ def with_leaks(df: DataFrame, benchmark: DataFrame, text: str = "text", item: st
 
     The list is empty for clean texts. Items without an id are reported as -1.
     """
-    columns = []
-    for k, items in enumerate(item_blocks(benchmark, item, item_text, block_words)):
-        shared = df.sparkSession.sparkContext.broadcast(items)
-
-        def make(shared=shared):
-            block = shared.value
-
-            def work(column: pa.Array) -> list[pa.Array]:
-                words, first = word_arrays(c.text_array(column))
-                owner, which, start, stop, score = block.leaks(words, first)
-                rows = pa.StructArray.from_arrays([pa.array(block.ids[which]), pa.array(start, pa.int32()), pa.array(stop, pa.int32()),
-                                                   pa.array(score, pa.int32())], fields=list(LEAK_ARROW.value_type))
-                at = np.searchsorted(owner, np.arange(len(column) + 1)).astype(np.int32)
-                return [pa.ListArray.from_arrays(pa.array(at), rows)]
-            return work
-
-        columns.append(c.fresh(f"_leaks{k}", df))
-        df = c.with_columns(df, text, [(columns[-1], LEAK, LEAK_ARROW)], make)
-    kept = [F.col(f"`{x}`") for x in df.columns if x not in (*columns, out)]
-    return df.select(*kept, F.concat(*columns).alias(out))
+    blocks, items = item_blocks(benchmark, item, item_text, block_words)
+    share = df.sparkSession.sparkContext.broadcast
+    found = c.fresh("_leaks", df)
+    kept = [F.col(f"`{x}`") for x in df.columns if x != out]
+    if blocks == 1:
+        return block_leaks(df, share(next(items)), text, found).select(*kept, F.col(found).alias(out))
+    row, parts = c.fresh("_row", df), []
+    docs = c.stored(df.withColumn(row, F.monotonically_increasing_id()), "documents")
+    texts = docs.select(row, F.col(f"`{text}`").alias("text"))
+    for k, block in enumerate(items):
+        shared = share(block)
+        leaks = block_leaks(texts, shared, "text", found).where(F.size(found) > 0).select(row, F.lit(k).alias("block"), found)
+        parts.append(c.stored(leaks, "leaks"))
+        shared.destroy()
+    by_block = F.array_sort(F.collect_list(F.struct("block", found)))
+    one = reduce(DataFrame.unionByName, parts).groupBy(row).agg(F.flatten(F.transform(by_block, lambda x: x[found])).alias(found))
+    return docs.join(one, row, "left").select(*kept, F.coalesce(F.col(found), F.array().cast(LEAK)).alias(out))
 
 
 def clean(df: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
