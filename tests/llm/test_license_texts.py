@@ -84,3 +84,17 @@ def test_standard_texts(spark):
 def test_apache_on_one_line_has_all_identifiers(spark):
     df = spark.createDataFrame([(re.sub(r"\s+", " ", APACHE),)], "text string")
     assert licenses.scan(df).first().sentence_ids == "apache-2-note,apache-2-use,apache-2-copy,apache-2-warranty,apache-2-see"
+
+
+def test_third_bsd_sentence_with_any_holder(spark):
+    names = ["the University of Somewhere, Elsewhere", "Google Inc.", "A. B. Holder", "the Regents", "PROJECT X", ""]
+    plain = BSD_2 + """
+3. Neither the name of HOLDER nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+    texts = [t for n in names for wrapped in [plain.replace("HOLDER", n)] for t in (wrapped, re.sub(r"\s+", " ", wrapped))]
+    other = plain.replace("endorse or promote", "describe")
+    df = spark.createDataFrame(list(enumerate([*texts, other])), "doc_id long, text string")
+    got = {r.doc_id: r.licenses for r in licenses.scan(df).collect()}
+    assert [got[i] for i in range(len(texts))] == ["BSD-3-Clause"] * len(texts) and got[len(texts)] == "BSD-2-Clause"

@@ -67,14 +67,6 @@ SENTENCES = {
     "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer": "bsd-source",
     "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the "
     "documentation and or other materials provided with the distribution": "bsd-binary",
-    "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this "
-    "software without specific prior written permission": "bsd-names",
-    "neither the name of the university nor the names of its contributors may be used to endorse or promote products derived from this "
-    "software without specific prior written permission": "bsd-names",
-    "neither the name of the organization nor the names of its contributors may be used to endorse or promote products derived from this "
-    "software without specific prior written permission": "bsd-names",
-    "neither the name of the author nor the names of its contributors may be used to endorse or promote products derived from this "
-    "software without specific prior written permission": "bsd-names",
     "licensed under cc by nc 4 0": "cc-by-nc-4-note",
     "licensed under cc by 4 0": "cc-by-4-note",
     "licensed under cc by sa 4 0": "cc-by-sa-4-note",
@@ -84,6 +76,10 @@ SENTENCES = {
     "all rights reserved": "reserved",
 }
 
+#: Fixed value: how a sentence ends that names any holder, and its identifier. A holder like "A. Inc." ends a sentence, so the ending may be all of it.
+ENDING = "nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission"
+ENDING_ID = "bsd-names"
+
 #: Ordered rules, longer ones first. First sentences may be lost to a copyright line before them on the same line.
 RULES = [
     ("Apache-2.0", ["apache-2-note", "apache-2-use", "apache-2-copy", "apache-2-warranty", "apache-2-see"]),
@@ -124,7 +120,8 @@ def sentences(text: F.Column, breaks: str) -> F.Column:
 
 def identifiers(text: F.Column, breaks: str) -> F.Column:
     known = F.create_map(*[F.lit(x) for pair in SENTENCES.items() for x in pair])
-    found = F.filter(F.transform(sentences(text, breaks), lambda s: F.try_element_at(known, s)), lambda x: x.isNotNull())
+    ends = lambda s: (s == ENDING) | F.endswith(s, F.lit(" " + ENDING))
+    found = F.filter(F.transform(sentences(text, breaks), lambda s: F.when(ends(s), ENDING_ID).otherwise(F.try_element_at(known, s))), lambda x: x.isNotNull())
     return F.coalesce(F.concat_ws(",", found), F.lit(""))
 
 
@@ -155,7 +152,7 @@ def check_sql() -> str:
     def ids(breaks: str) -> str:
         marked = f"regexp_replace(regexp_replace(lower(text), '([.!?:])[ \\t\\r\\n]+', '\\1' || chr(1), 'g'), '{breaks}', chr(1), 'g')"
         cut = f"list_transform(string_split({marked}, chr(1)), lambda s: trim(regexp_replace(s, '[^a-z0-9]+', ' ', 'g')))"
-        named = f"list_filter(list_transform({cut}, lambda s: {known}[s]), lambda x: x is not null)"
+        named = f"list_filter(list_transform({cut}, lambda s: case when s = '{ENDING}' or suffix(s, ' {ENDING}') then '{ENDING_ID}' else {known}[s] end), lambda x: x is not null)"
         return f"case when regexp_matches(lower(text), '{TRIGGER}') then coalesce(array_to_string({named}, ','), '') else '' end"
 
     return f"""
