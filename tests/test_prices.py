@@ -57,6 +57,52 @@ def test_correlation_equals_pandas_pairwise(spark):
         assert got[k][0] == pytest.approx(rho, abs=1e-10) and got[k][1] == obs
 
 
+def market(spark, symbols: int = 40):
+    """Symbols of three strengths around one factor, some with gaps, one flat and one a mirror image."""
+    rng = np.random.default_rng(7)
+    base = rng.normal(0, 0.01, 100)
+    rets = {f"S{i}": base * (i % 3) + rng.normal(0, 0.01, 100) for i in range(symbols)}
+    rets |= {"FLAT": np.full(100, 0.01), "MIRROR": -rets["S2"]}
+    p = panel(spark, rets)
+    return p.where(~(F.col("symbol").isin("S4", "S5", "S11") & (F.dayofmonth("trade_date") % 3 == 0)))
+
+
+@pytest.mark.parametrize("block", [7, 256])
+@pytest.mark.parametrize("at_least", [0.0, 0.5, 0.7])
+def test_thresholded_correlation_is_the_full_one_over_the_threshold(spark, at_least, block):
+    p = market(spark)
+    key = lambda x: (x.symbol_a, x.symbol_b, round(x.correlation, 10), x.n_obs, x.as_of_date)
+    want = {key(x) for x in corr.rolling_correlation(p, block=block).where(F.abs("correlation") >= at_least).collect()}
+    assert not any("FLAT" in x for x in want)
+    got = {key(x) for x in corr.rolling_correlation(p, block=block, at_least=at_least).collect()}
+    assert got == want and len(want) > 10
+    assert any(x[2] < 0 for x in want)
+
+
+def test_bound_dismisses_most_pairs_and_no_close_one():
+    rng = np.random.default_rng(11)
+    a, b = rng.normal(0, 1, (200, 60)), rng.normal(0, 1, (150, 60))
+    b[:20] = a[:20] + rng.normal(0, 0.3, (20, 60))
+    b[20] = 5.0
+    i, j, rho = corr._close_pairs(a, b, 0.8)
+    every = np.corrcoef(a, b[np.arange(150) != 20])[:200, 200:]
+    assert len(i) == (np.abs(every) >= 0.8).sum() >= 15 and 20 not in j
+    assert np.allclose(rho, np.corrcoef(a, b)[i, 200 + j])
+
+
+@pytest.mark.parametrize("block", [7, 256])
+def test_sector_sums_equal_the_mean_of_stored_pairs(spark, block):
+    p = market(spark)
+    rows = [(f"S{i}", ("steel", "power", None)[i % 3]) for i in range(30)] + [("S1", "metals"), ("MIRROR", "steel")]
+    industry = spark.createDataFrame(rows, "symbol string, industry string")
+    want = {(x.industry_a, x.industry_b): x.correlation for x in corr.sector_correlation(corr.rolling_correlation(p), industry).collect()}
+    out = corr.rolling_sector_correlation(p, industry, block=block)
+    got = {(x.industry_a, x.industry_b): x.correlation for x in out.collect()}
+    assert got.keys() == want.keys() and len(got) >= 9
+    assert all(got[k] == pytest.approx(want[k], abs=1e-10) for k in want)
+    assert corr.rolling_sector_correlation(p.limit(0), industry).count() == 0
+
+
 def test_symmetric_matrix_is_null_where_nothing_is_stored(spark):
     pairs = spark.createDataFrame([("A", "B", 0.5)], "symbol_a string, symbol_b string, correlation double")
     syms = spark.createDataFrame([("A",), ("B",), ("C",)], "symbol string")

@@ -83,8 +83,8 @@ def betas(spark, sf, panel=None):
     return px.compute_betas(stored_prices(spark, sf) if panel is None else panel, PROXY, window_days=60)
 
 
-def pairs(spark, sf, panel=None, only=None):
-    return corr.rolling_correlation(stored_prices(spark, sf) if panel is None else panel, 60, 20, only=only)
+def pairs(spark, sf, panel=None, only=None, at_least=None):
+    return corr.rolling_correlation(stored_prices(spark, sf) if panel is None else panel, 60, 20, only=only, at_least=at_least)
 
 
 PAIRS = """dts AS (SELECT DISTINCT trade_date FROM px ORDER BY trade_date DESC LIMIT 60),
@@ -120,7 +120,7 @@ SECTORS = """sec AS (SELECT ia.industry AS industry_a, ib.industry AS industry_b
 @query("sector_correlation", f"""WITH {RETURNS}, {PAIRS}, {INDUSTRIES}, {SECTORS}
   SELECT industry_a, industry_b, round(correlation, 6) AS correlation FROM sec""")
 def sector_correlation(spark, sf):
-    return corr.sector_correlation(pairs(spark, sf), industries(spark, sf)).withColumn("correlation", F.round("correlation", R6))
+    return corr.rolling_sector_correlation(stored_prices(spark, sf), industries(spark, sf)).withColumn("correlation", F.round("correlation", R6))
 
 
 @query("sector_correlation_mirrored", f"""WITH {RETURNS}, {PAIRS}, {INDUSTRIES}, {SECTORS}
@@ -128,14 +128,14 @@ def sector_correlation(spark, sf):
   round(coalesce(a.correlation, b.correlation), 6) AS correlation
   FROM sec a FULL JOIN sec b ON a.industry_a = b.industry_b AND a.industry_b = b.industry_a""")
 def sector_correlation_mirrored(spark, sf):
-    return corr.mirror_fill(corr.sector_correlation(pairs(spark, sf), industries(spark, sf))).withColumn(
+    return corr.mirror_fill(corr.rolling_sector_correlation(stored_prices(spark, sf), industries(spark, sf))).withColumn(
         "correlation", F.round("correlation", R6))
 
 
 @query("pairs_screen")
 def pairs_screen(spark, sf):
     panel = stored_prices(spark, sf)
-    return corr.pairs_screen(panel, pairs(spark, sf, panel), corr_threshold=0.3)
+    return corr.pairs_screen(panel, pairs(spark, sf, panel, at_least=0.3), corr_threshold=0.3)
 
 
 COINT = """lv AS (SELECT symbol, trade_date, close FROM px JOIN dts USING (trade_date) WHERE close IS NOT NULL),
@@ -153,7 +153,7 @@ COINT = """lv AS (SELECT symbol, trade_date, close FROM px JOIN dts USING (trade
   round(b / sqrt((dd - b * ld - c * gd) / (n - 2) * gg / det), 5) AS statistic, n_obs, (SELECT max(trade_date) FROM dts) AS as_of_date FROM so""")
 def pairs_statistic(spark, sf):
     panel = stored_prices(spark, sf)
-    return corr.pairs_screen(panel, pairs(spark, sf, panel), corr_threshold=0.3, lags=1).select(
+    return corr.pairs_screen(panel, pairs(spark, sf, panel, at_least=0.3), corr_threshold=0.3, lags=1).select(
         "symbol_a", "symbol_b", F.round("correlation", R6).alias("correlation"), F.round("statistic", 5).alias("statistic"), "n_obs", "as_of_date")
 
 
