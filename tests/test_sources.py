@@ -1,6 +1,6 @@
 import hashlib
 import json
-from datetime import date
+from datetime import date, timedelta
 
 import numpy as np
 import pytest
@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.sources import archive as ar
 from tidemark.sources import cells as ce
 from tidemark.sources import files as fi
+from tidemark.sources import grids as gr
 from tidemark.sources import markets as mk
 from tidemark.sources import regulators as rg
 from tidemark.sources import world as wo
@@ -134,6 +135,69 @@ def test_short_state_vectors_do_not_shift(spark):
     assert (r["i"].callsign, r["i"].longitude, r["i"].category) == ("AB", 72.5, None) and (r["j"].callsign, r["j"].category) == (None, "6")
 
 
+def grid_folder(spark, tmp_path, days: int = 40):
+    layout = gr.Layout(3, 2, 1, 70.0, 10.0, 1.0)
+    rows = [(date(2026, 1, 1) + timedelta(i), np.array([i, -999, 2, 3, 4, 5], dtype="<f4").tobytes()) for i in range(days)]
+    folder = str(tmp_path / "grids")
+    gr.write_grids(spark.createDataFrame(rows, "date date, content binary").repartition(3), folder, layout)
+    return folder, layout
+
+
+def test_grid_source_reads_what_was_written(spark, tmp_path):
+    folder, layout = grid_folder(spark, tmp_path)
+    rows = gr.read_grids(spark, folder, layout).collect()
+    assert len(rows) == 40 * 5 and {x.layer for x in rows} == {0}
+    assert {(x.date, x.value) for x in rows if (x.lat, x.lon) == (10.0, 70.0)} == {(date(2026, 1, 1) + timedelta(i), float(i)) for i in range(40)}
+    assert (11.0, 72.0, 5.0) in {(x.lat, x.lon, x.value) for x in rows}
+    gr.write_grids(spark.createDataFrame([(date(2026, 1, 1), np.full(6, 7, dtype="<f4").tobytes())], "date date, content binary"), "file:" + folder, layout)
+    again = gr.read_grids(spark, "file:" + folder, layout)
+    assert again.count() == 40 * 5 + 1 and again.where("date = DATE '2026-01-01'").agg(F.sum("value")).first()[0] == 42
+
+
+@pytest.mark.parametrize("bound, days", [("date = DATE '2026-01-05'", 1), ("date > DATE '2026-02-01' AND date <= DATE '2026-02-04'", 3), ("date IN (DATE '2026-01-01', DATE '2026-01-09')", 2),
+                                         ("date < DATE '2025-01-01'", 0), ("date >= DATE '2026-02-05' AND value = 3", 5), ("date = DATE '2026-01-01' OR value < 0", 1), ("date IS NULL", 0)])
+def test_grid_source_opens_files_of_wanted_days_only(spark, tmp_path, bound, days):
+    folder, layout = grid_folder(spark, tmp_path)
+    bad = tmp_path / "grids" / "grid_20300101.bin"
+    bad.write_bytes(b"short")                      # read only where its day is wanted
+    got = gr.read_grids(spark, folder, layout).where(bound)
+    if " OR " in bound or "NULL" in bound:         # nothing is taken over, so every file is opened
+        with pytest.raises(Exception, match="grid layout changed"):
+            got.collect()
+    elif ">=" in bound:
+        with pytest.raises(Exception, match="grid layout changed"):
+            got.collect()
+        assert got.where("date < DATE '2030-01-01'").select("date").distinct().count() == days
+    else:
+        assert got.select("date").distinct().count() == days
+
+
+def test_grid_source_parts_are_consecutive_days_of_bounded_size(spark, tmp_path, monkeypatch):
+    folder, layout = grid_folder(spark, tmp_path)
+    reader = gr.GridReader(folder, layout)
+    assert len(reader.partitions()) == 2 and [d for p in reader.partitions() for d, _ in p.files] == [date(2026, 1, 1) + timedelta(i) for i in range(40)]
+    monkeypatch.setattr(gr, "PART_BYTES", 1)
+    assert [len(p.files) for p in reader.partitions()] == [1] * 40
+    rest = list(reader.pushFilters([gr.GreaterThan(("date",), date(2026, 2, 7)), gr.GreaterThan(("value",), 1.0), gr.IsNotNull(("date",))]))
+    assert [f.attribute for f in rest] == [("value",)] and len(reader.partitions()) == 2
+
+
+def test_grid_source_refuses_names_sizes_and_days_twice(spark, tmp_path):
+    folder, layout = grid_folder(spark, tmp_path, 2)
+    write = lambda *rows: gr.write_grids(spark.createDataFrame(rows, "date date, content binary"), folder, layout)
+    with pytest.raises(Exception, match="24 bytes"):
+        write((date(2026, 1, 1), b"x"))
+    with pytest.raises(Exception, match="24 bytes"):
+        write((None, bytes(24)))
+    with pytest.raises(Exception, match="more than one grid"):
+        write((date(2026, 1, 1), bytes(24)), (date(2026, 1, 1), bytes(24)))
+    (tmp_path / "grids" / "_SUCCESS").write_bytes(b"")
+    assert gr.read_grids(spark, folder, layout).where("date = DATE '2026-01-02'").count() == 5
+    (tmp_path / "grids" / "notes.bin").write_bytes(b"")
+    with pytest.raises(Exception, match="no date"):
+        gr.read_grids(spark, folder, layout).count()
+
+
 def test_grid_file_and_weighted_mean(spark, tmp_path):
     grid = np.full((2, 4, 3), 10.0, dtype="<f4")
     grid[0, 1, 1], grid[0, 2, 1] = -999.0, 40.0

@@ -3,6 +3,8 @@ parses them back with the feed's parser; the SQL states the result from the tabl
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
@@ -13,9 +15,11 @@ from tidemark.plans.registry import query
 from tidemark.sources import archive as ar
 from tidemark.sources import cells as ce
 from tidemark.sources import files as fi
+from tidemark.sources import grids as gr
 from tidemark.sources import markets as mk
 from tidemark.sources import regulators as rg
 from tidemark.sources import world as wo
+from tidemark.session import shared_folder
 
 S = lambda c: F.col(c).cast("string")
 
@@ -364,13 +368,18 @@ def shape_facts_with_filing(spark, sf):
 
 # -- grids ----------------------------------------------------------------------------
 
-def grids(spark, sf):
-    """Each embedding written as an 8 x n float32 grid."""
+def packed(values):
+    """A binary column of little-endian float32 values."""
     @F.pandas_udf("binary")
     def pack(v: pd.Series) -> pd.Series:
         return v.map(lambda a: np.asarray(a, dtype="<f4").tobytes())
 
-    return table(spark, sf, "embeddings").select(F.col("vec_id").cast("string").alias("path"), pack("embedding").alias("content"), F.size("embedding").alias("n"))
+    return pack(values)
+
+
+def grids(spark, sf):
+    """Each embedding written as an 8 x n float32 grid."""
+    return table(spark, sf, "embeddings").select(F.col("vec_id").cast("string").alias("path"), packed("embedding").alias("content"), F.size("embedding").alias("n"))
 
 
 def width(spark, sf):
@@ -396,6 +405,34 @@ def shape_regional_means(spark, sf):
     return wo.regional_means(cells, BOXES, by=("path",)).withColumn("mean", F.round("mean", 6))
 
 
+def order_grids(spark, sf):
+    """A folder with one 6 x 4 grid per order date: orders per cell of their customers, missing where there are none."""
+    per_cell = table(spark, sf, "orders").groupBy(F.to_date("o_orderdate").alias("date"), F.pmod("o_custkey", F.lit(24)).cast("int").alias("i")).agg(F.count(F.lit(1)).cast("float").alias("v"))
+    by_day = per_cell.groupBy("date").agg(F.map_from_entries(F.collect_list(F.struct("i", "v"))).alias("m"))
+    values = F.transform(F.sequence(F.lit(0), F.lit(23)), lambda i: F.coalesce(F.try_element_at(F.col("m"), i), F.lit(-999.0).cast("float")))
+    folder = f"{shared_folder(spark)}/grids/orders-{uuid.uuid4().hex}"
+    gr.write_grids(by_day.select("date", packed(values).alias("content")), folder, ORDER_LAYOUT)
+    return gr.read_grids(spark, folder, ORDER_LAYOUT)
+
+
+ORDER_LAYOUT = gr.Layout(6, 4, 1, 70.0, 10.0, 1.0)
+ORDER_GRID = """oc AS (SELECT CAST(o_orderdate AS DATE) AS date, o_custkey % 24 AS i, CAST(count(*) AS DOUBLE) AS value FROM orders GROUP BY ALL),
+  og AS (SELECT date, CAST(10 + i // 6 AS DOUBLE) AS lat, CAST(70 + i % 6 AS DOUBLE) AS lon, value FROM oc)"""
+
+
+@query("shape_grid_days", f"WITH {ORDER_GRID} SELECT date, lat, lon, value FROM og")
+def shape_grid_days(spark, sf):
+    return order_grids(spark, sf).select("date", "lat", "lon", "value")
+
+
+@query("shape_grid_season", f"""WITH {ORDER_GRID} SELECT date, round(sum(value * cos(radians(lat))) / sum(cos(radians(lat))), 6) AS mean, count(*) AS valid_cells
+  FROM og WHERE date BETWEEN DATE '1995-06-01' AND DATE '1995-09-30' GROUP BY 1""")
+def shape_grid_season(spark, sf):
+    """Daily means of one season; the scan opens the files of its days only."""
+    season = order_grids(spark, sf).where("date BETWEEN DATE '1995-06-01' AND DATE '1995-09-30'")
+    return wo.regional_means(season, {"all": (0.0, 180.0, -90.0, 90.0)}).select("date", F.round("mean", 6).alias("mean"), "valid_cells")
+
+
 # -- cell tables ----------------------------------------------------------------------
 
 def table_cells(spark, sf):

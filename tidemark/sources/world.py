@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.dates import COMPACT, iso_or_epoch, parse
 from tidemark.functions.scalar import blank_to_null, lookup, to_double
 from tidemark.sources.files import check_columns
+from tidemark.sources.grids import Layout
 
 # Layout and codes of the daily event export.
 GDELT_COLUMNS = (
@@ -133,19 +133,13 @@ def grid_cells(files: DataFrame, n_lon: int = GRID_LON, n_lat: int = GRID_LAT, l
     ``files``: path, content (binary). A file of another size raises: the product changed
     and reshaping it would scramble the geography. A grid has a fixed number of cells.
     """
-    size = n_lon * n_lat * layers * 4
-    lat = np.repeat(lat0 + step * np.arange(n_lat), n_lon)
-    lon = np.tile(lon0 + step * np.arange(n_lon), n_lat)
+    layout = Layout(n_lon, n_lat, layers, lon0, lat0, step, undef)
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for path, content in zip(pdf["path"], pdf["content"]):
-                if len(content) != size:
-                    raise ValueError(f"{path}: expected {size} bytes, got {len(content)}; the grid layout changed")
-                values = np.frombuffer(content, dtype="<f4").astype(float).reshape(layers, -1)
-                for layer in range(layers):
-                    ok = values[layer] != undef
-                    yield pd.DataFrame({"path": path, "layer": layer, "lat": lat[ok], "lon": lon[ok], "value": values[layer][ok]})
+                for layer, lat, lon, value in layout.cells(content, path):
+                    yield pd.DataFrame({"path": path, "layer": layer, "lat": lat, "lon": lon, "value": value})
 
     return files.select("path", "content").mapInPandas(decode, CELL_SCHEMA)
 
