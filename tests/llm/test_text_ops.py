@@ -301,7 +301,39 @@ def test_chunk_dedup_equals_brute_force(spark):
     assert {r.doc_id: r.n_removed for r in chunk_dedup.without_repeats(df).collect()} == want and any(want.values())
 
 
-@pytest.mark.parametrize("options", [{}, {"share": 300}, {"vocabulary": 3, "share": 500}])
+def katz_chunk(texts: list[np.ndarray], shares: int, hot: dict[tuple[int, int], int]) -> list[dict]:
+    """The rows of a chunk of texts given as word ids, each with the count 1,000."""
+    totals = katz.Totals(40_000, 50, len(texts), [5, 4, 3, 2, 1, 1], shares)
+    pairs = np.array(list(hot), np.uint32).reshape(-1, 2)
+    totals.keep_hot(katz.pair_key(pairs[:, 0], pairs[:, 1]), np.array(list(hot.values()), np.int64))
+    word, n = np.concatenate(texts).astype(np.uint32), np.array([len(t) for t in texts])
+    row = np.arange(len(texts)) + (7 << 33)
+    return list(katz.chunk_rows([(row, row, np.zeros(len(texts), np.int8), n, word, np.full(len(word), 1000))], totals, 0))
+
+
+def test_katz_chunks_deal_bytes_by_tokens_not_by_shares():
+    rng = np.random.default_rng(5)
+    texts = [rng.integers(0, 3000, 40) for _ in range(1500)]
+    size = {k: sum(len(r[f]) for r in katz_chunk(texts, k, {})[1:] for f in ("row", "held")) for k in (50, 200, 800, 3200)}
+    assert all(x <= 5 * 1500 * 40 for x in size.values()) and size[3200] < 1.1 * size[800]
+
+
+def test_katz_chunks_send_a_pair_once_a_text_and_no_hot_pair():
+    long, short = np.zeros(20_000, int), np.array([1, 0, 0, 2])
+    sent = lambda rows: {(int(np.repeat(np.frombuffer(r["history"], np.uint32), np.frombuffer(r["run"], np.uint32))[k]), int(w), r["first"] - (7 << 33) + int(np.frombuffer(r["row"], np.uint32)[np.frombuffer(r["of"], np.uint16)[k]])):
+                         int(np.frombuffer(r["times"], np.uint32)[k]) if r["times"] else 1 for r in rows[1:] for k, w in enumerate(np.frombuffer(r["word"], np.uint32))}
+    start = 2 ** 32 - 1
+    want = {(start, 0, 0): 1, (0, 0, 0): 19_999, (start, 1, 1): 1, (1, 0, 1): 1, (0, 0, 1): 1, (0, 2, 1): 1}
+    for shares in (1, 100):
+        assert sent(katz_chunk([long, short], shares, {})) == want
+    rows = katz_chunk([long, short], 100, {(0, 0): 900})
+    assert sent(rows) == {k: n for k, n in want.items() if k[:2] != (0, 0)}
+    f = lambda x, t: np.frombuffer(rows[0][x], t)
+    assert list(zip(f("history", np.uint32), f("of", np.uint32), f("times", np.uint32))) == [(0, 0, 19_999), (0, 1, 1)]
+    assert f("x", np.float64) == pytest.approx([19_999 * np.log10(0.9), np.log10(0.9)])
+
+
+@pytest.mark.parametrize("options", [{}, {"share": 300}, {"share": 60}, {"vocabulary": 3, "share": 60}])
 def test_katz_scores(spark, odd, none, options):
     import math
     from collections import Counter, defaultdict
@@ -311,6 +343,7 @@ def test_katz_scores(spark, odd, none, options):
     names = ["The", "of", "dog", "cat", "ran", "x,", "É"] + [f"n{i}" for i in range(40)]
     rows = [(d, " ".join(names[min(int(rng.expovariate(0.15)), len(names) - 1)] for _ in range(rng.randint(0, 60)))) for d in range(60)]
     rows += [(60, None), (61, "zzz yyy"), (62, "dog cat\x1f")]
+    rows += [(63, "of the " * 40), (64, "dog " * 70), (65, "hot hot " * 30), (66, "of the dog " * 30)]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     held = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
     lower = lambda t: "".join(chr(ord(x) + 32) if "A" <= x <= "Z" else x for x in t or "")

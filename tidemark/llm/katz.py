@@ -12,8 +12,10 @@ its pairs count c(h, w) / (c(h) + 1). Where counts of counts give no discount be
 discounting with n1 / (n1 + 2 n2) takes its place. Histories begin with a start mark; each text ends with an end token.
 
 Tables, all in the shared folder: word counts; and, partitioned by share and marked by kind, pair counts, history sums, partial sums
-of texts and backed-off tokens. Pairs are dealt by history; a history with more than a fraction of all tokens is dealt by pair. A task
-counts the training pairs of its share and at once evaluates all tokens of the share, as sums that don't depend
+of texts and backed-off tokens. Pairs are dealt by history; a history with more than a fraction of all tokens is dealt by pair. A pair with
+more than that fraction is counted before, in an aggregation that tasks begin: its tokens are evaluated where their text is and none is dealt. A
+chunk sends a pair once a text, with its number, and with each share the texts that share touches, so what is dealt grows with the
+tokens alone. A task counts the training pairs of its share and at once evaluates all tokens of the share, as sums that don't depend
 on the discounts. Histories then get their weights, and backed-off tokens join them by history.
 
 Word counts up to ``VOCABULARY`` words travel to the tasks; beyond that each text gets the counts of its own words by a join.
@@ -109,16 +111,64 @@ class Totals:
         self.factor = discounts(of_counts)
         self.unknown = sum((1 - d) * r * k for r, (d, k) in enumerate(zip(self.factor, of_counts), 1)) / n if n else 1.0
         self.scale = np.r_[0.0, self.factor]
+        #: Training tokens of a history beyond which it is dealt by pair, and of a pair beyond which it is not dealt.
+        self.many = n // (4 * shares)
+        self.hot_many = max(self.many, CUT + 1)
+        self.hot, self.hot_count = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+    def keep_hot(self, key: np.ndarray, count: np.ndarray) -> None:
+        """Takes the pairs that are not dealt; fewer than four a share, as each holds a part of all tokens."""
+        order = np.argsort(key)
+        self.hot, self.hot_count = key[order], count[order]
+
+    def hot_counts(self, history: np.ndarray, word: np.ndarray, history_count: np.ndarray, count: np.ndarray) -> np.ndarray:
+        """Training count of each pair that is not dealt, else 0."""
+        out = np.zeros(len(word), np.int64)
+        maybe = np.flatnonzero((history_count > self.hot_many) & (count > self.hot_many)) if len(self.hot) else out[:0]
+        if len(maybe):
+            key = pair_key(history[maybe], word[maybe])
+            at = np.minimum(np.searchsorted(self.hot, key), len(self.hot) - 1)
+            out[maybe] = np.where(self.hot[at] == key, self.hot_count[at], 0)
+        return out
 
     def probability(self, count: np.ndarray) -> np.ndarray:
         low = np.minimum(count, CUT)
         return np.where(count == 0, self.unknown, np.where(count <= CUT, self.scale[low], 1.0) * count / max(self.n, 1))
 
 
-EVENTS = ("share int, row binary, doc_id binary, held binary, n_tokens binary, n_known binary, base binary, x binary, "
-          "history binary, history_count binary, run binary, word binary, word_count binary, of binary")
+def pair_key(history: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """One number for a pair: both ids side by side, or a hash of two hashes."""
+    if history.dtype == np.uint32:
+        return (history.astype(np.uint64) << np.uint64(32)) | word
+    return c.mixed(history) + word
+
+
+def histories(word: np.ndarray, count: np.ndarray, n_tokens: np.ndarray, texts: int) -> tuple[np.ndarray, np.ndarray]:
+    """The word before each word, and its count; each text begins with the start mark."""
+    first = np.cumsum(n_tokens) - n_tokens
+    history, history_count = np.empty_like(word), np.empty_like(count)
+    history[1:], history_count[1:] = word[:-1], count[:-1]
+    history[first], history_count[first] = np.iinfo(word.dtype).max, texts
+    return history, history_count
+
+
+EVENTS = ("share int, first long, row binary, doc_id binary, held binary, n_tokens binary, n_known binary, base binary, x binary, "
+          "history binary, history_count binary, run binary, word binary, word_count binary, of binary, times binary")
 FIELDS = [f.split()[0] for f in EVENTS.split(", ")]
-ARROW = pa.schema([("share", pa.int32())] + [(f, pa.binary()) for f in FIELDS[1:]])
+ARROW = pa.schema([("share", pa.int32()), ("first", pa.int64())] + [(f, pa.binary()) for f in FIELDS[2:]])
+
+
+def grouped(first: np.ndarray, second: np.ndarray, within: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A stable order by two columns, and the starts and sizes of equal rows in it; ``within`` rises already and parts them further."""
+    small = first.dtype == second.dtype == np.uint32
+    order = np.argsort(pair_key(first, second), kind="stable") if small else np.lexsort((second, first))
+    new = np.ones(len(order), bool)
+    new[1:] = False
+    for column in (first, second, within):
+        if column is not None:
+            new[1:] |= column[order[1:]] != column[order[:-1]]
+    start = np.flatnonzero(new)
+    return order, start, np.diff(np.r_[start, len(order)])
 
 
 def chunk_rows(held: list[tuple], totals: Totals, seed: int) -> Iterator[dict]:
@@ -126,31 +176,90 @@ def chunk_rows(held: list[tuple], totals: Totals, seed: int) -> Iterator[dict]:
     row, doc, out, n_tokens = (np.concatenate([h[k] for h in held]) for k in range(4))
     word, count = (np.concatenate([h[k] for h in held]) for k in (4, 5))
     of = np.repeat(np.arange(len(row), dtype=np.uint32), n_tokens)
-    first = np.cumsum(n_tokens) - n_tokens
-    history, history_count = np.empty_like(word), np.empty_like(count)
-    history[1:], history_count[1:] = word[:-1], count[:-1]
-    history[first], history_count[first] = np.iinfo(word.dtype).max, totals.texts
+    history, history_count = histories(word, count, n_tokens, totals.texts)
     add = lambda x: np.bincount(of, weights=x, minlength=len(row))
     base = add(np.log10((count + 1) / (totals.n + totals.v + 1)))
     known = history_count > 0
+    pair_count = totals.hot_counts(history, word, history_count, count)
+    hot = pair_count > 0
     x = add(np.where(known, 0.0, np.log10(totals.probability(count))))
+    x += np.bincount(of[hot], weights=np.log10(pair_count[hot]) - np.log10(history_count[hot]), minlength=len(row))
+    order, start, times = grouped(history[hot], of[hot])
     empty = {f: None for f in FIELDS}
     yield empty | {"share": seed % totals.shares, "row": row.tobytes(), "doc_id": doc.tobytes(), "held": out.tobytes(),
-                   "n_tokens": n_tokens.tobytes(), "n_known": add(count > 0).astype(np.int64).tobytes(), "base": base.tobytes(), "x": x.tobytes()}
-    of, word, count, history, history_count = of[known], word[known], count[known], history[known], history_count[known]
-    spread = np.where(history_count > totals.n // (4 * totals.shares), c.mixed(word.astype(np.uint64) + np.uint64(1)), np.uint64(0))
-    share = (c.mixed(history.astype(np.uint64) ^ spread) % np.uint64(totals.shares)).astype(np.uint16)
-    order = np.argsort(share, kind="stable")
-    cuts = np.searchsorted(share[order], np.arange(totals.shares + 1))
-    for s in np.flatnonzero(np.diff(cuts)):
-        mine = order[cuts[s]:cuts[s + 1]]
-        mine = mine[np.argsort(history[mine], kind="stable")]
+                   "n_tokens": n_tokens.tobytes(), "n_known": add(count > 0).astype(np.int64).tobytes(), "base": base.tobytes(), "x": x.tobytes(),
+                   "history": history[hot][order[start]].tobytes(), "of": of[hot][order[start]].tobytes(), "times": times.astype(np.uint32).tobytes()}
+    dealt = known & ~hot
+    of, word, count, history, history_count = of[dealt], word[dealt], count[dealt], history[dealt], history_count[dealt]
+    spread = np.where(history_count > totals.many, c.mixed(word.astype(np.uint64) + np.uint64(1)), np.uint64(0))
+    share = (c.mixed(history.astype(np.uint64) ^ spread) % np.uint64(totals.shares)).astype(np.uint16 if totals.shares <= 1 << 16 else np.uint32)
+    by_share = np.argsort(share, kind="stable")
+    cuts = np.flatnonzero(np.r_[True, share[by_share][1:] != share[by_share][:-1], True]) if len(share) else [0]
+    for lo, hi in zip(cuts[:-1], cuts[1:]):
+        mine = by_share[lo:hi]
+        order, start, times = grouped(history[mine], word[mine], of[mine])
+        mine = mine[order[start]]
         new = np.flatnonzero(np.r_[True, history[mine][1:] != history[mine][:-1]])
-        start = mine[new]
-        yield empty | {"share": int(s), "row": row.tobytes(), "held": out.tobytes(), "history": history[start].tobytes(),
-                       "history_count": history_count[start].tobytes(), "run": np.diff(np.r_[new, len(mine)]).astype(np.uint32).tobytes(),
+        texts = np.flatnonzero(np.bincount(of[mine], minlength=len(row)))
+        place = np.zeros(len(row), np.uint32)
+        place[texts] = np.arange(len(texts))
+        ids, first = row[texts], int(row[texts].min())
+        near = ids.max() - first < 1 << 32
+        yield empty | {"share": int(share[mine[0]]), "first": first, "row": (ids - first).astype(np.uint32 if near else np.int64).tobytes(), "held": out[texts].tobytes(),
+                       "history": history[mine[new]].tobytes(), "history_count": history_count[mine[new]].tobytes(),
+                       "run": np.diff(np.r_[new, len(mine)]).astype(np.uint32).tobytes(),
                        "word": word[mine].tobytes(), "word_count": None if word.dtype == np.uint32 else count[mine].tobytes(),
-                       "of": of[mine].astype(np.uint16 if len(row) <= 1 << 16 else np.uint32).tobytes()}
+                       "of": place[of[mine]].astype(np.uint16 if len(texts) <= 1 << 16 else np.uint32).tobytes(),
+                       "times": None if times.max() == 1 else times.astype(np.uint32).tobytes()}
+
+
+def coded(batches: Iterator[pa.RecordBatch], table: Words | None) -> Iterator[tuple]:
+    """(row, doc_id, held, tokens, word, count) of slices of rows; without a table the rows bring the counts of their words."""
+    for batch in batches:
+        for part in c.slices(batch, "text", 1 << 20, 1 << 14):
+            hashes, counts = tokens(c.text_array(part.column(3)))
+            if table is not None:
+                place, count = table.find(hashes)
+                word = np.where(count > 0, place, len(table.words)).astype(np.uint32)
+            else:
+                word = hashes
+                own = Words(*(np.asarray(part.column(i).flatten(), np.int64) for i in (4, 5)))
+                own.words = own.words.view(np.uint64)
+                order = np.argsort(own.words)
+                own.words, own.counts = own.words[order], own.counts[order]
+                count = own.find(hashes)[1]
+            yield (np.asarray(part.column(0), np.int64), np.asarray(part.column(1).fill_null(c_null), np.int64),
+                   np.asarray(part.column(2).cast(pa.int8()), np.int8), counts, word, count)
+
+
+def hot_pairs(rows: DataFrame, totals: Totals, words) -> pa.Table:
+    """(history, word, n, history_count, word_count) of the pairs with more training tokens than a share's part.
+
+    Tasks count pairs of two words that are frequent enough each; fewer than four pairs a share are left.
+    """
+    many = totals.hot_many
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, _, out, n_tokens, word, count in coded(batches, words.value if words is not None else None):
+            history, history_count = histories(word, count, n_tokens, totals.texts)
+            pick = np.repeat(out == 0, n_tokens) & (history_count > many) & (count > many)
+            h, w, ch, cw = (x[pick] for x in (history, word, history_count, count))
+            order, start, n = grouped(h, w)
+            one = order[start]
+            yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in (h[one], w[one], n, ch[one], cw[one])], ["history", "word", "n", "history_count", "word_count"])
+
+    counted = rows.where("not held").mapInArrow(c.frugal(run), "history long, word long, n long, history_count long, word_count long")
+    return (counted.groupBy("history", "word").agg(F.sum("n").alias("n"), F.max("history_count").alias("history_count"), F.max("word_count").alias("word_count"))
+            .where(F.col("n") > many).toArrow())
+
+
+def hot_rows(found: pa.Table, totals: Totals, kind: type) -> pa.Table:
+    """What the tables hold of the pairs that are not dealt: their part of their histories, and their counts (of 64 bits)."""
+    h, w, n, ch, cw = (np.asarray(x.combine_chunks(), np.int64) for x in found.columns)
+    zero = np.zeros(len(h), np.int64)
+    pairs = {"words": [np.stack([h.astype(kind), w.astype(kind)]).tobytes()], "counts": [n.tobytes()], "history": [int(h[0])]}
+    return pa.Table.from_batches([kind_batch("history", len(h), history=h, c=ch, x=totals.probability(cw), **{f"n{r}": zero for r in range(1, CUT + 1)}),
+                                  kind_batch("hot pairs", 1, **pairs)])
 
 
 def events(rows: DataFrame, totals: Totals, words) -> DataFrame:
@@ -163,29 +272,16 @@ def events(rows: DataFrame, totals: Totals, words) -> DataFrame:
             for row in chunk_rows(held, totals, int(held[0][0][0])):
                 yield pa.RecordBatch.from_pylist([row], schema=ARROW)
 
-        for batch in batches:
-            for part in c.slices(batch, "text", 1 << 20, 1 << 14):
-                hashes, counts = tokens(c.text_array(part.column(3)))
-                if table is not None:
-                    place, count = table.find(hashes)
-                    word = np.where(count > 0, place, len(table.words)).astype(np.uint32)
-                else:
-                    word = hashes
-                    own = Words(*(np.asarray(part.column(i).flatten(), np.int64) for i in (4, 5)))
-                    own.words = own.words.view(np.uint64)
-                    order = np.argsort(own.words)
-                    own.words, own.counts = own.words[order], own.counts[order]
-                    count = own.find(hashes)[1]
-                held.append((np.asarray(part.column(0), np.int64), np.asarray(part.column(1).fill_null(c_null), np.int64),
-                             np.asarray(part.column(2).cast(pa.int8()), np.int8), counts, word, count))
-                size += len(hashes)
-                if size >= CHUNK:
-                    yield from out()
-                    held, size = [], 0
+        for one in coded(batches, table):
+            held.append(one)
+            size += len(one[4])
+            if size >= CHUNK:
+                yield from out()
+                held, size = [], 0
         if held:
             yield from out()
 
-    return rows.mapInArrow(run, EVENTS)
+    return rows.mapInArrow(c.frugal(run), EVENTS)
 
 
 c_null = np.iinfo(np.int64).min
@@ -210,33 +306,35 @@ def share_of(rows: list[dict], totals: Totals, table: Words | None) -> Iterator[
     trains: list[np.ndarray] = []
     before = 0
     for r in rows:
-        row = np.frombuffer(r["row"], np.int64)
+        held = np.frombuffer(r["held"], np.int8)
+        row = r["first"] + np.frombuffer(r["row"], np.int64 if len(r["row"]) == 8 * len(held) else np.uint32).astype(np.int64)
         run = np.frombuffer(r["run"], np.uint32)
         of = np.frombuffer(r["of"], np.uint16 if len(row) <= 1 << 16 else np.uint32).astype(np.int32) + np.int32(before)
-        parts.append((np.repeat(np.frombuffer(r["history"], kind), run), np.frombuffer(r["word"], kind), of,
+        times = np.ones(len(of), np.int32) if r["times"] is None else np.frombuffer(r["times"], np.uint32).astype(np.int32)
+        parts.append((np.repeat(np.frombuffer(r["history"], kind), run), np.frombuffer(r["word"], kind), of, times,
                       np.repeat(np.frombuffer(r["history_count"], np.int64), run) if wide else None,
                       np.frombuffer(r["word_count"], np.int64) if wide else None))
         docs.append(row)
-        trains.append(np.frombuffer(r["held"], np.int8) == 0)
+        trains.append(held == 0)
         before += len(row)
     row, train = np.concatenate(docs), np.concatenate(trains)
-    history, word, of = (np.concatenate([p[k] for p in parts]) for k in (0, 1, 2))
+    history, word, of, times = (np.concatenate([p[k] for p in parts]) for k in (0, 1, 2, 3))
     if wide:
         order = np.lexsort((word, history))
-        history, word, of = history[order], word[order], of[order]
+        history, word, of, times = history[order], word[order], of[order], times[order]
     else:
         key = (history.astype(np.uint64) << np.uint64(32)) | word
         order = np.argsort(key, kind="stable")
-        key, of = key[order], of[order]
+        key, of, times = key[order], of[order], times[order]
         history, word = (key >> np.uint64(32)).astype(np.uint32), key.astype(np.uint32)
         del key
     new = np.r_[True, (history[1:] != history[:-1]) | (word[1:] != word[:-1])]
     first = np.flatnonzero(new)
-    count = np.add.reduceat(train[of], first, dtype=np.int64)
+    count = np.add.reduceat(np.where(train[of], times, 0), first, dtype=np.int64)
     pair = np.cumsum(new, dtype=np.int32) - np.int32(1)
     h, w = history[first], word[first]
     if wide:
-        ch, c_word = (np.concatenate([p[k] for p in parts])[order][first] for k in (3, 4))
+        ch, c_word = (np.concatenate([p[k] for p in parts])[order][first] for k in (4, 5))
     else:
         ch, c_word = table.count_of(h, totals.texts), table.count_of(w, 0)
     del parts, history, word, order, new
@@ -253,12 +351,12 @@ def share_of(rows: list[dict], totals: Totals, table: Words | None) -> Iterator[
         own = seen_pairs[k:k + PIECE]
         yield kind_batch("pairs", 1, history=[int(h[k])], words=[np.stack([h[k:k + PIECE][own], w[k:k + PIECE][own]]).tobytes()],
                          counts=[count[k:k + PIECE][own].astype(np.uint32).tobytes()])
-    whole = ch <= totals.n // (4 * totals.shares)  # all pairs of the history are in this share
+    whole = ch <= totals.many  # all pairs of the history are in this share
     bare = (sum(low) == 0)[of_h]
     r = count[pair]
     log_seen = np.where(count > CUT, np.log10(np.maximum(count, 1)), 0.0) - np.log10(ch + (whole & bare))
-    x = np.bincount(of, weights=np.where(count > 0, log_seen, np.log10(p_word))[pair], minlength=len(row))
-    ks = [np.bincount(of[r == k], minlength=len(row)) for k in range(1, CUT + 1)]
+    x = np.bincount(of, weights=np.where(count > 0, log_seen, np.log10(p_word))[pair] * times, minlength=len(row))
+    ks = [np.bincount(of[r == k], weights=times[r == k], minlength=len(row)).astype(np.int64) for k in range(1, CUT + 1)]
     touched = np.flatnonzero(np.bincount(of, minlength=len(row)))
     yield kind_batch("texts", len(touched), row=row[touched], x=x[touched], **{f"n{k}": n[touched] for k, n in enumerate(ks, 1)})
     seen = r > 0
@@ -266,8 +364,8 @@ def share_of(rows: list[dict], totals: Totals, table: Words | None) -> Iterator[
     if wait.any():
         key = of_h[pair[wait]].astype(np.int64) * len(row) + of[wait]
         each, back = np.unique(key, return_inverse=True)
-        unseen = np.bincount(back, weights=~seen[wait], minlength=len(each)).astype(np.int64)
-        total = np.bincount(back, minlength=len(each))
+        unseen = np.bincount(back, weights=np.where(seen[wait], 0, times[wait]), minlength=len(each)).astype(np.int64)
+        total = np.bincount(back, weights=times[wait], minlength=len(each)).astype(np.int64)
         yield kind_batch("waiting", len(each), history=h[h_new][each // len(row)].astype(np.int64), row=row[each % len(row)], unseen=unseen, seen=total - unseen)
 
 
@@ -279,12 +377,15 @@ def tables(dealt: DataFrame, totals: Totals, words) -> DataFrame:
         for batch in batches:
             for k in range(len(batch)):
                 r = batch.slice(k, 1).to_pylist()[0]
-                if r["history"] is None:
+                if r["doc_id"] is not None:
                     n = len(r["row"]) // 8
                     doc = np.frombuffer(r["doc_id"], np.int64)
                     f = lambda x, t: np.frombuffer(r[x], t)
                     yield kind_batch("texts", n, row=f("row", np.int64), doc_id=pa.array(doc, mask=doc == c_null), held=f("held", np.int8) == 1,
                                      n_tokens=f("n_tokens", np.int64), n_known=f("n_known", np.int64), base=f("base", np.float64), x=f("x", np.float64))
+                    history, of, times = f("history", np.uint32 if table is not None else np.uint64).astype(np.int64), f("of", np.uint32), f("times", np.uint32)
+                    if len(of):
+                        yield kind_batch("waiting", len(of), history=history, row=f("row", np.int64)[of], unseen=np.zeros(len(of), np.int64), seen=times.astype(np.int64))
                     continue
                 if mine and mine[0]["share"] != r["share"]:
                     yield from share_of(mine, totals, table)
@@ -313,9 +414,16 @@ def scores(df: DataFrame, held: Column, doc: str = "doc_id", text: str = "text",
         table = counts.toArrow().combine_chunks()
         words = spark.sparkContext.broadcast(Words(np.asarray(table["word"], np.int64).view(np.uint64), np.asarray(table["c"], np.int64)))
     else:
-        words, rows = None, with_own_counts(rows, counts)
+        # Numbers of rows are looked at twice; a repeated task would number them anew.
+        words, rows = None, with_own_counts(c.stored(rows, "rows"), counts)
+    kind = np.uint32 if words is not None else np.uint64
+    found = hot_pairs(rows, totals, words)
+    pairs = [np.asarray(x.combine_chunks(), np.int64) for x in found.columns]
+    totals.keep_hot(pair_key(pairs[0].astype(kind), pairs[1].astype(kind)), pairs[2])
     folder = f"{c.shared_folder(spark)}/llm/katz-{c.uuid.uuid4().hex}"
     tables(events(rows, totals, words), totals, words).write.parquet(folder)
+    if found.num_rows:
+        spark.createDataFrame(hot_rows(found, totals, kind)).write.mode("append").parquet(folder)
     c.release(spark)
     kind = lambda name: spark.read.schema(KINDS).parquet(folder).where(F.col("kind") == name)
     n = kind("counts").agg(*[F.sum(f"n{r}").alias(f"n{r}") for r in range(1, CUT + 2)]).first()
