@@ -74,6 +74,30 @@ def test_chunks_cover_whole_texts(spark):
         ts.chunks(df, "id", "text", 300, 10)
 
 
+def test_run_log_counts_what_each_run_changed(spark):
+    log = spark.createDataFrame([("a", 1, 10, None), ("a", 1, 11, "transcribed"), ("b", 1, 12, "error"), ("c", 1, 13, None), ("d", 1, 14, "skipped"),
+                                 ("a", 2, 20, "analyzed"), ("b", 2, 21, "transcribed"), ("b", 2, 22, "analyzed"), ("c", 2, 23, None),
+                                 ("b", 3, 30, None), ("c", 3, 31, "transcribed"), ("d", 3, 32, "error"), ("e", None, 33, "analyzed")],
+                                "video_id string, run_id int, seen_at int, status string")
+    rows = {r.run_id: tuple(r)[1:] for r in ts.run_log(log).collect()}
+    assert rows == {1: (10, 14, 4, 1, 0, 1, 1),   # all four are new
+                    2: (20, 23, 2, 1, 2, 0, 0),   # a is no longer open; b failed and c was only seen
+                    3: (30, 32, 2, 1, 0, 0, 1)}   # b is done
+    assert ts.run_log(log.limit(0)).count() == 0
+
+
+def test_roster_statistics_of_some_and_no_videos(spark):
+    v = spark.createDataFrame([("a", "x", "analyzed"), ("b", "x", "analyzed"), ("c", None, "analyzed"), ("d", "y", "error"), ("e", "y", None)], "video_id string, channel_name string, status string")
+    items = spark.range(7)
+    assert ts.roster_statistics(v, items).first().asDict() == {"videos": 5, "discovered": 0, "transcribed": 0, "skipped": 0, "failed": 1, "episodes": 3, "channels": 1, "signals": 7}
+    assert set(ts.roster_statistics(v.limit(0), items.limit(0)).first()) == {0}
+
+
+def test_entity_channels_are_rows(spark):
+    m = spark.createDataFrame([("n", "x", 1), ("n", "x", 1), ("n", "x", 2), ("n", None, 3), ("k", "x", 1)], "name string, channel_name string, video_id long")
+    assert {tuple(r) for r in ts.entity_channels(m).collect()} == {("n", "x", 3, 2), ("n", None, 1, 1), ("k", "x", 1, 1)}
+
+
 def test_video_state_keeps_first_seen_fields(spark):
     log = spark.createDataFrame([("v", 1, "ch", "2026-01-01", "old", 5, None), ("v", 2, "other", "2026-02-02", "new", 9, None), ("v", 3, None, None, None, None, "transcribed"), ("w", 1, "ch", "2026-01-01", "t", 1, None)],
                                 "video_id string, seen_at int, channel_name string, published string, title string, views int, status string")

@@ -169,6 +169,32 @@ def to_fetch(feed: DataFrame, videos: DataFrame, min_duration: int = 0) -> DataF
     return todo.withColumn("decision", F.when(F.col("duration_sec") < min_duration, "skipped").otherwise("fetch"))
 
 
+def run_log(log: DataFrame, key: str = "video_id", run: str = "run_id", at: str = "seen_at") -> DataFrame:
+    """What each run did, from the append-only log: started_at, finished_at, discovered, transcribed, analyzed, skipped, failed.
+
+    A run discovers the videos it met that earlier runs had left neither transcribed nor analyzed, so a video that failed or
+    was too short counts again when it is tried again. The others count videos that got that status in the run, ``error`` as failed; a
+    video that got several counts for each. Rows without a run belong to none. The log is summed to a row per video and run before the window.
+    """
+    got = {"transcribed": "transcribed", "analyzed": "analyzed", "skipped": "skipped", "failed": "error"}
+    status = F.when(F.col("status").isNotNull(), F.col(at))
+    met = log.where(F.col(run).isNotNull()).groupBy(key, run).agg(
+        F.max_by("status", status).alias("_last"), F.min(at).alias("_from"), F.max(at).alias("_to"),
+        *[F.coalesce(F.bool_or(F.col("status") == v), F.lit(False)).alias(k) for k, v in got.items()])
+    before = F.last("_last", ignorenulls=True).over(Window.partitionBy(key).orderBy(run).rowsBetween(Window.unboundedPreceding, -1))
+    met = met.withColumn("_new", ~F.coalesce(before, F.lit("")).isin("transcribed", "analyzed"))
+    return met.groupBy(run).agg(F.min("_from").alias("started_at"), F.max("_to").alias("finished_at"),
+                                F.count_if("_new").alias("discovered"), *[F.count_if(k).alias(k) for k in got])
+
+
+def roster_statistics(videos: DataFrame, items: DataFrame) -> DataFrame:
+    """One row: videos, those waiting by status, analyzed episodes, their channels, and all signals."""
+    by = {"discovered": "discovered", "transcribed": "transcribed", "skipped": "skipped", "failed": "error", "episodes": "analyzed"}
+    done = F.when(F.col("status") == "analyzed", F.col("channel_name"))
+    return videos.agg(F.count(F.lit(1)).alias("videos"), *[F.count_if(F.col("status") == v).alias(k) for k, v in by.items()], F.count_distinct(done).alias("channels")) \
+        .withColumn("signals", items.agg(F.count(F.lit(1)).alias("n")).scalar())
+
+
 def keep_items(items: DataFrame, allowed: Sequence[str] | None = None, min_confidence: float = 0.0) -> DataFrame:
     """Items of the allowed types and confidence, unusable fields filled in."""
     out = items if not allowed else items.where(F.col("type").isin(*allowed))
@@ -227,6 +253,12 @@ def entity_totals(mentioned: DataFrame) -> DataFrame:
     return totals.join(episodes, "name").join(mix, "name", "left")
 
 
+def entity_channels(mentioned: DataFrame) -> DataFrame:
+    """Mentions and episodes of each entity in each channel, a row each: no set of channels is gathered, however many there are."""
+    episodes = mentioned.groupBy("name", "channel_name", "video_id").agg(F.count(F.lit(1)).alias("n"))
+    return episodes.groupBy("name", "channel_name").agg(F.sum("n").alias("mentions"), F.count("video_id").alias("episodes"))
+
+
 def evidence(mentioned: DataFrame, totals: DataFrame, signals: int = 6, body_chars: int = 240, batch: int = 12) -> DataFrame:
     """The first signals naming each entity, newest first, with the batch the entity falls in
     when entities are taken most mentioned first."""

@@ -28,9 +28,9 @@ FRESH = """fr AS (SELECT event_type AS source, 'set-' || (user_id % 7) AS datase
   count(*) AS raw_files, round_even(sum(CAST(floor(value * 1000) AS BIGINT)) / 1000000.0::DOUBLE, 1) AS raw_mb FROM events GROUP BY 1, 2)"""
 
 
-@query("fetch_freshness", f"WITH {FRESH} SELECT source, dataset, last_fetch_utc, raw_files, raw_mb FROM fr")
+@query("fetch_freshness", f"WITH {FRESH} SELECT source, dataset, last_fetch_utc, age_hours, raw_files, raw_mb FROM fr")
 def fetch_freshness(spark, sf):
-    return ql.fetch_freshness(manifest(spark, sf), now()).drop("age_hours")
+    return ql.fetch_freshness(manifest(spark, sf), now())
 
 
 def monthly_vintages(spark, sf):

@@ -183,6 +183,27 @@ def to_fetch(spark, sf):
     return ts.to_fetch(feed, videos(spark, sf), 500).select("video_id", "decision")
 
 
+def run_rows(spark, sf):
+    """Every turn of a conversation as something a run wrote about a video."""
+    status = F.element_at(F.array(*[F.lit(x) for x in ("transcribed", None, "error", "analyzed", "skipped")]), (F.pmod(F.col("conv_id") + F.col("turn"), F.lit(5)) + 1).cast("int"))
+    return table(spark, sf, "conversations").select(F.col("conv_id").alias("video_id"), F.col("turn").alias("seen_at"), F.floor(F.col("turn") / 2).cast("int").alias("run_id"), status.alias("status"))
+
+
+@query("run_log", """WITH lg AS (SELECT conv_id, turn, CAST(turn // 2 AS INTEGER) AS run_id, (['transcribed', NULL, 'error', 'analyzed', 'skipped'])[CAST((conv_id + turn) % 5 + 1 AS INTEGER)] AS status FROM conversations),
+  vr AS (SELECT conv_id, run_id, min(turn) AS lo, max(turn) AS hi, arg_max(status, turn) FILTER (status IS NOT NULL) AS st, list(status) AS ss FROM lg GROUP BY 1, 2),
+  pv AS (SELECT *, last_value(st IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY run_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prior FROM vr)
+  SELECT run_id, min(lo) AS started_at, max(hi) AS finished_at, count(*) FILTER (prior IS NULL OR prior NOT IN ('transcribed', 'analyzed')) AS discovered, count(*) FILTER (list_contains(ss, 'transcribed')) AS transcribed,
+    count(*) FILTER (list_contains(ss, 'analyzed')) AS analyzed, count(*) FILTER (list_contains(ss, 'skipped')) AS skipped, count(*) FILTER (list_contains(ss, 'error')) AS failed FROM pv GROUP BY run_id""")
+def run_log(spark, sf):
+    return ts.run_log(run_rows(spark, sf))
+
+
+@query("roster_statistics", f"""WITH {VIDEOS} SELECT count(*) AS videos, count(*) FILTER (status = 'discovered') AS discovered, count(*) FILTER (status = 'transcribed') AS transcribed, 0::BIGINT AS skipped, 0::BIGINT AS failed,
+  count(*) FILTER (status = 'analyzed') AS episodes, count(DISTINCT channel_name) FILTER (status = 'analyzed') AS channels, (SELECT count(*) FROM conversations) AS signals FROM vd""")
+def roster_statistics(spark, sf):
+    return ts.roster_statistics(videos(spark, sf), items(spark, sf))
+
+
 MENTIONS = f"""{VIDEOS}, {ITEMS}, mn AS (SELECT it.*, vd.channel_name, vd.published, name FROM (SELECT *, unnest(entities) AS name FROM it) it JOIN vd USING (video_id)),
   tt AS (SELECT name, count(*) AS mentions, array_to_string(list_sort(list_distinct(list(channel_name))), ',') AS channels, count(DISTINCT video_id) AS episodes,
     count(*) FILTER (stance = 'bullish') AS bullish, count(*) FILTER (stance = 'bearish') AS bearish FROM mn GROUP BY name)"""
@@ -202,6 +223,11 @@ def entity_totals(spark, sf):
     return flat(ts.entity_totals(mentioned(spark, sf)), "name")
 
 
+@query("entity_channels", f"WITH {MENTIONS} SELECT name, channel_name, count(*) AS mentions, count(DISTINCT video_id) AS episodes FROM mn GROUP BY 1, 2")
+def entity_channels(spark, sf):
+    return ts.entity_channels(mentioned(spark, sf))
+
+
 @query("entity_evidence", f"""WITH {MENTIONS}, b AS (SELECT name, (row_number() OVER (ORDER BY mentions DESC, lower(name), name) - 1) // 12 AS batch_no FROM tt),
   e AS (SELECT *, row_number() OVER (PARTITION BY name ORDER BY published DESC, video_id, t_start) AS rk FROM mn)
   SELECT name, batch_no, CAST(rk AS INTEGER) AS signal_no, left(body, 240) AS body FROM e JOIN b USING (name) WHERE rk <= 6""")
