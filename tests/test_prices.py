@@ -223,7 +223,9 @@ def test_two_tiers_and_flag_text(spark):
 def test_constant_leg_is_skipped(spark):
     eq = spark.createDataFrame([(d, 100.0 + i % 7) for i, d in enumerate(DAYS)], "trade_date date, close double")
     legs = spark.createDataFrame([(leg, d, v) for i, d in enumerate(DAYS) for leg, v in (("moves", 50.0 + i % 5), ("flat", 3.0))], "leg string, trade_date date, value double")
-    assert [x.asset_b for x in ca.equity_commodity_correlation(eq, legs, "NB").collect()] == ["moves"]
+    assert [x.asset_b for x in ca.equity_commodity_correlation(eq, legs, "NB", strict=True).collect()] == ["moves"]
+    with pytest.raises(RuntimeError, match="no leg has 10 days"):
+        ca.equity_commodity_correlation(eq, legs.where("leg <> 'moves'"), "NB", strict=True)
 
 
 def test_monthly_change_spans_a_missing_month(spark):

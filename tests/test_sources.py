@@ -198,6 +198,17 @@ def test_grid_source_refuses_names_sizes_and_days_twice(spark, tmp_path):
         gr.read_grids(spark, folder, layout).count()
 
 
+def test_alert_feeds_without_event_types_are_loud(spark):
+    feed = lambda tag: f"<rss><channel><item><title>a</title>{tag}</item><item><title>b</title></item></channel></rss>"
+    rows = [("good", feed("<e:eventtype xmlns:e='u'> EQ </e:eventtype>")), ("bad", feed("<kind>EQ</kind>")), ("empty", "<rss><channel></channel></rss>"), ("null", None)]
+    d = spark.createDataFrame(rows, "path string, content string")
+    with pytest.raises(Exception, match="bad: no item has an event type"):
+        wo.disaster_alerts(d).collect()
+    assert [(x.path, x.title, x.event_type) for x in wo.disaster_alerts(d.where("path <> 'bad'")).orderBy("title").collect()] == [("good", "a", "EQ"), ("good", "b", None)]
+    assert wo.disaster_alerts(d, strict=False).count() == 2
+    assert [tuple(x) for x in wo.alert_rejects(d).collect()] == [("bad", "no item has an event type; the names of the feed changed")]
+
+
 def test_grid_file_and_weighted_mean(spark, tmp_path):
     grid = np.full((2, 4, 3), 10.0, dtype="<f4")
     grid[0, 1, 1], grid[0, 2, 1] = -999.0, 40.0

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import DAYMONYEAR, parse
-from tidemark.functions.scalar import ratio
+from tidemark.functions.scalar import ratio, require_rows
 
 # Grams per troy ounce and the levies the premium assumes.
 TROY_OZ_GRAMS = 31.1034768
@@ -47,17 +47,17 @@ def safe_corr(x: Column, y: Column) -> Column:
 
 
 def equity_commodity_correlation(equity: DataFrame, legs: DataFrame, proxy: str, window_days: int = 60, min_obs: int = 10,
-                                 diff_legs: Sequence[str] = ()) -> DataFrame:
+                                 diff_legs: Sequence[str] = (), strict: bool = False) -> DataFrame:
     """Correlation of the proxy's log returns with the change of every commodity leg.
 
     Both sides are cut to their own last observations and matched on date; a leg with too
-    few matches is left out. ``equity`` has trade_date, close; ``legs`` has leg, trade_date, value.
+    few matches is left out, and with ``strict`` it raises that every leg is. ``equity`` has trade_date, close; ``legs`` has leg, trade_date, value.
     """
     eq = leg_changes(equity.select(F.lit(proxy).alias("leg"), "trade_date", F.col("close").alias("value")))
     eq = eq.orderBy(F.desc("trade_date")).limit(window_days).select("trade_date", F.col("change").alias("e"))
     w = Window.partitionBy("leg").orderBy(F.desc("trade_date"))
     tail = leg_changes(legs, diff_legs).withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= window_days)
-    return (
+    out = (
         tail.join(F.broadcast(eq), "trade_date")     # at most window_days rows
         .groupBy("leg")
         .agg(safe_corr(F.col("e"), F.col("change")).alias("correlation"), F.count(F.lit(1)).alias("n_obs"),
@@ -66,6 +66,7 @@ def equity_commodity_correlation(equity: DataFrame, legs: DataFrame, proxy: str,
         .select(F.lit(proxy).alias("asset_a"), F.col("leg").alias("asset_b"), "correlation", "n_obs",
                 F.lit(window_days).alias("window_days"), "as_of_date")
     )
+    return require_rows(out, 1, f"equity_commodity_correlation: no leg has {min_obs} days in common with {proxy}") if strict else out
 
 
 def monthly_last(series: DataFrame, group: Sequence[str], day: str, value: str) -> DataFrame:

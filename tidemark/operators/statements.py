@@ -166,8 +166,8 @@ def statement(kind: str, facts: DataFrame, screener: DataFrame | None = None, pe
 
 
 def statement_table(long: DataFrame, periods: Sequence[str], per: Sequence[str] = ("symbol",)) -> DataFrame:
-    """Lines as rows and the given periods as columns."""
-    return long.groupBy(*per, "position", "item").pivot("period", list(periods)).agg(F.max("value"))
+    """Lines as rows with their unit, and the given periods as columns."""
+    return long.groupBy(*per, "position", "item", unit_label(F.col("item")).alias("label")).pivot("period", list(periods)).agg(F.max("value"))
 
 
 def unit_label(item: Column, per_share: Sequence[str] = INCOME_PER_SHARE) -> Column:

@@ -205,20 +205,22 @@ def keep_items(items: DataFrame, allowed: Sequence[str] | None = None, min_confi
         .withColumn("era", F.when((F.col("type") == "historical_precedent") & blank("era"), "date unclear").otherwise(F.col("era")))
 
 
-def board(videos: DataFrame, summaries: DataFrame, items: DataFrame, limit: int = 40, min_confidence: float = 0.0) -> DataFrame:
-    """Newest analyzed videos with their summary and items, one row per item.
+def board(videos: DataFrame, summaries: DataFrame, items: DataFrame, limit: int | None = None, min_confidence: float = 0.0) -> DataFrame:
+    """Analyzed videos, the newest ``limit`` if one is given, with their summary and items, one row per item.
 
     Rows stay flat and carry what orders them (confidence, then time), so a video with very
     many items is neither gathered into one cell nor ranked in one task. A video without
     items keeps one row.
     """
-    v = videos.where("status = 'analyzed'").orderBy(F.desc("published"), "video_id").limit(limit).join(summaries, "video_id", "left")
+    v = videos.where("status = 'analyzed'")
+    v = v if limit is None else v.orderBy(F.desc("published"), "video_id").limit(limit)
+    v = v.join(summaries, "video_id", "left")
     i = items.where(F.coalesce("confidence", F.lit(1.0)) >= min_confidence)
     return v.join(i.select("video_id", "type", "headline", "confidence", "t_start"), "video_id", "left")
 
 
-def search(items: DataFrame, videos: DataFrame, phrase: str, limit: int | None = 50) -> DataFrame:
-    """Items whose headline, body or entities contain the phrase in any case, newest first."""
+def search(items: DataFrame, videos: DataFrame, phrase: str, limit: int | None = None) -> DataFrame:
+    """Items whose headline, body or entities contain the phrase in any case; the newest ``limit`` if one is given."""
     p = F.lit(phrase.lower())
     hit = F.contains(F.lower("headline"), p) | F.contains(F.lower("body"), p) | F.contains(F.lower(F.array_join("entities", " ")), p)
     out = items.where(hit).join(videos.select("video_id", "channel_name", "published"), "video_id")

@@ -218,6 +218,16 @@ def wide_concept_panel(spark, sf):
     return st.wide_panel(statement_facts(spark, sf), ["NO", "AF"], first_by=("doc", "l_partkey"))
 
 
+TABLE_PERIODS = ("FY24-25", "FY98-99", "FY97-98", "FY96-97", "FY95-96")
+
+
+@query("statement_table", f"""WITH {SFACTS}, st AS (SELECT symbol, item, round(value / 10000000, 2) AS value, CAST({ITEM} AS INTEGER) AS position, {_label_sql(False)} AS period FROM ({_canon_sql(FULL)}))
+  SELECT symbol, position, item, item || ' (Rs Cr)' AS label,
+  {', '.join(f"max(CASE period WHEN '{p}' THEN value END) AS \"{p}\"" for p in TABLE_PERIODS)} FROM st GROUP BY ALL""")
+def statement_table(spark, sf):
+    return st.statement_table(statement_cash(spark, sf), TABLE_PERIODS)
+
+
 @query("fiscal_labels", f"""SELECT DISTINCT last_day(CAST(o_orderdate AS DATE)) AS period_end, {_label_sql(True).replace('period_end', 'last_day(CAST(o_orderdate AS DATE))')} AS quarter,
   {_label_sql(False).replace('period_end', 'last_day(CAST(o_orderdate AS DATE))')} AS year FROM orders""")
 def fiscal_labels(spark, sf):

@@ -24,11 +24,6 @@ from tidemark.session import shared_folder
 S = lambda c: F.col(c).cast("string")
 
 
-def spread(df):
-    """The driver's tables are one small file each; documents are parsed by all cores."""
-    return df
-
-
 def with_extra(lines, *extra):
     """Lines with header or banner lines added, as each file carries them."""
     spark = lines.sparkSession
@@ -149,7 +144,7 @@ def shape_company_facts(spark, sf):
     assets = F.struct(F.lit("Assets").alias("label"), F.create_map(F.lit("USD"), F.array(point("a", F.col("o_totalprice"), 30), point("b", F.col("o_totalprice") / 2, 60, F.date_sub(end, 90)))).alias("units"))
     pay = F.struct(F.lit("Pay").alias("label"), F.create_map(F.lit("shares"), F.array(point("c", F.col("o_custkey"), 30))).alias("units"))
     facts = F.create_map(F.lit("us-gaap"), F.create_map(F.lit("Assets"), assets), F.lit("ecd"), F.create_map(F.lit("Pay"), pay))
-    d = doc(spread(o), F.to_json(F.struct(F.lpad(S("o_custkey"), 10, "0").alias("cik"), F.concat(F.lit("E"), S("o_custkey")).alias("entityName"), facts.alias("facts"))))
+    d = doc(o, F.to_json(F.struct(F.lpad(S("o_custkey"), 10, "0").alias("cik"), F.concat(F.lit("E"), S("o_custkey")).alias("entityName"), facts.alias("facts"))))
     return rg.company_facts(d).select("cik", "entity", "taxonomy", "concept", "unit", "start", "end", "value", "filed", "accn")
 
 
@@ -314,7 +309,7 @@ def shape_information_table(spark, sf):
     row = lambda ns, cusip, val, sh: xml(f"<{ns}infoTable><{ns}cusip>{cusip}</{ns}cusip><{ns}value>", val, f"</{ns}value><{ns}shrsOrPrnAmt><{ns}sshPrnamt>{sh}</{ns}sshPrnamt></{ns}shrsOrPrnAmt></{ns}infoTable>")
     plain = xml("<informationTable>", row("", "x", S("o_totalprice"), 1000), row("", "y", F.lit("5"), 10), "</informationTable>")
     spaced = xml("<n:informationTable xmlns:n=\"http://t\">", row("n:", "x", S("o_totalprice"), 1000), row("n:", "y", F.lit("5"), 10), "</n:informationTable>")
-    d = spread(o).select(F.lit("f").alias("path"), F.col("o_custkey").alias("cik"), F.col("o_orderkey").alias("accn"), F.when(F.col("o_orderkey") % 2 == 0, plain).otherwise(spaced).alias("content"))
+    d = o.select(F.lit("f").alias("path"), F.col("o_custkey").alias("cik"), F.col("o_orderkey").alias("accn"), F.when(F.col("o_orderkey") % 2 == 0, plain).otherwise(spaced).alias("content"))
     return scaled_holdings(rg.information_table(d)).select("cik", "accn", "cusip", "value_reported", "shares_or_principal", "value_scale")
 
 
@@ -347,7 +342,7 @@ def shape_instance_facts(spark, sf):
     num = lambda n, c: xml(f"<f:{n} contextRef=\"{c}\" unitRef=\"U\" decimals=\"2\">", S("o_totalprice"), f"</f:{n}>")
     body = xml("<xbrli:xbrl xmlns:xbrli=\"http://i\" xmlns:f=\"http://f\">", ctx, num("Revenue", "D"), num("Assets", "I"), "<f:Name contextRef=\"D\"><!-- <f:Fake contextRef=\"D\"> --><![CDATA[Co <]]>", S("o_custkey"), "&gt; <![CDATA[& Sons &amp;]]></f:Name>", num("Segment", "X"), "</xbrli:xbrl>")
     typed = F.when(F.col("o_orderkey") % 2 == 0, "<!DOCTYPE xbrl SYSTEM 'a.dtd' [ <!ELEMENT x ANY> ]>").otherwise("")
-    facts = rg.reported_period(rg.instance_facts(spread(o).select(F.concat(F.lit("u"), S("o_orderkey")).alias("path"), F.concat(typed, body).alias("content"))))
+    facts = rg.reported_period(rg.instance_facts(o.select(F.concat(F.lit("u"), S("o_orderkey")).alias("path"), F.concat(typed, body).alias("content"))))
     return facts.where("concept NOT LIKE 'DateOf%'").select("source_url", "concept", "context_id", "period_start", "period_end", "instant", "has_dimensions", "unit", "value",
                                                             F.when(F.col("unit").isNull(), F.col("value_text")).alias("said"))
 
@@ -442,7 +437,7 @@ def table_cells(spark, sf):
     row = lambda r, *v: [F.struct(F.lit(r).alias("r"), F.lit(i).alias("c"), (x if not isinstance(x, str) else F.lit(x)).alias("text")) for i, x in enumerate(v)]
     cells = F.array(*row(0, "Item", "2025", "2025"), *row(1, "", "Jul. 25", "Aug. 25"), *row(2, "1", "1", "2"), *row(3, "(Per cent)", "(Per cent)", "(Per cent)"),
                     *row(4, "Amount  due", F.format_number("o_totalprice", 2), "-"), *row(5, "Cash ratio", F.concat(F.lit("("), S("o_custkey"), F.lit(")")), S("o_custkey")), *row(6, "Note", "Note", "Note"))
-    return spread(o).select(F.col("o_orderkey").cast("string").alias("doc"), F.lit(0).alias("table_no"), F.inline(cells))
+    return o.select(F.col("o_orderkey").cast("string").alias("doc"), F.lit(0).alias("table_no"), F.inline(cells))
 
 
 TIDY = """td AS (SELECT CAST(o_orderkey AS VARCHAR) AS doc, 0 AS table_no, 'Amount due' AS row_label, '2025 / Jul. 25' AS series, o_totalprice AS value_num, o_custkey FROM orders

@@ -164,7 +164,7 @@ def video_board(spark, sf):
 
 @query("item_search", f"WITH {VIDEOS}, {ITEMS} SELECT video_id, t_start, channel_name, published FROM it JOIN vd USING (video_id) WHERE contains(lower(body), 'tion') ORDER BY published DESC, video_id, t_start LIMIT 50")
 def item_search(spark, sf):
-    return ts.search(items(spark, sf), videos(spark, sf), "TION").select("video_id", "t_start", "channel_name", "published")
+    return ts.search(items(spark, sf), videos(spark, sf), "TION", 50).select("video_id", "t_start", "channel_name", "published")
 
 
 @query("signal_counts", f"WITH {VIDEOS} SELECT count(*) AS videos, count(*) FILTER (status = 'analyzed') AS analyzed, count(DISTINCT channel_name) FILTER (status = 'analyzed') AS channels, (SELECT count(*) FROM conversations) AS items FROM vd")

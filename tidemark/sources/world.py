@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Mapping, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import COMPACT, iso_or_epoch, parse
@@ -80,15 +80,33 @@ ALERT = ("title: string, eventtype: string, alertlevel: string, severity: string
          "lat: string, long: string, pubDate: string, link: string")
 
 
-def disaster_alerts(docs: DataFrame) -> DataFrame:
-    """Items of an alert feed with numeric positions."""
+def _alert_items(docs: DataFrame) -> tuple[DataFrame, Column]:
+    """(path, _items) of each feed, and why a feed can't be read; null where it can."""
     x = F.from_xml("content", f"struct<channel: struct<item: array<struct<{ALERT}>>>>", {"ignoreNamespace": "true"})
-    r = docs.select("path", F.explode(x["channel"]["item"]).alias("r"))
+    unnamed = ~F.exists("_items", lambda r: r["eventtype"].isNotNull()) & (F.size("_items") > 0)
+    return docs.select("path", x["channel"]["item"].alias("_items")), F.when(unnamed, "no item has an event type; the names of the feed changed")
+
+
+def disaster_alerts(docs: DataFrame, strict: bool = True) -> DataFrame:
+    """Items of alert feeds with numeric positions.
+
+    A feed none of whose items has an event type raises when it is read: its element names changed. Without ``strict`` its items
+    are left out, and it is in ``alert_rejects``. A feed without items has no rows.
+    """
+    feeds, reason = _alert_items(docs)
+    told = F.raise_error(F.concat("path", F.lit(": "), reason)).cast("boolean") if strict else F.lit(False)
+    r = feeds.where(F.when(reason.isNull(), True).otherwise(told)).select("path", F.explode("_items").alias("r"))
     names = {"title": "title", "event_type": "eventtype", "alert_level": "alertlevel", "severity": "severity", "country": "country", "from_date": "fromdate",
              "to_date": "todate", "population": "population", "pub_date": "pubDate", "link": "link"}
     return r.select("path", *[F.trim(F.col(f"r.{s}")).alias(o) for o, s in names.items()], to_double("r.lat").alias("lat"), to_double("r.long").alias("lon"))
 
 
+def alert_rejects(docs: DataFrame) -> DataFrame:
+    """(path, reason) of the alert feeds that can't be read."""
+    feeds, reason = _alert_items(docs)
+    return feeds.select("path", reason.alias("reason")).where("reason IS NOT NULL")
+
+
 def chokepoint_pages(docs: DataFrame, fields: Sequence[str], required: Sequence[str] = ("date", "portname", "n_total")) -> DataFrame:
     """Feature pages as rows. A page that carries an error inside a successful answer is an
     error; dates come as epoch milliseconds or ISO text."""
