@@ -334,7 +334,7 @@ def test_katz_chunks_send_a_pair_once_a_text_and_no_hot_pair():
 
 
 @pytest.mark.parametrize("options", [{}, {"share": 300}, {"share": 60}, {"vocabulary": 3, "share": 60}])
-def test_katz_scores(spark, odd, none, options):
+def test_katz_scores(spark, odd, none, options, monkeypatch):
     import math
     from collections import Counter, defaultdict
     from pyspark.sql import functions as F
@@ -372,8 +372,14 @@ def test_katz_scores(spark, odd, none, options):
 
     for h in list(after)[:5]:
         assert sum(p2(h, w) for w in one) + p2(h, "unknown") == pytest.approx(1)
+    hot, found = [], katz.hot_pairs
+    monkeypatch.setattr(katz, "hot_pairs", lambda *a: hot.append(found(*a)) or hot[-1])
     got = {r.doc_id: r for r in katz.scores(df, held, **options).collect()}
     assert len(got) == len(rows)
+    shares = -(-n // options.get("share", katz.SHARE))
+    many = max(n // (4 * shares), katz.CUT + 1)
+    assert sorted(hot[0]["n"].to_pylist()) == sorted(x for x in two.values() if x > many)
+    assert options.get("share") != 60 or hot[0].num_rows >= 4
     for d, t in texts.items():
         r = got[d]
         assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (out[d], len(t), sum(one[w] > 0 for w in t), n)
