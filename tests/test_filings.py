@@ -106,6 +106,13 @@ def test_value_scale_by_median(spark):
     assert {x.accn: x.value_scale for x in fa.value_scale(df).collect()} == {"k": "thousands", "d": "dollars", "e": "thousands", "f": "dollars", "n": "unknown"}
 
 
+def test_scales_of_filings_are_not_broadcast(spark):
+    df = spark.createDataFrame([("k", 0.5, 1.0), ("d", 30.0, 1.0)], "accn string, value_reported double, shares_or_principal double")
+    scaled = fa.scaled_holdings(df)
+    assert "Broadcast" not in scaled._jdf.queryExecution().executedPlan().toString()
+    assert {x.accn: x.value_usd for x in scaled.collect()} == {"k": 500.0, "d": 30.0}
+
+
 def test_first_alias_wins_and_missing_dates_stay(spark):
     f = spark.createDataFrame([(1, "E", "us-gaap", "Revenues", "USD", date(2025, 6, 30), 5.0, "a", "CY2025Q2"), (1, "E", "us-gaap", "RevenueFromContractWithCustomerExcludingAssessedTax", "USD", date(2025, 6, 30), 6.0, "b", "CY2025Q2"),
                                (2, "F", "us-gaap", "RevenueFromContractWithCustomerExcludingAssessedTax", "USD", date(2025, 6, 30), 7.0, "c", "CY2025Q2"), (2, "F", "us-gaap", "Assets", "USD", date(2025, 6, 30), 8.0, "c", "CY2025Q2")],

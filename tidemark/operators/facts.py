@@ -147,7 +147,8 @@ def value_scale(holdings: DataFrame, filing: str = "accn", value: str = "value_r
 
 
 def scaled_holdings(holdings: DataFrame, filing: str = "accn", value: str = "value_reported", shares: str = "shares_or_principal") -> DataFrame:
-    scale = value_scale(holdings, filing, value, shares)
+    # A row per filing, so it grows with the table; what is parsed from documents is estimated too small and must not be broadcast.
+    scale = value_scale(holdings, filing, value, shares).hint("merge")
     return holdings.join(scale, filing).withColumn("value_usd", F.col(value) * F.col("_factor")).drop("_factor")
 
 
