@@ -53,8 +53,8 @@ def shingle_hashes(text: str | None, n: int = 3) -> list[int]:
     return [xxhash.xxh64_intdigest(s, SEED) for s in map(b" ".join, zip(*(words[k:] for k in range(n))))]
 
 
-def fingerprints(texts: list[str | None]) -> np.ndarray:
-    """One unsigned 64-bit fingerprint per text. Hashes are counted in flat arrays of about ``FLUSH``."""
+def fingerprints(texts: list[str | None], words: int = 3) -> np.ndarray:
+    """One unsigned 64-bit fingerprint per text, of shingles of ``words`` words. Hashes are counted in flat arrays of about ``FLUSH``."""
     ones = np.zeros((len(texts), 64), np.int64)
     total = np.zeros(len(texts), np.int64)
     held: list[int] = []
@@ -71,7 +71,7 @@ def fingerprints(texts: list[str | None]) -> np.ndarray:
             held.clear(), rows.clear(), sizes.clear()
 
     for i, text in enumerate(texts):
-        hashes = shingle_hashes(text)
+        hashes = shingle_hashes(text, words)
         total[i] = len(hashes)
         for k in range(0, len(hashes), FLUSH):
             part = hashes[k:k + FLUSH]
@@ -85,10 +85,10 @@ def fingerprints(texts: list[str | None]) -> np.ndarray:
     return (bits << np.arange(64, dtype=np.uint64)).sum(1, dtype=np.uint64)
 
 
-def with_fingerprint(df: DataFrame, text: str = "text", out: str = "simhash") -> DataFrame:
+def with_fingerprint(df: DataFrame, text: str = "text", out: str = "simhash", words: int = 3) -> DataFrame:
     """``df`` with the fingerprint of each text as a long (the same 64 bits)."""
     return c.with_columns(df, text, [(out, "long", pa.int64())],
-                          lambda: lambda column: [pa.array(fingerprints(column.to_pylist()).view(np.int64))])
+                          lambda: lambda column: [pa.array(fingerprints(column.to_pylist(), words).view(np.int64))])
 
 
 def bucket_keys(out: str) -> F.Column:
