@@ -57,6 +57,11 @@ def test_lineage_marks_the_second_visit(spark):
     assert ("bse_scrip_master", False) in seen and not any(x.truncated for x in r)
 
 
+def test_lineage_broadcasts_no_edges(spark):
+    traced = ln.trace(ln.edges(spark), "derived_factor_model")
+    assert "SortMergeJoin" in traced._jdf.queryExecution().executedPlan().toString()
+
+
 def test_lineage_stops_in_a_cycle_and_at_depth(spark):
     loop = ln.edges(spark, {"a": ("b",), "b": ("a",)})
     assert [(x.view, x.repeated) for x in ln.trace(loop, "a").orderBy("visit").collect()] == [("a", False), ("b", False), ("a", True)]

@@ -85,9 +85,9 @@ def first_visits(edge: DataFrame, root: str, max_depth: int | None = None) -> Da
 
     That visit is the smallest path in the order of edge numbers, and a smallest path is made of smallest paths. So a frontier of views
     whose visit is new or became smaller goes on from round to round, and everything that is not is left out by a join with the visits
-    known; a view holds one visit however many paths lead to it.
+    known; a view holds one visit however many paths lead to it. The edges are dealt and sorted by view once, a round deals its frontier to them.
     """
-    edge = materialise(edge.select("view", "ordinal", "upstream"))
+    edge = materialise(edge.select("view", "ordinal", "upstream").repartition("view").sortWithinPartitions("view")).hint("merge")
     known = frontier = edge.sparkSession.createDataFrame([(root, "", root)], "view string, visit string, path string")
     while True:
         onward = frontier if max_depth is None else frontier.where(F.length("visit") <= STEP * max_depth)
@@ -119,7 +119,7 @@ def trace(edge: DataFrame, root: str, max_depth: int | None = None, approximate:
         lost = firsts.where("visit <> ''").select("view", F.explode(above).alias("above")).join(firsts.select(F.col("visit").alias("above")), "above", "left_anti")
         firsts = materialise(firsts.join(lost.select("view").distinct(), "view", "left_anti"))
     opened = firsts if max_depth is None else firsts.where(F.length("visit") <= STEP * max_depth)
-    visits = opened.join(edge, "view").select(F.col("upstream").alias("view"), below().alias("visit"), F.concat_ws(" > ", "path", "upstream").alias("path"))
+    visits = opened.join(edge.hint("merge"), "view").select(F.col("upstream").alias("view"), below().alias("visit"), F.concat_ws(" > ", "path", "upstream").alias("path"))
     visits = firsts.where("visit = ''").unionByName(visits)
     first = firsts.select(F.col("view").alias("v"), F.col("visit").alias("first"))
     depth = (F.length("visit") / STEP).cast("int")
