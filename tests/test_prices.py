@@ -261,3 +261,23 @@ def test_outliers_find_the_injected_point(spark):
     a, b = (multivariate_outliers(df).orderBy("anomaly_score_raw").collect() for _ in range(2))
     assert a[0].symbol == "ODD" and a[0].is_outlier and sum(x.is_outlier for x in a) == 5
     assert [(x.symbol, x.anomaly_score_raw) for x in a] == [(x.symbol, x.anomaly_score_raw) for x in b]
+
+
+def test_a_vector_travels_to_a_fixed_number_of_blocks(spark, monkeypatch):
+    """Many symbols make large blocks, whose pairs are computed in parts; pairs and sums stay the same."""
+    monkeypatch.setattr(corr, "BLOCKS", 3)
+    rng = np.random.default_rng(11)
+    rows = [(f"s{k}", date(2026, 1, 1) + timedelta(d), float(p)) for k in range(40) for d, p in enumerate(np.exp(rng.normal(0, 0.01, 30).cumsum()))
+            if k % 4 or d % 9]
+    panel = spark.createDataFrame(rows, "symbol string, trade_date date, close double")
+    industry = spark.createDataFrame([(f"s{k}", "abc"[k % 3]) for k in range(40)] + [("s1", "a")], "symbol string, industry string")
+    routed, _ = corr._routed(panel, 25, 10, None, 4, None)
+    assert routed.count() == 40 * 3
+    stored = corr.rolling_correlation(panel, 25, 10, block=4)
+    whole = {(r.symbol_a, r.symbol_b): r.correlation for r in corr.rolling_correlation(panel, 25, 10).collect()}
+    pairs = stored.collect()
+    assert len(pairs) == len(whole) == 40 * 39 // 2 and all(abs(whole[r.symbol_a, r.symbol_b] - r.correlation) < 1e-12 for r in pairs)
+    cells = {(r.industry_a, r.industry_b): r.correlation for r in corr.rolling_sector_correlation(panel, industry, 25, 10, block=4).collect()}
+    for r in corr.sector_correlation(stored, industry).collect():
+        assert abs(cells.pop((r.industry_a, r.industry_b)) - r.correlation) < 1e-12
+    assert not cells
