@@ -247,6 +247,13 @@ def test_press_releases_keep_their_own_pdf(spark):
     assert r == [("1", "Aug 21, 2026", "No file", None), ("2", "Aug 21, 2026", "Money Market", "P2.PDF"), ("3", "Aug 20, 2026", "Old", None)]
 
 
+def test_press_releases_stay_in_their_page(spark):
+    found = ce.press_releases(docs(spark, "no marks"))
+    assert found.count() == 0
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Sort" not in plan and "Window" not in plan
+
+
 def test_missing_days_are_reported(spark):
     landed = spark.createDataFrame([(date(2026, 1, 1),), (date(2026, 1, 3),)], "date date")
     assert sorted(x.date for x in ar.missing_days("2026-01-01", "2026-01-04", landed).collect()) == [date(2026, 1, 2), date(2026, 1, 4)]
