@@ -1,4 +1,5 @@
 from datetime import date, timedelta
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -189,6 +190,25 @@ def test_pairs_screen_runs_only_on_the_shortlist(spark):
     assert [(x.symbol_a, x.symbol_b, x.n_obs) for x in out] == [("A", "B", 60)] and 0 <= out[0].coint_pvalue <= 1
 
 
+def test_pairs_are_screened_where_they_are_found(spark):
+    """Symbols in several blocks, some with gaps: the same rows as by a join with the levels, and no join with pairs."""
+    rng = np.random.default_rng(9)
+    m = rng.normal(0, 0.01, 100)
+    p = panel(spark, {f"S{i}": m * (i % 3 - 1) + rng.normal(0, 0.01, 100) for i in range(40)})
+    p = p.where(~((F.col("symbol").isin("S7", "S12")) & F.col("trade_date").isin(DAYS[80], DAYS[91]))).localCheckpoint()
+    find = partial(corr.rolling_correlation, p, block=6, at_least=0.2)
+    for lags in (None, 1):
+        joined, found = (corr.pairs_screen(p, x, 0.25, lags=lags) for x in (find(), find))
+        got, want = ({(x.symbol_a, x.symbol_b): x for x in df.collect()} for df in (found, joined))
+        assert got.keys() == want.keys() and len(got) > 100 and {x.n_obs for x in got.values()} == {58, 60}
+        for k, x in got.items():
+            assert (x.lags, x.n_obs, x.as_of_date) == (want[k].lags, want[k].n_obs, want[k].as_of_date)
+            assert [x.correlation, x.statistic, x.coint_pvalue] == pytest.approx([want[k].correlation, want[k].statistic, want[k].coint_pvalue], rel=1e-9)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "FlatMapGroupsInPandas" in plan and "MapInPandas" not in plan.replace("FlatMapGroupsInPandas", "")
+    assert corr.pairs_screen(p, find, 0.25, shortlist=5).count() == 5
+
+
 def test_momentum_needs_the_whole_lookback_and_flat_scores_zero(spark):
     p = panel(spark, {"A": np.full(100, 0.01), "B": np.full(100, 0.01)})
     assert {x.momentum_zscore for x in px.momentum_zscore(p).collect()} == {0.0}
