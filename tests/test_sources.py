@@ -240,6 +240,19 @@ def test_sheet_sections(spark):
     assert r == {("income_statement", "Sales"): 5.0, ("balance_sheet", "Total Equity and Liabilities"): 3.0, ("balance_sheet", "Total Assets"): 4.0, ("balance_sheet", "Other"): 1.0, ("balance_sheet", "Other_2"): 2.0}
 
 
+def test_sheet_is_shuffled_once_and_not_joined(spark):
+    """Period ends by column, of each section its own; a section without them has no facts, a gap in r ends one."""
+    t = [["Quarters", "", ""], ["Report Date", "2025-03-31", "2025-06-30"], ["Sales", "1", "2"], ["Sales", "x", "4"], ["BALANCE SHEET", "7", "8"], ["Report Date", "bad", "2024-06-30"],
+         ["Total", "5", "6"], ["CASH FLOW:", "", ""], ["PROFIT & LOSS", "", ""], ["Nothing", "2023-13-01", ""], ["Tax", "9", "9"], ["CASH FLOW:", "", ""], ["Report Date", "2022-03-31", ""]]
+    late = spark.createDataFrame([("d0", 0, 20, 0, "Late"), ("d0", 0, 20, 1, "3"), (None, 0, 0, 0, "Quarters")], "doc string, table_no int, r int, c int, text string")
+    facts = ce.sheet_facts(cells(spark, t).unionByName(late))
+    plan = facts._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+    assert sorted((x.statement, x.concept, str(x.period_end), x.value) for x in facts.collect()) == [
+        ("balance_sheet", "Total Equity and Liabilities", "2024-06-30", 6.0), ("income_statement", "Sales", "2025-03-31", 1.0), ("income_statement", "Sales", "2025-06-30", 2.0),
+        ("income_statement", "Sales_2", "2025-06-30", 4.0)]
+
+
 def test_press_releases_keep_their_own_pdf(spark):
     page = ('<td class="tableheader"><b>Aug 21, 2026</b></td><a class=\'link2\' href=BS_PressReleaseDisplay.aspx?prid=1>No  file</a><a class=\'link2\' href=BS_PressReleaseDisplay.aspx?prid=2>Money Market</a>'
             '<a href="https://rbidocs.rbi.org.in/rdocs/PressRelease/PDFs/P2.PDF"><td class="tableheader"><b>Aug 20, 2026</b></td><a class=\'link2\' href=BS_PressReleaseDisplay.aspx?prid=3>Old</a>')
