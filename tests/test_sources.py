@@ -234,6 +234,18 @@ def test_tidy_tables(spark):
     assert r == [("d0", "Cash ratio", "2025 / Aug. 25", 1200.0), ("d0", "Cash ratio", "2025 / Jul. 25", -4.5), ("d1", "Call", "Volume", 100.0), ("d1", "Repo", "Rate", 5.25)]
 
 
+def test_tidy_tables_are_shuffled_once(spark):
+    """The number of the table is a literal, as where a page has one table; documents may come as numbers."""
+    one = [["Item", "2025", "2025"], ["", "Jul. 25", "Aug. 25"], ["1", "1", "2"], ["Cash ratio", "(4.5)", "1,200"]]
+    two = cells(spark, one, one).select(F.substr("doc", F.lit(2)).cast("int").alias("doc"), F.lit(0).alias("table_no"), "r", "c", "text")
+    tidy = ce.tidy_tables(two)
+    assert tidy._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    releases = spark.createDataFrame([(0, "Other"), (1, "Money market today")], "prid int, title string")
+    found = ce.release_tables(two, releases, "MONEY").collect()
+    assert sorted((x.doc, x.prid, x.series, x.value_num, x.release_title) for x in found) == [
+        ("1", "1", "2025 / Aug. 25", 1200.0, "Money market today"), ("1", "1", "2025 / Jul. 25", -4.5, "Money market today")]
+
+
 def test_sheet_sections(spark):
     t = [["PROFIT & LOSS", ""], ["Report Date", "2025-03-31"], ["Sales", "5"], ["", ""], ["Orphan", "9"], ["BALANCE SHEET", ""], ["Report Date", "2025-03-31"], ["Total", "3"], ["Other", "1"], ["Total", "4"], ["Other", "2"]]
     r = {(x.statement, x.concept): x.value for x in ce.sheet_facts(cells(spark, t)).collect()}
