@@ -101,6 +101,22 @@ def test_instance_sections_nesting_and_entities(spark):
     assert sorted(x.reason for x in rg.instance_rejects(d).collect()) == ["empty", "entities declared", "not well formed"]
 
 
+def test_a_mark_is_an_element_and_holds_its_ends(spark):
+    """Ends, also with text, comments and character data that look like ends between them, are no rows; depth and text stay as they are."""
+    x = ("<r>a<b k='1>2'>b<!-- </b> --><c><d>d</d > <![CDATA[</c></b>]]><e/>t</c>u</b><?p </r> ?>v<f>&#38;&#x41;&#0;&amp;gt;&no;</f><g/></r>")
+    mark = docs(spark, x).select(F.size(F.regexp_extract_all("content", F.lit(rg.MARK), F.lit(0))).alias("n")).first().n
+    got = [(e.name, e.depth, e.child, e.text) for e in rg.elements(docs(spark, x).withColumnRenamed("path", "source_url")).orderBy("pos").collect()]
+    assert mark == len(got) == 7
+    assert got == [("r", 1, 0, "a"), ("b", 2, 1, "b"), ("c", 3, 1, ""), ("d", 4, 1, "d"), ("e", 4, 1, ""), ("f", 2, 2, "&A&#0;&gt;&no;"), ("g", 2, 3, "")]
+
+
+def test_instance_of_deep_elements(spark):
+    n = 3000
+    x = "".join(f"<a{i}>" for i in range(n)) + "".join(f"</a{i}>" for i in reversed(range(n)))
+    got = rg.elements(spark.createDataFrame([("f", f"<r>{x}<z/></r>")], "source_url string, content string"))
+    assert got.agg(F.max("depth")).first()[0] == n + 1 and got.where("name = 'z'").first().depth == 2
+
+
 def test_instance_of_many_elements(spark):
     n = 20000
     x = "<r>" + "".join(f'<context id="c{i}"><period><instant>2024-01-{i % 28 + 1:02d}</instant></period></context><v contextRef="c{i}" unitRef="u">{i}</v>' for i in range(n)) + "</r>"

@@ -179,9 +179,9 @@ def fund_holdings(docs: DataFrame) -> DataFrame:
 
 # -- instance documents ---------------------------------------------------------------
 
-TAG = r"""<(?:/\s*)?[\w.:-]+(?:[^<>"']++|"[^"]*+"|'[^']*+')*+>"""
 ASIDE = r"<!\[CDATA\[.*?\]\]>|<!--.*?-->|<\?.*?\?>"
-MARK = rf"(?s)(?:{ASIDE})|{TAG}(?:[^<]++|{ASIDE})*+"
+START = r"""<[\w.:-]+(?:[^<>"']++|"[^"]*+"|'[^']*+')*+>"""
+MARK = rf"(?s)(?:{ASIDE})|{START}(?:[^<]++|{ASIDE}|</[^>]*+>)*+"
 DOCTYPE = r"""(?s)^((?:\s++|<\?.*?\?>|<!--.*?-->)*+)(<!DOCTYPE(?:[^\[>"']++|"[^"]*+"|'[^']*+')*+(?:\[[^\]]*+\]\s*+)?>)"""
 
 # Entities every document may use.
@@ -194,11 +194,16 @@ def _attribute(text: Column, name: str) -> Column:
 
 def _unescaped(text: Column) -> Column:
     """Text with the entities every document may use and character numbers replaced, once; others stay as they are written."""
+    def point(digits: Column) -> Column:
+        """The character of a number, NULL where there is none. Digits are tried by pattern before, since a cast that fails costs an exception each time."""
+        number = digits.cast("int")
+        return F.when(number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF), F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32"))
+
     def said(part: Column) -> Column:
-        number = F.coalesce(F.when(F.regexp_like(part, F.lit(r"^&#x[0-9A-Fa-f]{1,6};$")), F.conv(F.regexp_extract(part, r"^&#x([0-9A-Fa-f]{1,6});$", 1), 16, 10)),
-                            F.regexp_extract(part, r"^&#([0-9]{1,7});$", 1)).try_cast("int")
-        valid = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
-        return F.coalesce(lookup(ENTITIES, part), F.when(valid, F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")), part)
+        number = F.when(F.regexp_like(part, F.lit(r"^&#x[0-9A-Fa-f]{1,6};$")), point(F.conv(F.regexp_extract(part, r"^&#x([0-9A-Fa-f]{1,6});$", 1), 16, 10))) \
+            .when(F.regexp_like(part, F.lit(r"^&#[0-9]{1,7};$")), point(F.regexp_extract(part, r"^&#([0-9]{1,7});$", 1)))
+        written = F.when(F.startswith(part, F.lit("&#")), number).otherwise(lookup(ENTITIES, part))
+        return F.when(F.startswith(part, F.lit("&")), F.coalesce(written, part)).otherwise(part)
 
     parts = F.regexp_extract_all(text, F.lit(r"&[^;&\s]{1,10};|[^&]+|&"), F.lit(0))
     return F.when(F.contains(text, F.lit("&")), F.array_join(F.transform(parts, said), "")).otherwise(text)
@@ -231,23 +236,25 @@ def elements(docs: DataFrame) -> DataFrame:
     """Every element of well-formed documents, at any depth: source_url, pos, depth (the root is 1), child (number of the root's child it lies in, 0 for the root),
     prefix, name, attributes, text up to its first child.
 
-    ``docs``: source_url, content. Tags are listed with all up to the next tag, so character data and comments never look like tags. Depth
-    is a running sum of +1 for a start and -1 for an end, ordered within a document.
+    ``docs``: source_url, content. A mark is the tag that starts an element with all up to the next such tag, so character data and comments never look like tags and
+    tags that end elements are no rows. A mark's change is what it leaves open, +1 less the ends in it, and depth is a running sum of changes within a document.
     """
-    m = F.col("mark")
-    tag = F.regexp_extract(m, rf"(?s)^{TAG}", 0)
+    m, tail = F.col("mark"), F.col("tail")
+    tag = F.regexp_extract(m, rf"(?s)^{START}", 0)
     marks = docs.select("source_url", F.posexplode(F.regexp_extract_all("content", F.lit(MARK), F.lit(0))).alias("pos", "mark"))
     marks = marks.where(~F.startswith(m, F.lit("<!")) & ~F.startswith(m, F.lit("<?"))).select("source_url", "pos", tag.alias("tag"), F.substr(m, F.length(tag) + 1).alias("tail"))
-    end, alone = F.startswith("tag", F.lit("</")), F.endswith("tag", F.lit("/>"))
-    w = Window.partitionBy("source_url").orderBy("pos")
-    up_to = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    change = F.when(end, -1).when(alone, 0).otherwise(1)
-    marks = marks.withColumn("depth", F.sum(change).over(up_to) + alone.cast("int"))
-    marks = marks.withColumn("child", F.sum(F.when(~end & (F.col("depth") == 2), 1).otherwise(0)).over(up_to)).where(~end)
-    full = F.regexp_extract("tag", r"^<([\w.:-]+)", 1)
-    text = F.when(alone, "").otherwise(_content(F.col("tail")))
-    return marks.select("source_url", "pos", "depth", "child", F.when(F.contains(full, F.lit(":")), F.substring_index(full, ":", 1)).alias("prefix"),
-                        F.substring_index(full, ":", -1).alias("name"), F.col("tag").alias("attributes"), text.alias("text"))
+    alone, full = F.endswith("tag", F.lit("/>")), F.regexp_extract("tag", r"^<([\w.:-]+)", 1)
+    plain = ~F.contains(tail, F.lit("<!")) & ~F.contains(tail, F.lit("<?"))
+    said = F.when(plain, F.substring_index(tail, "<", 1)).otherwise(F.regexp_extract(tail, rf"(?s)^(?:[^<]++|{ASIDE})*+", 0))
+    left = F.when(plain, tail).otherwise(F.regexp_replace(tail, rf"(?s)(?:{ASIDE})", ""))
+    ends = ((F.length(left) - F.length(F.replace(left, F.lit("</"), F.lit("")))) / 2).cast("int")
+    marks = marks.select(
+        "source_url", "pos", (F.when(alone, 0).otherwise(1) - ends).alias("change"), F.when(F.contains(full, F.lit(":")), F.substring_index(full, ":", 1)).alias("prefix"),
+        F.substring_index(full, ":", -1).alias("name"), F.col("tag").alias("attributes"), F.when(alone, "").otherwise(_content(said)).alias("text"))
+    up_to = Window.partitionBy("source_url").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    marks = marks.withColumn("depth", F.sum("change").over(up_to) - F.col("change") + 1)
+    marks = marks.withColumn("child", F.sum(F.when(F.col("depth") == 2, 1).otherwise(0)).over(up_to))
+    return marks.select("source_url", "pos", "depth", "child", "prefix", "name", "attributes", "text")
 
 
 def instance_facts(docs: DataFrame) -> DataFrame:
