@@ -4,12 +4,14 @@ import base64
 import hashlib
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 tiktoken = pytest.importorskip("tiktoken")
 P = pytest.importorskip("public_tokenizers")
 
-from tidemark.llm import byte_bpe, queries
+from tidemark.llm import byte_bpe, common as c, queries
 
 SF = "/root/testdata/sf0.001"
 
@@ -85,3 +87,37 @@ def test_query(spark):
         want.add((r.doc_id, len(ids), sha(" ".join(map(str, ids)).encode()), sha(enc.decode_bytes(ids))))
     got = queries.QUERIES["op13_byte_bpe"](spark, SF)
     assert got.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and {tuple(r) for r in got.collect()} == want
+
+
+def test_pieces_and_words_are_those_of_the_pattern():
+    find, rng = byte_bpe.splitter(P.PATTERN).findall, random.Random(3)
+    letters = "  \n\t \rab'sll1.!é日 \u0085\x1c"
+    texts = ["".join(rng.choice(letters[:rng.choice([8, 14, 19, 22])]) for _ in range(rng.randint(0, 14))) for _ in range(9000)]
+    for some, spaced in [(texts[k:k + 50], True) for k in range(0, 9000, 50)] + [(texts, True), (texts, False), ([], True), (["", ""], True), ([" ", "", "\n"], True)]:
+        words, places, counts = byte_bpe.split(pa.array(some, pa.large_string()), find, spaced)
+        words, ends = words.to_pylist(), np.cumsum(counts)
+        assert [[words[k] for k in places[e - n:e]] for e, n in zip(ends, counts)] == [find(x) for x in some]
+
+
+def test_only_distinct_pieces_beyond_ascii_are_matched():
+    find, seen = byte_bpe.splitter(P.PATTERN).findall, []
+    words, places, _ = byte_bpe.split(pa.array(["plain words, 12 and it's été  \n"] * 500, pa.large_string()), lambda x: seen.append(x) or find(x), True)
+    assert seen == ["'s\n été"] and len(words) == 9 and len(places) == 9 * 500
+
+
+def test_merges_are_the_pieces_inside_each_word():
+    table, rng = byte_bpe.Table(P.path("byte_bpe_50k.tiktoken")), random.Random(5)
+    table.plant()
+    words = ["", "a", " the", "information" * 3, "x" * 300] + ["".join(rng.choice("etaoin é日") for _ in range(rng.randint(1, 20))) for _ in range(500)]
+    ranks, counts = table.inside(*c.bytes_of(pa.array(words, pa.large_string())))
+    ends = np.cumsum(counts)
+    for word, end, n in zip(words, ends, counts):
+        raw = word.encode()
+        assert ranks[end - n:end].tolist() == sorted({table.ranks[raw[i:j]] for i in range(len(raw)) for j in range(i + 2, len(raw) + 1) if raw[i:j] in table.ranks})
+
+
+def test_another_pattern(spark):
+    pattern, path = r"\p{L}+|\d{1,2}|\s|[^\s\p{L}\d]", P.path("byte_bpe_50k.tiktoken")
+    enc = tiktoken.Encoding("other", pat_str=pattern, mergeable_ranks=byte_bpe.load_ranks(path), special_tokens={})
+    df = spark.createDataFrame([(1, "it's  été 12345, yes no"), (2, None), (3, "it's a test")], "doc_id long, text string")
+    assert all(r.ids == enc.encode_ordinary(r.text or "") for r in byte_bpe.encode(df, path, pattern).collect())

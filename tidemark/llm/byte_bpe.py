@@ -5,9 +5,11 @@ one. Every piece of the vocabulary has one pair that makes it, and all pieces in
 pieces that occur in it, in the order of their ranks, each applied once to all its places from the left. ``aggregate`` folds that list
 over the word, and a literal map of ranks, an array, gives each rank its pair and its character.
 
-Each slice of documents becomes one row: its documents with the places of their words, and its distinct words with their merges. Words
-then become ids by place. Nothing is shuffled, a lost task repeats its own slices only, and a word is merged once a slice however often
-it occurs. Decoding concatenates pieces of a literal vocabulary as binary.
+Each slice of documents becomes one row: its documents with the places of their words, and its distinct words with their merges, found by
+walking all places of all words down a tree of the pieces together. Words then become ids by place. Where the pattern is ``SPACED``, texts are cut
+before words, in white space and between ASCII letters, digits and marks first, and only distinct pieces of other characters are matched; other
+patterns are matched on whole texts. Nothing is shuffled, a lost task repeats its own slices only, and a word is merged once a slice however
+often it occurs. Decoding concatenates pieces of a literal vocabulary, as hexadecimal digits.
 
 Null and empty texts have no ids. A null array of ids, or one with an id of no piece, decodes to null. Repeated rows are encoded each for
 itself, an empty table gives an empty table, a word may be as long as its text. Columns named like a result are replaced. A vocabulary
@@ -19,10 +21,10 @@ from __future__ import annotations
 import base64
 import json
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -34,9 +36,13 @@ FIRST = 1 << 16
 RANKS = 1 << 20
 #: White space of the Unicode property, which ``\s`` stands for in the tokenizers' patterns.
 SPACE = "".join(map(regex.escape, map(chr, [*range(9, 14), 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288])))
+#: The pattern of which is known that no match but white space goes beyond one blank and what is no white space behind it.
+SPACED = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: A text with white space of more than a byte is matched whole.
+WIDE_SPACE = f"[{''.join(x for x in map(chr, [133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288]))}]"
+#: Letters, digits and marks of ASCII; 0 for white space and what is not ASCII.
+KIND = np.array([0 if b > 127 or c.SPACES[b] else 1 if chr(b).isalpha() else 2 if chr(b).isdigit() else 3 for b in range(256)], np.uint8)
 SLICE_BYTES = 4 << 20
-#: Words whose merges a task remembers from slice to slice.
-REMEMBERED = 1 << 16
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -72,8 +78,65 @@ class Table:
             raise ValueError("some byte has no rank")
         if len(set(self.ranks.values())) < len(self.ranks) or not all(0 <= r < RANKS for r in self.ranks.values()):
             raise ValueError(f"ranks must be distinct and below {RANKS}")
-        self.longest = max(map(len, self.ranks))
-        self.bytes = [chr(FIRST + self.ranks[bytes([b])]) for b in range(256)]
+        chars = "".join(chr(FIRST + self.ranks[bytes([b])]) for b in range(256))
+        self.bytes = np.frombuffer(chars.encode(), np.uint8).reshape(256, 4)
+
+    def plant(self) -> None:
+        """The tree of the pieces as a double array: byte b leads from a state s to ``base[s] + b`` if ``up`` of that is s; the bytes are states themselves.
+
+        ``made`` is the rank of a state that is a piece of two bytes or more, or -1.
+        """
+        below: dict[bytes, set[int]] = {bytes([b]): set() for b in range(256)}
+        for piece in self.ranks:
+            for k in range(len(piece) - 1, 0, -1):
+                kids = below.setdefault(piece[:k], set())
+                if piece[k] in kids:
+                    break
+                kids.add(piece[k])
+        free, low, begins = np.ones(1 << 16, bool), 512, {}  # of each prefix, the base of its children
+        free[:low] = False
+        for prefix, kids in sorted(below.items(), key=lambda x: -len(x[1])):
+            kids = np.array(sorted(kids), np.int64)
+            while len(kids) > 1 and prefix not in begins:
+                if low + 1024 > len(free):
+                    free = np.append(free, np.ones(len(free), bool))
+                some = low + np.flatnonzero(free[low:low + 512]) - kids[0]
+                if len(fit := np.flatnonzero(free[some[:, None] + kids].all(1))):
+                    begins[prefix] = int(some[fit[0]])
+                    free[begins[prefix] + kids] = False
+                else:
+                    low += 128  # full enough
+        single = [(prefix, kid) for prefix, kids in below.items() if len(kids) == 1 for kid in kids]
+        free = np.append(free, np.ones(len(single), bool))
+        begins |= {prefix: place - kid for (prefix, kid), place in zip(single, np.flatnonzero(free)[:len(single)].tolist())}
+        state = lambda piece: piece[0] if len(piece) == 1 else begins[piece[:-1]] + piece[-1]
+        self.made, self.base = np.full(len(free), -1, np.int32), np.zeros(len(free), np.int32)
+        self.up = np.full(len(free) + 512, -1, np.int32)
+        for prefix, begin in begins.items():
+            self.base[state(prefix)] = begin
+            self.up[[begin + b for b in below[prefix]]] = state(prefix)
+        for piece, rank in self.ranks.items():
+            if len(piece) > 1:
+                self.made[state(piece)] = rank
+
+    def inside(self, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ranks of the pieces of two bytes or more that occur in each word, ascending, and their number; ``at`` bounds the words in ``data``."""
+        sizes = np.diff(at)
+        word, following = np.repeat(np.arange(len(sizes)), sizes), np.full(len(data) + 1, 256, np.int32)
+        following[:-1] = data
+        following[at] = 256  # no byte: nothing goes on into the next word
+        start, state, depth, found = np.arange(len(data), dtype=np.int32), data.astype(np.int32), 0, [np.zeros(0, np.int64)]
+        while len(start):
+            depth += 1
+            there = self.base[state] + following[start + depth]
+            on = np.flatnonzero(self.up[there] == state)
+            start, state = start[on], there[on]
+            rank = self.made[state]
+            ends = np.flatnonzero(rank >= 0)
+            found.append(word[start[ends]] * RANKS + rank[ends])
+        pairs = np.sort(np.concatenate(found))
+        pairs = pairs[np.diff(pairs, prepend=-1) > 0]
+        return (pairs % RANKS).astype(np.int32), np.bincount(pairs // RANKS, minlength=len(sizes))
 
     def merges(self) -> tuple[Column, Column]:
         """The literal map: of each rank the two characters that make it, and its character; null where there is none."""
@@ -88,23 +151,12 @@ class Table:
                 pairs[rank] = chr(FIRST + pair[0]) + chr(FIRST + pair[1])
         return numbers(pairs, "string"), numbers(own, "string")
 
-    def inside(self, word: bytes) -> list[int]:
-        """Ranks of the pieces of two bytes or more that occur in a word, ascending."""
-        get, n = self.ranks.get, len(word)
-        found = {get(word[i:j]) for i in range(n - 1) for j in range(i + 2, min(n, i + self.longest) + 1)}
-        found.discard(None)
-        return sorted(found)
-
-    def pieces(self) -> tuple[Column, Column, Column]:
-        """All pieces by rank in one literal binary, with the start and the size of each; size null for a rank of no piece."""
-        at, sizes, blob = [], [], bytearray()
-        by_rank = {r: p for p, r in self.ranks.items()}
-        for rank in range(max(by_rank) + 1):
-            piece = by_rank.get(rank)
-            at.append(len(blob) + 1)
-            sizes.append(None if piece is None else len(piece))
-            blob += piece or b""
-        return F.lit(bytes(blob)), numbers(at, "int"), numbers(sizes, "int")
+    def pieces(self) -> Column:
+        """The pieces by rank in hexadecimal digits, a literal array; null for a rank of no piece."""
+        digits: list[str | None] = [None] * (max(self.ranks.values()) + 1)
+        for piece, rank in self.ranks.items():
+            digits[rank] = piece.hex()
+        return numbers(digits, "string")
 
 
 def numbers(values: list[int | str | None], kind: str) -> Column:
@@ -123,33 +175,76 @@ def fold(symbols: Column, merges: Column, pairs: Column, own: Column) -> Column:
     return F.transform(F.regexp_extract_all(last, F.lit("(?s)."), F.lit(0)), lambda x: F.ascii(x) - FIRST)
 
 
+def cuts(data: np.ndarray, at: np.ndarray, whole: np.ndarray) -> np.ndarray:
+    """Where pieces begin that ``SPACED`` matches by themselves: at texts, in white space, before what follows it, and where ASCII letters, digits
+    and marks meet, but not behind an apostrophe; a ``whole`` text is one piece."""
+    begins, last = np.zeros(len(data) + 1, bool), np.zeros(len(data) + 1, bool)
+    kinds = KIND[data]
+    begins[1:-1] = (kinds[1:] != kinds[:-1]) & (kinds[1:] > 0) & (kinds[:-1] > 0) & (data[:-1] != 39)
+    begins[at] = last[at] = True
+    starts, ends, _ = c.words(data, at, c.SPACES)
+    inner = ends[~last[ends]]
+    begins[starts] = begins[inner - 1] = True
+    begins[inner[data[inner - 1] != 32]] = True
+    for k in np.flatnonzero(whole):
+        begins[at[k] + 1:at[k + 1]] = False
+    return np.flatnonzero(begins[:-1])
+
+
+def split(texts: pa.Array, find, spaced: bool) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Distinct words of a large string array, the places of all words among them, and the number of words of each text.
+
+    Pieces of ASCII without an apostrophe are words as they are; of others, the distinct ones are matched, texts with wide white space one by one.
+    """
+    def whole(some: pa.Array) -> np.ndarray:
+        return np.asarray(pc.match_substring_regex(some, WIDE_SPACE).to_numpy(zero_copy_only=False), bool) if spaced else np.ones(len(some), bool)
+
+    data, at = c.bytes_of(texts)
+    begins = cuts(data, at, whole(texts))
+    coded = pa.LargeStringArray.from_buffers(len(begins), pa.py_buffer(np.append(begins, len(data))), pa.py_buffer(data)).dictionary_encode()
+    pieces, codes = coded.dictionary, np.asarray(coded.indices)
+    letters, bounds = c.bytes_of(pieces)
+    hard = np.diff(np.concatenate([[0], np.cumsum((letters > 127) | (letters == 39))])[bounds]) > 0
+    alone = whole(pieces)
+    easy, joint, single = np.flatnonzero(~hard & ~alone), np.flatnonzero(hard & ~alone), np.flatnonzero(alone)
+    counts, words = np.ones(len(pieces), np.int64), [pieces.take(pa.array(easy))]
+    if len(joint):  # a line feed between two pieces is a match of its own
+        lines = "\n".join(pieces.take(pa.array(joint)).to_pylist())
+        found = pa.array(find(lines), pa.large_string())
+        inside = pc.not_equal(found, "\n")
+        ends = np.flatnonzero(~inside.to_numpy(zero_copy_only=False))
+        counts[joint] = np.diff(np.concatenate([[-1], ends, [len(found)]])) - 1
+        words.append(found.filter(inside))
+    for k in single:
+        words.append(pa.array(find(pieces[k].as_py()), pa.large_string()))
+        counts[k] = len(words[-1])
+    order, first = np.concatenate([easy, joint, single]), np.zeros(len(pieces), np.int64)
+    first[order] = np.cumsum(counts[order]) - counts[order]
+    distinct = pa.concat_arrays(words).dictionary_encode()
+    width = counts[codes]
+    places = np.asarray(distinct.indices, np.int32)[c.ranges(first[codes], width)]
+    return distinct.dictionary, places, np.diff(np.concatenate([[0], np.cumsum(width)])[np.searchsorted(begins, at)])
+
+
 def packed(df: DataFrame, table: Table, pattern: str, text: str, names: list[str]) -> DataFrame:
     """One row per slice: ``docs`` (the columns as c0, c1, ... and the places of the words), ``words`` (distinct, with their merges)."""
     rows = df.select(*[F.col(f"`{x}`").alias(f"c{k}") for k, x in enumerate(names)], F.col(f"`{text}`").alias("t"))
     inner = ", ".join([f"c{k}: {rows.schema[k].dataType.simpleString()}" for k in range(len(names))] + ["places: array<int>"])
+    table.plant()
     shared = df.sparkSession.sparkContext.broadcast((table, pattern))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, pattern = shared.value
         find = splitter(pattern).findall
-
-        @lru_cache(REMEMBERED)
-        def prepared(word: str) -> tuple[str, list[int]]:
-            raw = word.encode()
-            return "".join([known.bytes[b] for b in raw]), known.inside(raw)
-
         for batch in batches:
             for part in c.slices(batch, "t", SLICE_BYTES, 1 << 30):
-                counts, found = np.zeros(part.num_rows, np.int64), []
-                for k, text in enumerate(part.column(len(names))):
-                    words = find(text.as_py() or "")
-                    counts[k] = len(words)
-                    found.append(pa.array(words, pa.large_string()))
-                coded = pa.chunked_array(found, pa.large_string()).combine_chunks().dictionary_encode()
-                symbols, merges = zip(*map(prepared, coded.dictionary.to_pylist())) if len(coded.dictionary) else ((), ())
-                places = c.lists(np.asarray(coded.indices, np.int32), counts, pa.int32())
+                distinct, at, counts = split(c.text_array(part.column(len(names))), find, pattern == SPACED)
+                places = c.lists(at, counts, pa.int32())
+                data, at = c.bytes_of(distinct)
+                symbols = pa.LargeStringArray.from_buffers(len(distinct), pa.py_buffer(at * 4), pa.py_buffer(known.bytes[data].ravel())).cast(pa.string())
+                merges = c.lists(*known.inside(data, at), pa.int32())
                 docs = pa.StructArray.from_arrays([*part.columns[:-1], places], [*[f"c{k}" for k in range(len(names))], "places"])
-                words = pa.StructArray.from_arrays([pa.array(symbols, pa.string()), pa.array(merges, pa.list_(pa.int32()))], ["symbols", "merges"])
+                words = pa.StructArray.from_arrays([symbols, merges], ["symbols", "merges"])
                 yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in (docs, words)], ["docs", "words"])
 
     return rows.mapInArrow(c.frugal(run), f"docs array<struct<{inner}>>, words array<struct<symbols: string, merges: array<int>>>")
@@ -174,12 +269,10 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text") -> DataFr
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids") -> DataFrame:
-    """``df`` with decoded (binary): the pieces of the ids, concatenated."""
-    blob, at, sizes = Table(path).pieces()
-    piece = lambda i: F.hex(F.substr(blob, F.get(at, i), F.get(sizes, i)))
-    pieces = F.transform(F.col(f"`{ids}`"), piece)
-    whole = F.when(~F.exists(pieces, lambda p: p.isNull()), F.unhex(F.array_join(pieces, "")))
-    return df.withColumn("decoded", whole)
+    """``df`` with decoded (binary): the pieces of the ids, concatenated as digits, so that none has to be text."""
+    pieces = Table(path).pieces()
+    digits = let(pieces, lambda p: F.array_join(F.transform(F.col(f"`{ids}`"), lambda i: F.get(p, i)), "", "?"))  # no digit: unhex gives null
+    return df.withColumn("decoded", F.unhex(digits))
 
 
 def digests(df: DataFrame) -> DataFrame:
