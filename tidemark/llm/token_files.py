@@ -13,9 +13,9 @@ Null texts have no ids but the end id. Rows without a document id sort first and
 
 from __future__ import annotations
 
-import itertools
+from functools import lru_cache
 import os
-import re
+import uuid
 import zlib
 
 import numpy as np
@@ -28,6 +28,10 @@ from tidemark.llm import common as c
 STEP = 256
 SEGMENT_IDS = 1 << 21
 KNOWN = 800_000
+INSIDE = ~c.SPACES
+LETTER, MARK = 1, 2
+#: Letters and marks of ASCII; 0 for digits, the apostrophe and all else.
+KIND = np.array([LETTER if chr(b).isalpha() else MARK if 32 < b < 127 and chr(b) not in "'0123456789" else 0 for b in range(128)] + [0] * 128, np.uint8)
 
 
 class EliasFano:
@@ -86,28 +90,54 @@ class Numbered(dict):
 
     def __init__(self) -> None:
         super().__init__()
-        self.new: list[bytes] = []
+        self.new: list[str] = []
 
-    def __missing__(self, key: bytes) -> int:
+    def __missing__(self, key: str) -> int:
         self[key] = number = len(self)
         self.new.append(key)
         return number
 
-    def taken(self) -> list[bytes]:
+    def taken(self) -> list[str]:
         new, self.new = self.new, []
         return new
 
 
+def parted(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """Parts of the texts of a large string array: distinct ones, the place of each among them, the number of parts before each text's end, and
+    which distinct ones are words.
+
+    A run between ASCII white space of Latin letters with ASCII marks behind (no apostrophe) is a word, its letters in lower case, and its marks. Any
+    other run is one part as it is.
+    """
+    data, at = c.bytes_of(texts)
+    starts, ends, first = c.words(data, at, INSIDE)
+    data, bounds = data[INSIDE[data]], np.concatenate([[0], np.cumsum(ends - starts)])
+    kind, begins = KIND[data], np.zeros(len(data) + 1, bool)
+    begins[bounds] = True
+    lead = np.flatnonzero(data[:-1] == 0xC3)  # U+00C0 to U+00FF, of which two are signs
+    lead = lead[(data[lead + 1] & 0x5F) != 0x17]
+    kind[lead] = kind[lead + 1] = LETTER
+    behind, begin = np.concatenate([[0], kind[:-1]]), begins[:-1]
+    odd = (kind == 0) | (begin & (kind == MARK)) | (~begin & (kind == LETTER) & (behind == MARK))
+    plain = np.repeat(np.diff(np.concatenate([[0], np.cumsum(odd)])[bounds]) == 0, np.diff(bounds))
+    begins[:-1] |= plain & (kind == MARK) & (behind == LETTER)
+    upper = lead[plain[lead] & (data[lead + 1] < 0x9F)] + 1
+    data = np.where(plain, c.LOWER[data], data)
+    data[upper] += 32
+    places = np.flatnonzero(begins[:-1])
+    parts = pa.LargeStringArray.from_buffers(len(places), pa.py_buffer(np.append(places, len(data))), pa.py_buffer(data)).dictionary_encode()
+    codes, words = np.asarray(parts.indices), np.zeros(len(parts.dictionary), bool)
+    words[codes] = (plain & (kind == LETTER))[places]
+    return parts.dictionary, codes, np.searchsorted(places, bounds[first[1:]]), words
+
+
 class WordEncoder:
-    """Ids by the tokenizers library, each distinct run between ASCII white space encoded once.
+    """Ids by the tokenizers library, each distinct part of the runs between ASCII white space encoded once.
 
     The tokenizer drops white space, merges nothing across it, and parts letters from marks. So a text's ids are those of its
-    runs in a row, and a run of Latin letters with ASCII marks behind (no apostrophe) is its letters, in either case, and its marks.
-    Such words go to the library many at a time: the last id of each is one that ends a word.
+    parts in a row, see ``parted``. Words go to the library many at a time: the last id of each is one that ends a word.
     """
 
-    PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]*)")
-
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallelism
         from tokenizers import Tokenizer
@@ -121,71 +151,61 @@ class WordEncoder:
 
     def clear(self) -> None:
         self.known = Numbered()
-        self.parts: dict[str, int] = {"": 0}
-        self.flat, self.at, self.count = np.zeros(0, np.uint32), np.zeros(1, np.int64), np.zeros(1, np.int64)
-        self.pairs = np.zeros((0, 2), np.int64)  # the parts of each known run
+        self.flat, self.at, self.count = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def ids(self, text: str) -> list[int]:
         return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
-    def add(self, words: list[str], ids: list[list[int]] | list[int], counts: list[int]) -> None:
-        count = np.array(counts, np.int64)
-        self.at = np.concatenate([self.at, len(self.flat) + np.cumsum(count) - count])
-        self.flat = np.concatenate([self.flat, np.array(ids, np.uint32)])
-        self.count = np.concatenate([self.count, count])
-        self.parts.update(zip(words, range(len(self.parts), len(self.parts) + len(words))))
-
-    def learn(self, cores: list[str], others: list[str]) -> None:
-        """Ids of new words of letters, many at a time, and of other texts one by one."""
-        ids: list[int] = []
-        counts: list[int] = []
-        good: list[str] = []
-        others = list(others)
-        for k in range(0, len(cores), 2000):
-            some = cores[k:k + 2000]
-            joint = self.ids(" ".join(some))
+    def learn(self, parts: list[str], words: np.ndarray) -> None:
+        """Ids of the new parts: of words many at a time, of others one by one."""
+        ids = [self.flat]
+        counts = np.zeros(len(parts), np.int64)
+        alone, order = np.flatnonzero(~words).tolist(), []
+        words = np.flatnonzero(words)
+        for k in range(0, len(words), 2000):
+            some = words[k:k + 2000]
+            joint = np.array(self.ids(" ".join([parts[i] for i in some])), np.uint32)
             cuts = np.flatnonzero(self.ends[joint]) + 1
             if self.joint and len(cuts) == len(some):
-                ids += joint
-                counts += np.diff(cuts, prepend=0).tolist()
-                good += some
+                ids.append(joint)
+                counts[some] = np.diff(cuts, prepend=0)
+                order.append(some)
             else:
-                others += some
-        for text in others:
-            own = self.ids(text)
-            ids += own
-            counts.append(len(own))
-        self.add(good + others, ids, counts)
-
-    def __call__(self, texts: list[str | None], end: int | None) -> tuple[np.ndarray, np.ndarray]:
+                alone += some.tolist()
+        for i in alone:
+            ids.append(np.array(self.ids(parts[i]), np.uint32))
+            counts[i] = len(ids[-1])
+        order = np.concatenate([*order, alone]).astype(np.int64)
+        at = np.zeros(len(parts), np.int64)
+        at[order] = len(self.flat) + np.cumsum(counts[order]) - counts[order]
+        self.at, self.count = np.concatenate([self.at, at]), np.concatenate([self.count, counts])
+        self.flat = np.concatenate(ids)
+
+    def __call__(self, texts: pa.Array, end: int | None) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts of a string array in a row, and where those of each text end."""
         if len(self.known) > KNOWN:
             self.clear()
-        runs: list[bytes] = []
-        sizes = []
-        for text in texts:
-            found = (text or "").encode().split()
-            sizes.append(len(found))
-            runs += found
-        index = np.fromiter(map(self.known.__getitem__, runs), np.int64, len(runs))
+        parts, codes, ends, words = parted(c.text_array(texts))
+        before = len(self.known)
+        numbers = np.fromiter(map(self.known.__getitem__, parts.to_numpy(zero_copy_only=False)), np.int64, len(parts))
         if new := self.known.taken():
-            plain = [self.PLAIN.fullmatch(r.decode()) for r in new]
-            split = [(m[1].lower(), m[2]) if m else (r.decode(), "") for m, r in zip(plain, new)]
-            parts = self.parts
-            cores = dict.fromkeys(a for (a, _), m in zip(split, plain) if m and a not in parts)
-            others = dict.fromkeys([a for (a, _), m in zip(split, plain) if not m and a not in parts] + [b for _, b in split if b not in parts])
-            if cores or others:
-                self.learn(list(cores), list(others))
-            self.pairs = np.concatenate([self.pairs, np.array([(parts[a], parts[b]) for a, b in split], np.int64)])
-        pieces = self.pairs[index].ravel()
+            self.learn(new, words[numbers >= before])
+        pieces = numbers[codes]
         width = self.count[pieces]
         values = self.flat[c.ranges(self.at[pieces], width)]
-        ends = np.concatenate([[0], np.cumsum(width)])[2 * np.cumsum(sizes)] if sizes else np.zeros(0, np.int64)
+        ends = np.concatenate([[0], np.cumsum(width)])[ends]
         if end is not None:
             values = np.insert(values, ends, end)
             ends = ends + np.arange(1, len(ends) + 1)
         return values, ends
 
 
+@lru_cache(1)
+def encoder_of(path: str, job: str) -> WordEncoder:
+    """The encoder that a worker keeps for its next tasks of one ``write``, with at most ``KNOWN`` parts and those of a slice."""
+    return WordEncoder(path)
+
+
 SEGMENT = ("shard int, segment int, ids_before long, first_doc long, n_docs long, n_ids long, id_bytes int, ids binary, "
            "end_low_bits int, end_low binary, end_high binary, end_samples binary, "
            "doc_low_bits int, doc_low binary, doc_high binary, doc_samples binary, null_docs int")
@@ -204,11 +224,12 @@ def write(df: DataFrame, tokenizer: str, path: str, end: int | None = None, doc:
           shards: int | None = None, compression: str = "zstd") -> None:
     """Encodes the texts and writes their file set to ``path``, in ascending order of ``doc``."""
     columns = df.select(F.col(doc).cast("long").alias("doc"), F.col(text).alias("text"))
+    job = uuid.uuid4().hex
     n = shards or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = columns.repartitionByRange(n, "doc").sortWithinPartitions("doc", "text")
 
     def run(batches):
-        encoder = WordEncoder(tokenizer)
+        encoder = encoder_of(tokenizer, job)
         width = 2 if max(encoder.tokenizer.get_vocab_size(), end or 0) <= 1 << 16 else 4
         shard, number, before = TaskContext.get().partitionId(), 0, 0
         docs, values, ends, held = [], [], [], 0
@@ -219,7 +240,7 @@ def write(df: DataFrame, tokenizer: str, path: str, end: int | None = None, doc:
 
         for batch in batches:
             for part in c.slices(batch, "text"):
-                v, e = encoder(part.column(1).to_pylist(), end)
+                v, e = encoder(part.column(1), end)
                 docs += part.column(0).to_pylist()
                 values.append(v)
                 ends.append(e + held)
