@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 
 pytest.importorskip("public_tokenizers")
@@ -141,3 +142,26 @@ def test_the_stage_takes_pairs_of_linked_fingerprints(spark, monkeypatch):
     for a, b in ((0, 1), (5, 30)):
         differ = sum(bin((held[a][m] ^ held[b][m]) % 2 ** 64).count("1") for m in near_words.SKETCH)
         assert 0 < differ <= len(shingles(rows[a][1]) ^ shingles(rows[b][1]))
+
+
+def test_every_different_text_has_a_fingerprint(spark, monkeypatch):
+    """A text that shares no shingle is no less in the pivot tables; whatever linked fingerprints propose is compared as whole sets."""
+    lone = [(100 + k, f"lone{k} " + " ".join(f"l{k}x{j}" for j in range(30))) for k in range(20)]
+    asked, compared, links, verified = [], [], near_words.simhash.links, near_words.verified
+    ends = near_words.simhash.fingerprints([t for _, t in lone[:2]], 5).view(np.int64).tolist()
+
+    def seen(prints):
+        asked.append(prints.count())
+        return links(prints).unionByName(spark.createDataFrame([tuple(ends)], "a long, b long"))
+
+    def tried(pairs, texts, words, similarity):
+        compared.append((pairs.count(), pairs.join(texts.selectExpr("node AS a"), "a").join(texts.selectExpr("node AS b"), "b").count()))
+        return verified(pairs, texts, words, similarity)
+
+    monkeypatch.setattr(near_words.simhash, "links", seen)
+    monkeypatch.setattr(near_words, "verified", tried)
+    rows = near_copies(2, 40) + lone
+    df = spark.createDataFrame(rows + [(900, lone[0][1]), (901, ""), (902, None)], "doc_id long, text string")
+    got = sorted(r.doc_id for r in near_words.kept(df).collect())
+    assert asked == [60] and compared[0][0] > 0 and all(wanted == there for wanted, there in compared)
+    assert {d for d, _ in lone} | {901} <= set(got) and not {900, 902} & set(got)
