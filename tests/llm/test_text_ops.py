@@ -238,6 +238,26 @@ def test_suffix_dedup(spark, odd, none, monkeypatch, hot, share):
     assert suffix_dedup.without_repeats(odd).count() == len(ODD) and suffix_dedup.without_repeats(none).count() == 0
 
 
+def test_many_shares_of_the_suffix_operator_are_few_tasks_and_batches(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "SHARE", 20)
+    monkeypatch.setattr(suffix_dedup, "FILTER_MOST", 28)
+    monkeypatch.setattr(suffix_dedup, "FILTER_BITS", 28)
+    rows = [(None if d == 120 else d, t) for d, t in planted(5)]
+    bits = suffix_dedup.share_bits(sum(len((t or "").encode()) for _, t in rows))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    tasks, stored = [], suffix_dedup.c.stored
+
+    def seen(table, label):
+        tasks.append(table.rdd.getNumPartitions())
+        return stored(table, label)
+
+    monkeypatch.setattr(suffix_dedup.c, "stored", seen)
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in suffix_dedup.without_repeats(df).collect()}
+    last = [((1 << 63) - 1 if d is None else d, t) for d, t in rows]
+    assert got == dict(zip((d for d, _ in rows), removed(last, 50)))
+    assert bits >= 10 and max(tasks) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_merged_transforms_order_and_common_prefixes():
     rng = np.random.default_rng(1)
     texts = [rng.integers(97, 99, n).astype(np.uint8) for n in (300, 1, 90)]
