@@ -1,11 +1,13 @@
 from datetime import date, timedelta
 from functools import partial
+import math
 
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.functions import mackinnon
 from tidemark.functions.mackinnon import engle_granger, engle_granger_pvalue
 from tidemark.functions.scalar import exact_quantile
 from tidemark.operators import correlation as corr
@@ -164,6 +166,33 @@ def test_constant_and_collinear_pairs():
     assert np.isnan(t[0]) and np.isnan(p[0]) and t[1] == -np.inf and p[1] == 0 and np.isfinite(t[2]) and list(used[:2]) == [-1, -1]
 
 
+@pytest.mark.parametrize("lags", [1, None])
+def test_only_ill_conditioned_pairs_are_solved_by_a_basis(monkeypatch, lags):
+    """Products of columns serve most series; what they can't solve exactly enough goes through a basis of the columns."""
+    rng = np.random.default_rng(5)
+    e = rng.normal(0, 90, (3000, 60))
+    e[:5] = (-1.0) ** np.arange(60) * (1 + 1e-6 * rng.normal(0, 1, (5, 60)))
+    solved, fit = [], mackinnon._fit
+    k = mackinnon._chosen_by_basis(e, 11)[0] if lags is None else np.full(3000, lags)
+    want = np.array([fit(e[i:i + 1], int(k[i]))[0] for i in range(3000)])
+    monkeypatch.setattr(mackinnon, "_fit", lambda e, k: (solved.append(len(e)), fit(e, k))[1])
+    t, used = mackinnon.adf_statistics(e, lags)
+    assert (used == k).all() and np.allclose(t, want, rtol=1e-8) and sum(solved) < 30
+    assert solved or (k[:5] == 0).all()
+    p = mackinnon.surface_pvalues(np.r_[t, np.nan, -np.inf, 5.0])
+    assert np.allclose(p, [math.nan if math.isnan(v) else mackinnon.surface_pvalue(v) for v in [*t, math.nan, -math.inf, 5.0]], rtol=1e-12, equal_nan=True)
+
+
+def test_a_bound_that_dismisses_few_pairs_is_not_followed_pair_by_pair(monkeypatch):
+    rng = np.random.default_rng(12)
+    a, b = rng.normal(0, 1, (120, 60)), rng.normal(0, 1, (90, 60))
+    called, einsum = [], np.einsum
+    monkeypatch.setattr(corr.np, "einsum", lambda *x, **y: (called.append(x[0]), einsum(*x, **y))[1])
+    i, j, rho = corr._close_pairs(a, b, 0.2)
+    every = np.corrcoef(a, b)[:120, 120:]
+    assert not called and len(i) == (np.abs(every) >= 0.2).sum() > 500 and np.allclose(rho, every[i, j])
+
+
 def test_pairs_screen_takes_joint_dates_only(spark):
     rng = np.random.default_rng(5)
     m = rng.normal(0, 0.01, 100)
