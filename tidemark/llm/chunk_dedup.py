@@ -125,12 +125,13 @@ def spans(df: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
     packed = df.sparkSession.sparkContext.broadcast(np.packbits(bit_table(repeated)))
 
     def run(batches):
-        bits = np.unpackbits(packed.value).astype(bool)
+        bits = packed.value
         for batch in batches:
             for part in c.slices(batch, "text"):
                 d, owner, start, size = digests(c.text_array(part.column(2)))
                 inside = repeats_inside(d, owner)
-                keep = inside | bits[d[:, 0].view(np.uint64) >> np.uint64(64 - FILTER_BITS)]
+                place = (d[:, 0].view(np.uint64) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+                keep = inside | ((bits[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1 == 1)
                 take = pa.array(owner[keep])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(d[keep, 0]), pa.array(d[keep, 1]), part.column(0).take(take), part.column(1).take(take),

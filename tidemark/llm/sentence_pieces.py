@@ -249,7 +249,7 @@ class Decoder:
 
 def encode(df: DataFrame, model: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """``df`` with the ids of each text: no begin or end ids, no sampling. Null texts get an empty list."""
-    return c.with_columns(df, text, [(ids, "array<int>", pa.list_(pa.int32()))], lambda: Encoder(model))
+    return c.with_columns(df, text, [(ids, "array<int>", pa.list_(pa.int32()))], lambda: Encoder(model), 1 << 20)
 
 
 def decode(df: DataFrame, model: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
